@@ -2,13 +2,27 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from spanweave.llm import contamination
+from spanweave.llm import bpe, contamination, simhash
 from spanweave.llm.common import crc_mod, table
 
 
+def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+
+
+def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ranks = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    coded = bpe.encode(table(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN)
+    return bpe.decode(coded, ranks).select(
+        "doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256")
+    )
+
+
 def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     index = contamination.build_index(table(spark, sf_dir, "documents"))
     found = contamination.search(index, table(spark, sf_dir, "benchmark"), slop=2)
@@ -44,7 +58,7 @@ FROM d LEFT JOIN c USING (row_no) LEFT JOIN m USING (row_no)
 
 
 def queries() -> dict:
-    return {"op10_decontamination": op10_decontamination}
+    return {"op2_simhash": op2_simhash, "op4_bpe": op4_bpe, "op10_decontamination": op10_decontamination}
 
 
 def oracle_sql() -> dict[str, str]:
