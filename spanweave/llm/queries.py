@@ -6,15 +6,29 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from spanweave.llm import bpe, contamination, simhash
+import corpus_pipeline
+from spanweave.llm import bpe, contamination, extraction, language, licenses, pii, secrets, simhash, topk, toxicity
 from spanweave.llm.common import crc_mod, table
 
 
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    held_out = crc_mod(F.col("doc_id"), 3) == 1
+    model = toxicity.train(docs, table(spark, sf_dir, "labels"), ~held_out)
+    scored = docs.select("doc_id", held_out.alias("held_out"), toxicity.score(model, spark)("text").alias("score"))
+    return scored.withColumn("predicted", (F.col("score") >= 0.7).cast("int"))
+
+
 def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
     return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
+def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    told = table(spark, sf_dir, "documents").select("doc_id", pii.pseudonyms(corpus_pipeline.KEY)("text").alias("r"))
+    return told.select("doc_id", "r.n_found", "r.kinds", "r.text")
+
+
 def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     ranks = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
     coded = bpe.encode(table(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN)
@@ -23,6 +37,51 @@ def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
+OP5_SQL = """
+WITH v AS (SELECT row_number() OVER () AS row_no, vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS e FROM embeddings
+           WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+             AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.e::DOUBLE[], c.e::DOUBLE[])::BIGINT AS score
+      FROM v q JOIN v c ON q.vec_id % 50 = 0 AND c.vec_id <> q.vec_id),
+r AS (SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INT AS rank, vec_id, score FROM s)
+SELECT * FROM r WHERE rank <= 5
+"""
+
+
+def op6_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    held_out = crc_mod(F.col("doc_id"), 5) == 0
+    infer = language.predict(language.train(docs, ~held_out), spark)
+    told = docs.select("doc_id", held_out.alias("held_out"), infer("text").alias("r"))
+    return told.select("doc_id", "held_out", "r.lang_pred", "r.score", "r.share", "r.lang_set")
+
+
+def op7_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    found = secrets.find(docs, secrets.train(docs))
+    return found.select(
+        "doc_id",
+        *(secrets.count_of("base", k).alias(f"n_{k}") for k in secrets.KINDS[:3]),
+        F.sha2(secrets.listed("base").cast("binary"), 256).alias("base_sha256"),
+        secrets.listed("spans").alias("spans"),
+    )
+
+
+def op8_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return docs.select("doc_id", licenses.scan(docs)("text").alias("r")).select("doc_id", "r.*")
+
+
+def op9_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages")
+    told = pages.select("page_id", "url", extraction.extractor(spark)("html").alias("text"))
+    return told.withColumn("n_chars", F.length("text").cast("bigint"))
+
+
 def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     index = contamination.build_index(table(spark, sf_dir, "documents"))
     found = contamination.search(index, table(spark, sf_dir, "benchmark"), slop=2)
@@ -58,8 +117,11 @@ FROM d LEFT JOIN c USING (row_no) LEFT JOIN m USING (row_no)
 
 
 def queries() -> dict:
-    return {"op2_simhash": op2_simhash, "op4_bpe": op4_bpe, "op10_decontamination": op10_decontamination}
+    named = (
+        op1_toxicity, op2_simhash, op3_pii, op4_bpe, op5_topk, op6_language, op7_secrets, op8_licenses, op9_extraction, op10_decontamination,
+    )
+    return {f.__name__: f for f in named} | {"pipeline": corpus_pipeline.run}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op10_decontamination": OP10_SQL}
+    return {"op5_topk": OP5_SQL, "op10_decontamination": OP10_SQL}
