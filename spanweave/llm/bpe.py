@@ -1,7 +1,7 @@
 """Byte-level BPE over a corpus: every distinct word is encoded once.
 
 encode() splits texts into pre-tokens and lays them out in blocks of about a million. A block keeps
-its sequence of word numbers (positions implied, numbers by falling frequency, compressed) and
+its sequence of word numbers (positions implied, numbers by falling frequency, entropy-coded) and
 explodes its distinct words once each, packed by hash bucket: that is the map-side half of the
 distinct-word shuffle. A bucket encodes each distinct word once and sends the ids back to the blocks
 that asked; a block then reassembles its documents by position. No word, however frequent, has more
@@ -48,9 +48,13 @@ def read_ranks(lines: bytes) -> dict[bytes, int]:
     return {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines.splitlines()) if a}
 
 
+def _squeeze(data: bytes) -> bytes:
+    return pa.Codec("zstd", compression_level=3).compress(data, asbytes=True)
+
+
 def _planes(numbers: np.ndarray) -> bytes:
     """uint32 numbers as four compressed byte planes; small numbers cost a byte or less."""
-    return pa.compress(numbers.astype("<u4").view(np.uint8).reshape(-1, 4).T.tobytes(), codec="zstd", asbytes=True)
+    return _squeeze(numbers.astype("<u4").view(np.uint8).reshape(-1, 4).T.tobytes())
 
 
 def _unplaned(data: bytes, n: int) -> np.ndarray:
@@ -60,6 +64,26 @@ def _unplaned(data: bytes, n: int) -> np.ndarray:
     return np.ascontiguousarray(np.frombuffer(raw, np.uint8).reshape(4, n).T).view("<u4").ravel()
 
 
+def _sequence(ranks: np.ndarray, n_often: int) -> bytes:
+    """Word numbers, compressed. Words seen once (from n_often on, numbered as they come) are all coded
+    as 0, the 254 most frequent words as 1 to 254, and the numbers of the rest stand in a second list."""
+    once = ranks >= n_often
+    head = np.where(once, 0, np.minimum(ranks.astype(np.int64) + 1, 255)).astype(np.uint8)
+    tail = _planes((ranks[head == 255] - 254).astype(np.uint32))
+    first = _squeeze(head.tobytes())
+    return len(first).to_bytes(4, "little") + first + tail
+
+
+def _unsequence(data: bytes, n: int, n_often: int) -> np.ndarray:
+    size = int.from_bytes(data[:4], "little")
+    head = np.frombuffer(pa.decompress(data[4 : 4 + size], decompressed_size=n, codec="zstd", asbytes=True), np.uint8) if n else np.zeros(0, np.uint8)
+    ranks = head.astype(np.int64) - 1
+    once, rest = head == 0, head == 255
+    ranks[once] = n_often + np.arange(once.sum())
+    ranks[rest] = _unplaned(data[4 + size :], int(rest.sum())).astype(np.int64) + 254
+    return ranks
+
+
 def _cut(payload: bytes, lens: np.ndarray) -> Iterator[bytes]:
     ends = np.cumsum(lens.astype(np.int64)).tolist()
     return (payload[s:e] for s, e in zip([0, *ends], ends, strict=False))
@@ -92,19 +116,20 @@ def encode(docs: DataFrame, rank_file: str, pattern: str, buckets: int | None =
             order = np.argsort(-often, kind="stable")
             rank = np.empty(len(order), np.uint32)
             rank[order] = np.arange(len(order))
+            n_often = int((often > 1).sum())
             words = [w.encode() for w in number]
             dealt = np.fromiter((zlib.crc32(w) % n_buckets for w in words), np.int64, len(words))
-            by = np.argsort(dealt, kind="stable")
+            by = order[np.argsort(dealt[order], kind="stable")]  # by bucket, then by rank
             cuts = np.searchsorted(dealt[by], np.arange(n_buckets + 1)).tolist()
             block = f"{part}-{k}"
             ends = np.cumsum([len(x) for x in seqs]).astype(np.int64)
-            rows = [(block, -1 - zlib.crc32(block.encode()) % n_buckets, doc_ids, ends.tobytes(), _planes(rank[seq]), len(seq), None, None, None)]
+            rows = [(block, -1 - zlib.crc32(block.encode()) % n_buckets, doc_ids, ends.tobytes(), _sequence(rank[seq], n_often), len(seq), None, n_often.to_bytes(8, "little"), None)]
             for b in range(n_buckets):
                 mine = by[cuts[b] : cuts[b + 1]]
                 if len(mine):
                     own = [words[i] for i in mine.tolist()]
                     lens = np.fromiter(map(len, own), np.uint32, len(own))
-                    rows.append((block, b, None, None, None, None, _planes(rank[mine]), _planes(lens), b"".join(own)))
+                    rows.append((block, b, None, None, None, None, _planes(np.diff(rank[mine], prepend=np.uint32(0))), _planes(lens), _squeeze(b"".join(own))))
             return _record([(*r[:5], len(by[cuts[r[1]] : cuts[r[1] + 1]]) if r[5] is None else r[5], *r[6:]) for r in rows])
 
         total = 0
@@ -131,7 +156,9 @@ def encode(docs: DataFrame, rank_file: str, pattern: str, buckets: int | None =
                     rows.append(r)
                     continue
                 found = []
-                for w in _cut(r[8], _unplaned(r[7], r[5])):
+                lens = _unplaned(r[7], r[5])
+                words = pa.decompress(r[8], decompressed_size=int(lens.sum()), codec="zstd", asbytes=True)
+                for w in _cut(words, lens):
                     if (ids := coded.get(w)) is None:
                         ids = coded[w] = np.array(one(w.decode()), "<u4").tobytes()
                     found.append(ids)
@@ -147,7 +174,7 @@ def encode(docs: DataFrame, rank_file: str, pattern: str, buckets: int | None =
         for r in got:
             if r[1] >= 0:
                 lens = _unplaned(r[7], r[5]).astype(np.int64)
-                packs.append((_unplaned(r[6], r[5]), lens, _unplaned(r[8], int(lens.sum()))))
+                packs.append((np.cumsum(_unplaned(r[6], r[5]), dtype=np.int64), lens, _unplaned(r[8], int(lens.sum()))))
         got.clear()
         size = np.zeros(sum(len(p[0]) for p in packs), np.int64)
         start = np.zeros_like(size)
@@ -158,7 +185,7 @@ def encode(docs: DataFrame, rank_file: str, pattern: str, buckets: int | None =
             base += len(flat)
         flat = np.concatenate([p[2] for p in packs]) if packs else np.zeros(0, np.uint32)
         packs.clear()
-        seq, ends = _unplaned(head[4], head[5]), np.frombuffer(head[3], np.int64)
+        seq, ends = _unsequence(head[4], head[5], int.from_bytes(head[7], "little")), np.frombuffer(head[3], np.int64)
         begin, rows, room = 0, [], 0
         for doc_id, end in zip(head[2], ends.tolist(), strict=True):
             w = seq[begin:end]
