@@ -14,8 +14,10 @@ from spanweave.functions.hashing import uniform
 SLOT = r"\{([A-Za-z_]+)(?:#(\d+))?(?::([A-Za-z_]+))?\}"
 #: Decoys whose place noise must not touch.
 PROTECTED = ("neg_cue", "contrast_cue")
-#: Draws per slot; the first value that the record does not have yet is taken, else the last draw.
+#: Draws per slot; the first value that the record does not have yet is taken, else one of the pool's SPARE
+#: first values that it lacks, else (the pool is exhausted) the last draw.
 ATTEMPTS = 8
+SPARE = 8
 
 
 def template_slots(templates: DataFrame) -> DataFrame:
@@ -81,7 +83,7 @@ def _choose(slots: Column) -> Column:
     """Values of a record's slots in order; an entity takes its first draw that its type has not got yet."""
 
     def step(done: Column, s: Column) -> Column:
-        fresh = F.filter(s["values"], lambda v: ~F.exists(done, lambda d: (d["pool"] == s["pool"]) & (d["value"] == v)))
+        fresh = F.filter(F.concat(s["values"], s["spare"]), lambda v: ~F.exists(done, lambda d: (d["pool"] == s["pool"]) & (d["value"] == v)))
         value = F.when(s["entity_type"].isNull(), s["values"][0]).otherwise(F.coalesce(F.get(fresh, F.lit(0)), F.get(s["values"], F.size(s["values"]) - 1)))
         return F.concat(done, F.array(F.struct(s["pool"].alias("pool"), value.alias("value"))))
 
@@ -98,7 +100,10 @@ def slot_fill(drawn: DataFrame, pools: DataFrame, seed: int, distinct: bool = Tr
         *(F.first(c).alias(c) for c in ("before", "pool", "entity_type", "polarity", "sub")),
         F.transform(F.array_sort(F.collect_list(F.struct("attempt", "value"))), lambda x: x["value"]).alias("values"),
     )
-    row = F.struct("slot_idx", "before", "pool", "entity_type", "polarity", "sub", "values")
+    nth = F.row_number().over(Window.partitionBy("pool").orderBy("value"))
+    spare = pools.select("pool", "value").withColumn("nth", nth).filter(F.col("nth") <= SPARE).groupBy("pool").agg(F.collect_list("value").alias("spare"))
+    valued = valued.join(spare, "pool")
+    row = F.struct("slot_idx", "before", "pool", "entity_type", "polarity", "sub", "values", "spare")
     gathered = valued.groupBy("record_id", "template").agg(F.array_sort(F.collect_list(row)).alias("slots"))
     gathered = drawn.join(gathered, ["record_id", "template"], "left").withColumn("slots", F.coalesce("slots", F.array().cast(gathered.schema["slots"].dataType)))
     chosen = gathered.withColumn("chosen", _choose(F.col("slots")))

@@ -18,7 +18,6 @@ def _by_token():
     return Window.partitionBy("record_id").orderBy("tok_idx")
 
 
-
 def whitespace_tokens(records: DataFrame) -> DataFrame:
     """Maximal runs without a space of records(record_id, text), where text is cleaned."""
     dealt = records.select("record_id", "text").repartition("record_id")
