@@ -7,6 +7,14 @@ import numpy as np
 BINS = 32
 
 
+def _edges(values: np.ndarray) -> np.ndarray:
+    """Bounds of the bins: between all values where they are few (rare flags too), else by quantiles."""
+    seen = np.unique(values)
+    if len(seen) <= BINS:
+        return (seen[1:] + seen[:-1]) / 2
+    return np.unique(np.quantile(values, np.linspace(0, 1, BINS + 1)[1:-1]))
+
+
 class BoostedTrees:
     """Logistic loss, second-order gains, trees of fixed depth in heap order."""
 
@@ -20,7 +28,7 @@ class BoostedTrees:
         return np.stack([np.searchsorted(e, x[:, j], "right") for j, e in enumerate(self.edges)], axis=1).astype(np.int32)
 
     def fit(self, x: np.ndarray, y: np.ndarray) -> BoostedTrees:
-        self.edges = [np.unique(np.quantile(x[:, j], np.linspace(0, 1, BINS + 1)[1:-1])) for j in range(x.shape[1])]
+        self.edges = [_edges(x[:, j]) for j in range(x.shape[1])]
         binned, n, width = self._bin(x), len(x), x.shape[1]
         share = y.mean()
         self.base = float(np.log(share / (1 - share)))

@@ -7,6 +7,7 @@ article and in what is set into it. Everything follows from the seed.
 from __future__ import annotations
 
 import random
+import re
 
 _LETTERS = "aeiouéönrstlmdkghpbcfvw"
 
@@ -31,6 +32,8 @@ class _Page:
     def box(self, tags: str, names: str, inner: str) -> str:
         """inner in one of the elements, mostly with one of the class names (a bare tag if semantic)."""
         tag = self.r.choice(tags.split())
+        if tag == "p" and re.search("<(p|div|ul|form|h[1-6])\\b", inner):
+            tag = "div"  # a paragraph cannot hold blocks
         if tag in ("nav", "aside", "header", "footer", "form") and self.r.random() < 0.6:
             return f"<{tag}>{inner}</{tag}>"
         how = self.r.choice(("class", "class", "id"))
@@ -118,7 +121,7 @@ def page(seed: int) -> tuple[str, str, str]:
     if r.random() < 0.75:
         parts.insert(0, r.choice(("<h1>{}</h1>", "<header><h1>{}</h1></header>", "<h1>{}</h1>")).format(p.words(2, 10)))
     for f in (p.advert, p.related, p.form, p.notice, p.comments, p.sidebar):
-        if r.random() < 0.12:
+        if r.random() < 0.2:
             parts.insert(r.randint(0, len(parts)), f"\x01{f()}\x02")
     box = r.choice(("<article>", "<article>", '<article class="post">', "<main>", '<div class="content">', '<div class="post-content">', '<div id="article-body">', '<section class="story">', '<div class="entry">', "<div>"))
     inner = "".join(parts)
