@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from spanweave.llm import bpe, contamination, extraction, language, licenses, pii, secrets, simhash, topk, toxicity
-from spanweave.llm.common import crc_mod, table
+from spanweave.llm.common import crc_mod, table, words_of
 
 
 def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -76,6 +76,24 @@ def op8_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return docs.select("doc_id", licenses.scan(docs)("text").alias("r")).select("doc_id", "r.*")
 
 
+def _op8_sql() -> str:
+    words = lambda t: "[" + ", ".join(f"'{w.decode()}'" for w in dict.fromkeys(words_of(t.encode()))) + "]"
+    phrases = ", ".join(f"({words(p)}, '{label}')" for p, label in licenses.PHRASES.items())
+    templates = ", ".join(f"({words(t)}, '{label}')" for label, t in licenses.TEMPLATES)
+    return f"""
+WITH d AS (SELECT row_number() OVER () AS row_no, doc_id, coalesce(text, '') AS text, {SQL_WORDS.format("coalesce(text, '')")} AS w FROM documents),
+p AS (SELECT row_no, i - 1 AS pos, label FROM (SELECT row_no, w, unnest(range(1, len(w) + 1)) AS i FROM d), (VALUES {phrases}) t(v, label) WHERE list_slice(w, i, i + len(v) - 1) = v),
+b AS (SELECT row_no, count(*) AS n_base, min(pos) AS first_word, max(pos) AS last_word, string_agg(DISTINCT label, ',' ORDER BY label) AS base_labels FROM p GROUP BY row_no),
+l AS (SELECT row_no, list_distinct({SQL_WORDS.format("line")}) AS w FROM (SELECT row_no, unnest(string_split(text, chr(10))) AS line FROM d)),
+m AS (SELECT row_no, label, len(list_intersect(w, v)) / len(v)::DOUBLE AS share FROM l, (VALUES {templates}) t(v, label) WHERE len(list_intersect(w, v)) >= {licenses.THRESHOLD} * len(v) - 1e-9),
+a AS (SELECT row_no, string_agg(DISTINCT label, ',' ORDER BY label) AS labels FROM (SELECT row_no, label FROM p UNION ALL SELECT row_no, label FROM m) GROUP BY row_no),
+s AS (SELECT row_no, max(share) AS share FROM m GROUP BY row_no)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_base, 0)::BIGINT AS n_base, first_word, last_word, coalesce(base_labels, '') AS base_labels, coalesce(labels, '') AS labels,
+       CASE WHEN n_base > 0 THEN 1.0 ELSE coalesce(share, 0.0) END::DOUBLE AS score
+FROM d LEFT JOIN b USING (row_no) LEFT JOIN a USING (row_no) LEFT JOIN s USING (row_no)
+"""
+
+
 def op9_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages")
     told = pages.select("page_id", "url", extraction.extractor(spark)("html").alias("text"))
@@ -124,4 +142,4 @@ def queries() -> dict:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op5_topk": OP5_SQL, "op10_decontamination": OP10_SQL}
+    return {"op5_topk": OP5_SQL, "op8_licenses": _op8_sql(), "op10_decontamination": OP10_SQL}
