@@ -38,14 +38,14 @@ def drop_benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 
 def pseudonymise(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Personal data in texts is replaced, in its own format; lengths stay."""
-    return docs.withColumn("text", pii.pseudonyms(KEY)("text")["text"])
+    """Personal data in texts is replaced, in its own format."""
+    return docs.withColumn("text", pii.pseudonyms(KEY)("text")["text"]).withColumn("n_chars", F.length("text").cast("bigint"))
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids (little-endian unsigned 32 bits) and the digest of what they decode to."""
     ranks = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
-    coded = bpe.decode(bpe.encode(docs, ranks, public_tokenizers.PATTERN), ranks)
+    coded = bpe.encode(docs, ranks, public_tokenizers.PATTERN, decoded=True)
     return coded.select("doc_id", "n_tokens", "ids", F.sha2("decoded", 256).alias("decoded_sha256"))
 
 

@@ -28,6 +28,8 @@ import tiktoken
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from spanweave.llm.common import release
+
 BLOCK_WORDS = 1_000_000
 PACK = "block string, bucket int, doc_ids array<bigint>, ends binary, seq binary, n_seq bigint, ranks binary, lens binary, payload binary"
 _NAMES = [c.split()[0] for c in PACK.split(", ")]
@@ -95,8 +97,12 @@ def _gather(flat: np.ndarray, starts: np.ndarray, lens: np.ndarray) -> np.ndarra
     return flat[np.repeat(shift, lens) + np.arange(lens.sum())]
 
 
-def encode(docs: DataFrame, rank_file: str, pattern: str, buckets: int | None = None) -> DataFrame:
-    """(doc_id, n_tokens, ids) for every row of docs(doc_id, text); ids: little-endian unsigned 32 bits."""
+def encode(docs: DataFrame, rank_file: str, pattern: str, buckets: int | None = None, decoded: bool = False) -> DataFrame:
+    """(doc_id, n_tokens, ids) for every row of docs(doc_id, text); ids: little-endian unsigned 32 bits.
+
+    With decoded, the ids are also joined with the token-byte table, in the worker that holds them, to
+    the binary column of that name.
+    """
     spark = docs.sparkSession
     with open(rank_file, "rb") as f:
         sent = spark.sparkContext.broadcast(f.read())
@@ -145,6 +151,8 @@ def encode(docs: DataFrame, rank_file: str, pattern: str, buckets: int | None =
                     number, seqs, doc_ids, total, k = defaultdict(count().__next__), [], [], 0, k + 1
         if doc_ids:
             yield close()
+        number, seqs = defaultdict(count().__next__), []
+        release()
 
     def once(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coded: dict[bytes, bytes] = {}
@@ -166,6 +174,8 @@ def encode(docs: DataFrame, rank_file: str, pattern: str, buckets: int | None =
                 flat = np.frombuffer(b"".join(found), "<u4")
                 rows.append((*r[:7], _planes(lens), _planes(flat)))
             yield _record(rows)
+        coded.clear()
+        release()
 
     def reassemble(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         got = [r for batch in batches for r in zip(*(c.to_pylist() for c in batch.columns), strict=True)]
@@ -187,26 +197,36 @@ def encode(docs: DataFrame, rank_file: str, pattern: str, buckets: int | None =
         packs.clear()
         seq, ends = _unsequence(head[4], head[5], int.from_bytes(head[7], "little")), np.frombuffer(head[3], np.int64)
         begin, rows, room = 0, [], 0
+        table = _token_bytes(sent.value) if decoded else {}
         for doc_id, end in zip(head[2], ends.tolist(), strict=True):
             w = seq[begin:end]
             ids = _gather(flat, start[w], size[w]).astype("<u4")
-            rows.append((doc_id, len(ids), ids.tobytes()))
+            rows.append((doc_id, len(ids), ids.tobytes(), *([_joined(ids, table)] if decoded else [])))
             begin, room = end, room + len(ids)
-            if room > 1_000_000:
+            if room > 500_000:
                 yield _ids(rows)
                 rows, room = [], 0
         if rows:
             yield _ids(rows)
+        release()
 
     packs = docs.select(F.col("doc_id").cast("bigint"), "text").mapInArrow(explode, PACK)
     coded = packs.groupBy("bucket").applyInArrow(once, PACK)
-    return coded.groupBy("block").applyInArrow(reassemble, "doc_id bigint, n_tokens bigint, ids binary")
+    return coded.groupBy("block").applyInArrow(reassemble, "doc_id bigint, n_tokens bigint, ids binary" + ", decoded binary" * decoded)
 
 
 def _ids(rows: list[tuple]) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays(
-        [pa.array(c, t) for c, t in zip(zip(*rows, strict=True), (pa.int64(), pa.int64(), pa.binary()), strict=True)], names=["doc_id", "n_tokens", "ids"]
-    )
+    columns = [pa.array(c, t) for c, t in zip(zip(*rows, strict=True), (pa.int64(), pa.int64(), pa.binary(), pa.binary()), strict=False)]
+    return pa.RecordBatch.from_arrays(columns, names=["doc_id", "n_tokens", "ids", "decoded"][: len(columns)])
+
+
+@cache
+def _token_bytes(ranks: bytes) -> dict[int, bytes]:
+    return {i: b for b, i in read_ranks(ranks).items()}
+
+
+def _joined(ids: np.ndarray, table: dict[int, bytes]) -> bytes:
+    return b"".join(map(table.__getitem__, ids.tolist()))
 
 
 def decode(tokens: DataFrame, rank_file: str) -> DataFrame:
@@ -216,9 +236,9 @@ def decode(tokens: DataFrame, rank_file: str) -> DataFrame:
 
     @F.arrow_udf("binary")
     def look_up(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        by_id = {i: b for b, i in read_ranks(sent.value).items()}
-        token = by_id.__getitem__
+        table = _token_bytes(sent.value)
         for ids in batches:
-            yield pa.array([b"".join(map(token, np.frombuffer(x or b"", "<u4").tolist())) for x in ids.to_pylist()], pa.binary())
+            yield pa.array([_joined(np.frombuffer(x or b"", "<u4"), table) for x in ids.to_pylist()], pa.binary())
+        release()
 
     return tokens.withColumn("decoded", look_up("ids"))

@@ -23,10 +23,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from spanweave.llm.common import materialize, words_of
+from spanweave.llm.common import materialize, release, words_of
 
 WINDOW = 10
-SHARD_WORDS = 1_000_000
+SHARD_WORDS = 500_000
 #: Words of one block of benchmark windows that is broadcast at a time.
 BLOCK_WORDS = 400_000
 #: Free positions between documents; larger than any slop, so no match crosses documents.
@@ -97,6 +97,7 @@ def build_index(docs: DataFrame) -> DataFrame:
                 ],
                 names=["shard", "doc_ids", "ends", "terms", "starts", "deltas"],
             )
+        release()
 
     return materialize(docs.select(F.col("doc_id").cast("bigint"), "text").mapInArrow(build, INDEX), "postings")
 
@@ -265,6 +266,7 @@ def _search_block(index: DataFrame, sent, slop: int) -> DataFrame:
                     ],
                     names=["doc_id", "shard", "doc_no", "n_words", "runs", "items", "near_items"],
                 )
+        release()
 
     return index.mapInArrow(find, FOUND)
 
@@ -303,5 +305,6 @@ def flag(benchmark: DataFrame, window: int = WINDOW):
                     hit.update(_hits(s.value, closed, 0))
                 out += [k in hit for k in range(len(shard.doc_ids))]
             yield pa.array(out, pa.bool_())
+        release()
 
     return contaminated

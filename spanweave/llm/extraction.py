@@ -22,6 +22,7 @@ from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
 from spanweave.llm.boosting import BoostedTrees
+from spanweave.llm.common import release
 from spanweave.llm.dom import WIDTH, Node, features, parse
 from spanweave.llm.sample_pages import page
 
@@ -124,5 +125,6 @@ def extractor(spark: SparkSession, model: BoostedTrees | None = None):
                     out += main_texts(wait, sent.value)
                     wait, room = [], 0
             yield pa.array(out + (main_texts(wait, sent.value) if wait else []), pa.string())
+        release()
 
     return extract

@@ -21,6 +21,8 @@ import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from spanweave.llm.common import release
+
 #: Expected number of training documents of each language.
 SAMPLE = 1500
 SLOTS = 1 << 16
@@ -62,6 +64,7 @@ def train(docs: DataFrame, learn: Column, sample: int = SAMPLE) -> dict:
         for lang, n in seen.items():
             used = np.flatnonzero(n)
             yield pa.RecordBatch.from_arrays([pa.array([lang] * len(used), pa.string()), pa.array(used, pa.int64()), pa.array(n[used], pa.int64())], names=["lang", "slot", "n"])
+        release()
 
     counted = drawn.select("text", "lang").mapInArrow(tally, "lang string, slot bigint, n bigint").groupBy("lang", "slot").agg(F.sum("n").alias("n")).toPandas()
     langs = sorted(sizes)
@@ -137,5 +140,6 @@ def predict(model: dict, spark):
             if wait:
                 flush()
             yield pa.StructArray.from_arrays([pa.array(c, t.type) for c, t in zip(zip(*out, strict=True), kind, strict=True)] if out else [pa.array([], t.type) for t in kind], fields=list(kind))
+        release()
 
     return infer

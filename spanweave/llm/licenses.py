@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from spanweave.llm.common import words_of
+from spanweave.llm.common import release, words_of
 
 THRESHOLD = 0.8
 #: Phrases of the base scan and their labels.
@@ -132,5 +132,6 @@ def scan(docs: DataFrame, templates: tuple[tuple[str, str], ...] = TEMPLATES, th
                                 best = max(best, share)
                 out.append((len(words), len(places), min(places, default=None), max(places, default=None), ",".join(sorted(base)), ",".join(sorted(labels)), best))
             yield pa.StructArray.from_arrays([pa.array(c, t.type) for c, t in zip(zip(*out, strict=True), kind, strict=True)] if out else [pa.array([], t.type) for t in kind], fields=list(kind))
+        release()
 
     return look

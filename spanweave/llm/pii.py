@@ -25,6 +25,8 @@ from hashlib import blake2b
 import pyarrow as pa
 from pyspark.sql import functions as F
 
+from spanweave.llm.common import release
+
 ROUNDS = 10
 KINDS = ("email", "iban", "card", "ssn", "phone", "ip", "date")
 _FIRST_DAY = datetime.date(1900, 1, 1).toordinal()
@@ -206,5 +208,6 @@ def pseudonyms(key: bytes):
                 new, found = (None, []) if text is None else pseudonymise(text, key)
                 out.append((new, len(found), ",".join(sorted({f[0] for f in found}))))
             yield pa.StructArray.from_arrays([pa.array(c, t.type) for c, t in zip(zip(*out, strict=True), kind, strict=True)] if out else [pa.array([], t.type) for t in kind], fields=list(kind))
+        release()
 
     return hide

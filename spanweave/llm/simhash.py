@@ -29,7 +29,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from spanweave.llm.common import join_hot, materialize
+from spanweave.llm.common import join_hot, materialize, release
 
 SHINGLE = 4
 RADIUS = 4
@@ -62,6 +62,7 @@ def with_fingerprint(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
             binary = texts.cast(pa.binary())
             made = np.array([fingerprint(binary[k].as_py(), shingle) for k in range(len(binary))], np.uint64)
             yield pa.array(made.view(np.int64))
+        release()
 
     return docs.withColumn("fp", make("text"))
 
@@ -165,6 +166,7 @@ def links(nodes: DataFrame, n: int, radius: int = RADIUS) -> DataFrame:
             label = _forest(len(fp), np.concatenate([a, np.arange(len(fp))]), np.concatenate([b, label]))
         mine = np.flatnonzero(label != np.arange(len(fp)))
         yield pa.RecordBatch.from_arrays([pa.array(fp[mine].view(np.int64)), pa.array(fp[label[mine]].view(np.int64))], names=["u", "v"])
+        release()
 
     return dealt.groupBy("bucket").applyInArrow(meet, "u bigint, v bigint").distinct()
 

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from spanweave.llm.common import materialize
+from spanweave.llm.common import materialize, release
 
 QUERY_BLOCK = 4096
 LISTS = 2
@@ -118,6 +118,7 @@ def _block(vectors: DataFrame, query_ids: np.ndarray, queries: np.ndarray, k: in
             ids = np.concatenate([x[1] for x in found])[row, col]
             pairs = np.unique(np.stack([col, ids, total[row, col].astype(np.int64)]), axis=1)
             yield _entries(qid, *_best(*pairs, k))
+        release()
 
     seen = vectors.mapInArrow(gather, ENTRY)
     by_score = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
@@ -143,6 +144,7 @@ def _block(vectors: DataFrame, query_ids: np.ndarray, queries: np.ndarray, k: in
             ok = score >= t[col]
             kept = _best(*(np.concatenate([x, y]) for x, y in zip(kept, (col[ok], ids[row[ok]], score[ok]), strict=True)), k)
         yield _entries(qid, *kept)
+        release()
 
     final = vectors.mapInArrow(collect, ENTRY).withColumn("rank", F.row_number().over(by_score))
     return final.filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

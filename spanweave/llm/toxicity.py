@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from spanweave.llm.common import WORD_BYTES
+from spanweave.llm.common import WORD_BYTES, release
 
 POSITIVES = 3000
 UNLABELLED = 9000
@@ -76,6 +76,7 @@ def train(docs: DataFrame, labels: DataFrame, learn: Column) -> dict:
                 rows.append([positive, *(np.array(sorted({f for w in words for f in word_features(w, v)}), np.int32).tobytes() for v in VIEWS)])
             if rows:
                 yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*rows, strict=True)], names=["positive", *VIEWS])
+        release()
 
     sample = drawn.mapInArrow(features, "positive boolean, words binary, stems binary").toArrow()
     first: dict[tuple, int] = {}
@@ -152,5 +153,7 @@ def score(model: dict, spark):
                 raised = [b + sum(w[x] for x in sorted(mine)) for mine, (w, b) in zip(held, views.values(), strict=True)]
                 out.append(max((1 / (1 + np.exp(-np.clip(x, -50, 50))) for x in raised), default=prior))
             yield pa.array(out, pa.float64())
+        known.clear()
+        release()
 
     return toxic
