@@ -11,7 +11,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from spanweave.functions.text import DEFAULT, CleanConfig, char_map, clean
+from spanweave.functions.plan import barrier
+from spanweave.functions.text import DEFAULT, CleanConfig, char_map, clean, span_text
 from spanweave.schema import RANGE
 
 
@@ -27,10 +28,51 @@ def nfc(texts: pa.Array) -> pa.Array:
     return pa.array([None if t is None else unicodedata.normalize("NFC", t) for t in texts.to_pylist()], pa.string())
 
 
-def with_char_map(records: DataFrame) -> DataFrame:
-    return records.withColumn("char_map", char_map(F.col("text")))
-
-
+@F.arrow_udf(T.StructType([T.StructField("text", T.StringType()), T.StructField("places", T.ArrayType(T.IntegerType()))]))
+def nfc_with_places(texts: pa.Array) -> pa.Array:
+    """NFC, cluster by cluster (a base and its combining marks); every character comes from its cluster's start."""
+    made, places = [], []
+    for text in texts.to_pylist():
+        out, at = [], []
+        starts = [i for i, c in enumerate(text or "") if i == 0 or not unicodedata.combining(c)]
+        for s, e in zip(starts, [*starts[1:], len(text or "")], strict=False):
+            cluster = unicodedata.normalize("NFC", text[s:e])
+            out.append(cluster)
+            at += [s] * len(cluster)
+        made.append(None if text is None else "".join(out))
+        places.append(at)
+    return pa.StructArray.from_arrays([pa.array(made, pa.string()), pa.array(places, pa.list_(pa.int32()))], names=["text", "places"])
+
+
+def with_char_map(records: DataFrame, config: CleanConfig = DEFAULT) -> DataFrame:
+    """records(text) with clean_text and char_map: from positions of the cleaned to those of the given text."""
+    if not config.nfc_normalize:
+        return records.withColumn("clean_text", clean(F.col("text"), config)).withColumn("char_map", char_map(F.col("text")))
+    composed = records.withColumn("__nfc", nfc_with_places("text")).withColumn("clean_text", clean(F.col("__nfc.text"), config))
+    return composed.withColumn("char_map", F.transform(char_map(F.col("__nfc.text")), lambda i: F.get("__nfc.places", i))).drop("__nfc")
+
+
+def clean_and_project(records: DataFrame) -> DataFrame:
+    """Records with cleaned text; entities and protected ranges move along, those without a surviving character go.
+
+    Records that become empty go.
+    """
+    none = F.array().cast(_SPAN_TYPE)
+    spans = F.transform("entities", lambda e: F.struct(e["start"].alias("start"), e["end"].alias("end")))
+    mapped = records.filter(F.length(clean(F.col("text"))) > 0).withColumn("__map", char_map(F.col("text")))
+    moved = mapped.withColumn("__spans", project_to_clean("__map", F.length("text"), spans)).withColumn(
+        "__cues", project_to_clean("__map", F.length("text"), F.coalesce("meta.preserve_spans", none))
+    )
+    ready = barrier(moved.drop("__map").withColumn("text", clean(F.col("text"))))
+    kept = F.filter(F.arrays_zip("entities", F.col("__spans").alias("span")), lambda x: x["span"].isNotNull())
+    entity = lambda x: x["entities"].withField("start", x["span"]["start"]).withField("end", x["span"]["end"]).withField(
+        "text", span_text(F.col("text"), x["span"]["start"], x["span"]["end"])
+    )
+    placed = ready.withColumn("entities", F.transform(kept, entity)).withColumn("meta", F.col("meta").withField("preserve_spans", F.filter("__cues", lambda c: c.isNotNull())))
+    return placed.select(*records.columns)
+
+
+_SPAN_TYPE = "array<struct<start:int,end:int>>"
 _SPANS = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))
 
 

@@ -32,8 +32,9 @@ class NoiseConfig:
 DEFAULT = NoiseConfig()
 
 
-def _gate(p: float, seed: int, step: str) -> Column:
-    return uniform(seed, F.col("record_id"), step) < p
+def _gate(p: float, seed: int, step: str, only: str | None) -> Column:
+    hit = uniform(seed, F.col("record_id"), step) < p
+    return hit & F.col(only) if only else hit
 
 
 def _guarded(config: NoiseConfig) -> Column:
@@ -66,12 +67,12 @@ def delete_and_reproject(records: DataFrame, dropped: str) -> DataFrame:
     return _resliced(moved).select(*[c for c in records.columns if c != dropped])
 
 
-def lowercase(records: DataFrame, seed: int, config: NoiseConfig = DEFAULT) -> DataFrame:
-    lower = F.when(_gate(config.p_lowercase, seed, "lowercase"), lower_in_place(F.col("text"))).otherwise(F.col("text"))
+def lowercase(records: DataFrame, seed: int, config: NoiseConfig = DEFAULT, only: str | None = None) -> DataFrame:
+    lower = F.when(_gate(config.p_lowercase, seed, "lowercase", only), lower_in_place(F.col("text"))).otherwise(F.col("text"))
     return _resliced(records.withColumn("text", lower))
 
 
-def drop_punctuation(records: DataFrame, seed: int, config: NoiseConfig = DEFAULT) -> DataFrame:
+def drop_punctuation(records: DataFrame, seed: int, config: NoiseConfig = DEFAULT, only: str | None = None) -> DataFrame:
     marked = records.withColumn("__guarded", _guarded(config))
     at = F.transform(F.split("text", ""), lambda c, i: F.when(F.instr(F.lit(PUNCTUATION), c) > 0, i))
     hit = F.filter(
@@ -80,12 +81,12 @@ def drop_punctuation(records: DataFrame, seed: int, config: NoiseConfig = DEFAUL
         & (uniform(seed, F.col("record_id"), "punct", i) < config.drop_punct_rate)
         & ~F.exists("__guarded", lambda g: (g["start"] <= i) & (i < g["end"])),
     )
-    gate = _gate(config.p_drop_punct, seed, "drop_punct") & (F.length("text") > 0)
+    gate = _gate(config.p_drop_punct, seed, "drop_punct", only) & (F.length("text") > 0)
     marked = marked.withColumn("__dropped", F.when(gate, hit).otherwise(F.array().cast("array<int>"))).drop("__guarded")
     return delete_and_reproject(barrier(marked), "__dropped")
 
 
-def typos(records: DataFrame, seed: int, config: NoiseConfig = DEFAULT) -> DataFrame:
+def typos(records: DataFrame, seed: int, config: NoiseConfig = DEFAULT, only: str | None = None) -> DataFrame:
     marked = records.withColumn("__guarded", _guarded(config))
     letters = F.lit("abcdefghijklmnopqrstuvwxyz")
 
@@ -94,11 +95,11 @@ def typos(records: DataFrame, seed: int, config: NoiseConfig = DEFAULT) -> DataF
         hit = c.rlike(r"\p{L}") & (uniform(seed, F.col("record_id"), "typo", i) < config.typo_rate) & free
         return F.when(hit, F.substring(letters, (F.pmod(hash32(seed, F.col("record_id"), "letter", i), F.lit(26)) + 1).cast("int"), F.lit(1))).otherwise(c)
 
-    text = F.when(_gate(config.p_typo, seed, "typo"), F.array_join(F.transform(F.split("text", ""), typed), "")).otherwise(F.col("text"))
+    text = F.when(_gate(config.p_typo, seed, "typo", only), F.array_join(F.transform(F.split("text", ""), typed), "")).otherwise(F.col("text"))
     return _resliced(marked.withColumn("text", text).drop("__guarded"))
 
 
-def truncate(records: DataFrame, seed: int, config: NoiseConfig = DEFAULT) -> DataFrame:
+def truncate(records: DataFrame, seed: int, config: NoiseConfig = DEFAULT, only: str | None = None) -> DataFrame:
     """Up to truncate_max_chars characters off the end, unless the cut is inside an entity or a protected range."""
     n = F.length("text")
     cut = (n - 1 - F.pmod(hash32(seed, F.col("record_id"), "cut"), F.lit(config.truncate_max_chars))).cast("int")
@@ -106,13 +107,13 @@ def truncate(records: DataFrame, seed: int, config: NoiseConfig = DEFAULT) -> Da
     held = F.exists("entities", lambda e: (e["start"] < F.col("__cut")) & (F.col("__cut") < e["end"])) | F.exists(
         F.coalesce("meta.preserve_spans", F.array().cast("array<struct<start:int,end:int>>")), lambda p: (p["start"] <= F.col("__cut")) & (F.col("__cut") < p["end"])
     )
-    gate = _gate(config.p_truncate, seed, "truncate") & (n > 10) & ~held
+    gate = _gate(config.p_truncate, seed, "truncate", only) & (n > 10) & ~held
     marked = marked.withColumn("__dropped", F.when(gate, F.sequence(F.col("__cut"), n - 1)).otherwise(F.array().cast("array<int>"))).drop("__cut")
     return delete_and_reproject(barrier(marked), "__dropped")
 
 
-def apply_noise(records: DataFrame, seed: int, config: NoiseConfig = DEFAULT) -> DataFrame:
-    """The four steps in their order."""
+def apply_noise(records: DataFrame, seed: int, config: NoiseConfig = DEFAULT, only: str | None = None) -> DataFrame:
+    """The four steps in their order; only: a boolean column that says which rows take part."""
     for step in (lowercase, drop_punctuation, typos, truncate):
-        records = barrier(step(records, seed, config))
+        records = barrier(step(records, seed, config, only))
     return records

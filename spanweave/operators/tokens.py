@@ -7,10 +7,13 @@ they are exploded, so the windows and joins below add no further exchange.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from spanweave.schema import IGNORED, LABELS
+from spanweave.schema import IGNORED, LABELS, MAX_TOKENS
 
 
 
@@ -27,6 +30,31 @@ def whitespace_tokens(records: DataFrame) -> DataFrame:
     return pieces.select("record_id", "tok_idx", start.alias("c0"), (start + F.length("token")).cast("int").alias("c1"), "token").filter("c1 > c0")
 
 
+def subword_tokens(records: DataFrame, tokenizer_file: str, max_tokens: int = MAX_TOKENS) -> DataFrame:
+    """Tokens of records(record_id, text) by a tokenizer file of the tokenizers library, which is sent to the workers.
+
+    As for training: a (0, 0) token at both ends, max_tokens in all.
+    """
+    spark = records.sparkSession
+    with open(tokenizer_file, encoding="utf-8") as f:
+        sent = spark.sparkContext.broadcast(f.read())
+
+    @F.arrow_udf("array<struct<tok_idx:int,c0:int,c1:int,token:string>>")
+    def split(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        from tokenizers import Tokenizer
+
+        tokenizer = Tokenizer.from_str(sent.value)
+        for batch in batches:
+            out = []
+            for e in tokenizer.encode_batch([t or "" for t in batch.to_pylist()], add_special_tokens=False):
+                own = list(zip(e.offsets, e.tokens, strict=True))[: max_tokens - 2]
+                rows = [((0, 0), ""), *own, ((0, 0), "")]
+                out.append([{"tok_idx": i, "c0": a, "c1": b, "token": t} for i, ((a, b), t) in enumerate(rows)])
+            yield pa.array(out, pa.list_(pa.struct([("tok_idx", pa.int32()), ("c0", pa.int32()), ("c1", pa.int32()), ("token", pa.string())])))
+
+    return records.select("record_id", F.explode(split("text")).alias("t")).select("record_id", "t.*")
+
+
 def label_id(prefix: str, kind: Column, polarity: Column) -> Column:
     """The id of prefix + type, with NEG_ before the type for negative polarity."""
     name = F.concat(F.lit(f"{prefix}-"), F.when(polarity == "NEG", "NEG_").otherwise(""), kind)

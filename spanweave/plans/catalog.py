@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from spanweave.functions.hashing import bucket
 from spanweave.functions.text import char_map, clean
 from spanweave.operators import coverage, evaluate, infer, noise, records, relocate, templates
+from spanweave.operators.assemble import assemble as build
 from spanweave.operators.clean import project_to_clean, project_to_original
 from spanweave.operators.tokens import bio_decode, bio_encode, gated_label
 from spanweave.plans import derive
@@ -239,11 +240,9 @@ def noise_truncate(spark, d):
 
 @query
 def assemble(spark, d):
-    """Generated, noised for six in ten, validated: what a training set is made of."""
-    made = derive.generated(spark, d)
-    gate = F.pmod(F.xxhash64("record_id"), F.lit(10)) < 6
-    whole = noise.apply_noise(made.filter(gate), SEED + 1).unionByName(made.filter(~gate))
-    sound, _ = records.split_valid(whole.filter(F.length("text") > 0))
+    """A training record for each order."""
+    ids = table(spark, d, "orders").select(F.col("o_orderkey").alias("record_id"))
+    sound, _ = build(ids, derive.templates(spark, d), derive.pools(spark, d), SEED)
     return sound.select("record_id", "text", F.to_json("entities").alias("entities"))
 
 

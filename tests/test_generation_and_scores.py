@@ -82,6 +82,17 @@ def test_noise_keeps_labels(made, config):
             assert kept == [e.text.lower() for e in old.entities][: len(kept)]
 
 
+def test_assembled_records_are_sound(spark):
+    from spanweave.operators.assemble import assemble
+
+    pools = pool_source.pool_table(pool_source.in_memory(spark, "entity_pools", [*ENTITIES, ("ORG", "Two  Spaces" + chr(0x200B), 5.0)]), pool_source.in_memory(spark, "decoy_pools", DECOYS))
+    sound, broken = assemble(spark.range(300).withColumnRenamed("id", "record_id"), pool_source.in_memory(spark, "templates", FORMS), pools, 3, config=ALWAYS)
+    assert (sound.count(), broken.count()) == (300, 0)
+    rows = sound.collect()
+    assert {e.text for r in rows for e in r.entities if e.type == "ORG"} >= {"Two Spaces"} and any(r.text == r.text.lower() for r in rows)
+    assert all(r.text == " ".join(r.text.split()) for r in rows)
+
+
 def test_punctuation_between_neighbours(spark):
     text = "ship A, B, C done"
     row = (1, text, [("COMMODITY", text[i], i, i + 1, "POS") for i in (5, 8, 11)], (None, [], []))

@@ -9,7 +9,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from spanweave.functions.text import ZERO_WIDTH, CleanConfig, char_map, clean
-from spanweave.operators.clean import clean_records, project_to_clean, project_to_original
+from spanweave.operators.clean import clean_records, project_to_clean, project_to_original, with_char_map
 from spanweave.operators.records import (
     duplicate_keys,
     from_json,
@@ -22,7 +22,7 @@ from spanweave.operators.records import (
     to_json,
     validate,
 )
-from spanweave.operators.tokens import bio_decode, bio_encode, gated_label, softmax, whitespace_tokens
+from spanweave.operators.tokens import bio_decode, bio_encode, gated_label, softmax, subword_tokens, whitespace_tokens
 from spanweave.schema import LABELS, RECORD, label_dim
 
 WHITE = {0x20, 9, 10, 13, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000}
@@ -93,6 +93,23 @@ def test_projection_both_ways(spark):
     assert text[20:36] == "Acme Trading Co." and places[0] == 2
 
 
+def test_map_through_composition(spark):
+    text = "a  e" + chr(0x301) + "e" + chr(0x301) + chr(0x323) + "x"
+    got = with_char_map(spark.createDataFrame([(text,), ("",)], "text string"), CleanConfig(nfc_normalize=True)).collect()
+    want = unicodedata.normalize("NFC", "a " + text[3:])
+    assert got[0].clean_text == want and got[0].char_map == [0, 1, 3] + [5] * (len(want) - 4) + [8] and got[1].char_map == []
+
+
+def test_subword_tokens(spark):
+    import public_tokenizers
+
+    text = "Ada " + chr(0x1F600) + " ships wool"
+    rows = sorted(subword_tokens(spark.createDataFrame([(1, text), (2, None)], "record_id bigint, text string"), public_tokenizers.path("byte_bpe_50k.json"), 6).collect())
+    mine = [r for r in rows if r.record_id == 1]
+    assert len(mine) == 6 and (mine[0].c0, mine[0].c1, mine[-1].c0, mine[-1].c1) == (0, 0, 0, 0) and text[mine[1].c0 : mine[1].c1] == "Ad"
+    assert len(rows) == 8
+
+
 def plain_encode(tokens, spans):
     labels = [-100 if (a, b) == (0, 0) else 0 for a, b in tokens]
     for s, e, t, p in sorted(spans):
