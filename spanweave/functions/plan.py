@@ -6,6 +6,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
+def spread(df: DataFrame, *keys: str) -> DataFrame:
+    """df dealt by keys where its files give fewer tasks than there are cores; large inputs stay as they are.
+
+    A Parquet row group is one task at most, so a small table in one file would keep one core busy.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores, *keys) if df.rdd.getNumPartitions() < cores else df
+
+
 def barrier(df: DataFrame) -> DataFrame:
     """The same rows behind a generator of one row each.
 

@@ -4,8 +4,11 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # The characters that cleaning removes or turns into a space.
 ZERO_WIDTH = "".join(map(chr, (0x200B, 0x200C, 0x200D, 0x2060, 0xFEFF, 0xAD)))
@@ -42,33 +45,45 @@ def clean(text: Column, config: CleanConfig = DEFAULT) -> Column:
         text = F.regexp_replace(text, f"[{spaces}]+", " ")
     elif config.normalize_whitespace:
         text = F.regexp_replace(text, f"[{MAPPED_SPACES}]", " ")
-    if config.trim:
+    if config.trim and config.collapse_whitespace:
+        text = F.trim(text)
+    elif config.trim:
         text = F.regexp_replace(text, f"^[{spaces}]+|[{spaces}]+$", "")
     return text
 
 
-def _kind(code: Column) -> Column:
-    """0 for characters that go, 1 for white space, 2 for the rest, by code point."""
-    white = (code.isin(0x20, 0x09, 0x0A, 0x0D, 0x85, 0xA0, 0x1680, 0x2028, 0x2029, 0x202F, 0x205F, 0x3000)) | code.between(0x2000, 0x200A)
-    gone = (code < 0x20) | code.isin(0x7F, *map(ord, ZERO_WIDTH))
-    return F.when(white, 1).when(gone, 0).otherwise(2)
+def has_text(text: Column) -> Column:
+    """Whether cleaning with the default switches leaves anything; stops at the first such character."""
+    return text.rlike(f"[^{ZERO_WIDTH}" + r"\x00-\x20\x7f" + f"{SPACES}]")
 
 
-def char_map(text: Column) -> Column:
+_WHITE = np.array([0x20, 0x09, 0x0A, 0x0D, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000], np.uint32)
+_GONE = np.array([*(c for c in range(0x20) if c not in (0x09, 0x0A, 0x0D)), 0x7F, *map(ord, ZERO_WIDTH)], np.uint32)
+
+
+def places(text: str) -> np.ndarray:
     """For each position of the cleaned text (default switches) the position it comes from.
 
     A run of white space, also one broken by characters that go, keeps its first character.
     """
-    # the position and the kind of each surviving character in one number
-    placed = F.transform(F.split(text, ""), lambda c, i: i * 4 + _kind(F.ascii(c)))
-    alive = F.filter(placed, lambda x: x % 4 > 0)
-    before = F.slice(F.concat(F.array(F.lit(1)), alive), 1, F.size(alive))
-    marked = F.zip_with(alive, before, lambda x, b: F.when((x % 4 == 1) & (b % 4 == 1), -1).otherwise(x))
-    kept = F.filter(marked, lambda x: x >= 0)
-    size = F.size(kept)
-    last_white = F.coalesce(F.try_element_at(kept, F.lit(-1)) % 4 == 1, F.lit(False))
-    trimmed = F.when(last_white, F.slice(kept, 1, size - 1)).otherwise(kept)
-    return F.when(F.length(text) == 0, F.array().cast("array<int>")).otherwise(F.transform(trimmed, lambda x: F.floor(x / 4).cast("int")))
+    codes = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
+    alive = np.flatnonzero(~np.isin(codes, _GONE))
+    white = np.isin(codes[alive], _WHITE)
+    kept = ~(white & np.r_[True, white[:-1]]) if len(alive) else white
+    alive, white = alive[kept], white[kept]
+    return alive[:-1] if len(alive) and white[-1] else alive
+
+
+@F.arrow_udf(T.ArrayType(T.IntegerType()))
+def _char_map(texts: pa.Array) -> pa.Array:
+    made = [places(t or "") for t in texts.to_pylist()]
+    ends = np.cumsum([0, *map(len, made)])
+    return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate(made).astype(np.int32) if made else np.zeros(0, np.int32)))
+
+
+def char_map(text: Column) -> Column:
+    """places() as a column. In Arrow batches: arrays of a text's length are slow in interpreted SQL lambdas."""
+    return _char_map(text)
 
 
 def lower_in_place(text: Column) -> Column:

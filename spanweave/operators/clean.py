@@ -12,13 +12,15 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from spanweave.functions.plan import barrier
-from spanweave.functions.text import DEFAULT, CleanConfig, char_map, clean, span_text
+from spanweave.functions.text import DEFAULT, CleanConfig, char_map, clean, has_text, span_text
 from spanweave.schema import RANGE
 
 
 def clean_records(records: DataFrame, config: CleanConfig = DEFAULT) -> DataFrame:
     """records(text) with cleaned text; rows that become empty go."""
     source = nfc("text") if config.nfc_normalize else F.col("text")
+    if config == DEFAULT:
+        return records.filter(has_text(F.col("text"))).withColumn("text", clean(source))
     return records.withColumn("text", clean(source, config)).filter(F.length("text") > 0)
 
 
@@ -59,7 +61,7 @@ def clean_and_project(records: DataFrame) -> DataFrame:
     """
     none = F.array().cast(_SPAN_TYPE)
     spans = F.transform("entities", lambda e: F.struct(e["start"].alias("start"), e["end"].alias("end")))
-    mapped = records.filter(F.length(clean(F.col("text"))) > 0).withColumn("__map", char_map(F.col("text")))
+    mapped = records.filter(has_text(F.col("text"))).withColumn("__map", char_map(F.col("text")))
     moved = mapped.withColumn("__spans", project_to_clean("__map", F.length("text"), spans)).withColumn(
         "__cues", project_to_clean("__map", F.length("text"), F.coalesce("meta.preserve_spans", none))
     )

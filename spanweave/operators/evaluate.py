@@ -115,8 +115,7 @@ def curve(best: DataFrame, gold: DataFrame, candidates: DataFrame, name: str, **
     gated = best.join(F.broadcast(candidates))
     low = (F.col("label_id") > 0) & (F.col("prob").cast("float") < F.get("limits", F.col("label_id")))
     labels = gated.withColumn("label_id", F.when(low, 0).otherwise(F.col("label_id")))
-    keyed = labels.withColumn("record_id", F.struct("cand", "record_id")).select("record_id", "tok_idx", "c0", "c1", "label_id", "breaks")
-    spans = bio_decode(keyed, breaks="breaks").withColumn("cand", F.col("record_id.cand")).withColumn("record_id", F.col("record_id.record_id"))
+    spans = bio_decode(labels, breaks="breaks", keys=("record_id", "cand"))
     counts = count_matches(spans, gold, "cand", values=candidates)
     rows = _scores(counts).groupBy("cand").agg(
         *(F.sum(c).alias(c) for c in ("tp", "fp", "fn")),

@@ -93,8 +93,11 @@ def _choose(slots: Column) -> Column:
 def slot_fill(drawn: DataFrame, pools: DataFrame, seed: int, distinct: bool = True) -> DataFrame:
     """Records of drawn(record_id, template): text, entities, and the protected ranges in meta."""
     attempts = ATTEMPTS if distinct else 1
-    slots = drawn.join(template_slots(drawn.select("template").distinct()), "template")
-    tries = slots.withColumn("attempt", F.explode(F.sequence(F.lit(0), F.when(F.col("entity_type").isNull(), 0).otherwise(attempts - 1))))
+    kinds = template_slots(drawn.select("template").distinct())
+    nth = F.row_number().over(Window.partitionBy("template", "entity_type").orderBy("slot_idx"))
+    more = F.when(F.col("entity_type").isNull() | (F.col("nth") == 1), 0).otherwise(attempts - 1)  # the first of a type cannot collide
+    slots = drawn.join(kinds.withColumn("nth", nth), "template")
+    tries = slots.withColumn("attempt", F.explode(F.sequence(F.lit(0), more)))
     draws = tries.withColumn("u", uniform(seed, F.col("record_id"), F.col("slot_idx"), F.col("attempt")))
     valued = weighted_draw(draws, pools).groupBy("record_id", "template", "slot_idx").agg(
         *(F.first(c).alias(c) for c in ("before", "pool", "entity_type", "polarity", "sub")),

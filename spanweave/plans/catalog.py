@@ -9,10 +9,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from spanweave.functions.hashing import bucket
-from spanweave.functions.text import char_map, clean
+from spanweave.functions.text import char_map, clean, has_text
 from spanweave.operators import coverage, evaluate, infer, noise, records, relocate, templates
 from spanweave.operators.assemble import assemble as build
-from spanweave.operators.clean import project_to_clean, project_to_original
+from spanweave.operators.clean import clean_records, project_to_clean, project_to_original
 from spanweave.operators.tokens import bio_decode, bio_encode, gated_label
 from spanweave.plans import derive
 from spanweave.plans.derive import SEED, table
@@ -55,14 +55,14 @@ def table_counts(spark, d):
 
 @query
 def clean_text(spark, d):
-    return derive.records(spark, d).filter(F.length("text") > 0).select("record_id", "text", F.length("raw").cast("bigint").alias("original_length"))
+    return derive.records(spark, d).filter(has_text(F.col("raw"))).select("record_id", "text", F.length("raw").cast("bigint").alias("original_length"))
 
 
 @query
 def truncate_input(spark, d):
     """The serving limit is the feature here: the first MAX_CHARS characters, then cleaned."""
-    cut = table(spark, d, "documents").select(F.col("doc_id").alias("record_id"), clean(F.substring(F.coalesce("text", F.lit(" ")), 1, MAX_CHARS)).alias("text"))
-    return cut.filter(F.length("text") > 0)
+    cut = table(spark, d, "documents").select(F.col("doc_id").alias("record_id"), F.substring(F.coalesce("text", F.lit(" ")), 1, MAX_CHARS).alias("text"))
+    return clean_records(cut)
 
 
 @query

@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from spanweave.functions.hashing import bucket, uniform
+from spanweave.functions.plan import spread
 from spanweave.functions.text import clean
 from spanweave.operators.templates import generate
 from spanweave.operators.tokens import bio_encode, whitespace_tokens
@@ -45,7 +46,8 @@ def records(spark: SparkSession, sf_dir: str) -> DataFrame:
     b = bucket(10, "split", F.col("doc_id"))
     raw = F.coalesce("text", F.lit(""))
     split = F.when(b < 5, "dev").when(b < 9, "test").otherwise("edge_case")
-    return table(spark, sf_dir, "documents").select(F.col("doc_id").alias("record_id"), raw.alias("raw"), clean(raw).alias("text"), "source", "lang", split.alias("split"))
+    docs = spread(table(spark, sf_dir, "documents").select("doc_id", "text", "source", "lang"), "doc_id")
+    return docs.select(F.col("doc_id").alias("record_id"), raw.alias("raw"), clean(raw).alias("text"), "source", "lang", split.alias("split"))
 
 
 def tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
