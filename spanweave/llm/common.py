@@ -91,8 +91,9 @@ def join_hot(left: DataFrame, right: DataFrame, key: str, weights: DataFrame, sh
     share, so their right rows are broadcast with a proven bound; the rest are shuffled. Null keys
     match nothing.
     """
-    total = weights.agg(F.sum("n")).first()[0] or 0
-    hot = [r[0] for r in weights.filter((F.col("n") * share > total) & F.col(key).isNotNull()).select(key).toLocalIterator()]
+    total = F.broadcast(weights.agg(F.sum("n").alias("total")))  # one row
+    over = weights.join(total, F.col("n") * share > F.col("total")).filter(F.col(key).isNotNull())
+    hot = [r[0] for r in over.select(key).collect()]  # fewer than share
     if not hot:
         return left.join(right, key, "left")
     is_hot = F.coalesce(F.col(key).isin(hot), F.lit(False))
