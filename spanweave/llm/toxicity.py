@@ -58,8 +58,8 @@ def _sampled(docs: DataFrame, labels: DataFrame, learn: Column) -> tuple[DataFra
     told = labels.select("doc_id", "toxic").filter(learn & F.col("doc_id").isNotNull() & F.col("toxic").isNotNull())
     prior = told.agg(F.avg((F.col("toxic") == 1).cast("double"))).first()[0] or 0.0
     order = [F.xxhash64("doc_id"), "doc_id"]
-    sure = told.filter("toxic = 1").select("doc_id").distinct().orderBy(*order).limit(POSITIVES)
-    rest = docs.select("doc_id").filter(learn & F.col("doc_id").isNotNull()).distinct().orderBy(*order).limit(UNLABELLED)
+    sure = told.filter("toxic = 1").select("doc_id").orderBy(*order).limit(POSITIVES).distinct()
+    rest = docs.select("doc_id").filter(learn & F.col("doc_id").isNotNull()).orderBy(*order).limit(UNLABELLED).distinct()
     drawn = sure.withColumn("positive", F.lit(True)).unionByName(rest.withColumn("positive", F.lit(False)))
     return docs.select("doc_id", "text").join(F.broadcast(drawn), "doc_id").select("text", "positive"), prior
 
@@ -82,7 +82,7 @@ def train(docs: DataFrame, labels: DataFrame, learn: Column) -> dict:
     first: dict[tuple, int] = {}
     for k, (p, words) in enumerate(zip(sample.column("positive").to_pylist(), sample.column("words"), strict=True)):
         first.setdefault((p, words.as_py()[: 4 * SIGNATURE]), k)
-    sample = sample.take(list(first.values()))
+    sample = sample.take(pa.array(list(first.values()), pa.int64()))
     positive = np.array(sample.column("positive").to_pylist(), bool)
     model = {"prior": prior, "views": {}}
     if positive.any() and (~positive).any() and 0 < prior < 1:
