@@ -5,7 +5,9 @@ equal pseudonyms in all documents, and nothing but the key is needed: e-mail add
 letters, digits digits, the last label stays), IBANs (mod 97; country and length stay), card numbers
 (Luhn and issuer digit), US social security numbers, telephone numbers (country code stays), IPv4
 addresses and calendar dates (a day from 1900 to 2099 becomes another). Separators stay as they are.
-Numbers that do not validate are left alone, as is all other text.
+A candidate that does not validate is tried with shorter ends (an IBAN first with the length of its
+country), then from later starts within it, so that neighbours do not hide a value; what validates in
+no way is left alone, as is all other text.
 
 The permutation of 0..n-1 is a ten-round balanced Feistel network over enough bits, with keyed BLAKE2b as
 round function, walked until the value is below n again (cycle walking).
@@ -165,6 +167,18 @@ def _date(m: str, key: bytes) -> str | None:
     return None
 
 
+#: Lengths of IBANs by country; other countries are tried from the longest candidate down.
+IBAN_LENGTHS = {
+    code: n
+    for n, codes in {
+        15: "NO", 16: "BE", 18: "DK FI FK FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK", 21: "CH HR LI LV", 22: "BG BH CR DE GB GE IE ME RS VA",
+        23: "AE GI IL IQ OM SO TL", 24: "AD CZ DZ ES MD PK RO SA SE SK TN VG", 25: "LY PT ST", 26: "IS TR", 27: "BI DJ FR GR IT MC MR SM", 28: "AL AZ BY CY DO GT HN HU LB NI PL SV",
+        29: "BR EG PS QA UA", 30: "JO KW MU YE", 31: "MT SC", 32: "LC", 33: "RU",
+    }.items()
+    for code in codes.split()
+}
+
+
 #: Fixed formats, in the order of KINDS.
 FORMATS = (
     (re.compile(r"(?<![\w.+-])[A-Za-z0-9][A-Za-z0-9._%+-]*@(?:[A-Za-z0-9-]+\.)+[A-Za-z]{2,}"), _email),
@@ -173,9 +187,25 @@ FORMATS = (
     (re.compile(r"(?<![\w-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![\w-])"), _ssn),
     (re.compile(r"(?<![\w+])(?:\+[0-9]{1,3}[ .-]?)?(?:\([0-9]{2,4}\)[ .-]?|[0-9]{3}[ .-])[0-9]{3}[ .-][0-9]{4}(?!\w)|(?<![\w+])\+[0-9]{1,3}(?:[ .-]?[0-9]{2,4}){2,5}(?!\w)"), _phone),
     (re.compile(r"(?<![\w.])[0-9]{1,3}(?:\.[0-9]{1,3}){3}(?![\w]|\.[0-9])"), _ip),
-    (re.compile(r"(?<![\w/.-])(?:[0-9]{4}-[0-9]{1,2}-[0-9]{1,2}|[0-9]{4}/[0-9]{1,2}/[0-9]{1,2}|[0-9]{1,2}([/.-])[0-9]{1,2}\1[0-9]{4})(?![\w/-]|\.[0-9])"), _date),
+    (re.compile(r"(?<![\w/.-])(?:[0-9]{4}-[0-9]{1,2}-[0-9]{1,2}|[0-9]{4}/[0-9]{1,2}/[0-9]{1,2}|[0-9]{1,2}([/.-])[0-9]{1,2}\1[0-9]{4})(?!(?![Tt][0-9])[\w/-]|\.[0-9])"), _date),
 )
 _ANY = re.compile("[0-9@]")
+#: Kinds with ends to choose from, and the least length of a value.
+_LEAST = {"iban": 15, "card": 13, "phone": 8}
+_WORD = re.compile(r"\w")
+
+
+def _ends(kind: str, m: re.Match) -> Iterator[int]:
+    """Where a value that starts as the candidate does may end, in the order of trial."""
+    text, s, e = m.string, m.start(), m.end()
+    if kind not in _LEAST:
+        yield e
+        return
+    ends = [e, *(k for k in range(e - 1, s + _LEAST[kind] - 1, -1) if not _WORD.match(text, k) and m.re.fullmatch(text, s, k))]
+    if kind == "iban":
+        n = IBAN_LENGTHS.get(text[s : s + 2])
+        ends.sort(key=lambda k: len(text[s:k].replace(" ", "")) != n)
+    yield from ends
 
 
 def pseudonymise(text: str, key: bytes) -> tuple[str, list[tuple[str, int, int]]]:
@@ -184,10 +214,15 @@ def pseudonymise(text: str, key: bytes) -> tuple[str, list[tuple[str, int, int]]
         return text, []
     taken: list[tuple[int, int, str, str]] = []
     for kind, (find, new) in zip(KINDS, FORMATS, strict=True):
-        for m in find.finditer(text):
-            k = bisect.bisect(taken, (m.end(),))
-            if (k == 0 or taken[k - 1][1] <= m.start()) and (made := new(m.group(), key)) is not None:
-                taken.insert(k, (m.start(), m.end(), made, kind))
+        at = 0
+        while m := find.search(text, at):
+            s, at = m.start(), m.start() + 1
+            for e in _ends(kind, m):
+                k = bisect.bisect(taken, (e,))
+                if (k == 0 or taken[k - 1][1] <= s) and (made := new(text[s:e], key)) is not None:
+                    taken.insert(k, (s, e, made, kind))
+                    at = e
+                    break
     out, at = [], 0
     for s, e, made, _ in taken:
         out += [text[at:s], made]

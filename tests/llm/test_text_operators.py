@@ -88,6 +88,31 @@ def test_invalid_values_stay(text):
     assert pii.pseudonymise(text, KEY) == (text, [])
 
 
+@pytest.mark.parametrize(
+    ("text", "value", "kind"),
+    [
+        *((f"{before}4111 1111 1111 1111{after}", "4111 1111 1111 1111", "card") for before, after in (("", " 123"), ("", " 12/27"), ("1234 5678 ", ""), ("7 ", " 99 "))),
+        ("2 4111111111111111", "4111111111111111", "card"),
+        ("ES91 2100 0418 4502 0005 1332 BIC", "ES91 2100 0418 4502 0005 1332", "iban"),
+        ("BE68 5390 0754 7034 12 days", "BE68 5390 0754 7034", "iban"),
+        ("AT61 1904 3002 3457 3201 I pay", "AT61 1904 3002 3457 3201", "iban"),
+        ("AB12 ES91 2100 0418 4502 0005 1332 BICX", "ES91 2100 0418 4502 0005 1332", "iban"),
+        ("2024-05-06T12:00:00Z", "2024-05-06", "date"),
+        ("+44 20 7946 0958 1234 5678 9", "+44 20 7946 0958 1234", "phone"),
+    ],
+)
+def test_values_with_neighbours(text, value, kind):
+    at = text.index(value)
+    new, found = pii.pseudonymise(text, KEY)
+    assert (kind, at, at + len(value)) in found
+    assert new[at : at + len(value)] == pii.pseudonymise(value, KEY)[0] != value
+    assert kind == "phone" or (new[:at], new[at + len(value) :]) == (text[:at], text[at + len(value) :])
+
+
+def test_two_cards_side_by_side():
+    assert [f[0] for f in pii.pseudonymise("4111 1111 1111 1111 5500 0000 0000 0004", KEY)[1]] == ["card", "card"]
+
+
 @given(st.integers(1, 3000))
 @settings(max_examples=25, deadline=None)
 def test_permute_is_a_permutation(n):
