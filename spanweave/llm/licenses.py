@@ -1,10 +1,12 @@
 """License scans: fixed phrases and an exact containment join of text blocks with templates.
 
-A block is a line of a text. A template is in a block if at least THRESHOLD of its distinct words
+A block is a line of a text, or, as templates are often wrapped, as many consecutive words of the
+whole text as the template has. A template is in a block if at least THRESHOLD of its distinct words
 are. Template words are ordered by how many documents hold them, counted over the whole corpus: of a
 template that needs a of its n words, one of the n - a + 1 rarest must be in the block (prefix
 filter), the block must have a known words (length filter), and the words from the first common one
-onward must suffice (positional filter). What passes is counted exactly. The templates are a short
+onward must suffice (positional filter). What passes is counted exactly. Windows of words slide only
+over texts that hold one of a template's rarest words and enough of its words in all. The templates are a short
 fixed list, so they are broadcast; documents are never shuffled.
 
 Defined cases: null text is empty and has no words; null and repeated doc_id stay rows of their own;
@@ -14,6 +16,7 @@ extra columns are ignored; equal labels are given once.
 from __future__ import annotations
 
 import math
+from collections import deque
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -71,8 +74,10 @@ class Templates:
     def __init__(self, templates: tuple[tuple[str, str], ...], often: dict[bytes, int], threshold: float) -> None:
         self.rank = {w: k for k, w in enumerate(sorted(often, key=lambda w: (often[w], w)))}
         self.sets: list[tuple[str, list[bytes], int]] = []
+        self.lengths: list[int] = []
         self.prefix: dict[bytes, list[tuple[int, int]]] = {}
         for label, text in templates:
+            self.lengths.append(len(words_of(text.encode())))
             words = sorted(set(words_of(text.encode())), key=self.rank.__getitem__)
             need = max(1, math.ceil(threshold * len(words) - 1e-9))
             for i, w in enumerate(words[: len(words) - need + 1]):
@@ -94,6 +99,31 @@ class Templates:
                     if common >= need:
                         yield label, common / len(words)
 
+    def match_windows(self, text: list[bytes]) -> Iterator[tuple[str, float]]:
+        """(label, largest containment) of every template that a window of its length over the words of a text holds."""
+        held = set(text)
+        for t in sorted({t for w in self.prefix.keys() & held for t, _ in self.prefix[w]}):
+            label, words, need = self.sets[t]
+            own = held.intersection(words)
+            if len(own) < need:
+                continue
+            inside: dict[bytes, int] = {}
+            places: deque[tuple[int, bytes]] = deque()
+            best = 0
+            for i, w in enumerate(text):
+                if w not in own:
+                    continue
+                places.append((i, w))
+                inside[w] = inside.get(w, 0) + 1
+                while places[0][0] <= i - self.lengths[t]:
+                    _, gone = places.popleft()
+                    inside[gone] -= 1
+                    if not inside[gone]:
+                        del inside[gone]
+                best = max(best, len(inside))
+            if best >= need:
+                yield label, best / len(words)
+
 
 def scan(docs: DataFrame, templates: tuple[tuple[str, str], ...] = TEMPLATES, threshold: float = THRESHOLD):
     """A column function text -> struct of word count, phrase places, labels and score."""
@@ -130,6 +160,9 @@ def scan(docs: DataFrame, templates: tuple[tuple[str, str], ...] = TEMPLATES, th
                             for label, share in index.match(block):
                                 labels.add(label)
                                 best = max(best, share)
+                    for label, share in index.match_windows(words):
+                        labels.add(label)
+                        best = max(best, share)
                 out.append((len(words), len(places), min(places, default=None), max(places, default=None), ",".join(sorted(base)), ",".join(sorted(labels)), best))
             yield pa.StructArray.from_arrays([pa.array(c, t.type) for c, t in zip(zip(*out, strict=True), kind, strict=True)] if out else [pa.array([], t.type) for t in kind], fields=list(kind))
         release()

@@ -211,6 +211,33 @@ def test_licenses_match_brute_force(spark):
     assert told[2] == "mit" and told[4] == "apache-2.0" and told[6] == "mit" and told[3] == ""
 
 
+WRAPPED = [
+    (1, "bsd", " * Redistribution and use in source and binary forms, with or without\n * modification, are permitted provided that the following conditions\n * are met:\n * 1."),
+    (2, "mit", "Permission is hereby granted, free of charge, to any person obtaining a copy\nof this software and associated documentation files (the Software), to deal"),
+    (3, "apache-2.0", "# you may not use this file except in compliance with the License.\n# You may obtain a copy of the License at\n#\n#   http"),
+    (4, "gpl", "This program is free software: you can redistribute it and/or modify\nit under the terms of the GNU General Public License as\npublished by"),
+    (5, "isc", "Permission to use, copy, modify, and/or distribute this software for any\npurpose with or without fee is hereby granted, provided"),
+    (6, "mpl", "This Source Code Form is subject to the terms of the Mozilla Public\r\nLicense, v. 2.0. If a copy"),
+    (7, "", "Redistribution and use in source\nand binary forms " + "is another matter of some length " * 9 + "with or without\nmodification, are permitted provided that the following conditions are met"),
+]
+
+
+def test_wrapped_templates_match_brute_force(spark):
+    rows = [*ODD, *LICENSED, *((100 + i, t) for i, _, t in WRAPPED)]
+    got = {r.doc_id: r for r in odd_docs(spark, rows[len(ODD) :]).select("doc_id", licenses.scan(odd_docs(spark, rows))("text").alias("r")).collect()}
+    words = lambda t: re.findall(r"[a-z0-9]+", t.lower())
+    for i, text in rows[len(ODD) :]:
+        labels, w = set(got[i].r.base_labels.split(",")) - {""}, words(text)
+        for label, t in licenses.TEMPLATES:
+            need, n = set(words(t)), len(words(t))
+            blocks = [words(line) for line in text.split("\n")] + [w[k : k + n] for k in range(len(w))]
+            if any(len(need & set(b)) / len(need) >= licenses.THRESHOLD - 1e-9 for b in blocks):
+                labels.add(label)
+        assert got[i].r.labels == ",".join(sorted(labels))
+    assert all(label in got[100 + i].r.labels.split(",") for i, label, _ in WRAPPED)
+    assert got[107].r.labels == "" and got[101].r.score == 1.0
+
+
 PAGE = """<!DOCTYPE html><html><head><title>t</title><script>var a="</p>";</script><style>p{}</style></head><body>
 <header><a href=/>Site name</a></header><nav><ul><li><a href=/a>one</a></li><li><a href=/b>two</a></li></ul></nav>
 <div class="cookie-notice">We use cookies, accept them now.</div>
