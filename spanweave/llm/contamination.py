@@ -5,7 +5,8 @@ row, partitioned by document: nothing is shuffled, a lost executor costs one tas
 benchmark windows in bounded blocks to all shards; in a shard, the positions of each window's rarest
 word, moved back by its offset, are intersected with the lists of the other words from rare to
 frequent. With slop = 0 a match is an exact phrase, with slop > 0 each word may stand up to slop
-places from its offset (proximity).
+places from its offset, with at least one word at its offset (proximity); which one does not matter,
+so matches do not depend on the words that are rare in a shard.
 
 Defined cases: null text has no words; an item without words or with a null item_id takes no part;
 an item shorter than the window is one window; rows with equal or null doc_id stay rows of their
@@ -140,8 +141,8 @@ def blocks(benchmark: DataFrame, window: int = WINDOW) -> Iterator[dict]:
         yield block.close()
 
 
-def _intersect(block: dict, terms: list[bytes], starts: np.ndarray, at: np.ndarray, slop: int) -> tuple[np.ndarray, np.ndarray]:
-    """Windows and start positions of their matches."""
+def _intersect(block: dict, terms: list[bytes], starts: np.ndarray, at: np.ndarray, slop: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Windows, start positions of their matches, and a position that is within the document of the match."""
     number = dict(zip(terms, range(len(terms)), strict=True))
     local = np.fromiter((number.get(w, -1) for w in block["words"]), np.int64, len(block["words"]))
     table = block["table"]
@@ -150,7 +151,7 @@ def _intersect(block: dict, terms: list[bytes], starts: np.ndarray, at: np.ndarr
     whole = np.flatnonzero(((term >= 0) | ~used).all(1))
     none = np.zeros(0, np.int64)
     if not len(whole):
-        return none, none
+        return none, none, none
     term, used = term[whole], used[whole]
     lists = np.where(used, (starts[1:] - starts[:-1])[term], np.iinfo(np.int64).max)
     rank = np.argsort(lists, axis=1, kind="stable")
@@ -159,22 +160,32 @@ def _intersect(block: dict, terms: list[bytes], starts: np.ndarray, at: np.ndarr
     row = np.arange(len(whole))
     first = term[row, rank[:, 0]]
     n = starts[first + 1] - starts[first]
-    win = np.repeat(row, n)
-    pos = at[np.repeat(starts[first], n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)] - rank[win, 0]
-    ok = pos >= 0
-    win, pos = win[ok], pos[ok]
-    for j in range(1, table.shape[1]):
-        if not len(win):
-            break
-        off = rank[win, j]
-        there = used[win, off]
-        want = term[win, off] * span + pos + off
-        lower = np.maximum(want - slop, term[win, off] * span)
-        k = np.searchsorted(keys, lower)
-        hit = (k < len(keys)) & (keys[np.minimum(k, len(keys) - 1)] <= want + slop)
-        keep = hit | ~there
-        win, pos = win[keep], pos[keep]
-    return whole[win], pos
+    every = np.repeat(row, n)
+    held = at[np.repeat(starts[first], n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)]
+    found = []
+    for moved in range(-slop, slop + 1):
+        win, anchor, pos = every, held, held - rank[every, 0] + moved
+        if not slop:
+            win, anchor, pos = (x[pos >= 0] for x in (win, anchor, pos))
+        placed = np.full(len(win), moved == 0)
+        for j in range(1, table.shape[1]):
+            if not len(win):
+                break
+            off = rank[win, j]
+            there = used[win, off]
+            want = term[win, off] * span + pos + off
+            lower = np.maximum(want - slop, term[win, off] * span)
+            k = np.searchsorted(keys, lower)
+            hit = (k < len(keys)) & (keys[np.minimum(k, len(keys) - 1)] <= want + slop)
+            keep = hit | ~there
+            if moved:
+                k = np.minimum(np.searchsorted(keys, want[keep]), len(keys) - 1)
+                placed = placed[keep] | there[keep] & (keys[k] == want[keep])
+            else:
+                placed = placed[keep]
+            win, anchor, pos = win[keep], anchor[keep], pos[keep]
+        found.append((whole[win[placed]], pos[placed], anchor[placed]))
+    return tuple(np.concatenate(x) for x in zip(*found, strict=True))
 
 
 def _hits(block: dict, shard: tuple, slop: int) -> dict[int, list]:
@@ -190,7 +201,7 @@ def _hits(block: dict, shard: tuple, slop: int) -> dict[int, list]:
         """The last document that begins at or before each position; empty ones hold none."""
         return np.searchsorted(begins, pos, "right") - 1
 
-    win, pos = _intersect(block, terms, starts, at, 0)
+    win, pos, _ = _intersect(block, terms, starts, at, 0)
     if len(win):
         order = np.argsort(pos, kind="stable")
         win, pos = win[order], pos[order]
@@ -203,8 +214,8 @@ def _hits(block: dict, shard: tuple, slop: int) -> dict[int, list]:
                 runs.append([s, e])
             items.update(block["items"][w])
     if slop:
-        win, pos = _intersect(block, terms, starts, at, slop)
-        for w, d in set(zip(win.tolist(), docs(pos).tolist(), strict=True)):
+        win, _, within = _intersect(block, terms, starts, at, slop)
+        for w, d in set(zip(win.tolist(), docs(within).tolist(), strict=True)):
             found.setdefault(d, [[], set(), set()])[2].update(block["items"][w])
     return found
 

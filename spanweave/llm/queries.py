@@ -114,6 +114,19 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_proximity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Items near which a document comes, exact ones among them; the columns of op10_decontamination are those of its SQL twin."""
+    index = contamination.build_index(table(spark, sf_dir, "documents"))
+    found = contamination.search(index, table(spark, sf_dir, "benchmark"), slop=2)
+    return found.select(
+        "doc_id",
+        "n_words",
+        F.size("near_items").cast("bigint").alias("n_near"),
+        F.size(F.array_except("near_items", "items")).cast("bigint").alias("n_near_only"),
+        "near_items",
+    )
+
+
 SQL_WORDS = "regexp_extract_all(translate({0}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
 
 OP10_SQL = f"""
@@ -136,7 +149,7 @@ FROM d LEFT JOIN c USING (row_no) LEFT JOIN m USING (row_no)
 
 def queries() -> dict:
     named = (
-        op1_toxicity, op2_simhash, op3_pii, op4_bpe, op5_topk, op6_language, op7_secrets, op8_licenses, op9_extraction, op10_decontamination,
+        op1_toxicity, op2_simhash, op3_pii, op4_bpe, op5_topk, op6_language, op7_secrets, op8_licenses, op9_extraction, op10_decontamination, op10_proximity,
     )
     return {f.__name__: f for f in named} | {"pipeline": corpus_pipeline.run}
 

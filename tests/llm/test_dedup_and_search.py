@@ -7,7 +7,7 @@ import xxhash
 from pyspark.sql import functions as F
 from tests.llm.docs import ODD, odd_docs
 
-from spanweave.llm import contamination, simhash, topk
+from spanweave.llm import contamination, queries, simhash, topk
 
 
 def lowered(text):
@@ -171,6 +171,35 @@ def test_proximity_finds_moved_words(spark):
     assert got == {1: ([], [9]), 2: ([], []), 3: ([9], [9])}
 
 
+def plain_near(text, items, slop=2):
+    """Items with a window whose words are all within slop places of theirs, one of them at it."""
+    words = lambda t: re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", re.sub("[A-Z]", lambda m: m.group().lower(), t or ""))
+    near, at = set(), {}
+    for x, w in enumerate(words(text)):
+        at.setdefault(w, set()).add(x)
+    for item, t in items:
+        b = words(t)
+        n = min(10, len(b))
+        for i in range(len(b) - n + 1) if item is not None and b else ():
+            starts = {x - k for k in range(n) for x in at.get(b[i + k], ())}
+            if any(all(any(p + k + d in at.get(b[i + k], ()) for d in range(-slop, slop + 1)) for k in range(n)) for p in starts):
+                near.add(item)
+    return sorted(near)
+
+
+def test_proximity_matches_brute_force_and_is_returned(spark, tmp_path):
+    said = "jumps over the lazy dog near the river bank today".split()
+    moved = [" ".join(said[:k] + ["x"] * n + said[k + m :]) for k in (0, 1, 3, 5, 9) for n, m in ((1, 0), (2, 0), (3, 0), (0, 1), (1, 1))]
+    rows = [*ODD, *((200 + i, t) for i, t in enumerate(moved)), (290, "over jumps lazy the dog near river the bank today"), (291, "today"), (292, "three two"), (293, "x word x word word")]
+    odd_docs(spark, rows).coalesce(1).write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame(ITEMS, "item_id bigint, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    got = queries.queries()["op10_proximity"](spark, str(tmp_path)).collect()
+    assert sorted(str((r.doc_id, list(r.near_items))) for r in got) == sorted(str((i, plain_near(t, ITEMS))) for i, t in rows)
+    assert all(r.n_near == len(r.near_items) for r in got)
+    told = {r.doc_id: r for r in got}
+    assert told[206].n_near_only == 1 and told[206].near_items == [1]
+
+
 def test_top_k_with_ties_and_odd_vectors(spark, monkeypatch):
     monkeypatch.setattr(topk, "QUERY_BLOCK", 3)
     r = random.Random(5)
