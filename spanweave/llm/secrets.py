@@ -4,7 +4,10 @@ The three fixed kinds are found by pattern. The method adds the kind markov: run
 LEAST_RUN token characters whose characters follow each other rather as in random strings than as in
 ordinary identifiers. Two first-order Markov models are trained from labelled samples (random: digests
 in base64, hex and upper-case base32-like forms; ordinary: words of sampled documents, alone and
-joined in snake and camel case) and compared by the log-likelihood ratio per character pair.
+joined in snake and camel case) and compared by the log-likelihood ratio per character pair. A run
+that is not random as a whole is searched for its random stretches: it has one from where LEAST_RUN
+characters reach the threshold on to where the next LEAST_RUN no longer do. What the fixed kinds hold
+is cut out of the runs first.
 
 Offsets count code points: they add up from the lengths of the pieces between matches.
 
@@ -80,13 +83,67 @@ def _spans(text: Column, pattern: str, kind: int, value: int, keep) -> Column:
     return F.when(text.rlike(pattern), F.aggregate(zipped, start, step, lambda acc: acc["spans"])).otherwise(F.array().cast(_SPAN))
 
 
-def likeness(token: Column, ratio: list[float]) -> Column:
-    """Mean log-likelihood ratio of a token of printable ASCII."""
+def _pairs(token: Column, ratio: list[float]) -> Column:
+    """Log-likelihood ratio of every pair of neighbours in a token of printable ASCII."""
     table = F.split(F.lit(",".join(f"{x:.5f}" for x in ratio)), ",").cast("array<double>")
     codes = F.transform(F.split(token, ""), lambda c: F.ascii(c) - 32)
     n = F.size(codes)
     index = F.zip_with(F.slice(codes, 1, n - 1), F.slice(codes, 2, n - 1), lambda a, b: a * _SIDE + b + 1)
-    return F.aggregate(index, F.lit(0.0), lambda acc, i: acc + F.element_at(table, i)) / (n - 1)
+    return F.transform(index, lambda i: F.element_at(table, i))
+
+
+def _stretches(pairs: Column, threshold: float) -> Column:
+    """(s, e) of the stretches of at least LEAST_RUN characters that are random, in order and apart.
+
+    One pass: w is the sum over the last LEAST_RUN - 1 pairs, less the threshold each. A stretch opens
+    (at o) when w is not negative and closes when it is; it ends where its own sum b was largest.
+    """
+    lag = LEAST_RUN - 1
+    over = F.transform(pairs, lambda x: x - F.lit(threshold))
+    old = F.concat(F.array_repeat(F.lit(0.0), lag), F.slice(over, 1, F.size(over) - lag))
+    kinds = {"i": "int", "w": "double", "b": "double", "s": "int", "top": "double", "e": "int", "o": "int", "spans": "array<struct<s:int,e:int>>"}
+    pack = lambda **v: F.struct(*(v[k].cast(t).alias(k) for k, t in kinds.items()))
+    before = lambda a: F.coalesce(F.try_element_at(a["spans"], F.lit(-1))["e"], F.lit(0))
+    closed = lambda a: F.when(a["o"] < 0, a["spans"]).otherwise(F.concat(a["spans"], F.array(F.struct(F.greatest(F.least(a["s"], a["e"] - LEAST_RUN), before(a)).alias("s"), a["e"].alias("e")))))
+
+    def step(a: Column, x: Column) -> Column:
+        i, w, b = a["i"], a["w"] + x["over"] - x["old"], a["b"] + x["over"]
+        # ordinary characters that came in with the first window go
+        trim = (w > b) & (i - a["o"] < lag)
+        best, top = F.when(trim, w).otherwise(b), F.when(trim, a["top"] + w - b).otherwise(a["top"])
+        more = best >= top
+        s = F.when(trim, i - lag + 1).otherwise(a["s"])
+        grown = pack(i=i + 1, w=w, b=best, s=s, top=F.greatest(best, top), e=F.when(more, i + 2).otherwise(a["e"]), o=a["o"], spans=a["spans"])
+        opened = pack(i=i + 1, w=w, b=w, s=i - lag + 1, top=w, e=i + 2, o=i, spans=a["spans"])
+        none = pack(i=i + 1, w=w, b=F.lit(0.0), s=F.lit(0), top=F.lit(0.0), e=F.lit(0), o=F.lit(-1), spans=closed(a))
+        return F.when((i < lag - 1) | (w < 0), none).when(a["o"] < 0, opened).otherwise(grown)
+
+    zero = pack(i=F.lit(0), w=F.lit(0.0), b=F.lit(0.0), s=F.lit(0), top=F.lit(0.0), e=F.lit(0), o=F.lit(-1), spans=F.array())
+    return F.aggregate(F.arrays_zip(over.alias("over"), old.alias("old")), zero, step, closed)
+
+
+def random_parts(token: Column, ratio: list[float], threshold: float = THRESHOLD) -> Column:
+    """(s, e) within a token: the whole of it if its mean ratio reaches the threshold, else its random stretches."""
+    whole = F.array(F.struct(F.lit(0).alias("s"), F.length(token).alias("e")))
+
+    def told(pairs: Column) -> Column:
+        mean = F.aggregate(pairs, F.lit(0.0), lambda acc, x: acc + x) / F.size(pairs)
+        return F.when(mean >= threshold, whole).otherwise(_stretches(pairs, threshold))
+
+    return F.flatten(F.transform(F.array(_pairs(token, ratio)), told))
+
+
+def _without(text: Column, spans: str) -> Column:
+    """The text with spaces in place of sorted spans, which may overlap."""
+    start = F.struct(F.lit(0).cast("bigint").alias("at"), F.array().cast("array<string>").alias("out"))
+
+    def step(acc: Column, x: Column) -> Column:
+        s, e = F.greatest(acc["at"], x["s"]), F.greatest(acc["at"], x["e"])
+        kept = F.substring(text, (acc["at"] + 1).cast("int"), (s - acc["at"]).cast("int"))
+        return F.struct(e.alias("at"), F.concat(acc["out"], F.array(kept, F.repeat(F.lit(" "), (e - s).cast("int")))).alias("out"))
+
+    rest = lambda acc: F.concat(F.array_join(acc["out"], ""), F.substring(text, (acc["at"] + 1).cast("int"), F.length(text)))
+    return F.when(F.size(spans) > 0, F.aggregate(spans, start, step, rest)).otherwise(text)
 
 
 def find(docs: DataFrame, ratio: list[float], threshold: float = THRESHOLD) -> DataFrame:
@@ -100,9 +157,12 @@ def find(docs: DataFrame, ratio: list[float], threshold: float = THRESHOLD) -> D
             _spans(text, HEX, 2, 0, yes),
         )
     )
-    rows = docs.select("doc_id", base.alias("base"), _spans(text, RUN, 3, 0, lambda v: likeness(v, ratio) >= threshold).alias("runs"))
-    apart = F.filter("runs", lambda r: ~F.exists("base", lambda b: (b["s"] < r["e"]) & (r["s"] < b["e"])))
-    return rows.select("doc_id", "base", F.array_sort(F.concat("base", apart)).alias("spans"))
+    rows = docs.select("doc_id", text.alias("text"), base.alias("base"))
+    rows = rows.select("doc_id", "base", _spans(_without(F.col("text"), "base"), RUN, 3, 0, yes).alias("runs"), "text")
+    token = lambda r: F.substring(F.col("text"), (r["s"] + 1).cast("int"), (r["e"] - r["s"]).cast("int"))
+    cut = lambda r, p: F.struct((r["s"] + p["s"]).alias("s"), F.lit(3).alias("k"), (r["s"] + p["e"]).alias("e"))
+    parts = F.flatten(F.transform("runs", lambda r: F.transform(random_parts(token(r), ratio, threshold), lambda p: cut(r, p))))
+    return rows.select("doc_id", "base", F.array_sort(F.concat("base", parts)).alias("spans"))
 
 
 def listed(spans: str) -> Column:

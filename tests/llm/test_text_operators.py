@@ -172,6 +172,21 @@ def test_secrets_match_brute_force(spark):
     assert spans[5].count("markov") == 2 and "markov" not in spans[1]
 
 
+def test_random_parts_of_longer_runs_are_found(spark):
+    key, words = "Zx9Qk2LmV7pRt4WcYb8N", "https_session_credentials_for_the_production_environment="
+    other = "hJ3sDf6GzE1uWq8XvK5y"
+    texts = [words + key, f"{words}{key}/{words}{other}", f"path/0123456789abcdef/{key}", "a " + words * 2, f"{key}_{words}" * 2]
+    ratio = secrets.train(spark.read.parquet("/root/testdata/sf0.01/documents.parquet"))
+    got = {r.doc_id: r.spans for r in secrets.find(odd_docs(spark, list(enumerate(texts))), ratio).collect()}
+    for i, text in enumerate(texts):
+        spans = [(x["s"], x["e"]) for x in got[i] if x["k"] == 3]
+        for secret in (key, other):
+            for m in re.finditer(secret, text):
+                assert any(min(e, m.end()) - max(s, m.start()) >= 18 for s, e in spans), (text, spans)
+        assert sum(e - s for s, e in spans) <= 40 * len(re.findall(f"{key}|{other}", text))
+        assert all(a[1] <= b[0] for a, b in zip(spans, spans[1:]))
+
+
 def test_secrets_plan_is_native(spark):
     plan = secrets.find(odd_docs(spark), secrets.train(odd_docs(spark)))._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan
