@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import json
+
 import numpy as np
 
 BINS = 32
@@ -16,54 +18,76 @@ def _edges(values: np.ndarray) -> np.ndarray:
 
 
 class BoostedTrees:
-    """Logistic loss, second-order gains, trees of fixed depth in heap order."""
+    """Logistic loss, second-order gains, trees of fixed depth in heap order; a tree is grown on a share of the rows."""
 
-    def __init__(self, trees: int = 60, depth: int = 4, rate: float = 0.2, least_weight: float = 5.0, ridge: float = 1.0) -> None:
-        self.trees, self.depth, self.rate, self.least_weight, self.ridge = trees, depth, rate, least_weight, ridge
+    def __init__(self, trees: int = 120, depth: int = 5, rate: float = 0.15, least_weight: float = 1.0, ridge: float = 1.0, share: float = 0.4) -> None:
+        self.trees, self.depth, self.rate, self.least_weight, self.ridge, self.share = trees, depth, rate, least_weight, ridge, share
         self.edges: list[np.ndarray] = []
         self.grown: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
         self.base = 0.0
 
     def _bin(self, x: np.ndarray) -> np.ndarray:
-        return np.stack([np.searchsorted(e, x[:, j], "right") for j, e in enumerate(self.edges)], axis=1).astype(np.int32)
+        return np.stack([np.searchsorted(e, x[:, j], "right") for j, e in enumerate(self.edges)], axis=1).astype(np.uint8)
 
     def fit(self, x: np.ndarray, y: np.ndarray) -> BoostedTrees:
         self.edges = [_edges(x[:, j]) for j in range(x.shape[1])]
-        binned, n, width = self._bin(x), len(x), x.shape[1]
-        share = y.mean()
-        self.base = float(np.log(share / (1 - share)))
-        score = np.full(n, self.base)
+        whole, n = self._bin(x), max(1, int(len(x) * self.share))
+        flags = np.array([j for j, e in enumerate(self.edges) if len(e) == 1], np.int64)
+        wide = [j for j, e in enumerate(self.edges) if len(e) > 1]
+        base = y.mean()
+        self.base = float(np.log(base / (1 - base)))
+        score = np.full(len(x), self.base)
+        draw = np.random.default_rng(0)
         for _ in range(self.trees):
-            p = 1 / (1 + np.exp(-score))
-            g, h = y - p, p * (1 - p)
+            rows = draw.permutation(len(x))[:n]
+            binned = whole[rows]
+            set_flags = binned[:, flags].astype(np.float32)
+            columns = [(j, binned[:, j].astype(np.int64)) for j in wide]
+            p = 1 / (1 + np.exp(-score[rows]))
+            g, h = y[rows] - p, p * (1 - p)
             feature = np.full((1 << self.depth) - 1, -1)
             cut = np.zeros(len(feature), np.int32)
             node = np.zeros(n, np.int64)
             for level in range(self.depth):
                 first, count = (1 << level) - 1, 1 << level
                 at = node - first
+                sums = [np.bincount(at, weights=v, minlength=count) for v in (g, h)]
                 best = np.full(count, 1e-6)
-                sum_g, sum_h = (np.bincount(at, weights=v, minlength=count) for v in (g, h))
-                whole = sum_g**2 / (sum_h + self.ridge)
-                for j in range(width):
-                    key = at * BINS + binned[:, j]
-                    left_g, left_h = (np.bincount(key, weights=v, minlength=count * BINS).reshape(count, BINS).cumsum(1)[:, :-1] for v in (g, h))
-                    right_g, right_h = sum_g[:, None] - left_g, sum_h[:, None] - left_h
-                    gain = left_g**2 / (left_h + self.ridge) + right_g**2 / (right_h + self.ridge) - whole[:, None]
-                    gain[(left_h < self.least_weight / 4) | (right_h < self.least_weight / 4)] = 0
+
+                def choose(j: np.ndarray | int, left: list[np.ndarray], at_cut: np.ndarray | None, best=best, sums=sums, first=first) -> None:
+                    """left: sums of g and h below each cut (nodes x cuts), of one feature, or of one cut of each of many."""
+                    right = [s[:, None] - v for s, v in zip(sums, left, strict=True)]
+                    gain = left[0] ** 2 / (left[1] + self.ridge) + right[0] ** 2 / (right[1] + self.ridge) - (sums[0] ** 2 / (sums[1] + self.ridge))[:, None]
+                    gain[(left[1] < self.least_weight) | (right[1] < self.least_weight)] = 0
                     k = gain.argmax(1)
-                    top = gain[np.arange(count), k]
+                    top = gain[np.arange(len(k)), k]
                     better = np.flatnonzero(top > best)
                     best[better] = top[better]
-                    feature[first + better], cut[first + better] = j, k[better]
+                    feature[first + better] = j if isinstance(j, int) else j[k[better]]
+                    cut[first + better] = k[better] if at_cut is None else 0
+
+                if len(flags):
+                    spread = np.zeros((n, 2 * count), np.float32)
+                    spread[np.arange(n), at], spread[np.arange(n), count + at] = g, h
+                    on = (set_flags.T @ spread).astype(float)
+                    choose(flags, [sums[0][:, None] - on[:, :count].T, sums[1][:, None] - on[:, count:].T], np.zeros(1))
+                for j, bins in columns:
+                    key = at * BINS + bins
+                    choose(j, [np.bincount(key, weights=v, minlength=count * BINS).reshape(count, BINS).cumsum(1)[:, :-1] for v in (g, h)], None)
                 node = self._down(node, binned, feature, cut)
             leaf = node - len(feature)
             sums = [np.bincount(leaf, weights=v, minlength=1 << self.depth) for v in (g, h)]
-            value = self.rate * sums[0] / (sums[1] + self.ridge)
-            score += value[leaf]
-            self.grown.append((feature, cut, value))
+            self.grown.append((feature, cut, self.rate * sums[0] / (sums[1] + self.ridge)))
+            score += self._value(whole, *self.grown[-1])
         return self
 
+    def _value(self, binned: np.ndarray, feature: np.ndarray, cut: np.ndarray, value: np.ndarray) -> np.ndarray:
+        """What a tree adds to each row."""
+        node = np.zeros(len(binned), np.int64)
+        for _ in range(self.depth):
+            node = self._down(node, binned, feature, cut)
+        return value[node - len(feature)]
+
     @staticmethod
     def _down(node: np.ndarray, binned: np.ndarray, feature: np.ndarray, cut: np.ndarray) -> np.ndarray:
         j = feature[node]
@@ -73,9 +97,17 @@ class BoostedTrees:
     def log_odds(self, x: np.ndarray) -> np.ndarray:
         binned = self._bin(x)
         out = np.full(len(x), self.base)
-        for feature, cut, value in self.grown:
-            node = np.zeros(len(x), np.int64)
-            for _ in range(self.depth):
-                node = self._down(node, binned, feature, cut)
-            out += value[node - len(feature)]
+        for tree in self.grown:
+            out += self._value(binned, *tree)
         return out
+
+    def to_json(self) -> str:
+        return json.dumps({"depth": self.depth, "base": self.base, "edges": [e.tolist() for e in self.edges], "grown": [[v.tolist() for v in t] for t in self.grown]})
+
+    @classmethod
+    def from_json(cls, text: str) -> BoostedTrees:
+        told = json.loads(text)
+        made = cls(depth=told["depth"])
+        made.base, made.edges = told["base"], [np.array(e) for e in told["edges"]]
+        made.grown = [(np.array(f, np.int64), np.array(c, np.int32), np.array(v)) for f, c, v in told["grown"]]
+        return made

@@ -4,6 +4,11 @@ from __future__ import annotations
 
 import html
 import re
+from collections import defaultdict
+from collections.abc import Iterator
+from functools import lru_cache
+
+import numpy as np
 
 #: Fixed lists of HTML elements.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -15,7 +20,7 @@ CLOSES_P = frozenset(
     "address article aside blockquote center details dialog dir div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr main menu nav ol p pre search section summary table ul".split()
 )
 #: An element on the left ends an open one on the right, up to the nearest bounding element.
-ENDS = {
+ENDS: dict[str, tuple[set[str], set[str]]] = {
     "li": ({"li"}, {"ul", "ol", "menu"}),
     "dt": ({"dt", "dd"}, {"dl"}),
     "dd": ({"dt", "dd"}, {"dl"}),
@@ -39,153 +44,261 @@ GROUPS = {
     "more": "related recommend share social more tags meta byline author trending popular".split(),
     "content": "article content post entry story text body main page prose".split(),
 }
-_TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>|<(/?)([a-zA-Z][^\s/>]*)([^>]*)>|<[!?/][^>]*>|[^<]+|<", re.S)
+_BOXES = {"article": 1, "main": 2, "nav": 4, "header": 8, "footer": 16, "aside": 32, "form": 64, "td": 128}
+_QUOTED = re.compile(r"<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>")
+_PLAIN = re.compile(r"<(/?)([a-zA-Z][^\s/>]*)([^>]*)>")
+_NAME = re.compile(r"</?[a-zA-Z]")
 _ATTR = re.compile(r"(?:^|\s)(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 _SPLIT = re.compile(r"[^A-Za-z0-9]+|(?<=[a-z])(?=[A-Z])")
+#: Tags whose quotes run to the end of the page, after which quotes are no longer looked at.
+UNCLOSED = 16
+_EXACT: dict[str, int] = {}
+_START: dict[str, int] = {}
+for _k, _words in enumerate(GROUPS.values()):
+    for _w in _words:
+        _EXACT[_w] = _EXACT.get(_w, 0) | 1 << _k
+        if len(_w) > 3:
+            _START[_w] = _START.get(_w, 0) | 1 << _k
+_LENGTHS = sorted({len(w) for w in _START})
 
 
 class Node:
-    __slots__ = ("chars", "depth", "first", "flags", "kids", "links", "parent", "sentences", "tag", "total", "upper")
+    __slots__ = ("at", "chars", "depth", "first", "flags", "links", "parent", "sentences", "tag", "under", "upper")
 
-    def __init__(self, tag: str, parent: int, depth: int, flags: int, upper: int, first: int) -> None:
-        self.tag, self.parent, self.depth, self.flags, self.upper, self.first = tag, parent, depth, flags, upper, first
-        self.chars = self.links = self.sentences = self.total = 0
-        self.kids: list[int] = []
+    def __init__(self, tag: str, parent: int, depth: int, flags: int, upper: int, under: int, first: int, at: int) -> None:
+        self.tag, self.parent, self.depth, self.flags, self.upper, self.under, self.first, self.at = tag, parent, depth, flags, upper, under, first, at
+        self.chars = self.links = self.sentences = 0
 
 
+@lru_cache(4096)
 def _flags(attributes: str) -> int:
+    """The groups of the words in class, id and role."""
     found = 0
     if "=" in attributes:
         for m in _ATTR.finditer(attributes):
-            value = m[2] or m[3] or m[4] or ""
-            tokens = [t.lower() for t in _SPLIT.split(value) if t]
-            for k, words in enumerate(GROUPS.values()):
-                if any(t == w or (len(w) > 3 and t.startswith(w)) for t in tokens for w in words):
-                    found |= 1 << k
+            for t in set(_SPLIT.split(m[2] or m[3] or m[4] or "")):
+                t = t[:40].lower()
+                found |= _EXACT.get(t, 0)
+                for n in _LENGTHS:
+                    if n > len(t):
+                        break
+                    found |= _START.get(t[:n], 0)
     return found
 
 
-def parse(page: str) -> tuple[list[Node], list[tuple[int, int, str]]]:
-    """Block nodes in page order (0 is the root) and text leaves (node, block number, text).
+class _Open:
+    """The open elements and where each tag stands among them, so that no search walks over them."""
+
+    def __init__(self) -> None:
+        self.stack: list[tuple[str, int]] = [("html", 0)]  # with the block node of each
+        self.where: dict[str, list[int]] = defaultdict(list)
+        self.walls: list[int] = []  # places of elements that are neither inline nor p
+        self.blocks = self.links = 0  # open block elements, open links
+
+    def top(self, tags) -> int:
+        """The place of the innermost of the tags; 0 if none is open."""
+        return max((p[-1] for t in tags if (p := self.where.get(t))), default=0)
+
+    def push(self, tag: str, node: int) -> None:
+        self.where[tag].append(len(self.stack))
+        if tag not in INLINE:
+            self.blocks += 1
+            if tag != "p":
+                self.walls.append(len(self.stack))
+        self.links += tag == "a"
+        self.stack.append((tag, node))
 
-    Inline elements belong to the node around them; raw elements and comments leave no text.
+    def cut(self, place: int) -> bool:
+        """Close everything from the place on; whether a block was among it."""
+        before = self.blocks
+        while len(self.stack) > place:
+            tag, _ = self.stack.pop()
+            self.where[tag].pop()
+            if tag not in INLINE:
+                self.blocks -= 1
+                if tag != "p":
+                    self.walls.pop()
+            self.links -= tag == "a"
+        return self.blocks < before
+
+
+def _tokens(page: str) -> Iterator[tuple[str, str, str, int]]:
+    """(kind, tag or text, attributes, offset), kind: text, open or close. The caller may send an offset to go on at.
+
+    Every character is passed over a bounded number of times, whatever is left unclosed.
     """
-    nodes = [Node("html", -1, 0, 0, 0, 0)]
-    leaves: list[tuple[int, int, str]] = []
-    stack: list[tuple[str, int]] = [("html", 0)]  # open elements with their block node
-    block = seen = links = 0
-    at, size = 0, len(page)
+    at, size, last, tries = 0, len(page), page.rfind(">"), UNCLOSED
+    text_from = 0
     while at < size:
-        m = _TOKEN.match(page, at)
-        at = m.end()
-        name = m[2] or m[5]
-        if not name:
-            text = m[0]
-            if text[0] != "<" or text == "<":
-                if text.isspace() and not leaves:
-                    continue
-                if "&" in text:
-                    text = html.unescape(text)
-                node = stack[-1][1]
-                leaves.append((node, block, text))
-                n = len(text.split()) and len(text)
-                x = nodes[node]
-                x.chars += n
-                x.links += n if links else 0
-                x.sentences += text.count(".") + text.count(",") + text.count("!") + text.count("?")
-                seen += n
+        if page[at] != "<":
+            at = page.find("<", at)
+            at = size if at < 0 else at
             continue
-        tag = name.lower()
-        if m[1] or m[4]:
-            for k in range(len(stack) - 1, 0, -1):
-                if stack[k][0] == tag:
-                    links -= sum(t == "a" for t, _ in stack[k:])
-                    if any(t not in INLINE for t, _ in stack[k:]):
-                        block += 1
-                    del stack[k:]
-                    break
-                if tag in INLINE and stack[k][0] not in INLINE and stack[k][0] != "p":
-                    break  # a stray inline end tag ends no block
+        named = _NAME.match(page, at)
+        m, skip = None, 0
+        if named and last > at:
+            m = _QUOTED.match(page, at) if tries else None
+            if not m:
+                tries -= tries > 0
+                m = _PLAIN.match(page, at)
+        elif page.startswith("<!--", at):
+            skip = page.find("-->", at + 4) + 3
+            skip = size if skip < 3 else skip
+        elif page[at + 1 : at + 2] in ("!", "?", "/") and last > at and not named:
+            skip = page.find(">", at) + 1
+        if not m and not skip:
+            at += 1  # a sign in the text
             continue
-        if tag in RAW:
-            end = re.compile(f"</{re.escape(tag)}\\b[^>]*>", re.I).search(page, at)
-            at = end.end() if end else size if tag in ("script", "style") else at
-            continue
-        if tag == "br" or tag == "img":
+        if at > text_from:
+            yield "text", page[text_from:at], "", text_from
+        start, at = at, m.end() if m else skip
+        if m:
+            moved = yield ("close" if m[1] else "open"), m[2].lower(), m[3], start
+            at = max(at, moved or 0)
+        text_from = at
+    if size > text_from:
+        yield "text", page[text_from:], "", text_from
+
+
+def parse(page: str) -> tuple[list[Node], list[tuple[int, int, str]]]:
+    """Block nodes in page order (0 is the root) and text leaves (node, block number, text).
+
+    Inline elements belong to the node around them; raw elements and comments leave no text. Time is
+    linear in the page.
+    """
+    nodes = [Node("html", -1, 0, 0, 0, 0, 0, 0)]
+    leaves: list[tuple[int, int, str]] = []
+    held = _Open()
+    stack, where = held.stack, held.where
+    block = seen = 0
+    endless: set[str] = set()  # raw elements without an end tag in the rest of the page
+    tokens = _tokens(page)
+    moved = None
+    while True:
+        try:
+            kind, tag, attributes, at = tokens.send(moved)
+        except StopIteration:
+            return nodes, leaves
+        moved = None
+        if kind == "text":
+            text = tag
+            if text.isspace() and not leaves:
+                continue
+            if "&" in text:
+                text = html.unescape(text)
+            node = stack[-1][1]
+            leaves.append((node, block, text))
+            n = 0 if text.isspace() else len(text)
+            x = nodes[node]
+            x.chars += n
+            x.links += n if held.links else 0
+            x.sentences += text.count(".") + text.count(",") + text.count("!") + text.count("?")
+            seen += n
+        elif kind == "close":
+            if (places := where.get(tag)) and not (tag in INLINE and held.walls and held.walls[-1] > places[-1]):
+                block += held.cut(places[-1])  # a stray inline end tag ends no block
+        elif tag in RAW:
+            inside = at + 1 + len(tag)
+            end = None if tag in endless else re.compile(f"</{re.escape(tag)}\\b", re.I).search(page, inside)
+            if end:
+                to = page.find(">", end.end())
+                moved = to + 1 if to >= 0 else len(page)
+            else:
+                endless.add(tag)
+                moved = len(page) if tag in ("script", "style") else None
+        elif tag in ("br", "img"):
             leaves.append((stack[-1][1], block, " "))
-            continue
-        if tag in VOID:
+        elif tag in VOID:
             block += tag == "hr"
+        elif tag in ("html", "body", "head") and (tag == "html" or where.get(tag)):
             continue
-        if tag in ("html", "body", "head") and any(t == tag for t, _ in stack):
-            continue
-        ends, bound = ENDS.get(tag, (None, None))
-        if tag in CLOSES_P:
-            ends, bound = {"p"}, SCOPE
-        if ends:
-            for k in range(len(stack) - 1, 0, -1):
-                if stack[k][0] in ends:
-                    links -= sum(t == "a" for t, _ in stack[k:])
-                    del stack[k:]
+        else:
+            ends, bound = ({"p"}, SCOPE) if tag in CLOSES_P else ENDS.get(tag, ((), ()))
+            if ends:
+                limit = held.top(bound)
+                while (place := held.top(ends)) > limit:
+                    held.cut(place)
                     if tag != "tr":
                         break
-                elif stack[k][0] in bound:
-                    break
-        if tag in INLINE:
-            stack.append((tag, stack[-1][1]))
-            links += tag == "a"
-            continue
-        block += 1
-        above = stack[-1][1]
-        p = nodes[above]
-        nodes.append(Node(tag, above, p.depth + 1, _flags(m[3] or m[6] or ""), p.upper | p.flags, seen))
-        p.kids.append(len(nodes) - 1)
-        stack.append((tag, len(nodes) - 1))
-    return nodes, leaves
+            if tag in INLINE:
+                held.push(tag, stack[-1][1])
+                continue
+            block += 1
+            above = stack[-1][1]
+            p = nodes[above]
+            nodes.append(Node(tag, above, p.depth + 1, _flags(attributes), p.upper | p.flags, p.under | _BOXES.get(tag, 0), seen, at))
+            held.push(tag, len(nodes) - 1)
 
 
 _TAG = {t: k for k, t in enumerate(TAGS)}
 _N_GROUPS = len(GROUPS)
-WIDTH = 20 + len(TAGS) + 2 * _N_GROUPS + 7
-
-
-def features(nodes: list[Node]) -> list[list[float]]:
-    """One row a node: text, link and tag density of its subtree, place, siblings, tag, attributes."""
-    n = len(nodes)
-    chars, links, dots = [x.chars for x in nodes], [x.links for x in nodes], [x.sentences for x in nodes]
-    tags, paras = [1] * n, [int(x.tag == "p") for x in nodes]
-    for i in range(n - 1, 0, -1):
-        up = nodes[i].parent
-        for v in (chars, links, dots, tags, paras):
-            v[up] += v[i]
-    whole = max(chars[0], 1)
-    under: list[int] = [0] * n
-    boxes = {"article": 1, "main": 2, "nav": 4, "header": 8, "footer": 16, "aside": 32, "form": 64}
-    place = [0] * n
-    for x in nodes:
-        for k, j in enumerate(x.kids):
-            place[j] = k
-    out = []
-    for i, x in enumerate(nodes):
-        up = nodes[x.parent] if i else x
-        under[i] = (under[x.parent] if i else 0) | boxes.get(x.tag, 0)
-        order = place[i]
-        before = up.kids[order - 1] if i and order else -1
-        after = up.kids[order + 1] if i and order + 1 < len(up.kids) else -1
-        c = chars[i]
-        row = [
-            c / whole, c, links[i] / max(c, 1), x.chars, x.links / max(x.chars, 1), dots[i] / max(c, 1) * 100, c / tags[i], tags[i], paras[i], x.depth,
-            order, len(up.kids), x.first / whole, chars[x.parent] / whole if i else 1.0, c / max(chars[x.parent], 1) if i else 1.0,
-            chars[before] if before >= 0 else -1.0, links[before] / max(chars[before], 1) if before >= 0 else -1.0,
-            chars[after] if after >= 0 else -1.0, links[after] / max(chars[after], 1) if after >= 0 else -1.0,
-            paras[x.parent] if i else paras[0],
-        ]
-        tag = [0.0] * len(TAGS)
-        if x.tag in _TAG:
-            tag[_TAG[x.tag]] = 1.0
-        row += tag
-        row += [float(x.flags >> k & 1) for k in range(_N_GROUPS)]
-        row += [float(x.upper >> k & 1) for k in range(_N_GROUPS)]
-        row += [float(under[i] >> k & 1) for k in range(7)]
-        out.append(row)
-    return out
+_HEADS = ("h1", "h2", "h3")
+WIDTH = 26 + len(TAGS) + 3 * _N_GROUPS + len(_BOXES)
+
+
+def features(pages: list[list[Node]]) -> np.ndarray:
+    """One row a node of all pages: text, link and tag density of its subtree, place, siblings, tag, attributes around and within.
+
+    Nodes of a page stand in page order, so a subtree is a stretch of rows and its sums are differences of running sums.
+    """
+    every = [x for nodes in pages for x in nodes]
+    n = len(every)
+    if not n:
+        return np.zeros((0, WIDTH), np.float32)
+    column = lambda f, t=np.int64: np.fromiter((f(x) for x in every), t, n)
+    sizes = np.array([len(nodes) for nodes in pages if nodes])
+    root = np.repeat(np.cumsum(sizes) - sizes, sizes)
+    parent = column(lambda x: x.parent)
+    is_root = parent < 0
+    up = np.where(is_root, np.arange(n), parent + root)
+    above, size = up.tolist(), [1] * n
+    for i in range(n - 1, -1, -1):
+        if above[i] != i:
+            size[above[i]] += size[i]
+    end = np.arange(n) + np.array(size)
+
+    def within(v: np.ndarray) -> np.ndarray:
+        running = np.concatenate([np.zeros((1, *v.shape[1:]), np.int64), v.astype(np.int64).cumsum(0)])
+        return running[end] - running[:n]
+
+    tag = column(lambda x: _TAG.get(x.tag, -1))
+    own, own_links, own_dots, depth, first = (column(f) for f in (lambda x: x.chars, lambda x: x.links, lambda x: x.sentences, lambda x: x.depth, lambda x: x.first))
+    flags, upper = column(lambda x: x.flags), column(lambda x: x.upper)
+    chars, links, dots = within(own), within(own_links), within(own_dots)
+    paras, heads = within(tag == _TAG["p"]), within(np.isin(tag, [_TAG[t] for t in _HEADS]))
+    whole, most_paras = np.maximum(chars[root], 1), np.maximum(paras[root], 1)
+    # siblings: rows in the order of their parents
+    order = np.lexsort((np.arange(n), up, is_root))
+    order = order[: n - len(sizes)]
+    of = up[order]
+    begins = np.flatnonzero(np.r_[True, of[1:] != of[:-1]]) if len(of) else np.zeros(0, np.int64)
+    runs = np.diff(np.r_[begins, len(of)])
+    place, family, largest, like = np.zeros(n), np.zeros(n), np.zeros(n), np.ones(n)
+    before, after = np.full(n, -1), np.full(n, -1)
+    if len(of):
+        place[order] = np.arange(len(of)) - np.repeat(begins, runs)
+        family[order] = np.repeat(runs, runs)
+        largest[order] = np.repeat(np.maximum.reduceat(chars[order], begins), runs)
+        same = of[1:] == of[:-1]
+        before[order[1:][same]], after[order[:-1][same]] = order[:-1][same], order[1:][same]
+        _, kind, often = np.unique(np.stack([of, tag[order], flags[order]]), axis=1, return_inverse=True, return_counts=True)
+        like[order] = often[kind.ravel()]
+    family[is_root] = np.bincount(up[~is_root], minlength=n)[is_root]
+    seen_h1 = np.cumsum(tag == _TAG["h1"])
+    headed = seen_h1 - (seen_h1 - (tag == _TAG["h1"]))[root]
+    density = links / np.maximum(chars, 1)
+    beside = lambda k, v: np.where(k >= 0, v[np.maximum(k, 0)], -1.0)
+    of_page = np.stack(
+        [
+            chars / whole, chars, density, own, own_links / np.maximum(own, 1), dots / np.maximum(chars, 1) * 100, chars / np.array(size), np.array(size), paras, depth,
+            place, family, first / whole, np.where(is_root, 1.0, chars[up] / whole), np.where(is_root, 1.0, chars / np.maximum(chars[up], 1)),
+            beside(before, chars), beside(before, density), beside(after, chars), beside(after, density),
+            paras[up], chars / np.maximum(largest, 1), like, dots, heads, np.minimum(headed, 3), paras / most_paras,
+        ],
+        axis=1,
+    )
+    one_of = (tag[:, None] == np.arange(len(TAGS))).astype(float)
+    bits = lambda v: v[:, None] >> np.arange(_N_GROUPS) & 1
+    down = (within(bits(flags)) - bits(flags) > 0) & (bits(flags) == 0)
+    under = column(lambda x: x.under)[:, None] >> np.arange(len(_BOXES)) & 1
+    return np.concatenate([of_page, one_of, bits(flags), bits(upper), down, under], axis=1).astype(np.float32)

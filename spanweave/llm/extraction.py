@@ -3,16 +3,20 @@
 The trees give every block node the odds of being article; the page is then labelled as a whole. From
 the root down a path may be outside, then kept, then dropped, never otherwise, so no ancestor and
 descendant contradict each other; the labelling of least total cost is found by dynamic programming
-over the tree. The model is trained on made-up pages (sample_pages), SAMPLE_PAGES of them.
+over the tree. The model is trained on made-up pages (sample_pages), SAMPLE_PAGES of them, once: it is
+stored in the shared folder under a digest of the code that makes it, and read from there afterwards.
 
 Defined cases: null html is empty and gives empty text; a page without article gives empty text;
 unclosed and stray tags are mended as browsers do in the common cases; a broken page keeps all its
-text blocks in play; null and repeated keys stay rows of their own; all columns are kept. A page is
-one task's work: its size bounds memory.
+text blocks in play; an unclosed tag at the end of a page is text; null and repeated keys stay rows of
+their own; all columns are kept. Parsing, features and decoding are linear in the page, whatever is
+nested or left unclosed. A page is one task's work: its size bounds memory.
 """
 
 from __future__ import annotations
 
+import hashlib
+import inspect
 from collections.abc import Iterator
 from functools import cache
 
@@ -21,44 +25,48 @@ import pyarrow as pa
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
+from spanweave.llm import boosting, dom, sample_pages
 from spanweave.llm.boosting import BoostedTrees
-from spanweave.llm.common import release
-from spanweave.llm.dom import WIDTH, Node, features, parse
+from spanweave.llm.common import release, shared_dir
+from spanweave.llm.dom import Node, features, parse
 from spanweave.llm.sample_pages import page
 
-SAMPLE_PAGES = 1000
+SAMPLE_PAGES = 1500
 #: Log-odds by which a change from outside to kept, or from kept to dropped, must gain.
-SWITCH = 1.5
+SWITCH = 1.0
 #: Nodes that are scored at once.
 BATCH_NODES = 20_000
 
 
-def labelled(seed: int) -> tuple[list[Node], list[int]]:
-    """Nodes of a made-up page and whether each is article.
-
-    Marks of the article's bounds and of parts set into it are hidden in text that the parser reads
-    as leaves; a node is article if it begins within the bounds and in no such part.
-    """
+def labelled(seed: int) -> tuple[str, list[Node], list[int]]:
+    """A made-up page, its nodes, and whether each is article: it begins within the article and in no part set into it."""
     before, article, after = page(seed)
-    n_before = len(parse(before)[0])
-    whole, _ = parse((before + article + after).replace("\x01", "").replace("\x02", ""))
-    inside, drop, label = before, False, [0] * n_before
-    for piece in article.replace("\x02", "\x01").split("\x01"):
-        inside += piece
-        n = len(parse(inside)[0])
-        label += [0 if drop else 1] * (n - len(label))
-        drop = not drop
-    return whole, label + [0] * (len(whole) - len(label))
+    cuts, at = [], len(before)  # bounds of the article's own stretches
+    for k, piece in enumerate(article.replace("\x02", "\x01").split("\x01")):
+        if k % 2 == 0:
+            cuts.append((at, at + len(piece)))
+        at += len(piece)
+    html = before + article.replace("\x01", "").replace("\x02", "") + after
+    nodes, _ = parse(html)
+    return html, nodes, [int(any(s <= x.at < e for s, e in cuts)) for x in nodes]
 
 
 @cache
 def train(pages: int = SAMPLE_PAGES) -> BoostedTrees:
-    rows, labels = [], []
-    for seed in range(pages):
-        nodes, label = labelled(seed)
-        rows += features(nodes)
-        labels += label
-    return BoostedTrees().fit(np.array(rows), np.array(labels, float))
+    made = [labelled(seed) for seed in range(pages)]
+    return BoostedTrees().fit(features([nodes for _, nodes, _ in made]), np.array([k for _, _, label in made for k in label], float))
+
+
+def stored(spark: SparkSession) -> BoostedTrees:
+    """The trained model from the shared folder, where the first call leaves it."""
+    code = "".join(inspect.getsource(m) for m in (boosting, dom, sample_pages)) + inspect.getsource(labelled) + str(SAMPLE_PAGES)
+    path = f"{shared_dir(spark)}/extraction-model-{hashlib.sha256(code.encode()).hexdigest()[:16]}"
+    done = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{path}/_SUCCESS")
+    if done.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(done):
+        return BoostedTrees.from_json(spark.read.schema("model string").parquet(path).first()[0])
+    model = train()
+    spark.createDataFrame([(model.to_json(),)], "model string").coalesce(1).write.mode("ignore").parquet(path)
+    return model
 
 
 def decode(nodes: list[Node], odds: list[float]) -> list[bool]:
@@ -99,8 +107,7 @@ def text_of(keep: list[bool], leaves: list[tuple[int, int, str]]) -> str:
 
 def main_texts(pages: list[str], model: BoostedTrees) -> list[str]:
     parsed = [parse(p) for p in pages]
-    rows = [r for nodes, _ in parsed for r in features(nodes)]
-    odds = model.log_odds(np.array(rows).reshape(-1, WIDTH)).tolist()
+    odds = model.log_odds(features([nodes for nodes, _ in parsed])).tolist()
     out, at = [], 0
     for nodes, leaves in parsed:
         out.append(text_of(decode(nodes, odds[at : at + len(nodes)]), leaves))
@@ -110,7 +117,7 @@ def main_texts(pages: list[str], model: BoostedTrees) -> list[str]:
 
 def extractor(spark: SparkSession, model: BoostedTrees | None = None):
     """A column function html -> main text."""
-    sent = spark.sparkContext.broadcast(model or train())
+    sent = spark.sparkContext.broadcast(model or stored(spark))
 
     @F.arrow_udf("string")
     def extract(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:

@@ -1,7 +1,8 @@
 """Made-up web pages whose article is known, to train the extraction model.
 
-Pages vary in mark-up (semantic elements, classes or ids, or bare divisions), in what surrounds the
-article and in what is set into it. Everything follows from the seed.
+Pages vary in layout (one column, bare divisions, tables), in mark-up (semantic elements, telling or
+meaningless classes and ids, none at all), in what surrounds the article and in what is set into it; a
+few have no article. Everything follows from the seed.
 """
 
 from __future__ import annotations
@@ -14,16 +15,15 @@ _LETTERS = "aeiouéönrstlmdkghpbcfvw"
 
 class _Page:
     def __init__(self, r: random.Random) -> None:
-        self.r, self.out, self.kept = r, [], []
+        self.r = r
+        #: How boxes are marked: by telling names, by meaningless ones, or not at all.
+        self.marks = r.choices(("named", "hashed", "bare"), (12, 2, 3))[0]
 
     def words(self, least: int, most: int) -> str:
         r = self.r
         said = ["".join(r.choices(_LETTERS, k=r.randint(2, 9))) for _ in range(r.randint(least, most))]
         return " ".join(w + r.choices(("", ",", ".", "!", " &amp;"), (30, 2, 3, 0.4, 0.3))[0] for w in said).capitalize()
 
-    def add(self, *parts: str) -> None:
-        self.out += parts
-
     def links(self, n: int) -> str:
         item = self.r.choice(("<li><a href='/{0}'>{1}</a></li>", "<a href='/{0}'>{1}</a> ", "<li><a href='{0}'>{1}</a>"))
         inner = "".join(item.format(k, self.words(1, 3)) for k in range(n))
@@ -36,8 +36,14 @@ class _Page:
             tag = "div"  # a paragraph cannot hold blocks
         if tag in ("nav", "aside", "header", "footer", "form") and self.r.random() < 0.6:
             return f"<{tag}>{inner}</{tag}>"
+        if self.marks == "bare":
+            tag = "div" if tag in ("nav", "aside", "section", "header", "footer") else tag
+            return f"<{tag}>{inner}</{tag}>"
+        name = self.r.choice(names.split())
+        if self.marks == "hashed":
+            name = f"{self.r.choice(('css', 'sc', 'x', 'jss'))}-{''.join(self.r.choices('abcdefgh0123456789', k=6))}"
         how = self.r.choice(("class", "class", "id"))
-        return f'<{tag} {how}="{self.r.choice(names.split())}">{inner}</{tag}>'
+        return f'<{tag} {how}="{name}">{inner}</{tag}>'
 
     def menu(self) -> str:
         return self.box("nav nav div ul", "nav menu main-nav navbar site-nav breadcrumb topMenu", self.links(self.r.randint(3, 12)))
@@ -104,30 +110,58 @@ class _Page:
         return made
 
 
+    def body(self, n: int) -> list[str]:
+        """The parts of an article, in one of three ways of setting paragraphs."""
+        r = self.r
+        way = r.choices(("mixed", "breaks", "boxes"), (10, 1, 1))[0]
+        if way == "breaks":  # text straight in the container
+            return [self.words(10, 80) + r.choice(("<br><br>", "<br>", "<br/><br/>")) for _ in range(n)]
+        if way == "boxes":
+            return [f"<div>{self.words(4, 80)}</div>" for _ in range(n)]
+        return [self.part() for _ in range(n)]
+
+
 def page(seed: int) -> tuple[str, str, str]:
-    """(before, article, after) of a page; in the article, set-in parts stand between the marks \\x01 and \\x02."""
+    """(before, article, after) of a page; in the article, set-in parts stand between the marks \\x01 and \\x02.
+
+    A page without article has an empty one.
+    """
     p = _Page(random.Random(seed))
     r = p.r
     before = "<!DOCTYPE html><html><head><meta charset=utf-8><title>" + p.words(2, 8) + "</title><style>p{}</style><script>var t='</p>';</script></head><body>"
-    above = [f() for f in (p.header, p.menu, p.notice, p.advert, p.form) if r.random() < 0.5]
+    named = p.marks == "named"
+    # without names, only what its text and links tell apart can be told apart
+    above = [f() for f in ((p.header, p.menu, p.notice, p.advert, p.form) if named else (p.header, p.menu, p.form)) if r.random() < 0.5]
     r.shuffle(above)
-    below = [f() for f in (p.sidebar, p.comments, p.related, p.form, p.advert, p.notice, p.menu) if r.random() < 0.4]
+    below = [f() for f in ((p.sidebar, p.comments, p.related, p.form, p.advert, p.notice, p.menu) if named else (p.related, p.form, p.menu)) if r.random() < 0.4]
     r.shuffle(below)
     if r.random() < 0.8:
         below.append(p.footer())
-    if r.random() < 0.25:
+    if named and r.random() < 0.25:
         above.append(p.sidebar())
-    parts = [p.part() for _ in range(r.choice((1, 2, 3, 5, 8, 14)))]
+    if r.random() < 0.03:
+        return before, "", "".join([*above, *below, p.menu()]) + "</body></html>"
+    parts = p.body(r.choice((1, 2, 3, 5, 8, 14)))
     if r.random() < 0.75:
-        parts.insert(0, r.choice(("<h1>{}</h1>", "<header><h1>{}</h1></header>", "<h1>{}</h1>")).format(p.words(2, 10)))
-    for f in (p.advert, p.related, p.form, p.notice, p.comments, p.sidebar):
+        parts.insert(0, r.choice(("<h1>{}</h1>", "<header><h1>{}</h1></header>", "<h1>{}</h1>", "<h2>{}</h2>")).format(p.words(2, 10)))
+    for f in (p.advert, p.related, p.form, p.notice, p.comments, p.sidebar) if named else (p.related,):
         if r.random() < 0.2:
             parts.insert(r.randint(0, len(parts)), f"\x01{f()}\x02")
-    box = r.choice(("<article>", "<article>", '<article class="post">', "<main>", '<div class="content">', '<div class="post-content">', '<div id="article-body">', '<section class="story">', '<div class="entry">', "<div>"))
     inner = "".join(parts)
     if r.random() < 0.15:
-        inner = f"<div class='text'>{inner}</div>"
+        inner = f"<div class='text'>{inner}</div>" if named else f"<div>{inner}</div>"
+    if r.random() < 0.12:  # a table that holds the page
+        side = [f"<td>{p.links(r.randint(3, 10))}</td>", f"<td>{p.related()}</td>", ""]
+        left, right = r.choice(side), r.choice(side)
+        top = f"<tr><td{r.choice(('', ' colspan=2', ' colspan=3'))}>{p.header()}</td></tr>" if r.random() < 0.6 else ""
+        cell = r.choice(("<td>", "<td valign=top width=70%>", "<td class=main>"))
+        end = f"<tr><td>{below.pop()}</td></tr>" if below and r.random() < 0.5 else ""
+        return before + "".join(above) + f"<table width=100%>{top}<tr>{left}", f"{cell}{inner}</td>", f"{right}</tr>{end}</table>" + "".join(below) + "</body></html>"
+    boxes = ("<article>", "<article>", '<article class="post">', "<main>", '<div class="content">', '<div class="post-content">', '<div id="article-body">', '<section class="story">', '<div class="entry">', "<div>", "<div>")
+    box = r.choice(boxes if named else ("<article>", "<main>", "<div>", "<div>", "<section>", '<div class="x-7f3a2b">'))
     article = f"{box}{inner}</{box[1:].split()[0].rstrip('>')}>"
+    if r.random() < 0.06 and not inner.startswith(("\x01", "<div")) and "<br" not in inner:
+        article = inner  # straight in what is around it
     outer = r.choice(("", "", "<main>", "<div>", '<div id="wrapper">', '<div class="container">'))
     close = f"</{outer[1:].split()[0].rstrip('>')}>" if outer else ""
     return before + "".join(above) + outer, article, "".join(below) + close + r.choice(("</body></html>", ""))

@@ -1,6 +1,8 @@
 import base64
 import hashlib
 import re
+import time
+from collections import Counter
 
 import numpy as np
 import public_tokenizers as tokenizers
@@ -10,9 +12,10 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 from tests.llm.docs import ODD, odd_docs
+from tests.llm.layouts import LAYOUTS
 
 from spanweave.llm import bpe, extraction, language, licenses, pii, secrets, toxicity
-from spanweave.llm.dom import parse
+from spanweave.llm.dom import WIDTH, parse
 
 RANKS = tokenizers.path("byte_bpe_multi_50k.tiktoken")
 
@@ -279,24 +282,62 @@ def test_extraction_of_a_page_and_odd_pages(spark):
     assert {r.main for r in got if r.page_id in (2, 3, 7)} == {""}
 
 
+def word_counts(got, want):
+    a, b = Counter(want.split()), Counter(got.split())
+    return sum((a & b).values()), sum(b.values()), sum(a.values())
+
+
 def test_extraction_on_held_out_made_up_pages():
     model = extraction.train()
-    kept = total = common = 0
-    from spanweave.llm.sample_pages import page
-
-    for seed in range(9000, 9060):
-        nodes, label = extraction.labelled(seed)
-        html = "".join(page(seed)).replace("\x01", "").replace("\x02", "")
-        want = extraction.text_of([bool(x) for x in label], parse(html)[1]).split()
-        got = extraction.main_texts([html], model)[0].split()
-        a, b = {}, {}
-        for w in want:
-            a[w] = a.get(w, 0) + 1
-        for w in got:
-            b[w] = b.get(w, 0) + 1
-        common += sum(min(n, b.get(w, 0)) for w, n in a.items())
-        kept, total = kept + len(got), total + len(want)
-    assert common / kept > 0.95 and common / total > 0.95
+    whole, sums = 0, np.zeros(3)
+    for seed in range(90_000, 90_100):
+        html, nodes, label = extraction.labelled(seed)
+        want, got = extraction.text_of([bool(x) for x in label], parse(html)[1]), extraction.main_texts([html], model)[0]
+        whole += got == want
+        sums += word_counts(got, want)
+    assert sums[0] / sums[1] > 0.95 and sums[0] / sums[2] > 0.95 and whole >= 85
+
+
+@pytest.mark.parametrize(("name", "html", "story"), LAYOUTS)
+def test_extraction_of_layouts_not_trained_on(name, html, story):
+    got = extraction.main_texts([html], extraction.train())[0]
+    common, found, wanted = word_counts(got, story)
+    assert common == wanted and found <= 1.1 * wanted
+
+
+def test_extraction_gives_the_article_of_the_pages(spark):
+    pages = spark.read.parquet("/root/testdata/sf0.001/pages.parquet")
+    rows = pages.select("html", extraction.extractor(spark)("html").alias("got")).collect()
+    right = 0
+    for r in rows:
+        nodes, leaves = parse(r.html)
+        inside = [False] * len(nodes)
+        for i, x in enumerate(nodes):
+            inside[i] = x.tag == "article" or i > 0 and inside[x.parent]
+        right += extraction.text_of(inside, leaves) == r.got
+    assert right >= 0.99 * len(rows)
+
+
+HOSTILE = {
+    "nested": "<div>" * 100_000 + "x</p>" * 100_000, "stray ends": "<div>" * 8_000 + "</p>" * 150_000, "unclosed tags": "<a " * 300_000, "unclosed quotes": '<a "' * 200_000,
+    "quotes in turn": "<a '\" >" * 150_000 + "'", "raw without end": "<select>x" * 100_000, "inline over blocks": "<i><div>" + "<b>" * 100_000 + "</i>" * 100_000, "comments": "<!--" * 200_000,
+    "items": "<ul>" + "<li>x" * 150_000, "cells": "<table>" + "<tr><td>x" * 100_000, "signs": "<" * 1_000_000, "names": "<div class='" + "navi x " * 150_000 + "'>",
+}
+
+
+@pytest.mark.parametrize("name", HOSTILE)
+def test_extraction_of_a_megabyte_takes_linear_time(name):
+    model = extraction.train()
+    began = time.perf_counter()
+    assert isinstance(extraction.main_texts([HOSTILE[name]], model)[0], str)
+    assert time.perf_counter() - began < 20  # a square of the length would take minutes
+
+
+def test_stored_model_is_the_trained_one(spark):
+    model, rows = extraction.train(), np.random.default_rng(1).random((50, WIDTH)) * 9
+    again = extraction.stored(spark)
+    assert (again.log_odds(rows) == model.log_odds(rows)).all()
+    assert (extraction.stored(spark).log_odds(rows) == model.log_odds(rows)).all()
 
 
 def test_decoding_has_no_contradictions():
