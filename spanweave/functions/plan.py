@@ -9,12 +9,22 @@ from pyspark.sql import functions as F
 def spread(df: DataFrame, *keys: str) -> DataFrame:
     """df dealt by keys where its files give fewer tasks than there are cores; large inputs stay as they are.
 
-    A Parquet row group is one task at most, so a small table in one file would keep one core busy.
+    A Parquet row group is one task at most, so a small table in one file would keep one core busy. This is
+    layout only: rows and results are the same either way. It asks for the number of partitions when the plan
+    is made (df.rdd lists the files, nothing is read), so it belongs to scans, not to computed frames.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
     return df.repartition(cores, *keys) if df.rdd.getNumPartitions() < cores else df
 
 
+def deal(df: DataFrame, *keys: str) -> DataFrame:
+    """df dealt by keys over spark.sql.shuffle.partitions tasks, which adaptive execution does not merge.
+
+    For small rows with much work behind them: merged by bytes, they would end up in a few tasks.
+    """
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *keys)
+
+
 def barrier(df: DataFrame) -> DataFrame:
     """The same rows behind a generator of one row each.
 

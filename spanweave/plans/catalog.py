@@ -198,8 +198,7 @@ def ordered_dedup(spark, d):
 
 @query
 def weighted_template_draw(spark, d):
-    ids = table(spark, d, "orders").select(F.col("o_orderkey").alias("record_id"))
-    return templates.draw_templates(ids, derive.templates(spark, d), SEED)
+    return templates.draw_templates(derive.order_ids(spark, d), derive.templates(spark, d), SEED)
 
 
 @query
@@ -241,8 +240,7 @@ def noise_truncate(spark, d):
 @query
 def assemble(spark, d):
     """A training record for each order."""
-    ids = table(spark, d, "orders").select(F.col("o_orderkey").alias("record_id"))
-    sound, _ = build(ids, derive.templates(spark, d), derive.pools(spark, d), SEED)
+    sound, _ = build(derive.order_ids(spark, d), derive.templates(spark, d), derive.pools(spark, d), SEED)
     return sound.select("record_id", "text", F.to_json("entities").alias("entities"))
 
 

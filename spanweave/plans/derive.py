@@ -27,6 +27,7 @@ TEMPLATES = (
     ("payload: {{ \"buyer\": \"{ORG}\" }} ref {decoy:number}", 0.5),
     ("{PERSON#1} | {PERSON#2} | {ORG}", 1.0),
     ("Weather was fine, nothing was loaded ({decoy:number}).", 0.5),
+    ("Route: {ADDRESS#1} - {ADDRESS#2} - {ADDRESS#3} - {ADDRESS#4}, {decoy:neg_cue} {NEG_COMMODITY#1}, {COMMODITY#2}, {COMMODITY#3}", 0.5),
 )
 DECOYS = (
     ("number", "A-17", 1.0), ("number", "2024/55", 2.0), ("number", "no. 9", 1.0),
@@ -129,7 +130,11 @@ def pools(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pool_table(entity_pools(spark, sf_dir), decoy_pools(spark, sf_dir))
 
 
+def order_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(record_id) of every order."""
+    return spread(table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("record_id")), "record_id")
+
+
 def generated(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A synthetic record for each order."""
-    ids = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("record_id"))
-    return generate(ids, templates(spark, sf_dir), pools(spark, sf_dir), SEED)
+    return generate(order_ids(spark, sf_dir), templates(spark, sf_dir), pools(spark, sf_dir), SEED)

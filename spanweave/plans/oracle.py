@@ -6,7 +6,7 @@ import re
 
 from spanweave.functions.text import PUNCTUATION
 from spanweave.operators.coverage import CUES
-from spanweave.operators.templates import ATTEMPTS, SLOT
+from spanweave.operators.templates import SLOT
 from spanweave.plans.derive import DECOYS, KINDS, SEED, TEMPLATES
 from spanweave.schema import BUCKETS, LABELS
 
@@ -137,13 +137,14 @@ entity_pools AS (SELECT entity_type, value, count(*)::DOUBLE AS weight FROM (
 decoy_pools AS (SELECT * FROM (VALUES {", ".join(f"({sql(a)}, {sql(b)}, {w}::DOUBLE)" for a, b, w in DECOYS)}) t(slot_name, value, weight)),
 templates AS (SELECT * FROM (VALUES {", ".join(f"({sql(t)}, {w}::DOUBLE)" for t, w in TEMPLATES)}) t(template, weight)),
 pools AS (SELECT entity_type AS pool, value, weight FROM entity_pools UNION ALL SELECT 'decoy:' || slot_name, value, weight FROM decoy_pools UNION ALL SELECT 'template', template, weight FROM templates),
-cdf AS (SELECT pool, value, sum(weight) OVER (PARTITION BY pool ORDER BY value) - weight AS lo, sum(weight) OVER (PARTITION BY pool) AS total FROM pools)"""
+cdf AS (SELECT pool, value, sum(weight) OVER o - weight AS lo, sum(weight) OVER o AS hi, sum(weight) OVER (PARTITION BY pool) AS total, count(*) OVER (PARTITION BY pool) AS n
+  FROM pools WINDOW o AS (PARTITION BY pool ORDER BY md5(value)[1:3], value))"""
 
 
-def _slots() -> list[tuple]:
-    """(template, idx, before, pool, entity type, polarity, sub, nth of its type) of the example templates."""
+def _slots(templates=TEMPLATES) -> list[tuple]:
+    """(template, idx, before, pool, entity type, polarity, sub, nth of its type) of the templates."""
     out = []
-    for t, _ in TEMPLATES:
+    for t, _ in templates:
         at, seen = 0, {}
         for k, m in enumerate(re.finditer(SLOT, t)):
             kind, sub = m[1], m[3]
@@ -160,6 +161,25 @@ def _value(x: object) -> str:
     return "NULL" if x is None else sql(x) if isinstance(x, str) else str(x)
 
 
+def _rounds(templates) -> str:
+    """CTEs r1, r2, ... that draw the k-th value of a type with those before it left out; picked has them all."""
+    most = max(r[7] for r in _slots(templates))
+    look = "ASOF JOIN cdf c ON d.pool = c.pool AND d.at >= c.lo"
+    parts = [
+        f"""r1 AS (SELECT d.record_id, d.slot_idx, d.entity_type, [{{'lo': c.lo, 'hi': c.hi}}] AS used, c.value FROM
+  (SELECT t.record_id, s.*, {u(SEED, "record_id", "slot_idx")} * total AS at FROM chosen t JOIN slots s USING (template) JOIN (SELECT DISTINCT pool, total FROM cdf) USING (pool) WHERE nth = 1 OR entity_type IS NULL) d {look})"""
+    ]
+    for k in range(2, most + 1):
+        free = f"{u(SEED, 't.record_id', 's.slot_idx')} * (total - CASE WHEN {k} > n THEN 0 ELSE list_sum(list_transform(p.used, lambda x: x.hi - x.lo)) END)"
+        steps = f"list_reduce(list_prepend({{'lo': {free}, 'hi': 0::DOUBLE}}, CASE WHEN {k} > n THEN [] ELSE list_sort(p.used) END), lambda a, x: {{'lo': CASE WHEN a.lo >= x.lo THEN greatest(a.lo + (x.hi - x.lo), x.hi) ELSE a.lo END, 'hi': 0::DOUBLE}}).lo"
+        parts.append(
+            f"""r{k} AS (SELECT d.record_id, d.slot_idx, d.entity_type, list_append(d.used, {{'lo': c.lo, 'hi': c.hi}}) AS used, c.value FROM
+  (SELECT t.record_id, s.*, p.used, {steps} AS at FROM chosen t JOIN slots s USING (template) JOIN r{k - 1} p ON p.record_id = t.record_id AND p.entity_type = s.entity_type
+   JOIN (SELECT DISTINCT pool, total, n FROM cdf) z ON z.pool = s.pool WHERE nth = {k}) d {look})"""
+        )
+    return ",\n".join(parts) + ",\npicked AS (" + " UNION ALL ".join(f"SELECT record_id, slot_idx, value FROM r{k}" for k in range(1, most + 1)) + ")"
+
+
 SLOTS = f"""
 slots AS (SELECT * FROM (VALUES {", ".join("(" + ", ".join(map(_value, r)) + ")" for r in _slots())}) t(template, slot_idx, before, pool, entity_type, polarity, sub, nth))"""
 DRAWN = (
@@ -173,14 +193,7 @@ FILLED = (
     + ","
     + SLOTS
     + f""",
-tries AS (SELECT record_id, s.*, a AS attempt, {u(SEED, "record_id", "slot_idx", "a")} AS x FROM chosen JOIN slots s USING (template), range({ATTEMPTS}) r(a)
-  WHERE s.pool IS NOT NULL AND (a = 0 OR entity_type IS NOT NULL)),
-drew AS (SELECT d.record_id, d.slot_idx, d.entity_type, d.nth, d.attempt, c.value FROM (SELECT t.*, x * total AS at FROM tries t JOIN (SELECT DISTINCT pool, total FROM cdf) USING (pool)) d
-  ASOF JOIN cdf c ON d.pool = c.pool AND d.at >= c.lo),
-one AS (SELECT * FROM drew WHERE (nth = 1 OR entity_type IS NULL) AND attempt = 0),
-two AS (SELECT d.record_id, d.slot_idx, coalesce(arg_min(d.value, d.attempt) FILTER (WHERE d.value <> o.value), arg_max(d.value, d.attempt)) AS value
-  FROM drew d JOIN one o ON o.record_id = d.record_id AND o.entity_type = d.entity_type WHERE d.nth = 2 GROUP BY d.record_id, d.slot_idx),
-picked AS (SELECT record_id, slot_idx, value FROM one UNION ALL SELECT * FROM two),
+{_rounds(TEMPLATES)},
 pieces AS (SELECT record_id, s.*, coalesce(value, '') AS value FROM chosen JOIN slots s USING (template) LEFT JOIN picked USING (record_id, slot_idx)),
 placed AS (SELECT *, (sum(length(before) + length(value)) OVER (PARTITION BY record_id ORDER BY slot_idx) - length(value))::BIGINT AS s FROM pieces),
 made AS (SELECT record_id, any_value(template) AS template, string_agg(before || value, '' ORDER BY slot_idx) AS text FROM placed GROUP BY record_id),

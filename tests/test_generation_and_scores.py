@@ -59,6 +59,30 @@ def test_weighted_draw_follows_the_weights(spark, made):
     assert got == {"v000": 500, "v001": 50, "v002": 25, "v003": 400, "v004": 25}
 
 
+def test_values_of_a_type_are_drawn_without_replacement(spark):
+    forms = pool_source.in_memory(spark, "templates", [(" ".join(f"{{PERSON#{k}}}" for k in range(20)), 1.0), ("{ORG#1} {NEG_ORG#2} {ORG#3} {ORG#4} {ORG#5}", 1.0)])
+    people = [("PERSON", f"p{k:02d}", 1000.0 if k == 7 else 1.0) for k in range(40)]
+    pools = pool_source.in_memory(spark, "entity_pools", [*people, *(("ORG", f"o{k}", w) for k, w in enumerate((3.0, 1.0, 1.0)))])
+    rows = templates.generate(spark.range(3000).withColumnRenamed("id", "record_id"), forms, pools.withColumnRenamed("entity_type", "pool"), 5).collect()
+    long = [[e.text for e in r.entities] for r in rows if len(r.entities) == 20]
+    assert long and all(len(set(v)) == 20 for v in long)
+    assert sum("p07" == v[0] for v in long) > 0.9 * len(long)
+    others = Counter(x for v in long for x in v if x != "p07")
+    assert len(others) == 39 and max(others.values()) < 1.4 * min(others.values())
+    short = [[e.text for e in r.entities] for r in rows if len(r.entities) == 5]
+    assert all(len(set(v[:3])) == 3 for v in short) and {x for v in short for x in v[3:]} == {"o0", "o1", "o2"}
+    want = {"o0": {"o1": 0.3, "o2": 0.3}, "o1": {"o0": 0.15, "o2": 0.05}, "o2": {"o0": 0.15, "o1": 0.05}}
+    pairs = Counter(tuple(v[:2]) for v in short)
+    assert all(abs(pairs[a, b] / len(short) - share) < 0.03 for a, told in want.items() for b, share in told.items())
+
+
+def test_a_slot_without_values_is_an_error(spark):
+    forms = pool_source.in_memory(spark, "templates", [("{ORG} {decoy:none}", 1.0)])
+    pools = spark.createDataFrame([("ORG", "o", 1.0)], "pool string, value string, weight double")
+    with pytest.raises(Exception, match="decoy:none"):
+        templates.generate(spark.range(3).withColumnRenamed("id", "record_id"), forms, pools, 5).collect()
+
+
 def test_missing_pools_are_named(spark):
     forms = pool_source.in_memory(spark, "templates", FORMS)
     pools = pool_source.pool_table(pool_source.in_memory(spark, "entity_pools", ENTITIES[2:]), pool_source.in_memory(spark, "decoy_pools", DECOYS[1:]))
