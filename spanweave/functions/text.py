@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -16,7 +17,8 @@ MAPPED_SPACES = "".join(map(chr, (0x09, 0x0B, 0x0C, 0x0D, 0xA0, 0x2007, 0x202F,
 SPACES = r" \t\n\r\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
 RARE_SPACES = r"\x0b\x0c\x1c-\x1f"
 CONTROLS = r"[\x00-\x08\x0b\x0c\x0e-\x1f\x7f]"
-PUNCTUATION = ",.;:!?-|" + chr(0x2014)
+# The punctuation that noise drops; the last one is the em dash.
+PUNCTUATION = ",.;:!?-|\u2014"
 
 
 @dataclass(frozen=True)
@@ -58,32 +60,47 @@ def has_text(text: Column) -> Column:
 
 
 _WHITE = np.array([0x20, 0x09, 0x0A, 0x0D, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000], np.uint32)
-_GONE = np.array([*(c for c in range(0x20) if c not in (0x09, 0x0A, 0x0D)), 0x7F, *map(ord, ZERO_WIDTH)], np.uint32)
+_RARE = np.array([0x0B, 0x0C, *range(0x1C, 0x20)], np.uint32)
+_CONTROL = np.array([*(c for c in range(0x20) if c not in (0x09, 0x0A, 0x0D)), 0x7F], np.uint32)
+_ZERO_WIDTH = np.array([*map(ord, ZERO_WIDTH)], np.uint32)
 
 
-def places(text: str) -> np.ndarray:
-    """For each position of the cleaned text (default switches) the position it comes from.
+def places(text: str, config: CleanConfig = DEFAULT) -> np.ndarray:
+    """For each position of the cleaned text the position it comes from; NFC is not looked at.
 
     A run of white space, also one broken by characters that go, keeps its first character.
     """
     codes = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
-    alive = np.flatnonzero(~np.isin(codes, _GONE))
-    white = np.isin(codes[alive], _WHITE)
-    kept = ~(white & np.r_[True, white[:-1]]) if len(alive) else white
-    alive, white = alive[kept], white[kept]
-    return alive[:-1] if len(alive) and white[-1] else alive
-
-
-@F.arrow_udf(T.ArrayType(T.IntegerType()))
-def _char_map(texts: pa.Array) -> pa.Array:
-    made = [places(t or "") for t in texts.to_pylist()]
-    ends = np.cumsum([0, *map(len, made)])
-    return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate(made).astype(np.int32) if made else np.zeros(0, np.int32)))
-
-
-def char_map(text: Column) -> Column:
+    gone = np.zeros(len(codes), bool)
+    if config.strip_zero_width:
+        gone |= np.isin(codes, _ZERO_WIDTH)
+    if config.strip_control_chars:
+        gone |= np.isin(codes, _CONTROL)
+    alive = np.flatnonzero(~gone)
+    white = np.isin(codes[alive], _WHITE) | np.isin(codes[alive], _RARE)
+    if config.collapse_whitespace and len(alive):
+        kept = ~(white & np.r_[False, white[:-1]])
+        alive, white = alive[kept], white[kept]
+    if config.trim:
+        solid = np.flatnonzero(~white)
+        alive = alive[solid[0] : solid[-1] + 1] if len(solid) else alive[:0]
+    return alive
+
+
+@cache
+def _char_map(config: CleanConfig):
+    @F.arrow_udf(T.ArrayType(T.IntegerType()))
+    def run(texts: pa.Array) -> pa.Array:
+        made = [places(t or "", config) for t in texts.to_pylist()]
+        ends = np.cumsum([0, *map(len, made)])
+        return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate(made).astype(np.int32) if made else np.zeros(0, np.int32)))
+
+    return run
+
+
+def char_map(text: Column, config: CleanConfig = DEFAULT) -> Column:
     """places() as a column. In Arrow batches: arrays of a text's length are slow in interpreted SQL lambdas."""
-    return _char_map(text)
+    return _char_map(config)(text)
 
 
 def lower_in_place(text: Column) -> Column:

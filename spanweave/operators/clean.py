@@ -49,23 +49,23 @@ def nfc_with_places(texts: pa.Array) -> pa.Array:
 def with_char_map(records: DataFrame, config: CleanConfig = DEFAULT) -> DataFrame:
     """records(text) with clean_text and char_map: from positions of the cleaned to those of the given text."""
     if not config.nfc_normalize:
-        return records.withColumn("clean_text", clean(F.col("text"), config)).withColumn("char_map", char_map(F.col("text")))
+        return records.withColumn("clean_text", clean(F.col("text"), config)).withColumn("char_map", char_map(F.col("text"), config))
     composed = records.withColumn("__nfc", nfc_with_places("text")).withColumn("clean_text", clean(F.col("__nfc.text"), config))
-    return composed.withColumn("char_map", F.transform(char_map(F.col("__nfc.text")), lambda i: F.get("__nfc.places", i))).drop("__nfc")
+    return composed.withColumn("char_map", F.transform(char_map(F.col("__nfc.text"), config), lambda i: F.get("__nfc.places", i))).drop("__nfc")
 
 
-def clean_and_project(records: DataFrame) -> DataFrame:
+def clean_and_project(records: DataFrame, config: CleanConfig = DEFAULT) -> DataFrame:
     """Records with cleaned text; entities and protected ranges move along, those without a surviving character go.
 
     Records that become empty go.
     """
     none = F.array().cast(_SPAN_TYPE)
     spans = F.transform("entities", lambda e: F.struct(e["start"].alias("start"), e["end"].alias("end")))
-    mapped = records.filter(has_text(F.col("text"))).withColumn("__map", char_map(F.col("text")))
-    moved = mapped.withColumn("__spans", project_to_clean("__map", F.length("text"), spans)).withColumn(
-        "__cues", project_to_clean("__map", F.length("text"), F.coalesce("meta.preserve_spans", none))
+    mapped = with_char_map(records.filter(has_text(F.col("text"))) if config == DEFAULT else records, config)
+    moved = mapped.withColumn("__spans", project_to_clean("char_map", F.length("text"), spans)).withColumn(
+        "__cues", project_to_clean("char_map", F.length("text"), F.coalesce("meta.preserve_spans", none))
     )
-    ready = barrier(moved.drop("__map").withColumn("text", clean(F.col("text"))))
+    ready = barrier(moved.drop("char_map", "text").withColumnRenamed("clean_text", "text")).filter(F.length("text") > 0)
     kept = F.filter(F.arrays_zip("entities", F.col("__spans").alias("span")), lambda x: x["span"].isNotNull())
     entity = lambda x: x["entities"].withField("start", x["span"]["start"]).withField("end", x["span"]["end"]).withField(
         "text", span_text(F.col("text"), x["span"]["start"], x["span"]["end"])
@@ -78,6 +78,16 @@ _SPAN_TYPE = "array<struct<start:int,end:int>>"
 _SPANS = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))
 
 
+def project_to_original(char_map, size, spans):
+    """Cleaned spans to original ones: their first and last character's places; null where a span is empty or out of range.
+
+    size, the length of the original, is not needed; it is there to match project_to_clean.
+    """
+    table = F.col(char_map) if isinstance(char_map, str) else char_map
+    sound = lambda s: (s["start"] >= 0) & (s["start"] < s["end"]) & (s["end"] <= F.size(table))
+    return F.transform(spans, lambda s: F.when(sound(s), F.struct(F.get(table, s["start"]).cast("int").alias("start"), (F.get(table, s["end"] - 1) + 1).cast("int").alias("end"))))
+
+
 def _projection(move):
     """A UDF of (char_map, length of the original, spans) that moves all spans of a row at once."""
 
@@ -95,12 +105,6 @@ def _projection(move):
     return project
 
 
-def _to_original(table: np.ndarray, size: int, span: dict | None) -> dict | None:
-    if span is None or not 0 <= span["start"] < span["end"] <= len(table):
-        return None
-    return {"start": int(table[span["start"]]), "end": int(table[span["end"] - 1]) + 1}
-
-
 def _to_clean(table: np.ndarray, size: int, span: dict | None) -> dict | None:
     if span is None:
         return None
@@ -108,7 +112,5 @@ def _to_clean(table: np.ndarray, size: int, span: dict | None) -> dict | None:
     return {"start": int(a), "end": int(b)} if a < b else None
 
 
-#: Cleaned spans to original ones; null where a span is empty or out of range.
-project_to_original = _projection(_to_original)
 #: Original spans to cleaned ones: first and last surviving character; null where none survives.
 project_to_clean = _projection(_to_clean)

@@ -13,8 +13,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from spanweave.functions.text import DEFAULT, CleanConfig, char_map, clean
-from spanweave.operators.clean import project_to_original
+from spanweave.functions.text import DEFAULT, CleanConfig
+from spanweave.operators.clean import project_to_original, with_char_map
 from spanweave.operators.tokens import bio_decode, gated_label, softmax, whitespace_tokens
 from spanweave.schema import LABELS, MAX_CHARS, MAX_TOKENS
 
@@ -57,13 +57,14 @@ def predict(records: DataFrame, make_scorer: Callable[[], Scorer], thresholds: l
 
     Serving takes the first MAX_CHARS characters of a text, cleans them, and scores what is not empty.
     """
-    cut = records.select("record_id", F.substring(F.coalesce("text", F.lit("")), 1, MAX_CHARS).alias("raw"))
-    ready = cut.select("record_id", "raw", clean(F.col("raw"), config).alias("text")).filter(F.length("text") > 0)
+    cut = records.select("record_id", F.substring(F.coalesce("text", F.lit("")), 1, MAX_CHARS).alias("text"))
+    mapped = with_char_map(cut, config).withColumnRenamed("text", "raw")
+    ready = mapped.select("record_id", F.col("clean_text").alias("text")).filter(F.length("text") > 0)
     probs = score_tokens(whitespace_tokens(ready), make_scorer)
     labels = probs.withColumn("label_id", gated_label(F.col("probs"), thresholds or [0.0] * len(LABELS)))
     found = bio_decode(labels.select("record_id", "tok_idx", "c0", "c1", "label_id")).groupBy("record_id").agg(F.array_sort(F.collect_list(F.struct("start", "end", "type", "polarity"))).alias("spans"))
-    placed = cut.join(found, "record_id", "left")
-    moved = placed.withColumn("moved", project_to_original(char_map(F.col("raw")), F.length("raw"), F.transform("spans", lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end")))))
+    placed = mapped.select("record_id", "raw", "char_map").join(found, "record_id", "left")
+    moved = placed.withColumn("moved", project_to_original("char_map", F.length("raw"), F.transform("spans", lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end")))))
     entity = lambda x: F.struct(
         x["spans"]["type"].alias("type"),
         F.substring(F.col("raw"), x["moved"]["start"] + 1, x["moved"]["end"] - x["moved"]["start"]).alias("text"),

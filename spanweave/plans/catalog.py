@@ -76,6 +76,17 @@ def char_map_digest(spark, d):
     return m.select("record_id", F.size("m").cast("bigint").alias("n"), F.md5(F.array_join(F.transform("m", lambda x: x.cast("string")), ",")).alias("map_md5"))
 
 
+@query
+def char_map_switches(spark, d):
+    """Cleaned text and map, each switch off by itself, and all of them."""
+    r = derive.records(spark, d).select("record_id", "raw")
+    made = [F.struct(F.lit(k).alias("switches"), char_map(F.col("raw"), c).alias("m"), clean(F.col("raw"), c).alias("text")) for k, c in derive.SWITCHES.items()]
+    m = r.select("record_id", F.inline(F.array(*made)))
+    return m.select(
+        "record_id", "switches", F.size("m").cast("bigint").alias("n"), F.md5(F.array_join(F.transform("m", lambda x: x.cast("string")), ",")).alias("map_md5"), F.md5("text").alias("text_md5")
+    )
+
+
 @query
 def ws_tokens(spark, d):
     return derive.tokens(spark, d)

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from spanweave.functions.hashing import bucket, uniform
 from spanweave.functions.plan import spread
-from spanweave.functions.text import clean
+from spanweave.functions.text import CleanConfig, clean
 from spanweave.operators.templates import generate
 from spanweave.operators.tokens import bio_encode, whitespace_tokens
 from spanweave.sources.pools import in_memory, pool_table
@@ -35,6 +35,11 @@ DECOYS = (
     ("contrast_cue", ", only", 1.0), ("contrast_cue", "; instead", 1.0),
 )
 SEED = 42
+# Cleaning with one switch off, and with all off.
+SWITCHES = {
+    "no_trim": CleanConfig(trim=False), "no_collapse": CleanConfig(collapse_whitespace=False), "no_control": CleanConfig(strip_control_chars=False),
+    "no_zero_width": CleanConfig(strip_zero_width=False), "bare": CleanConfig(collapse_whitespace=False, normalize_whitespace=False, trim=False), "none": CleanConfig(False, False, False, False, False),
+}
 KINDS = (("PERSON", "POS"), ("ORG", "POS"), ("ADDRESS", "POS"), ("COMMODITY", "POS"), ("COMMODITY", "NEG"))
 
 

@@ -7,7 +7,7 @@ import re
 from spanweave.functions.text import PUNCTUATION
 from spanweave.operators.coverage import CUES
 from spanweave.operators.templates import SLOT
-from spanweave.plans.derive import DECOYS, KINDS, SEED, TEMPLATES
+from spanweave.plans.derive import DECOYS, KINDS, SEED, SWITCHES, TEMPLATES
 from spanweave.schema import BUCKETS, LABELS
 
 _Z = r"[\x{200b}\x{200c}\x{200d}\x{2060}\x{feff}\x{ad}]"
@@ -43,7 +43,7 @@ TOKENS = (
     RECORDS
     + """,
 words AS (SELECT record_id, unnest(w) AS token, unnest(range(len(w))) AS tok_idx FROM (SELECT record_id, string_split(text, ' ') AS w FROM records)),
-tok AS (SELECT record_id, tok_idx, c0, c0 + length(token) AS c1, token FROM (SELECT *, coalesce(sum(length(token) + 1) OVER
+tok AS MATERIALIZED (SELECT record_id, tok_idx, c0, c0 + length(token) AS c1, token FROM (SELECT *, coalesce(sum(length(token) + 1) OVER
   (PARTITION BY record_id ORDER BY tok_idx ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS c0 FROM words) WHERE length(token) > 0)"""
 )
 GOLD = (
@@ -52,7 +52,7 @@ GOLD = (
 drawn AS (SELECT *, {h("'ent'", "record_id", "tok_idx")} % 20 AS k FROM tok),
 runs AS (SELECT *, sum(fresh) OVER (PARTITION BY record_id ORDER BY tok_idx) AS run FROM
   (SELECT *, CASE WHEN k IS DISTINCT FROM lag(k) OVER (PARTITION BY record_id ORDER BY tok_idx) THEN 1 ELSE 0 END AS fresh FROM drawn)),
-gold AS (SELECT record_id, min(c0) AS s, max(c1) AS e, {_list(t for t, _ in KINDS)}[min(k) + 1] AS type, CASE WHEN min(k) = 4 THEN 'NEG' ELSE 'POS' END AS polarity,
+gold AS MATERIALIZED (SELECT record_id, min(c0) AS s, max(c1) AS e, {_list(t for t, _ in KINDS)}[min(k) + 1] AS type, CASE WHEN min(k) = 4 THEN 'NEG' ELSE 'POS' END AS polarity,
   string_agg(token, ' ' ORDER BY tok_idx) AS text FROM runs WHERE k < 5 GROUP BY record_id, run)"""
 )
 OVER = (
@@ -73,13 +73,17 @@ _LABELS = _list(LABELS)
 
 
 def encoded(spans: str, name: str) -> str:
-    """A CTE of tokens with label_id from a CTE of spans."""
+    """A CTE of tokens with label_id from a CTE of spans; tokens meet spans by stretches of 64 characters, not by record."""
     return f"""
-{name} AS (SELECT t.record_id, t.tok_idx, t.c0, t.c1, coalesce(list_position({_LABELS}, b.label) - 1, 0)::BIGINT AS label_id FROM tok t LEFT JOIN (
-  SELECT record_id, tok_idx, arg_max(CASE WHEN nth = 1 THEN 'B-' ELSE 'I-' END || name, o) AS label FROM (
-    SELECT t.record_id, tok_idx, {_NAME} AS name, row_number() OVER (PARTITION BY t.record_id, s, e, type, polarity ORDER BY tok_idx) AS nth,
-      row_number() OVER (PARTITION BY t.record_id, tok_idx ORDER BY s, e, type, polarity) AS o
-    FROM tok t JOIN {spans} g ON g.record_id = t.record_id AND c0 < e AND c1 > s) GROUP BY record_id, tok_idx) b USING (record_id, tok_idx))"""
+{name}_t AS MATERIALIZED (SELECT record_id, tok_idx, c0, c1, unnest(range(c0 // 64, (c1 - 1) // 64 + 1)) AS cell FROM tok),
+{name}_s AS MATERIALIZED (SELECT *, unnest(range((s // 64)::BIGINT, ((e - 1) // 64 + 1)::BIGINT)) AS cell FROM {spans}),
+{name}_p AS MATERIALIZED (SELECT t.record_id, tok_idx, s, e, type, polarity FROM {name}_t t JOIN {name}_s g ON g.record_id = t.record_id AND g.cell = t.cell
+  WHERE c0 < e AND c1 > s AND t.cell = greatest(c0, s) // 64),
+{name}_b AS MATERIALIZED (SELECT record_id, tok_idx, arg_max(CASE WHEN nth = 1 THEN 'B-' ELSE 'I-' END || name, o) AS label FROM (
+  SELECT record_id, tok_idx, {_NAME} AS name, row_number() OVER (PARTITION BY record_id, s, e, type, polarity ORDER BY tok_idx) AS nth,
+    row_number() OVER (PARTITION BY record_id, tok_idx ORDER BY s, e, type, polarity) AS o FROM {name}_p) GROUP BY record_id, tok_idx),
+{name} AS MATERIALIZED (SELECT t.record_id, t.tok_idx, t.c0, t.c1, coalesce(list_position({_LABELS}, b.label) - 1, 0)::BIGINT AS label_id
+  FROM tok t LEFT JOIN {name}_b b ON b.record_id = t.record_id AND b.tok_idx = t.tok_idx)"""
 
 
 def decoded(labels: str, name: str, strict: bool = False, key: str = "record_id") -> str:
@@ -216,8 +220,13 @@ kinds AS (SELECT record_id, i, CASE WHEN regexp_matches(c, '^"""
     + """') THEN 0 ELSE 2 END AS k FROM codes),
 alive AS (SELECT *, lag(k, 1, 1) OVER (PARTITION BY record_id ORDER BY i) AS p FROM kinds WHERE k > 0),
 kept AS (SELECT *, row_number() OVER (PARTITION BY record_id ORDER BY i DESC) AS r FROM alive WHERE NOT (k = 1 AND p = 1)),
-map AS (SELECT record_id, i, row_number() OVER (PARTITION BY record_id ORDER BY i) - 1 AS n FROM kept WHERE NOT (r = 1 AND k = 1))"""
+map AS MATERIALIZED (SELECT record_id, i, row_number() OVER (PARTITION BY record_id ORDER BY i) - 1 AS n FROM kept WHERE NOT (r = 1 AND k = 1))"""
 )
+#: Gold spans in original coordinates: both ends are looked up in one join with the map.
+_MOVED = f"""{GOLD}, {MAP.replace(RECORDS + ",", "").lstrip()},
+ends AS MATERIALIZED (SELECT record_id, s, e, s AS n, TRUE AS first FROM gold UNION ALL SELECT record_id, s, e, e - 1, FALSE FROM gold),
+moved AS MATERIALIZED (SELECT ends.record_id, s, e, min(i) FILTER (WHERE first) AS "start", min(i) FILTER (WHERE NOT first) + 1 AS "end"
+  FROM ends JOIN map ON map.record_id = ends.record_id AND map.n = ends.n GROUP BY ALL)"""
 _LEN = "CASE WHEN n <= 3 THEN 'XS' WHEN n <= 10 THEN 'S' WHEN n <= 25 THEN 'M' WHEN n <= 60 THEN 'L' WHEN n <= 120 THEN 'XL' ELSE 'XXL' END"
 _TOKEN_SET = "list_sort(list_distinct(list_filter(string_split(lower({0}), ' '), lambda t: t <> '')))"
 _PER = """
@@ -225,6 +234,27 @@ per AS (SELECT r.record_id, count(g.s) AS n, count(*) FILTER (WHERE type = 'COMM
   FROM records r LEFT JOIN gold g USING (record_id) GROUP BY r.record_id)"""
 
 
+def _switched() -> str:
+    """The map and the cleaned text for each set of switches, character by character."""
+    rare, mapped = "^[\\x0b\\x0c\\x1c-\\x1f]", "^[\\t\\x0b\\x0c\\r\\x{a0}\\x{2007}\\x{202f}\\x{3000}]"
+    one = []
+    for name, c in SWITCHES.items():
+        gone = " OR ".join([*(["z"] if c.strip_zero_width else []), *(["ctl"] if c.strip_control_chars else []), "FALSE"])
+        shown = "CASE WHEN w THEN ' ' ELSE c END" if c.collapse_whitespace else "CASE WHEN mapped THEN ' ' ELSE c END" if c.normalize_whitespace else "c"
+        run = "w AND coalesce(lag(w) OVER o, FALSE)" if c.collapse_whitespace else "FALSE"
+        inside = "(left_ok AND right_ok)" if c.trim else "TRUE"
+        one.append(f"""SELECT record_id, '{name}' AS switches, i, shown FROM (SELECT *, {shown} AS shown, {run} AS again,
+  bool_or(NOT w) OVER (PARTITION BY record_id ORDER BY i) AS left_ok, bool_or(NOT w) OVER (PARTITION BY record_id ORDER BY i DESC) AS right_ok
+  FROM flags WHERE NOT ({gone}) WINDOW o AS (PARTITION BY record_id ORDER BY i)) WHERE NOT again AND {inside}""")
+    return f"""WITH {RECORDS},
+codes AS (SELECT record_id, unnest(c) AS c, unnest(range(len(c))) AS i FROM (SELECT record_id, string_split(raw, '') AS c FROM records WHERE raw <> '')),
+flags AS (SELECT record_id, i, c, regexp_matches(c, '^{_W}') OR regexp_matches(c, '{rare}') AS w, regexp_matches(c, '{_Z}') AS z, regexp_matches(c, '{_C}') AS ctl, regexp_matches(c, '{mapped}') AS mapped FROM codes),
+every AS ({" UNION ALL ".join(one)}),
+told AS (SELECT record_id, switches, count(*) AS n, md5(string_agg(i::VARCHAR, ',' ORDER BY i)) AS map_md5, md5(string_agg(shown, '' ORDER BY i)) AS text_md5 FROM every GROUP BY ALL)
+SELECT record_id, switches, coalesce(n, 0) AS n, coalesce(map_md5, md5('')) AS map_md5, coalesce(text_md5, md5('')) AS text_md5
+FROM records CROSS JOIN (SELECT unnest({_list(SWITCHES)}) AS switches) LEFT JOIN told USING (record_id, switches)"""
+
+
 def _cues() -> str:
     tests = []
     for c in CUES:
@@ -274,14 +304,15 @@ def texts() -> dict[str, str]:
         "truncate_input": f"WITH c AS (SELECT doc_id AS record_id, {clean('substr(coalesce(text, chr(32)), 1, 500)')} AS text FROM documents) SELECT * FROM c WHERE text <> ''",
         "content_hash_dups": f"WITH {RECORDS} SELECT sha256(text) AS content_hash, count(*) AS n, min(record_id) AS first_id, count(DISTINCT split) AS splits FROM records GROUP BY 1 HAVING count(*) > 1",
         "char_map": f"WITH {MAP} SELECT r.record_id, count(i) AS n, md5(coalesce(string_agg(i::VARCHAR, ',' ORDER BY i), '')) AS map_md5 FROM records r LEFT JOIN map USING (record_id) GROUP BY r.record_id",
+        "char_map_switches": _switched(),
         "ws_tokens": f"WITH {TOKENS} SELECT record_id, tok_idx, c0, c1, token FROM tok",
         "bio_encode": f"WITH {OVER}, {encoded('spans', 'lab')} SELECT record_id, tok_idx, c0, c1, label_id FROM lab",
         "bio_decode_lenient": f'WITH {BROKEN}, {decoded("odd", "dec")} SELECT record_id, s AS start, e AS "end", type, polarity FROM dec',
         "bio_decode_strict": f'WITH {BROKEN}, {decoded("odd", "dec", strict=True)} SELECT record_id, s AS start, e AS "end", type, polarity FROM dec',
-        "project_to_original": f"""WITH {GOLD}, {MAP.replace(RECORDS + ",", "").lstrip()} SELECT g.record_id, g.s AS clean_start, g.e AS clean_end, a.i AS start, b.i + 1 AS "end"
-  FROM gold g JOIN map a ON a.record_id = g.record_id AND a.n = g.s JOIN map b ON b.record_id = g.record_id AND b.n = g.e - 1""",
-        "project_to_clean": f"""WITH {GOLD}, {MAP.replace(RECORDS + ",", "").lstrip()}, o AS (SELECT g.record_id, a.i AS s, b.i + 2 AS e FROM gold g JOIN map a ON a.record_id = g.record_id AND a.n = g.s
-  JOIN map b ON b.record_id = g.record_id AND b.n = g.e - 1) SELECT o.record_id, o.s AS raw_start, o.e AS raw_end, min(n) AS start, max(n) + 1 AS "end" FROM o JOIN map m ON m.record_id = o.record_id AND o.s <= m.i AND m.i < o.e GROUP BY ALL""",
+        "project_to_original": f"""WITH {_MOVED} SELECT record_id, s AS clean_start, e AS clean_end, "start", "end" FROM moved""",
+        "project_to_clean": f"""WITH {_MOVED}, o AS (SELECT DISTINCT record_id, "start" AS s, "end" + 1 AS e FROM moved),
+  b AS MATERIALIZED (SELECT o.*, unnest(range(s // 256, (e - 1) // 256 + 1)) AS cell FROM o), m AS MATERIALIZED (SELECT *, i // 256 AS cell FROM map)
+  SELECT b.record_id, b.s AS raw_start, b.e AS raw_end, min(n) AS start, max(n) + 1 AS "end" FROM b JOIN m ON m.record_id = b.record_id AND m.cell = b.cell WHERE b.s <= m.i AND m.i < b.e GROUP BY ALL""",
         "span_eval": f"WITH {PRED}, {matches('pred')} SELECT bucket, round(precision, 9) AS precision, round(recall, 9) AS recall, round(f1, 9) AS f1, support, pred_count FROM report",
         "macro_f1": f"WITH {PRED}, {matches('pred')} SELECT round(coalesce(avg(f1) FILTER (WHERE support > 0), 0), 9) AS macro_f1 FROM report WHERE bucket <> 'micro'",
         "label_support": f"WITH {GOLD} SELECT label, count(g.s) AS support FROM (SELECT unnest({_LABELS}) AS label) LEFT JOIN gold g ON label = 'B-' || {_NAME} GROUP BY label",

@@ -239,6 +239,9 @@ def test_serving_path(spark):
     got = {r.record_id: r.entities for r in infer.predict(spark.createDataFrame(rows, "record_id bigint, text string"), infer.toy_scorer).collect()}
     assert got[1] == got[3] == got[4] == []
     assert [(e.type, e.text, e.start) for e in got[2]] == [("PERSON", "Ada", 2), ("COMMODITY", "9t", 15)]
+    for config in (CleanConfig(trim=False), CleanConfig(collapse_whitespace=False), CleanConfig(trim=False, collapse_whitespace=False), CleanConfig(nfc_normalize=True)):
+        again = infer.predict(spark.createDataFrame(rows, "record_id bigint, text string"), infer.toy_scorer, config=config).filter("record_id = 2").first().entities
+        assert [(e.type, e.text, e.start) for e in again] == [("PERSON", "Ada", 2), ("COMMODITY", "9t", 15)]
 
 
 def test_reports(spark):

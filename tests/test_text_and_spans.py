@@ -9,7 +9,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from spanweave.functions.text import ZERO_WIDTH, CleanConfig, char_map, clean
-from spanweave.operators.clean import clean_records, project_to_clean, project_to_original, with_char_map
+from spanweave.operators.clean import clean_and_project, clean_records, project_to_clean, project_to_original, with_char_map
 from spanweave.operators.records import (
     duplicate_keys,
     from_json,
@@ -29,23 +29,29 @@ WHITE = {0x20, 9, 10, 13, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x
 ALPHABET = list("ab A.,") + [chr(c) for c in (9, 10, 11, 12, 13, 0x1C, 0x1F, 0x7F, 0x85, 0xA0, 0x200B, 0xFEFF, 0xAD, 0x2003, 0x3000, 0x130, 0x1F600, 0xE9)]
 
 
-def plain_clean(text):
+def plain_clean(text, config=CleanConfig()):
     """(text, positions) one character at a time."""
-    out, places = [], []
+    rare = {0x0B, 0x0C, *range(0x1C, 0x20)}
+    out, places, before = [], [], False
     for i, c in enumerate(text):
         o = ord(c)
-        if c in ZERO_WIDTH or o == 0x7F or (o < 32 and c not in "\t\n\r"):
+        if config.strip_zero_width and c in ZERO_WIDTH or config.strip_control_chars and (o == 0x7F or (o < 32 and c not in "\t\n\r")):
             continue
-        if o in WHITE:
-            if out and out[-1] == " ":
+        white = o in WHITE or o in rare
+        if config.collapse_whitespace and white:
+            if before:
                 continue
             c = " "
+        elif config.normalize_whitespace and o in (9, 0x0B, 0x0C, 0x0D, 0xA0, 0x2007, 0x202F, 0x3000):
+            c = " "
+        before = white
         out.append(c)
         places.append(i)
-    while out and out[0] == " ":
+    blank = lambda c: ord(c) in WHITE or ord(c) in rare
+    while config.trim and out and blank(out[0]):
         out.pop(0)
         places.pop(0)
-    while out and out[-1] == " ":
+    while config.trim and out and blank(out[-1]):
         out.pop()
         places.pop()
     return "".join(out), places
@@ -65,6 +71,27 @@ def test_clean_and_map_match_the_loop(spark):
         assert (row.c, row.m) == plain_clean(texts[row.i])
 
 
+def test_clean_and_map_under_every_switch(spark):
+    r = random.Random(2)
+    texts = [" a  b ", *TEXTS] + ["".join(r.choices(ALPHABET, k=r.randint(0, 30))) for _ in range(60)]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, text string")
+    for bits in range(32):
+        config = CleanConfig(*(bool(bits >> k & 1) for k in range(5)))
+        for row in with_char_map(df, config).collect():
+            assert (row.clean_text, row.char_map) == plain_clean(texts[row.i], config), (config, texts[row.i])
+
+
+def test_projection_of_records_under_switches(spark):
+    text = "  Ada" + chr(0x200B) + "  ships   9 t "
+    row = (1, text, [("PERSON", "Ada", 2, 5, "POS"), ("COMMODITY", "9 t", 16, 19, "POS")], (None, [(8, 13)], []))
+    for config in (CleanConfig(), CleanConfig(trim=False), CleanConfig(collapse_whitespace=False), CleanConfig(False, False, False, False, False), CleanConfig(nfc_normalize=True)):
+        got = clean_and_project(spark.createDataFrame([row], RECORD), config).first()
+        assert got.text == plain_clean(text, config)[0]
+        assert [got.text[e.start : e.end] for e in got.entities] == [e.text for e in got.entities] == ["Ada", "9 t"]
+        assert [got.text[p.start : p.end] for p in got.meta.preserve_spans] == ["ships"]
+    assert clean_and_project(spark.createDataFrame([(2, " " + chr(0x200B), [], (None, [], []))], RECORD)).count() == 0
+
+
 @given(st.lists(st.text(st.sampled_from(ALPHABET), max_size=30), min_size=1, max_size=30))
 @settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 def test_clean_twice_is_clean_once(spark, texts):
@@ -86,7 +113,7 @@ def test_projection_both_ways(spark):
     raw = "  Maria  Gonzalez   from Acme Trading Co.  "
     text, places = plain_clean(raw)
     df = spark.createDataFrame([(raw, [(0, 14), (20, 36), (2, 2), (0, 100)])], "raw string, spans array<struct<start:int,end:int>>")
-    moved = df.withColumn("o", project_to_original(char_map(F.col("raw")), F.length("raw"), "spans"))
+    moved = df.withColumn("m", char_map(F.col("raw"))).withColumn("o", project_to_original("m", F.length("raw"), "spans"))
     back = moved.withColumn("b", project_to_clean(char_map(F.col("raw")), F.length("raw"), "o")).first()
     assert [(s.start, s.end) if s else None for s in back.o] == [(2, 17), (25, 41), None, None]
     assert [(s.start, s.end) if s else None for s in back.b] == [(0, 14), (20, 36), None, None]
