@@ -225,19 +225,24 @@ def token_set_members(records: DataFrame) -> DataFrame:
 
 
 def kappa(a: DataFrame, b: DataFrame) -> DataFrame:
-    """Cohen's kappa over token labels (record_id, tok_idx, label_id) of two annotators.
+    """Cohen's kappa over token labels (record_id, tok_idx, label_id) of two annotators."""
+    return kappa_of_pairs(a.select("record_id", "tok_idx", F.col("label_id").alias("la")).join(b.select("record_id", "tok_idx", F.col("label_id").alias("lb")), ["record_id", "tok_idx"]))
 
-    The confusion matrix has as many cells as there are label pairs; chance agreement is computed from it.
+
+def kappa_of_pairs(pairs: DataFrame) -> DataFrame:
+    """Cohen's kappa over tokens (la, lb) that hold both annotators' labels.
+
+    One aggregate to the confusion matrix, which has as many cells as there are label pairs; agreement by chance
+    comes from its row and column sums.
     """
-    pairs = a.select("record_id", "tok_idx", F.col("label_id").alias("la")).join(b.select("record_id", "tok_idx", F.col("label_id").alias("lb")), ["record_id", "tok_idx"])
     cells = pairs.groupBy("la", "lb").agg(F.count("*").alias("n"))
-    sums = cells.agg(F.sum("n").alias("n"), F.sum(F.when(F.col("la") == F.col("lb"), F.col("n")).otherwise(0)).alias("same"))
-    rows = cells.groupBy(F.col("la").alias("label")).agg(F.sum("n").alias("ra"))
-    cols = cells.groupBy(F.col("lb").alias("label")).agg(F.sum("n").alias("rb"))
-    chance = rows.join(cols, "label").agg(F.sum(F.col("ra").cast("double") * F.col("rb")).alias("by_chance"))
-    both = sums.join(chance)  # one row each
+    row = F.sum(F.when(F.col("x.side") == "a", F.col("n")).otherwise(0))
+    sides = F.explode(F.array(F.struct(F.lit("a").alias("side"), F.col("la").alias("label")), F.struct(F.lit("b").alias("side"), F.col("lb").alias("label"))))
+    same = F.when((F.col("x.side") == "a") & (F.col("la") == F.col("lb")), F.col("n")).otherwise(0)
+    by_label = cells.withColumn("x", sides).groupBy("x.label").agg(row.alias("ra"), (F.sum("n") - row).alias("rb"), F.sum(same).alias("same"))
+    sums = by_label.agg(F.sum("ra").alias("n"), F.sum("same").alias("same"), F.sum(F.col("ra").cast("double") * F.col("rb")).alias("by_chance"))
     po, pe = F.col("same") / F.col("n"), F.coalesce("by_chance", F.lit(0.0)) / (F.col("n").cast("double") * F.col("n"))
-    return both.select(F.col("n").alias("tokens"), F.round(po, 9).alias("agreement"), F.round(F.when(pe < 1, (po - pe) / (1 - pe)).otherwise(1.0), 9).alias("kappa"))
+    return sums.select(F.col("n").alias("tokens"), F.round(po, 9).alias("agreement"), F.round(F.when(pe < 1, (po - pe) / (1 - pe)).otherwise(1.0), 9).alias("kappa"))
 
 
 def kl_drift(dated: DataFrame, base: DataFrame, alarm: float = 0.05) -> DataFrame:

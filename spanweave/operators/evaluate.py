@@ -2,17 +2,24 @@
 
 Spans are rows (record_id, start, end, type, polarity). Counting is one aggregate: gold and predicted
 spans are tagged, grouped by their whole key, and summed by bucket, so duplicates collapse and no
-join is needed. With further key columns (a grid value, say) many evaluations run in one plan.
+join is needed. A search over thresholds counts all of its grid in one pass over the records.
 """
 
 from __future__ import annotations
 
+import math
+from bisect import bisect_right
+from collections.abc import Iterator
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark import StorageLevel
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from spanweave.operators.tokens import best_label, bio_decode
+from spanweave.operators.tokens import best_label
 from spanweave.schema import BUCKETS, LABELS
 
 KEY = ("record_id", "start", "end", "type", "polarity")
@@ -34,27 +41,13 @@ def _scores(counts: DataFrame) -> DataFrame:
     return rows.withColumn("f1", f1).withColumn("support", F.col("tp") + F.col("fn")).withColumn("pred_count", F.col("tp") + F.col("fp"))
 
 
-def count_matches(pred: DataFrame, gold: DataFrame, *by: str, values: DataFrame | None = None) -> DataFrame:
-    """(by, bucket, tp, fp, fn). Without by, all buckets are listed, also empty ones.
-
-    With by, pred carries the by columns and gold counts against each row of values(by): fn is what
-    gold has beyond the hits, from one aggregate of gold.
-    """
-    key = [*by, *KEY]
-    if not by:
-        tagged = pred.select(*KEY, F.lit(1).alias("p"), F.lit(0).alias("g")).unionByName(gold.select(*KEY, F.lit(0).alias("p"), F.lit(1).alias("g")))
-        pairs = tagged.groupBy(*KEY).agg(F.max("p").alias("p"), F.max("g").alias("g")).withColumn("bucket", bucket_of())
-        sums = pairs.groupBy("bucket").agg(F.sum(F.col("p") * F.col("g")).alias("tp"), F.sum(F.col("p") * (1 - F.col("g"))).alias("fp"), F.sum((1 - F.col("p")) * F.col("g")).alias("fn"))
-        dim = gold.sparkSession.createDataFrame([(b,) for b in BUCKETS], "bucket string")
-        return F.broadcast(dim).join(sums, "bucket", "left").fillna(0)
-    spans = gold.select(*KEY).distinct().withColumn("g", F.lit(1))
-    hits = pred.select(*key).distinct().join(spans, list(KEY), "left").withColumn("bucket", bucket_of())
-    sums = hits.groupBy(*by, "bucket").agg(F.sum(F.coalesce("g", F.lit(0))).alias("tp"), F.sum(1 - F.coalesce("g", F.lit(0))).alias("fp"))
-    support = spans.withColumn("bucket", bucket_of()).groupBy("bucket").agg(F.count("*").alias("support"))  # five rows
-    dim = gold.sparkSession.createDataFrame([(b,) for b in BUCKETS], "bucket string").join(support, "bucket", "left").fillna(0)
-    values = pred.select(*by).distinct() if values is None else values.select(*by)
-    every = values.join(F.broadcast(dim))  # by values times five buckets
-    return every.join(sums, [*by, "bucket"], "left").fillna(0).withColumn("fn", F.col("support") - F.col("tp")).drop("support")
+def count_matches(pred: DataFrame, gold: DataFrame) -> DataFrame:
+    """(bucket, tp, fp, fn) of all buckets, also empty ones."""
+    tagged = pred.select(*KEY, F.lit(1).alias("p"), F.lit(0).alias("g")).unionByName(gold.select(*KEY, F.lit(0).alias("p"), F.lit(1).alias("g")))
+    pairs = tagged.groupBy(*KEY).agg(F.max("p").alias("p"), F.max("g").alias("g")).withColumn("bucket", bucket_of())
+    sums = pairs.groupBy("bucket").agg(F.sum(F.col("p") * F.col("g")).alias("tp"), F.sum(F.col("p") * (1 - F.col("g"))).alias("fp"), F.sum((1 - F.col("p")) * F.col("g")).alias("fn"))
+    dim = gold.sparkSession.createDataFrame([(b,) for b in BUCKETS], "bucket string")
+    return F.broadcast(dim).join(sums, "bucket", "left").fillna(0)  # five rows
 
 
 def evaluate(pred: DataFrame, gold: DataFrame) -> DataFrame:
@@ -96,34 +89,110 @@ def grid(step: float = 0.01) -> list[float]:
     return [k * (1 - step) / (n - 1) if n > 1 else 0.0 for k in range(n)]
 
 
-def labelled_runs(probs: DataFrame) -> DataFrame:
-    """Tokens whose best label is not O, with prob, and breaks: whether an O token stands in front.
+def gate_inputs(probs: DataFrame, gold: DataFrame) -> DataFrame:
+    """One row a record: its tokens whose best label is not O, in order, and its gold spans.
 
-    Only these can change with thresholds, so only these are set against the candidates.
+    Only these tokens can change with thresholds; breaks says whether an O token stands in front. kind counts
+    the buckets; gold spans that no label can give have kind -1 and only add to the support of their bucket.
     """
     by = Window.partitionBy("record_id").orderBy("tok_idx")
-    best = probs.filter("NOT (c0 = 0 AND c1 = 0)").select("record_id", "tok_idx", "c0", "c1", best_label(F.col("probs")).alias("label_id"), F.array_max("probs").alias("prob"))
-    return best.withColumn("breaks", F.coalesce(F.lag("label_id").over(by) == 0, F.lit(False))).filter("label_id > 0")
+    best = probs.filter("NOT (c0 = 0 AND c1 = 0)").select("record_id", "tok_idx", "c0", "c1", best_label(F.col("probs")).alias("label_id"), F.array_max("probs").cast("float").alias("prob"))
+    best = best.withColumn("breaks", F.coalesce(F.lag("label_id").over(by) == 0, F.lit(False))).filter("label_id > 0")
+    tokens = best.groupBy("record_id").agg(F.array_sort(F.collect_list(F.struct("tok_idx", "c0", "c1", "label_id", "prob", "breaks"))).alias("tokens"))
+    place = F.array_position(F.array(*map(F.lit, BUCKETS)), bucket_of()) - 1
+    fits = (F.col("type") == "COMMODITY") | (F.col("polarity") == "POS")
+    spans = gold.select("record_id", "start", "end", place.cast("int").alias("bucket"), F.when(fits, place).otherwise(-1).cast("int").alias("kind"), "polarity").filter("bucket >= 0")
+    spans = spans.groupBy("record_id").agg(F.collect_set(F.struct("start", "end", "bucket", "kind", "polarity")).alias("gold"))
+    return tokens.join(spans, "record_id", "full")
 
 
-def curve(best: DataFrame, gold: DataFrame, candidates: DataFrame, name: str, **floors: float) -> DataFrame:
-    """Scores of every candidate in one plan.
+def _segments(v: np.ndarray, begins: np.ndarray) -> Iterator[tuple[int, int, float, float]]:
+    """(first, last, lo, hi) of every stretch of a run that is whole for some threshold t: for lo < t <= hi.
 
-    best: labelled_runs(); candidates: (cand, limits), a bounded list of threshold arrays, which is
-    broadcast. A token under its threshold is O.
+    v: the values at which tokens fall away; begins: where runs begin. A stretch is a node of the run's
+    Cartesian tree, so there are no more stretches than tokens; one pass with a stack finds them.
+    """
+    low = -math.inf
+    for s, e in zip(begins.tolist(), [*begins[1:].tolist(), len(v)], strict=True):
+        if e - s == 1:
+            yield s, s, low, float(v[s])
+            continue
+        open_: list[tuple[int, float]] = []  # (first, value), values rising
+        for i in range(s, e + 1):
+            x = float(v[i]) if i < e else low
+            first = i
+            while open_ and open_[-1][1] > x:
+                first, hi = open_.pop()
+                yield first, i - 1, max(x, open_[-1][1] if open_ else low), hi
+            if i < e and (not open_ or open_[-1][1] < x):
+                open_.append((first, x))
+
+
+def count_alive(inputs: DataFrame, values: list[float], base: list[float], label: int | None = None) -> DataFrame:
+    """(bucket, cand, tp, pred, support) for thresholds `base` in which one label's (all labels') is each of the values.
+
+    A token under its threshold is O, so a span exists for an interval of values; its ends are found
+    per run, and spans are counted by adding and taking away one at them. No token is set against the
+    values, nothing but the counts is shuffled.
     """
-    gated = best.join(F.broadcast(candidates))
-    low = (F.col("label_id") > 0) & (F.col("prob").cast("float") < F.get("limits", F.col("label_id")))
-    labels = gated.withColumn("label_id", F.when(low, 0).otherwise(F.col("label_id")))
-    spans = bio_decode(labels, breaks="breaks", keys=("record_id", "cand"))
-    counts = count_matches(spans, gold, "cand", values=candidates)
-    rows = _scores(counts).groupBy("cand").agg(
+    order = np.argsort(np.array(values, np.float32), kind="stable")
+    grid_, limits = np.array(values, np.float32)[order].tolist(), np.array(base, np.float32)
+    n, n_kinds = len(values), len(BUCKETS)
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pred, tp, support = np.zeros((n_kinds, n + 1), np.int64), np.zeros((n_kinds, n + 1), np.int64), np.zeros(n_kinds, np.int64)
+        for batch in batches:
+            tokens, spans = batch.column(0), batch.column(1)
+            flat, told = tokens.flatten(), spans.flatten()
+            field = lambda x, f: x.field(f).to_numpy(zero_copy_only=False)
+            sizes, counts = (pc.fill_null(x.value_lengths(), 0).to_numpy(zero_copy_only=False) for x in (tokens, spans))
+            record, owner = np.repeat(np.arange(len(sizes)), sizes), np.repeat(np.arange(len(counts)), counts)
+            support += np.bincount(field(told, "bucket"), minlength=n_kinds)
+            gold = set(zip(owner.tolist(), *(field(told, c).tolist() for c in ("start", "end", "kind")), strict=True))
+            labels, probs, breaks = field(flat, "label_id"), field(flat, "prob").astype(np.float32), field(flat, "breaks").astype(bool)
+            c0, c1 = field(flat, "c0").tolist(), field(flat, "c1").tolist()
+            kind = (labels - 1) // 2  # labels go B, I by kind
+            if label is None:
+                v = probs.astype(float)
+            else:
+                v = np.where(labels == label, probs, np.where(probs < limits[labels], -np.inf, np.inf)).astype(float)
+            if not len(v):
+                continue
+            fresh = (labels % 2 == 1) | breaks | np.r_[True, (kind[1:] != kind[:-1]) | (record[1:] != record[:-1])]
+            found: dict[tuple, list[tuple[int, int]]] = {}
+            for first, last, lo, hi in _segments(v, np.flatnonzero(fresh)):
+                a, b = bisect_right(grid_, lo), bisect_right(grid_, hi)
+                if a < b:
+                    found.setdefault((int(record[first]), c0[first], c1[last], int(kind[first])), []).append((a, b))
+            for key, alive in found.items():
+                to = 0
+                for a, b in sorted(alive):  # more than one only where tokens share their place
+                    a = max(a, to)
+                    if a < b:
+                        to = b
+                        for sums in (pred, tp) if key in gold else (pred,):
+                            sums[key[3], a] += 1
+                            sums[key[3], b] -= 1
+        cand = np.tile(order, n_kinds)
+        bucket = np.repeat(np.arange(n_kinds), n)
+        columns = [bucket, cand, tp.cumsum(1)[:, :n].ravel(), pred.cumsum(1)[:, :n].ravel(), np.repeat(support, n)]
+        yield pa.RecordBatch.from_arrays([pa.array(c.astype(np.int64)) for c in columns], names=["bucket", "cand", "tp", "pred", "support"])
+
+    sums = inputs.select("tokens", "gold").mapInArrow(count, "bucket bigint, cand bigint, tp bigint, pred bigint, support bigint")
+    return sums.groupBy("bucket", "cand").agg(*(F.sum(c).alias(c) for c in ("tp", "pred", "support")))
+
+
+def curve(inputs: DataFrame, values: list[float], name: str, base: list[float] | None = None, label: int | None = None, **floors: float) -> DataFrame:
+    """Scores for each of the values as the threshold of one label (of all labels), over gate_inputs()."""
+    counts = count_alive(inputs, values, base or [0.0] * len(LABELS), label)
+    named = F.get(F.array(*map(F.lit, BUCKETS)), F.col("bucket").cast("int"))
+    rows = _scores(counts.select(F.col("cand").cast("int").alias("cand"), named.alias("bucket"), "tp", (F.col("pred") - F.col("tp")).alias("fp"), (F.col("support") - F.col("tp")).alias("fn")))
+    rows = rows.groupBy("cand").agg(
         *(F.sum(c).alias(c) for c in ("tp", "fp", "fn")),
         F.map_from_entries(F.collect_list(F.struct("bucket", "f1"))).alias("f1_by_bucket"),  # five buckets
         F.coalesce(F.avg(F.when(F.col("support") > 0, F.col("f1"))), F.lit(0.0)).alias("macro_f1"),
     )
-    scored = _scores(rows)
-    return scored.withColumn("objective", objective(name, **floors)).select("cand", "f1", "precision", "recall", "objective")
+    return _scores(rows).withColumn("objective", objective(name, **floors)).select("cand", "f1", "precision", "recall", "objective")
 
 
 @dataclass
@@ -137,38 +206,32 @@ class Sweep:
     notes: list[str] = field(default_factory=list)
 
 
-def _candidates(spark: SparkSession, rows: list[list[float]]) -> DataFrame:
-    return spark.createDataFrame(list(enumerate(rows)), "cand int, limits array<float>")
-
-
 def sweep(probs: DataFrame, gold: DataFrame, name: str = "f1_micro", step: float = 0.01, **floors: float) -> Sweep:
     """One threshold for all labels, then label by label; the first best grid value wins, an incumbent stays on ties.
 
-    probs: tokens (record_id, tok_idx, c0, c1, probs). The first stage is one plan; each label is one more
-    over the same cached tokens. What comes back to the driver is one row a candidate.
+    probs: tokens (record_id, tok_idx, c0, c1, probs). The first stage is one pass over the records, each label
+    is one more, over the same persisted rows. What comes back to the driver is one row a grid value.
     """
     spark = probs.sparkSession
-    best = labelled_runs(probs).persist()
+    inputs = gate_inputs(probs, gold).persist(StorageLevel.MEMORY_AND_DISK)
     values = grid(step)
-    flat = [[0.0, *[t] * (len(LABELS) - 1)] for t in values]
 
-    def run(rows: list[list[float]]) -> list:
-        return curve(best, gold, _candidates(spark, rows), name, **floors).orderBy("cand").collect()
+    def run(limits: list[float], label: int | None) -> list:
+        return curve(inputs, values, name, limits, label, **floors).orderBy("cand").collect()
 
-    told, lines = run(flat), []
+    told, lines = run([0.0] * len(LABELS), None), []
     lines += [("global", None, values[r.cand], r.f1, r.precision, r.recall, r.objective) for r in told]
     top = max(told, key=lambda r: (r.objective, -r.cand))
-    score, limits, notes = top.objective, list(flat[top.cand]), []
+    score, limits, notes = top.objective, [0.0, *[values[top.cand]] * (len(LABELS) - 1)], []
     if score <= -1.0:
         notes.append("no global threshold meets the objective")
     for k in range(1, len(LABELS)):
-        tried = [[*limits[:k], t, *limits[k + 1 :]] for t in values]
-        told = run(tried)
+        told = run(limits, k)
         lines += [("per_label", LABELS[k], values[r.cand], r.f1, r.precision, r.recall, r.objective) for r in told]
         top = max(told, key=lambda r: (r.objective, -r.cand))
         if top.objective > score:
-            score, limits = top.objective, tried[top.cand]
-    best.unpersist()
+            score, limits = top.objective, [*limits[:k], values[top.cand], *limits[k + 1 :]]
+    inputs.unpersist()
     if not any(limits):
         notes.append("no threshold improves the objective")
     schema = "stage string, label string, threshold double, f1 double, precision double, recall double, objective double"

@@ -17,8 +17,8 @@ from spanweave.schema import IGNORED, LABELS, MAX_TOKENS
 
 
 
-def _by_token(*keys: str):
-    return Window.partitionBy(*(keys or ["record_id"])).orderBy("tok_idx")
+def _by_token():
+    return Window.partitionBy("record_id").orderBy("tok_idx")
 
 
 def whitespace_tokens(records: DataFrame) -> DataFrame:
@@ -83,29 +83,27 @@ def bio_encode(tokens: DataFrame, spans: DataFrame) -> DataFrame:
     return t.join(chosen, ["record_id", "tok_idx"], "left").withColumn("label_id", F.expr(f"CASE WHEN {special} THEN {IGNORED} ELSE coalesce(label_id, 0) END"))
 
 
-def bio_decode(labels: DataFrame, strict: bool = False, breaks: str | None = None, keys: tuple[str, ...] = ("record_id",)) -> DataFrame:
+def bio_decode(labels: DataFrame, strict: bool = False) -> DataFrame:
     """Spans (record_id, start, end, type, polarity) of tokens with label_id, by gaps and islands.
 
     Ignored and (0, 0) tokens neither open nor close a span. I- continues a span of the same type and
-    polarity; otherwise it opens one (lenient) or is dropped with what follows it (strict). Where O tokens
-    have been left out, the boolean column `breaks` says that one stood in front. keys name a sequence of
-    tokens; when record_id is among them, tokens dealt by record are not shuffled again.
+    polarity; otherwise it opens one (lenient) or is dropped with what follows it (strict). Tokens dealt by
+    record are not shuffled again.
     """
     known = labels.filter(f"label_id <> {IGNORED} AND NOT (c0 = 0 AND c1 = 0)")
     names = F.array(*map(F.lit, LABELS))
     label = F.coalesce(F.get(names, F.when(F.col("label_id") >= 0, F.col("label_id"))), F.lit("O"))
     split = known.withColumn("label", label).withColumn("prefix", F.substring("label", 1, 1)).withColumn("kind", F.substring("label", 3, 40))
-    last = F.lag("kind").over(_by_token(*keys))
-    broken = F.col(breaks) if breaks else F.lit(False)
-    opens = (F.col("prefix") == "B") | ((F.col("prefix") == "I") & (last.isNull() | (last != F.col("kind")) | broken))
-    islands = split.withColumn("opens", opens.cast("int")).withColumn("island", F.sum("opens").over(_by_token(*keys))).filter("prefix <> 'O'")
-    made = islands.groupBy(*keys, "island").agg(
+    last = F.lag("kind").over(_by_token())
+    opens = (F.col("prefix") == "B") | ((F.col("prefix") == "I") & (last.isNull() | (last != F.col("kind"))))
+    islands = split.withColumn("opens", opens.cast("int")).withColumn("island", F.sum("opens").over(_by_token())).filter("prefix <> 'O'")
+    made = islands.groupBy("record_id", "island").agg(
         F.min("c0").alias("start"), F.max("c1").alias("end"), F.first("kind").alias("kind"), F.min_by("prefix", "tok_idx").alias("prefix")
     )
     if strict:
         made = made.filter("prefix = 'B'")
     neg = F.col("kind").startswith("NEG_")
-    return made.select(*keys, "start", "end", F.regexp_replace("kind", "^NEG_", "").alias("type"), F.when(neg, "NEG").otherwise("POS").alias("polarity"))
+    return made.select("record_id", "start", "end", F.regexp_replace("kind", "^NEG_", "").alias("type"), F.when(neg, "NEG").otherwise("POS").alias("polarity"))
 
 
 def softmax(scores: Column) -> Column:

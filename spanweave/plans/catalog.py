@@ -266,10 +266,12 @@ def threshold_gate(spark, d):
     return derive.probs(spark, d).select("record_id", "tok_idx", gated_label(F.col("probs"), THRESHOLDS).alias("label_id"))
 
 
+def _gate_inputs(spark, d):
+    return evaluate.gate_inputs(derive.probs(spark, d), derive.gold(spark, d))
+
+
 def _curve(spark, d):
-    limits = [[0.0, *[t] * 10] for t in evaluate.grid(0.05)]
-    cands = spark.createDataFrame(list(enumerate(limits)), "cand int, limits array<float>")
-    return evaluate.curve(evaluate.labelled_runs(derive.probs(spark, d)), derive.gold(spark, d), cands, "f1_micro")
+    return evaluate.curve(_gate_inputs(spark, d), evaluate.grid(0.05), "f1_micro")
 
 
 @query
@@ -282,10 +284,21 @@ def best_threshold(spark, d):
     return _curve(spark, d).agg(F.max_by("cand", F.struct("objective", -F.col("cand"))).alias("cand"), F.round(F.max("objective"), 9).alias("objective"))
 
 
+@query
+def sweep_objectives(spark, d):
+    """The first best global threshold for each kind of objective."""
+    floors = {"precision_floor": 0.9, "recall_floor": 0.5}
+    inputs = _gate_inputs(spark, d)
+    best = lambda name: evaluate.curve(inputs, evaluate.grid(0.05), name, **(floors if "floor" in name else {})).agg(
+        F.lit(name).alias("name"), F.max_by("cand", F.struct(F.round("objective", 9), -F.col("cand"))).alias("cand"), F.round(F.max("objective"), 9).alias("objective")
+    )
+    return _union([best(name) for name in ("f1_micro", "f1_macro", "f1_per_type:ORG", "f1_per_type:COMMODITY(NEG)", "max_f1_at_precision_floor", "max_f1_at_recall_floor")])
+
+
 @query
 def sweep_per_label(spark, d):
-    """The whole two-stage search on a coarse grid; its curve."""
-    return evaluate.sweep(derive.probs(spark, d), derive.gold(spark, d), step=0.25).curve
+    """The whole two-stage search with its own step of 0.01; its curve of 100 + 10 x 100 rows."""
+    return evaluate.sweep(derive.probs(spark, d), derive.gold(spark, d)).curve
 
 
 @query
@@ -381,12 +394,15 @@ def benchmark_leak(spark, d):
 
 @query
 def iaa_kappa(spark, d):
-    return coverage.kappa(derive.labels(spark, d, "A"), derive.labels(spark, d, "B"))
+    both = derive.labels(spark, d).select(derive.annotator(F.col("label_id"), "A").alias("la"), derive.annotator(F.col("label_id"), "B").alias("lb"))
+    return coverage.kappa_of_pairs(both)
 
 
 @query
 def iaa_span_f1(spark, d):
-    return _rounded(evaluate.evaluate(bio_decode(derive.labels(spark, d, "B")), bio_decode(derive.labels(spark, d, "A"))))
+    labels = derive.labels(spark, d)
+    a, b = (bio_decode(labels.withColumn("label_id", derive.annotator(F.col("label_id"), who))) for who in "AB")
+    return _rounded(evaluate.evaluate(b, a))
 
 
 @query

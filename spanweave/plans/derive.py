@@ -7,7 +7,7 @@ gold spans. Predictions, annotators and probabilities are hashed changes of gold
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from spanweave.functions.hashing import bucket, uniform
@@ -86,12 +86,14 @@ def predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return g.filter("m > 0").select("record_id", "start", end.cast("int").alias("end"), "type", polarity.alias("polarity"))
 
 
-def labels(spark: SparkSession, sf_dir: str, who: str | None = None) -> DataFrame:
-    """tokens with label_id; an annotator leaves out every thirtieth."""
-    encoded = bio_encode(tokens(spark, sf_dir), gold(spark, sf_dir))
-    if who:
-        encoded = encoded.withColumn("label_id", F.when(bucket(30, who, F.col("record_id"), F.col("tok_idx")) == 0, 0).otherwise(F.col("label_id")))
-    return encoded
+def labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """tokens with label_id."""
+    return bio_encode(tokens(spark, sf_dir), gold(spark, sf_dir))
+
+
+def annotator(label_id: Column, who: str) -> Column:
+    """An annotator's label: every thirtieth is left out."""
+    return F.when(bucket(30, who, F.col("record_id"), F.col("tok_idx")) == 0, 0).otherwise(label_id)
 
 
 def broken_labels(spark: SparkSession, sf_dir: str) -> DataFrame:

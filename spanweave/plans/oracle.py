@@ -288,6 +288,26 @@ gated AS (SELECT cand, record_id, tok_idx, c0, c1, CASE WHEN best > 0 AND top::F
 line AS (SELECT cand, f1, precision, recall, f1 AS objective FROM ({scored(counts)}))"""
 
 
+def _objectives() -> str:
+    """The best of 20 thresholds for each objective, from counts by threshold and bucket."""
+    head = _curve(20)
+    head = head[: head.index("line AS")].rstrip().rstrip(",")
+    kinds = {"f1_micro": "f1", "f1_macro": "macro", "f1_per_type:ORG": "org", "f1_per_type:COMMODITY(NEG)": "neg", "max_f1_at_precision_floor": "CASE WHEN precision >= 0.9 THEN f1 ELSE -1 END", "max_f1_at_recall_floor": "CASE WHEN recall >= 0.5 THEN f1 ELSE -1 END"}
+    told = " UNION ALL ".join(f"SELECT '{k}' AS name, cand, round({v}, 9) AS objective FROM scores" for k, v in kinds.items())
+    return f"""{head},
+dg AS (SELECT DISTINCT record_id, s, e, type, polarity FROM gold), sup AS (SELECT {_BUCKET} AS bucket, count(*) AS support FROM dg GROUP BY 1),
+dp AS (SELECT DISTINCT cand, record_id, s, e, type, polarity FROM dec),
+hits AS (SELECT cand, d.type, d.polarity, count(*) AS n, count(g.s) AS ok FROM dp d LEFT JOIN dg g ON g.record_id = d.record_id AND g.s = d.s AND g.e = d.e AND g.type = d.type AND g.polarity = d.polarity GROUP BY ALL),
+cells AS (SELECT c.cand, b.bucket, coalesce(ok, 0) AS tp, coalesce(n - ok, 0) AS fp, coalesce(support, 0) - coalesce(ok, 0) AS fn FROM cands c CROSS JOIN {_DIM} b
+  LEFT JOIN (SELECT cand, {_BUCKET} AS bucket, n, ok FROM hits) h ON h.cand = c.cand AND h.bucket = b.bucket LEFT JOIN sup ON sup.bucket = b.bucket),
+each AS (SELECT cand, bucket, f1, support FROM ({scored("cells")})),
+sums AS (SELECT cand, sum(tp) AS tp, sum(fp) AS fp, sum(fn) AS fn FROM cells GROUP BY cand),
+scores AS (SELECT * FROM (SELECT cand, f1, precision, recall FROM ({scored("sums")})) JOIN (SELECT cand, coalesce(avg(f1) FILTER (WHERE support > 0), 0) AS macro,
+  max(f1) FILTER (WHERE bucket = 'ORG') AS org, max(f1) FILTER (WHERE bucket = 'COMMODITY(NEG)') AS neg FROM each GROUP BY cand) USING (cand)),
+told AS ({told})
+SELECT name, arg_max(cand, (objective, -cand)) AS cand, max(objective) AS objective FROM told GROUP BY name"""
+
+
 def texts() -> dict[str, str]:
     drop = f"NOT (c IN {tuple(PUNCTUATION)!r} AND NOT held AND {u(SEED, 'record_id', chr(39) + 'punct' + chr(39), 'i')} < 0.5)"
     typo = f"CASE WHEN regexp_matches(c, '\\p{{L}}') AND NOT held AND {u(SEED, 'record_id', chr(39) + 'typo' + chr(39), 'i')} < 0.02 THEN substr('abcdefghijklmnopqrstuvwxyz', ({h(SEED, 'record_id', chr(39) + 'letter' + chr(39), 'i')} % 26 + 1)::INT, 1) ELSE c END"
@@ -341,6 +361,7 @@ def texts() -> dict[str, str]:
         "threshold_gate": f"""WITH {PROBS} SELECT record_id, tok_idx, CASE WHEN best > 0 AND top::FLOAT < [0.0, 0.6, 0.7, 0.8, 0.9, 0.55, 0.65, 0.75, 0.85, 0.95, 0.5][best + 1]::FLOAT THEN 0 ELSE best END AS label_id FROM prob""",
         "sweep_global": f"{_curve(20)} SELECT cand, round(f1, 9) AS f1, round(precision, 9) AS precision, round(recall, 9) AS recall, round(objective, 9) AS objective FROM line",
         "best_threshold": f"{_curve(20)} SELECT arg_max(cand, (objective, -cand)) AS cand, round(max(objective), 9) AS objective FROM line",
+        "sweep_objectives": _objectives(),
         "length_buckets": f"WITH {GOLD} SELECT type, {_LEN} AS bucket, count(*) AS n FROM (SELECT type, e - s AS n FROM gold) GROUP BY ALL",
         "entities_per_record": f"WITH {GOLD}, {_PER} SELECT CASE WHEN n >= 5 THEN '5+' ELSE n::VARCHAR END AS entities, count(*) AS records, round(count(*) / (SELECT count(*) FROM per)::DOUBLE, 6) AS share FROM per GROUP BY 1",
         "polarity_buckets": f"""WITH {GOLD}, {_PER} SELECT CASE WHEN neg > 0 AND pos > 0 THEN 'mixed' WHEN neg > 1 THEN 'multi_target_neg' WHEN neg = 1 THEN 'neg_only' WHEN pos > 0 THEN 'pos_only' ELSE 'no_commodity' END AS bucket,

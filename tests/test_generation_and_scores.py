@@ -216,22 +216,56 @@ def test_sweep_finds_the_gate(spark):
         evaluate.objective("f1_best")
 
 
-def test_curve_equals_single_evaluations(spark):
-    from spanweave.operators.tokens import bio_decode, gated_label
-
+def random_probs(spark, n=25):
     tokens, gold = probs_case()
     r = np.random.default_rng(0)
-    tokens += [(20 + k, i, 4 * i, 4 * i + 3, r.dirichlet(np.ones(11) * 0.3).tolist()) for k in range(15) for i in range(8)]
-    probs = spark.createDataFrame(tokens, "record_id bigint, tok_idx int, c0 int, c1 int, probs array<double>")
-    limits = [[0.0, *[t] * 10] for t in (0.0, 0.4, 0.7)]
-    cands = spark.createDataFrame(list(enumerate(limits)), "cand int, limits array<float>")
-    curve = {x.cand: x for x in evaluate.curve(evaluate.labelled_runs(probs), spans(spark, gold), cands, "f1_macro").collect()}
-    for k, row in enumerate(limits):
-        pred = bio_decode(probs.withColumn("label_id", gated_label(F.col("probs"), row)))
-        report = evaluate.evaluate(pred, spans(spark, gold))
-        micro = report.filter("bucket = 'micro'").first()
-        assert (curve[k].f1, curve[k].precision, curve[k].recall) == pytest.approx((micro.f1, micro.precision, micro.recall))
-        assert curve[k].objective == pytest.approx(evaluate.macro_f1(report).first()[0])
+    for k in range(n):
+        runs = r.integers(0, 3) == 0  # now and then one label all along, with ties
+        for i in range(10):
+            p = peaked(2 if r.random() < 0.9 else 1, round(0.2 + int(r.integers(0, 8)) / 10, 1)) if runs else r.dirichlet(np.ones(11) * 0.3).tolist()
+            tokens.append((20 + k, i, 4 * i, 4 * i + 3, p))
+            if r.random() < 0.3:
+                gold.append((20 + k, 4 * i, 4 * i + 3 + 4 * int(r.integers(0, 3)), "PERSON", "POS"))
+    gold += [(90, 0, 3, "ORG", "NEG"), (91, 0, 3, "COMMODITY", "NEG"), (92, 0, 3, "THING", "POS")]
+    return spark.createDataFrame(tokens, "record_id bigint, tok_idx int, c0 int, c1 int, probs array<double>"), spans(spark, gold)
+
+
+def plain_scores(spark, probs, gold, limits):
+    from spanweave.operators.tokens import bio_decode, gated_label
+
+    known = gold.filter("type <> 'THING'")
+    report = evaluate.evaluate(bio_decode(probs.withColumn("label_id", gated_label(F.col("probs"), limits))), known)
+    rows = {r.bucket: r for r in report.collect()}
+    f1s = [r.f1 for k, r in rows.items() if k != "micro" and r.support]
+    return rows["micro"].f1, rows["micro"].precision, rows["micro"].recall, sum(f1s) / len(f1s)
+
+
+def test_curve_equals_single_evaluations(spark):
+    probs, gold = random_probs(spark)
+    inputs = evaluate.gate_inputs(probs, gold)
+    values = [0.7, 0.0, 0.4, 0.6, 0.5]
+    for label, base in ((None, [0.0] * 11), (2, [0.0, *[0.45] * 10]), (1, [0.0, *[0.3] * 10])):
+        got = {x.cand: x for x in evaluate.curve(inputs, values, "f1_macro", base, label).collect()}
+        assert len(got) == len(values)
+        for k, t in enumerate(values):
+            limits = [0.0, *[t] * 10] if label is None else [*base[:label], t, *base[label + 1 :]]
+            assert (got[k].f1, got[k].precision, got[k].recall, got[k].objective) == pytest.approx(plain_scores(spark, probs, gold, limits)), (label, t)
+
+
+def test_sweep_is_the_search_one_by_one(spark):
+    probs, gold = random_probs(spark, 6)
+    found = evaluate.sweep(probs, gold, step=0.5)
+    values, limits, best = evaluate.grid(0.5), None, -2.0
+    for t in values:
+        got = plain_scores(spark, probs, gold, [0.0, *[t] * 10])[0]
+        if got > best + 1e-12:
+            best, limits = got, [0.0, *[t] * 10]
+    for k in range(1, 11):
+        tried = [(plain_scores(spark, probs, gold, [*limits[:k], t, *limits[k + 1 :]])[0], t) for t in values]
+        top = max(tried, key=lambda x: (x[0], -x[1]))
+        if top[0] > best + 1e-12:
+            best, limits = top[0], [*limits[:k], top[1], *limits[k + 1 :]]
+    assert found.score == pytest.approx(best) and [0.0, *found.thresholds.values()] == limits
 
 
 def test_serving_path(spark):
