@@ -5,6 +5,8 @@ records: (record_id, text, source, split, ...); spans: (record_id, start, end, t
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -12,9 +14,11 @@ from spanweave.functions.hashing import hash32
 from spanweave.functions.text import clean, token_set
 from spanweave.operators.evaluate import bucket_of, ratio
 
-# Length classes and reports' limits.
+# Length classes, reports' limits, least support of the development split, and the inventory of
+# negation cues, which cue_distance and cue_counts match.
 LENGTHS = (("XS", 3), ("S", 10), ("M", 25), ("L", 60), ("XL", 120), ("XXL", None))
 SOURCE_TARGETS = {"invoice": 0.35, "manifest": 0.25, "email": 0.20, "webhook": 0.10, "ocr": 0.10}
+LEAST_SUPPORT = {"PERSON": 200, "ORG": 250, "ADDRESS": 200, "COMMODITY(POS)": 300, "COMMODITY(NEG)": 150}
 CUES = (
     "no", "not", "none", "never", "does not contain", "do not contain", "cannot contain", "without", "lacks", "lacking",
     "excludes", "excluding", "free of", "absent of", "missing", "omitted", "unauthorized", "forbidden", "prohibited",
@@ -98,9 +102,13 @@ def source_mix(records: DataFrame, targets: dict[str, float] | None = None) -> D
     return mix
 
 
-def bucket_support(spans: DataFrame) -> DataFrame:
-    """Records that hold a bucket at least once."""
-    return spans.select("record_id", bucket_of().alias("bucket")).distinct().groupBy("bucket").agg(F.count("*").alias("records"))
+def bucket_support(spans: DataFrame, least: dict[str, int] | None = None) -> DataFrame:
+    """(bucket, records[, least, passes]): records that hold a bucket at least once, against the least wanted if given."""
+    held = spans.select("record_id", bucket_of().alias("bucket")).distinct().groupBy("bucket").agg(F.count("*").alias("records"))
+    if least is None:
+        return held
+    wanted = spans.sparkSession.createDataFrame(list(least.items()), "bucket string, least long")
+    return F.broadcast(wanted).join(held, "bucket", "left").fillna(0, ["records"]).withColumn("passes", F.col("records") >= F.col("least"))
 
 
 def zero_entity(records: DataFrame, gold: DataFrame, pred: DataFrame) -> DataFrame:
@@ -123,24 +131,38 @@ def template_coverage(records: DataFrame, templates: DataFrame, least: int = 200
     return templates.select("template").join(used, "template", "left").fillna(0).withColumn("passes", F.col("records") >= least)
 
 
-def cue_distance(tokens: DataFrame, spans: DataFrame, cues: tuple[str, ...] = CUES) -> DataFrame:
-    """(distance, spans) of negative spans from the end of the last single- or multi-word cue before them, in tokens.
-
-    Cue ends are found by windows over a record's tokens; the last one is carried forward.
-    """
+def _cue_ends(tokens: DataFrame, cues: tuple[str, ...]) -> tuple[DataFrame, list[tuple[str, Column]]]:
+    """Tokens with their last words in columns, and a condition for each cue that it ends at the token."""
     by = Window.partitionBy("record_id").orderBy("tok_idx")
-    word = F.lower(F.regexp_replace("token", r"[^A-Za-z]+$", ""))
-    longest = max(len(c.split()) for c in cues)
-    words = tokens.withColumn("w", word)
-    for k in range(1, longest):
+    words = tokens.withColumn("w", F.lower(F.regexp_replace("token", r"[^A-Za-z]+$", "")))
+    for k in range(1, max(len(c.split()) for c in cues)):
         words = words.withColumn(f"w{k}", F.lag("w", k).over(by))
-    hit = F.lit(False)
+    tests = []
     for c in cues:
         parts = c.split()[::-1]
         match = F.col("w") == parts[0]
         for k, p in enumerate(parts[1:], 1):
             match = match & (F.coalesce(F.col(f"w{k}"), F.lit("")) == p)
-        hit = hit | match
+        tests.append((c, match))
+    return words, tests
+
+
+def cue_counts(tokens: DataFrame, cues: tuple[str, ...] = CUES) -> DataFrame:
+    """(cue, n) of every cue of the inventory, also of those that never occur; a longer cue does not hide a shorter one in it."""
+    words, tests = _cue_ends(tokens, cues)
+    ends = words.select(F.explode(F.array_compact(F.array(*(F.when(match, F.lit(c)) for c, match in tests)))).alias("cue"))
+    known = tokens.sparkSession.createDataFrame([(c,) for c in cues], "cue string")
+    return F.broadcast(known).join(ends.groupBy("cue").agg(F.count("*").alias("n")), "cue", "left").fillna(0)
+
+
+def cue_distance(tokens: DataFrame, spans: DataFrame, cues: tuple[str, ...] = CUES) -> DataFrame:
+    """(distance, spans) of negative spans from the end of the last single- or multi-word cue before them, in tokens.
+
+    Cue ends are found by windows over a record's tokens; the last one is carried forward.
+    """
+    by = Window.partitionBy("record_id").orderBy("tok_idx")
+    words, tests = _cue_ends(tokens, cues)
+    hit = reduce(lambda a, b: a | b, (match for _, match in tests))
     carried = words.withColumn("cue", F.max(F.when(hit, F.col("tok_idx"))).over(by.rowsBetween(Window.unboundedPreceding, -1)))
     starts = spans.filter("polarity = 'NEG'").select("record_id", F.col("start").alias("c0"))
     gap = F.col("tok_idx") - F.col("cue") - 1
@@ -280,6 +302,15 @@ def manifest_sha(records: DataFrame, cells: int = 4096) -> DataFrame:
     return part.groupBy("split").agg(F.sha2(top.cast("binary"), 256).alias("manifest_sha"))
 
 
+def manifest_drift(records: DataFrame, manifest: DataFrame) -> DataFrame:
+    """(split, manifest_sha, now_sha, drifted): the stored manifest(split, manifest_sha) against the records hashed again.
+
+    A split that only one side has counts as drifted.
+    """
+    now = manifest_sha(records).withColumnRenamed("manifest_sha", "now_sha")
+    return manifest.select("split", "manifest_sha").join(now, "split", "full").withColumn("drifted", ~F.col("manifest_sha").eqNullSafe(F.col("now_sha")))
+
+
 def least_confident(probs: DataFrame, k: int = 100) -> DataFrame:
     """The k records whose least sure token is least sure: what to label next."""
     sure = probs.groupBy("record_id").agg(F.round(F.min(F.array_max("probs")).cast("double"), 6).alias("confidence"))

@@ -19,7 +19,7 @@ from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from spanweave.operators.tokens import best_label
+from spanweave.operators.tokens import best_label, bio_decode
 from spanweave.schema import BUCKETS, LABELS
 
 KEY = ("record_id", "start", "end", "type", "polarity")
@@ -57,6 +57,16 @@ def evaluate(pred: DataFrame, gold: DataFrame) -> DataFrame:
     return _scores(summed).select("bucket", "precision", "recall", "f1", "support", "pred_count")
 
 
+def trainer_metric(probs: DataFrame, gold: DataFrame) -> DataFrame:
+    """One row for a training loop: f1, precision, recall, and f1_<bucket> of every bucket, by best labels without thresholds.
+
+    probs: tokens (record_id, tok_idx, c0, c1, probs) of the cleaned texts; gold: spans in their coordinates.
+    """
+    report = evaluate(bio_decode(probs.withColumn("label_id", best_label(F.col("probs")))), gold)
+    of = lambda b, c: F.max(F.when(F.col("bucket") == b, F.col(c)))
+    return report.agg(*(of("micro", c).alias(c) for c in ("f1", "precision", "recall")), *(of(b, "f1").alias(f"f1_{b}") for b in BUCKETS))
+
+
 def macro_f1(report: DataFrame) -> DataFrame:
     """Mean F1 of the buckets with support; 0 where none has any."""
     return report.filter("bucket <> 'micro'").agg(F.coalesce(F.avg(F.when(F.col("support") > 0, F.col("f1"))), F.lit(0.0)).alias("macro_f1"))

@@ -6,7 +6,10 @@ made once per Python worker by `make_scorer` (load a model there), and sees whol
 
 from __future__ import annotations
 
+import os
+import time
 from collections.abc import Callable, Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -17,10 +20,52 @@ from spanweave.functions.text import DEFAULT, CleanConfig
 from spanweave.operators.clean import project_to_original, with_char_map
 from spanweave.operators.tokens import bio_decode, gated_label, softmax, whitespace_tokens
 from spanweave.schema import LABELS, MAX_CHARS, MAX_TOKENS
+from spanweave.sources.records import SIDECAR, THRESHOLDS, load_config, load_thresholds
 
 Scorer = Callable[[list[list[str]]], list[np.ndarray]]
 
 
+@dataclass(frozen=True)
+class Artifact:
+    """A model's folder: the model file, the tokenizer's, and what stands beside them."""
+
+    model: str
+    tokenizer: str
+    thresholds: list[float] | None = None
+    config: CleanConfig = DEFAULT
+    intra_threads: int = 2
+    inter_threads: int = 1
+
+
+def from_artifact_dir(folder: str) -> Artifact:
+    """The files of a model's folder; thresholds and switches of cleaning are taken from their sidecars where they are there.
+
+    Threads come from ORT_INTRA_OP and ORT_INTER_OP. The scorer opens the model file in the worker.
+    """
+    return Artifact(
+        f"{folder}/model.onnx", f"{folder}/tokenizer.json", load_thresholds(f"{folder}/{THRESHOLDS}"), load_config(f"{folder}/{SIDECAR}"),
+        int(os.environ.get("ORT_INTRA_OP", "2")), int(os.environ.get("ORT_INTER_OP", "1")),
+    )
+
+
+def predict_with(records: DataFrame, artifact: Artifact, make_scorer: Callable[[Artifact], Scorer]) -> DataFrame:
+    """predict() with an artifact's thresholds and cleaning; make_scorer opens its model, once a worker."""
+    return predict(records, lambda: make_scorer(artifact), artifact.thresholds, artifact.config)
+
+
+def predict_lines(lines: DataFrame, make_scorer: Callable[[], Scorer], report_latency: bool = False, **options) -> DataFrame:
+    """lines(text) as JSON objects of text and entities; with report_latency, also the mean milliseconds a line took.
+
+    Lines are scored in batches over the cluster, so a line has no time of its own.
+    """
+    numbered = lines.select(F.monotonically_increasing_id().alias("record_id"), "text").persist()
+    n, began = numbered.count(), time.perf_counter()
+    found = numbered.join(predict(numbered, make_scorer, **options), "record_id").persist()
+    took = (found.count() and time.perf_counter() - began) * 1000 / max(n, 1)
+    extra = [F.round(F.lit(took), 2).alias("latency_ms")] if report_latency else []
+    return found.select(F.to_json(F.struct("text", "entities", *extra)).alias("value"))
+
+
 def toy_scorer() -> Scorer:
     """A deterministic stand-in for a model: capitalised words are PERSON, words with a digit COMMODITY."""
 

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from spanweave.schema import ENTITY, ENTITY_TYPES, SKIPPED
+from spanweave.schema import ENTITY, ENTITY_TYPES, NEGATABLE, POLARITIES, SKIPPED
 
 
 def lower_in_place(text: str) -> str:
@@ -35,11 +35,15 @@ def locate(text: str, wanted: list[dict], ignore_case: bool = True) -> tuple[lis
             if at < 0 and ignore_case:
                 low = lower_in_place(text) if low is None else low
                 at = low.find(lower_in_place(surface), after[kind])
-            if at >= 0:
+            polarity = e.get("polarity") or "POS"
+            if at >= 0 and (polarity not in POLARITIES or polarity == "NEG" and kind not in NEGATABLE):
+                reason = "span_invalid"
+            elif at >= 0:
                 after[kind] = at + len(surface)
-                found.append({"type": kind, "text": text[at : after[kind]], "start": at, "end": after[kind], "polarity": e.get("polarity") or "POS"})
+                found.append({"type": kind, "text": text[at : after[kind]], "start": at, "end": after[kind], "polarity": polarity})
                 continue
-            reason = "not_found"
+            else:
+                reason = "not_found"
         skipped.append({"type": kind, "text": e["text"], "reason": reason})
     kept, lost = drop_overlaps(found)
     return kept, skipped + [{"type": e["type"], "text": e["text"], "reason": "overlap"} for e in lost]
@@ -58,16 +62,19 @@ _ENTITY = pa.struct([("type", pa.string()), ("text", pa.string()), ("start", pa.
 _SKIPPED = pa.struct([("type", pa.string()), ("text", pa.string()), ("reason", pa.string())])
 
 
-def relocate(rows: DataFrame, ignore_case: bool = True) -> DataFrame:
+def relocate(rows: DataFrame, ignore_case: bool = True, must_find: bool = False) -> DataFrame:
     """rows(record_id, text, ents: array of type, text and maybe polarity) with entities and skipped in place of ents.
 
-    A row in which nothing is found keeps empty entities; the caller decides whether that is an error.
+    A row in which nothing is found keeps empty entities, or, with must_find, fails the job. A found surface whose
+    polarity is unknown, or negative where its type cannot be, is skipped as span_invalid.
     """
 
     @F.arrow_udf(_RESULT)
     def run(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
         for texts, wanted in batches:
             made = [locate(t or "", w or [], ignore_case) for t, w in zip(texts.to_pylist(), wanted.to_pylist(), strict=True)]
+            if must_find and (lost := [k for k, m in enumerate(made) if not m[0]]):
+                raise ValueError(f"nothing could be located in: {(texts[lost[0]].as_py() or '')[:80]!r}")
             yield pa.StructArray.from_arrays([pa.array([m[0] for m in made], pa.list_(_ENTITY)), pa.array([m[1] for m in made], pa.list_(_SKIPPED))], names=["entities", "skipped"])
 
     return rows.withColumn("r", run("text", "ents")).select("record_id", "text", "r.entities", "r.skipped")

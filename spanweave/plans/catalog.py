@@ -12,11 +12,12 @@ from spanweave.functions.hashing import bucket
 from spanweave.functions.text import char_map, clean, has_text
 from spanweave.operators import coverage, evaluate, infer, noise, records, relocate, templates
 from spanweave.operators.assemble import assemble as build
-from spanweave.operators.clean import clean_records, project_to_clean, project_to_original
-from spanweave.operators.tokens import bio_decode, bio_encode, gated_label
+from spanweave.operators.clean import clean_records, project_to_clean, project_to_original, with_char_map
+from spanweave.operators.tokens import bio_decode, bio_encode, gated_label, whitespace_tokens
 from spanweave.plans import derive
 from spanweave.plans.derive import SEED, table
 from spanweave.schema import MAX_CHARS, label_dim
+from spanweave.sources.records import edge_cases as edge_records
 
 THRESHOLDS = [0.0, 0.6, 0.7, 0.8, 0.9, 0.55, 0.65, 0.75, 0.85, 0.95, 0.5]
 Query = Callable[[SparkSession, str], DataFrame]
@@ -139,6 +140,12 @@ def span_eval(spark, d):
     return _rounded(evaluate.evaluate(derive.predictions(spark, d), derive.gold(spark, d)))
 
 
+@query
+def trainer_metric(spark, d):
+    row = evaluate.trainer_metric(derive.probs(spark, d), derive.gold(spark, d))
+    return row.select(*(F.round(f"`{c}`", 9).alias(c) for c in row.columns))
+
+
 @query
 def macro_f1(spark, d):
     return evaluate.macro_f1(evaluate.evaluate(derive.predictions(spark, d), derive.gold(spark, d))).select(F.round("macro_f1", 9).alias("macro_f1"))
@@ -337,7 +344,7 @@ def source_mix(spark, d):
 
 @query
 def bucket_support(spark, d):
-    return coverage.bucket_support(derive.gold(spark, d))
+    return coverage.bucket_support(derive.gold(spark, d), coverage.LEAST_SUPPORT)
 
 
 @query
@@ -360,6 +367,11 @@ def cue_distance(spark, d):
     return coverage.cue_distance(derive.tokens(spark, d), derive.gold(spark, d))
 
 
+@query
+def cue_counts(spark, d):
+    return coverage.cue_counts(derive.tokens(spark, d))
+
+
 @query
 def stratified_split(spark, d):
     return coverage.stratified_split(derive.records(spark, d), derive.gold(spark, d), "side")
@@ -417,6 +429,30 @@ def manifest_sha(spark, d):
     return coverage.manifest_sha(derive.records(spark, d))
 
 
+@query
+def manifest_drift(spark, d):
+    """Against a manifest in which the test split has changed since, and one split is gone."""
+    r = derive.records(spark, d)
+    old = coverage.manifest_sha(r.filter("split <> 'edge_case' AND NOT (split = 'test' AND record_id % 100 = 1)"))
+    return coverage.manifest_drift(r, old).select("split", "drifted")
+
+
+@query
+def edge_cases(spark, d):
+    """The edge-case suite through cleaning, encoding, decoding and back to the places of the given text."""
+    given = edge_records(spark).withColumnRenamed("text", "raw")
+    mapped = with_char_map(given.withColumn("text", F.col("raw"))).drop("text")
+    plain = F.transform("entities", lambda e: F.struct(e["start"].alias("start"), e["end"].alias("end")))
+    moved = mapped.withColumn("spans", project_to_clean("char_map", F.length("raw"), plain))
+    spans = moved.select("record_id", F.explode(F.arrays_zip("entities", "spans")).alias("x")).select("record_id", "x.spans.start", "x.spans.end", "x.entities.type", "x.entities.polarity")
+    tokens = whitespace_tokens(mapped.select("record_id", F.col("clean_text").alias("text")))
+    back = bio_decode(bio_encode(tokens, spans)).groupBy("record_id").agg(F.collect_list(F.struct("start", "end", "type", "polarity")).alias("found"))
+    placed = mapped.join(back, "record_id", "left").withColumn("at", project_to_original("char_map", F.length("raw"), F.transform("found", lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end")))))
+    rows = placed.select("case", "raw", F.explode_outer(F.arrays_zip("found", "at")).alias("x"))
+    text = F.substring(F.col("raw"), F.col("x.at.start") + 1, F.col("x.at.end") - F.col("x.at.start"))
+    return rows.select("case", "x.at.start", "x.at.end", "x.found.type", "x.found.polarity", text.alias("text"))
+
+
 @query
 def active_learning_topk(spark, d):
     """A report of the hundred least sure records: the limit is the feature."""
@@ -445,7 +481,7 @@ def score_batch(spark, d):
     """The serving path with a toy scorer, which truncates as serving does."""
     raw = table(spark, d, "documents").select(F.col("doc_id").alias("record_id"), "text")
     found = infer.predict(raw, infer.toy_scorer, THRESHOLDS)
-    return found.select("record_id", F.size("entities").alias("n_entities"), F.to_json("entities").alias("entities"))
+    return found.select("record_id", F.explode_outer("entities").alias("e")).select("record_id", "e.type", "e.text", "e.start", "e.end", "e.polarity")
 
 
 @query

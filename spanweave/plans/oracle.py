@@ -4,11 +4,12 @@ from __future__ import annotations
 
 import re
 
-from spanweave.functions.text import PUNCTUATION
-from spanweave.operators.coverage import CUES
+from spanweave.functions.text import PUNCTUATION, ZERO_WIDTH
+from spanweave.operators.coverage import CUES, LEAST_SUPPORT
 from spanweave.operators.templates import SLOT
 from spanweave.plans.derive import DECOYS, KINDS, SEED, SWITCHES, TEMPLATES
 from spanweave.schema import BUCKETS, LABELS
+from spanweave.sources.records import EDGE_CASES
 
 _Z = r"[\x{200b}\x{200c}\x{200d}\x{2060}\x{feff}\x{ad}]"
 _C = r"[\x00-\x08\x0b\x0c\x0e-\x1f\x7f]"
@@ -255,12 +256,39 @@ SELECT record_id, switches, coalesce(n, 0) AS n, coalesce(map_md5, md5('')) AS m
 FROM records CROSS JOIN (SELECT unnest({_list(SWITCHES)}) AS switches) LEFT JOIN told USING (record_id, switches)"""
 
 
+def _cue_tests(lagged: bool = False) -> list[str]:
+    """A condition for each cue that it ends here; lagged: the words before are columns w1, w2."""
+    word = lambda k: "w" if not k else f"w{k}" if lagged else f"lag(w, {k}) OVER o"
+    return [" AND ".join(f"{word(k)} = {sql(p)}" for k, p in enumerate(c.split()[::-1])) for c in CUES]
+
+
 def _cues() -> str:
-    tests = []
-    for c in CUES:
-        parts = c.split()[::-1]
-        tests.append("(" + " AND ".join(["w = " + sql(parts[0]), *(f"lag(w, {k}) OVER o = {sql(p)}" for k, p in enumerate(parts[1:], 1))]) + ")")
-    return " OR ".join(tests)
+    return " OR ".join(f"({t})" for t in _cue_tests())
+
+
+def _served() -> str:
+    """The toy scorer's entities: tokens with a digit, else with a capital in front, of the first 500 characters and 256 tokens."""
+    short = "records AS (SELECT doc_id AS record_id, substr(coalesce(text, ''), 1, 500) AS raw, " + clean("substr(coalesce(text, ''), 1, 500)") + " AS text FROM documents)"
+    tokens = TOKENS[TOKENS.index("words AS") :]
+    return f"""WITH {short}, {tokens}, {MAP[MAP.index("codes AS") :]},
+hit AS MATERIALIZED (SELECT record_id, c0, c1, CASE WHEN regexp_matches(token, '\\p{{Nd}}') THEN 'COMMODITY' ELSE 'PERSON' END AS type FROM tok
+  WHERE tok_idx < 256 AND (regexp_matches(token, '\\p{{Nd}}') OR regexp_matches(token, '^\\p{{Lu}}'))),
+ends AS MATERIALIZED (SELECT record_id, c0, type, c0 AS n, TRUE AS first FROM hit UNION ALL SELECT record_id, c0, type, c1 - 1, FALSE FROM hit),
+found AS MATERIALIZED (SELECT ends.record_id, type, min(i) FILTER (WHERE first) AS s, min(i) FILTER (WHERE NOT first) + 1 AS e FROM ends JOIN map ON map.record_id = ends.record_id AND map.n = ends.n GROUP BY ends.record_id, c0, type)
+SELECT r.record_id, type, substr(raw, (s + 1)::INT, (e - s)::INT) AS text, s AS start, e AS "end", CASE WHEN s IS NOT NULL THEN 'POS' END AS polarity FROM records r LEFT JOIN found f ON f.record_id = r.record_id"""
+
+
+def _edge_cases() -> str:
+    """What is expected, except that a token lends its closing marks to its span: ends move to the end of the token."""
+    rows = []
+    for case, text, *found in EDGE_CASES:
+        for kind, surface, polarity in found:
+            s = text.index(surface)
+            e = next((k for k in range(s + len(surface), len(text)) if text[k].isspace() or text[k] in ZERO_WIDTH), len(text))
+            rows.append(f"('{case}', {s}, {e}, '{kind}', '{polarity}', {sql(text[s:e])})")
+        if not found:
+            rows.append(f"('{case}', NULL, NULL, NULL, NULL, NULL)")
+    return f'SELECT * FROM (VALUES {", ".join(rows)}) t("case", "start", "end", type, polarity, text)'
 
 
 def _jaccard(left: str, right: str) -> str:
@@ -335,6 +363,8 @@ def texts() -> dict[str, str]:
   SELECT b.record_id, b.s AS raw_start, b.e AS raw_end, min(n) AS start, max(n) + 1 AS "end" FROM b JOIN m ON m.record_id = b.record_id AND m.cell = b.cell WHERE b.s <= m.i AND m.i < b.e GROUP BY ALL""",
         "span_eval": f"WITH {PRED}, {matches('pred')} SELECT bucket, round(precision, 9) AS precision, round(recall, 9) AS recall, round(f1, 9) AS f1, support, pred_count FROM report",
         "macro_f1": f"WITH {PRED}, {matches('pred')} SELECT round(coalesce(avg(f1) FILTER (WHERE support > 0), 0), 9) AS macro_f1 FROM report WHERE bucket <> 'micro'",
+        "trainer_metric": f"""WITH {PROBS.replace(" best,", " label_id,")}, {decoded("prob", "dec")}, {matches("dec")} SELECT {", ".join(f"round(max({c}) FILTER (WHERE bucket = 'micro'), 9) AS {c}" for c in ("f1", "precision", "recall"))},
+  {", ".join(f"round(max(f1) FILTER (WHERE bucket = '{b}'), 9) AS " + chr(34) + f"f1_{b}" + chr(34) for b in BUCKETS)} FROM report""",
         "label_support": f"WITH {GOLD} SELECT label, count(g.s) AS support FROM (SELECT unnest({_LABELS}) AS label) LEFT JOIN gold g ON label = 'B-' || {_NAME} GROUP BY label",
         "validate_records": f"""WITH {GOLD}, bad AS (SELECT record_id, CASE WHEN m = 0 THEN 'unknown_type' WHEN m = 1 THEN 'negative_start' WHEN m = 2 THEN 'empty_span' WHEN m = 3 THEN 'unknown_polarity'
   WHEN m = 4 AND type <> 'COMMODITY' THEN 'not_negatable' WHEN m = 5 THEN 'out_of_text' WHEN m = 6 THEN 'other_text' END AS error FROM (SELECT *, {h("'bad'", "record_id", "s")} % 40 AS m FROM gold))
@@ -369,7 +399,14 @@ def texts() -> dict[str, str]:
         "cooccurrence": f"""WITH {GOLD}, t AS (SELECT record_id, type, count(*) AS n FROM gold GROUP BY ALL) SELECT a.type AS type_a, b.type AS type_b, count(*) AS records FROM t a JOIN t b
   ON a.record_id = b.record_id AND (a.type < b.type OR a.type = b.type AND a.n > 1) GROUP BY ALL""",
         "source_mix": "SELECT source, count(*) AS records, round(count(*) / (SELECT count(*) FROM documents)::DOUBLE, 6) AS share FROM documents GROUP BY source",
-        "bucket_support": f"WITH {GOLD} SELECT {_BUCKET} AS bucket, count(DISTINCT record_id) AS records FROM gold GROUP BY 1",
+        "bucket_support": f"""WITH {GOLD}, w AS (SELECT * FROM (VALUES {", ".join(f"('{b}', {n}::BIGINT)" for b, n in LEAST_SUPPORT.items())}) t(bucket, least)),
+  c AS (SELECT {_BUCKET} AS bucket, count(DISTINCT record_id) AS records FROM gold GROUP BY 1) SELECT bucket, least, coalesce(records, 0) AS records, coalesce(records, 0) >= least AS passes FROM w LEFT JOIN c USING (bucket)""",
+        "cue_counts": f"""WITH {TOKENS}, w AS (SELECT record_id, tok_idx, lower(regexp_replace(token, '[^A-Za-z]+$', '')) AS w FROM tok), n AS (SELECT {", ".join(f"count(*) FILTER (WHERE {test}) AS c{k}" for k, test in enumerate(_cue_tests(lagged=True)))}
+  FROM (SELECT w, lag(w, 1) OVER o AS w1, lag(w, 2) OVER o AS w2 FROM w WINDOW o AS (PARTITION BY record_id ORDER BY tok_idx)))
+  {" UNION ALL ".join(f"SELECT {sql(c)} AS cue, c{k} AS n FROM n" for k, c in enumerate(CUES))}""",
+        "manifest_drift": "SELECT * FROM (VALUES ('dev', FALSE), ('test', TRUE), ('edge_case', TRUE)) t(split, drifted)",
+        "edge_cases": _edge_cases(),
+        "score_batch": _served(),
         "zero_entity": f"""WITH {PRED}, z AS (SELECT record_id FROM records WHERE record_id NOT IN (SELECT record_id FROM gold)), c AS (SELECT count(*) AS zero_records, count(*) FILTER (WHERE record_id IN (SELECT record_id FROM pred)) AS f FROM z)
   SELECT zero_records, f AS false_positive_records, round(CASE WHEN zero_records > 0 THEN f / zero_records::DOUBLE ELSE 0 END, 6) AS false_positive_rate FROM c""",
         "neg_pos_ratio": f"""WITH {GOLD}, c AS (SELECT count(*) FILTER (WHERE polarity = 'NEG') AS neg, count(*) FILTER (WHERE polarity = 'POS') AS pos FROM gold WHERE type = 'COMMODITY'), r AS (SELECT *, CASE WHEN pos > 0 THEN neg / pos::DOUBLE ELSE 0 END AS x FROM c)

@@ -10,6 +10,7 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from spanweave.operators.templates import template_slots
 from spanweave.schema import ENTITY_TYPES
 
 #: The three tables and their columns.
@@ -43,6 +44,55 @@ def check(entity_pools: DataFrame, templates: DataFrame) -> None:
         raise ValueError("no templates")
 
 
+def seed_contract(entity_pools: DataFrame, decoy_pools: DataFrame, templates: DataFrame, decoy_slots: tuple[str, ...]) -> dict[str, object]:
+    """The counts of values by pool and of templates; ValueError that names every breach.
+
+    decoy_slots are the declared ones: each needs values, and there are no others. Every slot of a template
+    must name an entity type or a decoy with values; a decoy without a name is a breach of its own. What comes
+    back to the driver is one row a pool and the broken slots of the hand-kept templates.
+    """
+    entities = {r[0]: r[1] for r in entity_pools.groupBy("entity_type").agg(F.count_distinct("value")).collect()}
+    decoys = {r[0]: r[1] for r in decoy_pools.groupBy("slot_name").agg(F.count_distinct("value")).collect()}
+    forms = templates.select("template").distinct()
+    n = forms.count()
+    errors = [f"entity pool {t} is empty" for t in ENTITY_TYPES if not entities.get(t)]
+    errors += [f"decoy pool {s} is missing or empty" for s in decoy_slots if not decoys.get(s)]
+    errors += [f"decoy pool {s} is not declared" for s in sorted(decoys.keys() - set(decoy_slots))]
+    errors += [] if n else ["no templates"]
+    slots = template_slots(forms)
+    kind = F.when(F.col("sub") == "", "decoy without a name").when(F.col("sub").isNotNull() & ~F.col("sub").isin(*decoys), F.concat(F.lit("unknown decoy "), "sub"))
+    kind = kind.when(F.col("sub").isNull() & ~F.col("entity_type").isin(*ENTITY_TYPES), F.concat(F.lit("unknown entity type "), "entity_type"))
+    errors += sorted(f"{r.what}: {r.template}" for r in slots.select("template", kind.alias("what")).filter("what IS NOT NULL").distinct().collect())
+    if errors:
+        raise ValueError("the seed breaks its contract:\n" + "\n".join(errors))
+    return {"entity_pools": entities, "decoy_pools": decoys, "templates": n}
+
+
+def build_sqlite(path: str, sql_files: list[str]) -> Path:
+    """A fresh SQLite file with the three tables, and the statements of SQL files run in their order."""
+    target = Path(path)
+    target.parent.mkdir(parents=True, exist_ok=True)
+    target.unlink(missing_ok=True)
+    kinds = {"string": "TEXT", "double": "REAL"}
+    with sqlite3.connect(target) as db:
+        for name, ddl in TABLES.items():
+            columns = [c.split() for c in ddl.split(", ")]
+            made = ", ".join(f"{c} {kinds[t]} NOT NULL" + (" DEFAULT 1" if c == "weight" else "") for c, t in columns)
+            db.execute(f"CREATE TABLE {name} ({made}, UNIQUE ({', '.join(c for c, _ in columns[:-1])}))")
+        for file in sql_files:
+            db.executescript(Path(file).read_text())
+    return target
+
+
+def from_sql_files(spark: SparkSession, path: str, sql_files: list[str], folder: str | None = None) -> dict[str, DataFrame]:
+    """The tables that SQL files make; with folder, stored there as Parquet and read from it."""
+    tables = from_sqlite(spark, str(build_sqlite(path, sql_files)))
+    if folder is None:
+        return tables
+    to_parquet(tables, folder)
+    return from_parquet(spark, folder)
+
+
 def from_jdbc(spark: SparkSession, url: str, **options: str) -> dict[str, DataFrame]:
     """The tables of a database, by JDBC; needed columns only, filters are pushed down."""
     columns = {k: [c.split()[0] for c in v.split(", ")] for k, v in TABLES.items()}

@@ -8,11 +8,37 @@ from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from spanweave.functions.text import CleanConfig
 from spanweave.operators.records import from_json, to_json, with_defaults
 from spanweave.schema import LABELS, RECORD
 
+#: Names of the files beside records and models.
+SIDECAR, THRESHOLDS = "preprocess.json", "thresholds.json"
+
+# The texts of the edge-case suite, with (type, surface, polarity) of what is expected in each. The
+# third is ambiguous; it is resolved as an organisation. The fifth has a dash of U+2014; the ninth has a no-break
+# space and a zero-width space in a name; the tenth is built to end its last entity beyond 500 characters.
+EDGE_CASES = (
+    ("EC-01", ""),
+    ("EC-02", "   "),
+    ("EC-03", "Acme", ("ORG", "Acme", "POS")),
+    (
+        "EC-04", "Maria Gonzalez from Acme Trading Co. confirmed refined copper cathode shipped to 42 Industrial Park Road, Rotterdam, 3011 AB.",
+        ("PERSON", "Maria Gonzalez", "POS"), ("ORG", "Acme Trading Co.", "POS"), ("COMMODITY", "refined copper cathode", "POS"), ("ADDRESS", "42 Industrial Park Road, Rotterdam, 3011 AB", "POS"),
+    ),
+    (
+        "EC-05", "Manifest: galvanized steel coil, anhydrous ammonia, raw cane sugar \u2014 ETA Felix Yu, Oceanic Freight Co.",
+        ("COMMODITY", "galvanized steel coil", "POS"), ("COMMODITY", "anhydrous ammonia", "POS"), ("COMMODITY", "raw cane sugar", "POS"), ("PERSON", "Felix Yu", "POS"), ("ORG", "Oceanic Freight Co.", "POS"),
+    ),
+    ("EC-06", "does not contain wood", ("COMMODITY", "wood", "NEG")),
+    ("EC-07", "no special wood, but ordinary wood is fine", ("COMMODITY", "special wood", "NEG"), ("COMMODITY", "ordinary wood", "POS")),
+    ("EC-08", "shipment of sugar-free chocolate and stainless steel sheet", ("COMMODITY", "sugar-free chocolate", "POS"), ("COMMODITY", "stainless steel sheet", "POS")),
+    ("EC-09", "Signed by Maria\u00a0Gonzalez\u200b today", ("PERSON", "Maria\u00a0Gonzalez", "POS")),
+    ("EC-10", "lorem ipsum " * 41 + "Rotterdam Metals", ("ORG", "Rotterdam Metals", "POS")),
+)
+
 # Example sentences of our own with (type, surface, polarity).
 GOLD = (
     ("Copper wire from Halden Metals for Ada Lindqvist.", ("COMMODITY", "Copper wire", "POS"), ("ORG", "Halden Metals", "POS"), ("PERSON", "Ada Lindqvist", "POS")),
@@ -37,14 +63,21 @@ def read_lines(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.text(path).filter(F.trim("value") != "").select(F.col("value").alias("text"))
 
 
+def _gold_row(k: int, text: str, found) -> tuple:
+    return (k, text, [(t, s, text.index(s), text.index(s) + len(s), p) for t, s, p in found], (None, [], []))
+
+
+def edge_cases(spark: SparkSession) -> DataFrame:
+    """The edge-case suite as records with the column case."""
+    rows = [(*_gold_row(k, text, found), case) for k, (case, text, *found) in enumerate(EDGE_CASES)]
+    return spark.createDataFrame(rows, T.StructType([*RECORD.fields, T.StructField("case", T.StringType())]))
+
+
 def load_gold(spark: SparkSession, path: str | None = None) -> DataFrame:
     """Gold records from JSON lines, or the built-in ones."""
     if path:
         return read_jsonl(spark, path)
-    rows = []
-    for k, (text, *found) in enumerate(GOLD):
-        rows.append((k, text, [(t, s, text.index(s), text.index(s) + len(s), p) for t, s, p in found], (None, [], [])))
-    return with_defaults(spark.createDataFrame(rows, RECORD))
+    return with_defaults(spark.createDataFrame([_gold_row(k, text, found) for k, (text, *found) in enumerate(GOLD)], RECORD))
 
 
 def save_config(config: CleanConfig, path: str) -> None:

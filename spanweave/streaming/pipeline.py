@@ -18,9 +18,15 @@ def clean_stream(records: DataFrame, config: CleanConfig = DEFAULT) -> DataFrame
     return clean_records(records, config)
 
 
-def monthly_counts(events: DataFrame, ts: str, key: str, late: str = "7 days") -> DataFrame:
-    """(month window of 30 days, key, n) with a watermark: state of closed windows is dropped."""
-    return events.withWatermark(ts, late).groupBy(F.window(ts, "30 days"), key).agg(F.count("*").alias("n"))
+def daily_counts(events: DataFrame, ts: str, key: str, late: str = "7 days") -> DataFrame:
+    """(day, key, n) of a stream with a watermark: the state of closed days is dropped."""
+    days = events.withWatermark(ts, late).groupBy(F.window(ts, "1 day"), key).agg(F.count("*").alias("n"))
+    return days.select(F.col("window.start").cast("date").alias("day"), key, "n")
+
+
+def monthly_counts(days: DataFrame, key: str) -> DataFrame:
+    """(month, key, n): calendar months, which are no windows of fixed length, added up from what daily_counts wrote."""
+    return days.groupBy(F.date_trunc("month", "day").cast("date").alias("month"), key).agg(F.sum("n").alias("n"))
 
 
 def run_available(stream: DataFrame, out: str, checkpoint: str, mode: str = "append") -> None:

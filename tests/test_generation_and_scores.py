@@ -1,7 +1,9 @@
 """Templates, noise, relocation, scores, threshold search, reports, sources and streams."""
 
+import hashlib
 import json
 import random
+import re
 import sqlite3
 from collections import Counter
 
@@ -9,7 +11,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from spanweave.functions.text import CleanConfig
+from spanweave.functions.text import PUNCTUATION, CleanConfig
 from spanweave.operators import coverage, evaluate, infer, noise, relocate, templates
 from spanweave.operators.records import split_valid, validate
 from spanweave.schema import BUCKETS, LABELS, RECORD
@@ -356,6 +358,151 @@ def test_stream_equals_batch(spark, made, tmp_path):
     assert sorted(spark.read.parquet(f"{tmp_path}/out").collect()) == sorted(clean_records(rows).collect())
     events = spark.createDataFrame([(k, "2024-01-01 00:00:00" if k < 5 else "2024-06-01 00:00:00", "a") for k in range(6)], "i int, t string, k string").select("i", F.to_timestamp("t").alias("ts"), "k")
     events.write.parquet(f"{tmp_path}/ev")
-    counted = pipeline.monthly_counts(pipeline.read_records(spark, f"{tmp_path}/ev", events.schema, 1), "ts", "k")
+    counted = pipeline.daily_counts(pipeline.read_records(spark, f"{tmp_path}/ev", events.schema, 1), "ts", "k")
     pipeline.run_available(counted, f"{tmp_path}/evout", f"{tmp_path}/evcheck")
     assert {r.n for r in spark.read.parquet(f"{tmp_path}/evout").collect()} <= {5}
+    days = spark.createDataFrame([("2024-01-01", "a", 2), ("2024-01-31", "a", 3), ("2024-02-01", "a", 4)], "d string, k string, n long").select(F.to_date("d").alias("day"), "k", "n")
+    assert {(str(r.month), r.n) for r in pipeline.monthly_counts(days, "k").collect()} == {("2024-01-01", 5), ("2024-02-01", 4)}
+
+
+def number(*parts):
+    return int(hashlib.md5("|".join(map(str, parts)).encode()).hexdigest()[:8], 16)
+
+
+def share(*parts):
+    return (number(*parts) + 0.5) / 2**32
+
+
+def plain_noise(k, text, spans, cues, seed):
+    """One record through the four steps, character by character; spans and cues as lists of [start, end]."""
+    config = noise.DEFAULT
+
+    def delete(gone):
+        nonlocal text, spans, cues
+        before = lambda p: sum(g < p for g in gone)
+        text = "".join(c for i, c in enumerate(text) if i not in gone)
+        spans = [(before_s, before_e, *rest) for s, e, *rest in spans if (before_s := s - before(s)) < (before_e := e - before(e))]
+        cues = [(a, b) for s, e in cues if (a := s - before(s)) < (b := e - before(e))]
+
+    held = lambda i: any(s <= i < e for s, e, *_ in [*spans, *cues])
+    if share(seed, k, "lowercase") < config.p_lowercase:
+        text = "".join(c.lower() if len(c.lower()) == 1 else c for c in text)
+    if share(seed, k, "drop_punct") < config.p_drop_punct:
+        delete({i for i, c in enumerate(text) if c in PUNCTUATION and share(seed, k, "punct", i) < config.drop_punct_rate and not held(i)})
+    if share(seed, k, "typo") < config.p_typo:
+        text = "".join("abcdefghijklmnopqrstuvwxyz"[number(seed, k, "letter", i) % 26] if c.isalpha() and share(seed, k, "typo", i) < config.typo_rate and not held(i) else c for i, c in enumerate(text))
+    cut = len(text) - 1 - number(seed, k, "cut") % config.truncate_max_chars
+    if share(seed, k, "truncate") < config.p_truncate and len(text) > 10 and not any(s < cut < e for s, e, *_ in spans) and not any(s <= cut < e for s, e in cues):
+        delete(set(range(cut, len(text))))
+    return text, spans
+
+
+def test_assembling_matches_a_plain_loop(spark):
+    from spanweave.operators.assemble import assemble
+
+    pools = pool_source.pool_table(pool_source.in_memory(spark, "entity_pools", [*ENTITIES, ("ORG", "Two  Spaces", 2.0)]), pool_source.in_memory(spark, "decoy_pools", DECOYS))
+    forms, ids = pool_source.in_memory(spark, "templates", FORMS), spark.range(500).withColumnRenamed("id", "record_id")
+    got = {r.record_id: (r.text, [(e.start, e.end, e.type, e.polarity, e.text) for e in r.entities]) for r in assemble(ids, forms, pools, 11)[0].collect()}
+    made = templates.generate(ids, forms, pools, 11).collect()
+    for r in made:
+        text, found = r.text, [(e.start, e.end, e.type, e.polarity) for e in r.entities]
+        if share(12, r.record_id, "noise") < 0.6:
+            text, found = plain_noise(r.record_id, text, found, [(p.start, p.end) for p in r.meta.preserve_spans], 12)
+        places, clean_ = [], ""
+        for i, c in enumerate(text):
+            if c != " " or clean_[-1:] not in ("", " "):
+                clean_, places = clean_ + c, [*places, i]
+        clean_ = clean_.rstrip(" ")
+        moved = [(sum(p < s for p in places), sum(p < e for p in places), t, p) for s, e, t, p in found]
+        assert got[r.record_id] == (clean_, [(s, e, t, p, clean_[s:e]) for s, e, t, p in moved if s < e])
+    assert len(got) == len(made) == 500
+
+
+def test_assembling_to_files(spark, tmp_path):
+    from spanweave.operators.assemble import assemble_to_files
+
+    tables = {"entity_pools": pool_source.in_memory(spark, "entity_pools", ENTITIES), "decoy_pools": pool_source.in_memory(spark, "decoy_pools", DECOYS), "templates": pool_source.in_memory(spark, "templates", FORMS)}
+    config = CleanConfig(trim=False)
+    path = assemble_to_files(spark.range(60).withColumnRenamed("id", "record_id"), tables, str(tmp_path), 3, cleaning=config)
+    assert record_source.read_jsonl(spark, path).count() == 60
+    assert record_source.load_config(f"{tmp_path}/{record_source.SIDECAR}") == config
+
+
+def test_seed_contract_and_sql_files(spark, tmp_path):
+    tables = {"entity_pools": pool_source.in_memory(spark, "entity_pools", ENTITIES), "decoy_pools": pool_source.in_memory(spark, "decoy_pools", DECOYS), "templates": pool_source.in_memory(spark, "templates", FORMS)}
+    slots = ("number", "neg_cue", "contrast_cue")
+    told = pool_source.seed_contract(*tables.values(), slots)
+    assert told == {"entity_pools": {"PERSON": 2, "ORG": 2, "ADDRESS": 1, "COMMODITY": 3}, "decoy_pools": dict.fromkeys(slots, 1), "templates": 4}
+    odd = pool_source.in_memory(spark, "templates", [("{decoy} {decoy:gone} {THING} {NEG_THING}", 1.0)])
+    with pytest.raises(ValueError) as e:
+        pool_source.seed_contract(tables["entity_pools"].filter("entity_type <> 'ORG'"), tables["decoy_pools"], odd, ("number", "title"))
+    for what in ("entity pool ORG is empty", "decoy pool title is missing", "contrast_cue is not declared", "decoy without a name", "unknown decoy gone", "unknown entity type THING"):
+        assert what in str(e.value)
+    with pytest.raises(ValueError, match="no templates"):
+        pool_source.seed_contract(tables["entity_pools"], tables["decoy_pools"], tables["templates"].limit(0), slots)
+    files = []
+    for name, df in tables.items():
+        files.append(str(tmp_path / f"{name}.sql"))
+        (tmp_path / f"{name}.sql").write_text("\n".join(pool_source.insert_statements(name, df)) * 2)
+    back = pool_source.from_sql_files(spark, f"{tmp_path}/store/p.db", files, f"{tmp_path}/store/parquet")
+    assert {k: sorted(v.collect()) for k, v in back.items()} == {k: sorted(v.collect()) for k, v in tables.items()}
+    pool_source.build_sqlite(f"{tmp_path}/store/p.db", files[:1])
+    assert pool_source.from_sqlite(spark, f"{tmp_path}/store/p.db")["templates"].count() == 0
+
+
+def test_artifact_folder_and_lines(spark, tmp_path, monkeypatch):
+    bare = infer.from_artifact_dir(str(tmp_path))
+    assert bare.thresholds is None and bare.config == CleanConfig() and (bare.intra_threads, bare.inter_threads) == (2, 1)
+    record_source.save_thresholds({"B-PERSON": 0.99}, f"{tmp_path}/{record_source.THRESHOLDS}")
+    record_source.save_config(CleanConfig(trim=False), f"{tmp_path}/{record_source.SIDECAR}")
+    monkeypatch.setenv("ORT_INTRA_OP", "4")
+    told = infer.from_artifact_dir(str(tmp_path))
+    assert told.intra_threads == 4 and told.config == CleanConfig(trim=False) and told.thresholds[1] == 0.99
+    rows = spark.createDataFrame([(1, " Ada 9t")], "record_id bigint, text string")
+    assert [e.text for e in infer.predict_with(rows, told, lambda a: infer.toy_scorer()).first().entities] == ["9t"]
+    lines = [json.loads(r.value) for r in infer.predict_lines(rows.select("text"), infer.toy_scorer, report_latency=True).collect()]
+    assert [e["text"] for e in lines[0]["entities"]] == ["Ada", "9t"] and lines[0]["latency_ms"] >= 0
+
+
+def plain_locate(text, wanted):
+    """Surfaces in order, each from the end of its type's last one, by regular expressions."""
+    after, found, reasons = {}, [], []
+    for kind, surface, polarity in wanted:
+        if kind not in ("PERSON", "ORG", "ADDRESS", "COMMODITY"):
+            reasons.append((kind, "unknown_type"))
+        elif not surface:
+            reasons.append((kind, "empty"))
+        else:
+            at = after.get(kind, 0)
+            m = re.compile(re.escape(surface)).search(text, at) or re.compile(re.escape(surface), re.I).search(text, at)
+            if not m:
+                reasons.append((kind, "not_found"))
+            elif polarity == "NEG" and kind != "COMMODITY" or polarity == "MAYBE":
+                reasons.append((kind, "span_invalid"))
+            else:
+                after[kind] = m.end()
+                found.append((m.start(), m.end(), kind, polarity))
+    kept = []
+    for x in sorted(found, key=lambda x: x[:2]):
+        if kept and x[0] < kept[-1][1]:
+            reasons.append((x[2], "overlap"))
+        else:
+            kept.append(x)
+    return kept, reasons
+
+
+def test_relocation_matches_a_plain_loop(spark):
+    r = random.Random(3)
+    words = ["tin", "Tin", "oak", "OAK", "ash wood", "Ash", "x"]
+    rows = []
+    for k in range(300):
+        text = " ".join(r.choices(words, k=r.randint(0, 12)))
+        rows.append((k, text, [(r.choice(("PERSON", "ORG", "COMMODITY", "THING")), r.choice([*words, "", "none such"]), r.choice(("POS", "POS", "NEG", "MAYBE"))) for _ in range(r.randint(0, 6))]))
+    df = spark.createDataFrame(rows, "record_id bigint, text string, ents array<struct<type:string,text:string,polarity:string>>")
+    got = {x.record_id: x for x in relocate.relocate(df).collect()}
+    for k, text, wanted in rows:
+        kept, reasons = plain_locate(text, wanted)
+        assert [(e.start, e.end, e.type, e.polarity) for e in got[k].entities] == kept and [(s.type, s.reason) for s in got[k].skipped] == reasons
+        assert all(text[e.start : e.end] == e.text for e in got[k].entities)
+    with pytest.raises(Exception, match="nothing could be located"):
+        relocate.relocate(df.limit(50), must_find=True).collect()
