@@ -22,7 +22,7 @@ try:
 except OSError:  # not glibc
     _libc = None
 
-_written: list[tuple[SparkSession, str]] = []
+_written: dict[str, SparkSession] = {}
 
 
 def words_of(text: bytes) -> list[bytes]:
@@ -55,22 +55,38 @@ def shared_dir(spark: SparkSession) -> str:
 def materialize(df: DataFrame, label: str) -> DataFrame:
     """Write df to the shared folder and read it back: cuts lineage and survives lost executors.
 
-    The files live until the Python process ends.
+    The files live until discard() or the end of the Python process.
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
+    hold(spark, path)
     df.write.option("compression", "zstd").parquet(path)
+    back = spark.read.schema(df.schema).parquet(path)
+    back.stored_at = path
+    return back
+
+
+def hold(spark: SparkSession, path: str) -> None:
+    """Delete a folder when the Python process ends, if discard() has not done so before."""
     if not _written:
         atexit.register(_clean)
-    _written.append((spark, path))
-    return spark.read.schema(df.schema).parquet(path)
+    _written[path] = spark
+
+
+def discard(*what: DataFrame | str) -> None:
+    """Delete folders, or the files of materialized frames, that nothing will read again."""
+    for x in what:
+        path = x if isinstance(x, str) else x.stored_at
+        spark = _written.pop(path, None)
+        if spark:
+            folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+            folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 def _clean() -> None:
-    for spark, path in _written:
+    for path in list(_written):
         try:
-            hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-            hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hadoop, True)
+            discard(path)
         except Exception:  # the session has ended; its owner clears the checkpoint folder
             return
 

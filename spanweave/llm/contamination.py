@@ -1,12 +1,14 @@
 """Benchmark decontamination by a distributed positional inverted index.
 
-build_index() stores the positions of every training word, one shard of about a million words per
+build_index() stores the positions of every training word, one shard of about half a million words per
 row, partitioned by document: nothing is shuffled, a lost executor costs one task. search() sends
 benchmark windows in bounded blocks to all shards; in a shard, the positions of each window's rarest
 word, moved back by its offset, are intersected with the lists of the other words from rare to
-frequent. With slop = 0 a match is an exact phrase, with slop > 0 each word may stand up to slop
-places from its offset, with at least one word at its offset (proximity); which one does not matter,
-so matches do not depend on the words that are rare in a shard.
+frequent, so many positions at a time that memory stays bounded whatever the words. With slop = 0 a
+match is an exact phrase, with slop > 0 each word may stand up to slop places from its offset, with at
+least one word at its offset (proximity); which one does not matter, so matches do not depend on the
+words that are rare in a shard. drop_contaminated() removes the documents in which an exact window is
+found in the index.
 
 Defined cases: null text has no words; an item without words or with a null item_id takes no part;
 an item shorter than the window is one window; rows with equal or null doc_id stay rows of their
@@ -21,8 +23,9 @@ from itertools import count
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from spanweave.llm.common import materialize, release, words_of
 
@@ -30,10 +33,16 @@ WINDOW = 10
 SHARD_WORDS = 500_000
 #: Words of one block of benchmark windows that is broadcast at a time.
 BLOCK_WORDS = 400_000
+#: Positions that are followed through the lists at once.
+CHUNK = 1_000_000
+#: Places by which the words of a near match may be off.
+SLOP = 2
+#: Most keys of documents that are broadcast to be dropped; more are joined by a shuffle.
+KEYS_SENT = 500_000
 #: Free positions between documents; larger than any slop, so no match crosses documents.
 GAP = 16
-INDEX = "shard string, doc_ids array<bigint>, ends binary, terms binary, starts binary, deltas binary"
-FOUND = "doc_id bigint, shard string, doc_no int, n_words bigint, runs array<struct<s:int,e:int>>, items array<bigint>, near_items array<bigint>"
+INDEX = "shard string, keys array<{}>, ends binary, terms binary, starts binary, deltas binary"
+FOUND = "key {}, shard string, doc_no int, n_words bigint, runs array<struct<s:int,e:int>>, items array<bigint>, near_items array<bigint>"
 
 
 class Shard:
@@ -42,13 +51,13 @@ class Shard:
     def __init__(self) -> None:
         self.vocabulary: dict[bytes, int] = defaultdict(count().__next__)
         self.ids: list[np.ndarray] = []
-        self.doc_ids: list[int | None] = []
+        self.keys: list[int | str | None] = []
         self.words = 0
 
-    def add(self, doc_id: int | None, text: bytes | None) -> None:
+    def add(self, key: int | str | None, text: bytes | None) -> None:
         words = words_of(text or b"")
         self.ids.append(np.fromiter(map(self.vocabulary.__getitem__, words), np.int32, len(words)))
-        self.doc_ids.append(doc_id)
+        self.keys.append(key)
         self.words += len(words)
 
     def close(self) -> tuple[np.ndarray, list[bytes], np.ndarray, np.ndarray]:
@@ -62,45 +71,41 @@ class Shard:
         return ends, list(self.vocabulary), starts, at[order].astype(np.int64)
 
 
-def _shards(rows: Iterator[tuple[int | None, bytes | None]]) -> Iterator[Shard]:
+def _shards(batches: Iterator[pa.RecordBatch]) -> Iterator[Shard]:
     shard = Shard()
-    for doc_id, text in rows:
-        shard.add(doc_id, text)
-        if shard.words >= SHARD_WORDS or len(shard.doc_ids) >= 100_000:
-            yield shard
-            shard = Shard()
-    if shard.doc_ids:
-        yield shard
-
-
-def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int | None, bytes | None]]:
     for b in batches:
         texts = b.column(1).cast(pa.binary())
-        for k, doc_id in enumerate(b.column(0).to_pylist()):
-            yield doc_id, texts[k].as_py()
+        for k, key in enumerate(b.column(0).to_pylist()):
+            shard.add(key, texts[k].as_py())
+            if shard.words >= SHARD_WORDS or len(shard.keys) >= 100_000:
+                yield shard
+                shard = Shard()
+    if shard.keys:
+        yield shard
 
 
-def build_index(docs: DataFrame) -> DataFrame:
-    """The stored index of docs(doc_id, text)."""
+def build_index(docs: DataFrame, key: str = "doc_id") -> DataFrame:
+    """The stored index of docs(key, text); a key that is not a string is a long."""
+    kind = "string" if isinstance(docs.schema[key].dataType, T.StringType) else "bigint"
 
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
         part = TaskContext.get().partitionId()
-        for k, shard in enumerate(_shards(_rows(batches))):
+        for k, shard in enumerate(_shards(batches)):
             ends, terms, starts, at = shard.close()
             deltas = np.diff(at, prepend=0).astype(np.int32)
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array([f"{part}-{k}"]),
-                    pa.array([shard.doc_ids], pa.list_(pa.int64())),
+                    pa.array([shard.keys], pa.list_(pa.string() if kind == "string" else pa.int64())),
                     *(pa.array([x], pa.binary()) for x in (ends.tobytes(), b" ".join(terms), starts.tobytes(), deltas.tobytes())),
                 ],
-                names=["shard", "doc_ids", "ends", "terms", "starts", "deltas"],
+                names=["shard", "keys", "ends", "terms", "starts", "deltas"],
             )
         release()
 
-    return materialize(docs.select(F.col("doc_id").cast("bigint"), "text").mapInArrow(build, INDEX), "postings")
+    return materialize(docs.select(F.col(key).cast(kind), "text").mapInArrow(build, INDEX.format(kind)), "postings")
 
 
 class Block:
@@ -141,51 +146,53 @@ def blocks(benchmark: DataFrame, window: int = WINDOW) -> Iterator[dict]:
         yield block.close()
 
 
-def _intersect(block: dict, terms: list[bytes], starts: np.ndarray, at: np.ndarray, slop: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Windows, start positions of their matches, and a position that is within the document of the match."""
+def _intersect(block: dict, terms: list[bytes], starts: np.ndarray, at: np.ndarray, slop: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Windows, start positions of their matches, and a position that is within the document of the match, part by part.
+
+    A part follows at most CHUNK positions of rarest words, so its memory does not depend on how frequent they are.
+    """
     number = dict(zip(terms, range(len(terms)), strict=True))
     local = np.fromiter((number.get(w, -1) for w in block["words"]), np.int64, len(block["words"]))
     table = block["table"]
     used = table >= 0
     term = np.where(used, local[np.where(used, table, 0)], 0)
     whole = np.flatnonzero(((term >= 0) | ~used).all(1))
-    none = np.zeros(0, np.int64)
     if not len(whole):
-        return none, none, none
+        return
     term, used = term[whole], used[whole]
     lists = np.where(used, (starts[1:] - starts[:-1])[term], np.iinfo(np.int64).max)
     rank = np.argsort(lists, axis=1, kind="stable")
     span = int(at.max()) + GAP + 1
     keys = np.repeat(np.arange(len(terms), dtype=np.int64), starts[1:] - starts[:-1]) * span + at
-    row = np.arange(len(whole))
-    first = term[row, rank[:, 0]]
-    n = starts[first + 1] - starts[first]
-    every = np.repeat(row, n)
-    held = at[np.repeat(starts[first], n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)]
-    found = []
-    for moved in range(-slop, slop + 1):
-        win, anchor, pos = every, held, held - rank[every, 0] + moved
-        if not slop:
-            win, anchor, pos = (x[pos >= 0] for x in (win, anchor, pos))
-        placed = np.full(len(win), moved == 0)
-        for j in range(1, table.shape[1]):
-            if not len(win):
-                break
-            off = rank[win, j]
-            there = used[win, off]
-            want = term[win, off] * span + pos + off
-            lower = np.maximum(want - slop, term[win, off] * span)
-            k = np.searchsorted(keys, lower)
-            hit = (k < len(keys)) & (keys[np.minimum(k, len(keys) - 1)] <= want + slop)
-            keep = hit | ~there
-            if moved:
-                k = np.minimum(np.searchsorted(keys, want[keep]), len(keys) - 1)
-                placed = placed[keep] | there[keep] & (keys[k] == want[keep])
-            else:
-                placed = placed[keep]
-            win, anchor, pos = win[keep], anchor[keep], pos[keep]
-        found.append((whole[win[placed]], pos[placed], anchor[placed]))
-    return tuple(np.concatenate(x) for x in zip(*found, strict=True))
+    first = term[np.arange(len(whole)), rank[:, 0]]
+    ends = np.cumsum(starts[first + 1] - starts[first])
+    for begin in range(0, int(ends[-1]), CHUNK):
+        nth = np.arange(begin, min(begin + CHUNK, int(ends[-1])))
+        every = np.searchsorted(ends, nth, "right")
+        held = at[starts[first[every] + 1] - ends[every] + nth]
+        for moved in range(-slop, slop + 1):
+            win, anchor, pos = every, held, held - rank[every, 0] + moved
+            if not slop:
+                win, anchor, pos = (x[pos >= 0] for x in (win, anchor, pos))
+            placed = np.full(len(win), moved == 0)
+            for j in range(1, table.shape[1]):
+                if not len(win):
+                    break
+                off = rank[win, j]
+                there = used[win, off]
+                want = term[win, off] * span + pos + off
+                lower = np.maximum(want - slop, term[win, off] * span)
+                k = np.searchsorted(keys, lower)
+                hit = (k < len(keys)) & (keys[np.minimum(k, len(keys) - 1)] <= want + slop)
+                keep = hit | ~there
+                if moved:
+                    k = np.minimum(np.searchsorted(keys, want[keep]), len(keys) - 1)
+                    placed = placed[keep] | there[keep] & (keys[k] == want[keep])
+                else:
+                    placed = placed[keep]
+                win, anchor, pos = win[keep], anchor[keep], pos[keep]
+            if placed.any():
+                yield whole[win[placed]], pos[placed], anchor[placed]
 
 
 def _hits(block: dict, shard: tuple, slop: int) -> dict[int, list]:
@@ -201,27 +208,30 @@ def _hits(block: dict, shard: tuple, slop: int) -> dict[int, list]:
         """The last document that begins at or before each position; empty ones hold none."""
         return np.searchsorted(begins, pos, "right") - 1
 
-    win, pos, _ = _intersect(block, terms, starts, at, 0)
-    if len(win):
-        order = np.argsort(pos, kind="stable")
-        win, pos = win[order], pos[order]
-        for w, p, d in zip(win.tolist(), pos.tolist(), docs(pos).tolist(), strict=True):
-            runs, items, _ = found.setdefault(d, [[], set(), set()])
-            s, e = p - int(begins[d]), p - int(begins[d]) + int(length[w])
-            if runs and s <= runs[-1][1]:
-                runs[-1][1] = max(runs[-1][1], e)
+    every, items = [], []
+    for win, pos, _ in _intersect(block, terms, starts, at, 0):
+        every.append(np.unique(np.stack([pos, pos + length[win]]), axis=1))
+        items.append(np.unique(np.stack([docs(pos), win]), axis=1))
+    if every:
+        s, e = np.unique(np.concatenate(every, axis=1), axis=1)
+        for p, q, d in zip(s.tolist(), e.tolist(), docs(s).tolist(), strict=True):
+            runs = found.setdefault(d, [[], set(), set()])[0]
+            p, q = p - int(begins[d]), q - int(begins[d])
+            if runs and p <= runs[-1][1]:
+                runs[-1][1] = max(runs[-1][1], q)
             else:
-                runs.append([s, e])
-            items.update(block["items"][w])
+                runs.append([p, q])
+        for d, w in np.unique(np.concatenate(items, axis=1), axis=1).T.tolist():
+            found[d][1].update(block["items"][w])
     if slop:
-        win, _, within = _intersect(block, terms, starts, at, slop)
-        for w, d in set(zip(win.tolist(), docs(within).tolist(), strict=True)):
+        near = [np.unique(np.stack([docs(within), win]), axis=1) for win, _, within in _intersect(block, terms, starts, at, slop)]
+        for d, w in np.unique(np.concatenate(near, axis=1), axis=1).T.tolist() if near else ():
             found.setdefault(d, [[], set(), set()])[2].update(block["items"][w])
     return found
 
 
 def search(index: DataFrame, benchmark: DataFrame, window: int = WINDOW, slop: int = 0) -> DataFrame:
-    """Per document of the index: n_words, the merged runs of hit words, items and near items.
+    """Per document of the index: its key, n_words, the merged runs of hit words, items and near items.
 
     Each block of windows is one job over the stored index when there are several; their runs are
     then merged per document.
@@ -245,41 +255,43 @@ def search(index: DataFrame, benchmark: DataFrame, window: int = WINDOW, slop: i
     return (
         every.groupBy("shard", "doc_no")
         .agg(
-            F.first("doc_id").alias("doc_id"),
+            F.first("key").alias("key"),
             F.first("n_words").alias("n_words"),
             joined.alias("runs"),
             *(F.array_sort(F.array_distinct(F.flatten(F.collect_list(c)))).alias(c) for c in ("items", "near_items")),
         )
-        .select("doc_id", "shard", "doc_no", "n_words", "runs", "items", "near_items")
+        .select("key", "shard", "doc_no", "n_words", "runs", "items", "near_items")
     )
 
 
 def _search_block(index: DataFrame, sent, slop: int) -> DataFrame:
+    kind = index.schema["keys"].dataType.elementType
+
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         block = sent.value
         for b in batches:
             for r in range(b.num_rows):
-                shard, doc_ids, ends, terms, starts, deltas = (b.column(c)[r].as_py() for c in range(6))
+                shard, own, ends, terms, starts, deltas = (b.column(c)[r].as_py() for c in range(6))
                 ends, starts = np.frombuffer(ends, np.int64), np.frombuffer(starts, np.int64)
                 at = np.cumsum(np.frombuffer(deltas, np.int32), dtype=np.int64)
                 begins = np.concatenate([[0], ends[:-1] + GAP])
                 found = _hits(block, (ends, terms.split(b" ") if terms else [], starts, at), slop)
-                got = [found.get(k, [[], (), ()]) for k in range(len(doc_ids))]
-                n = len(doc_ids)
+                got = [found.get(k, [[], (), ()]) for k in range(len(own))]
+                n = len(own)
                 yield pa.RecordBatch.from_arrays(
                     [
-                        pa.array(doc_ids, pa.int64()),
+                        pa.array(own, pa.string() if isinstance(kind, T.StringType) else pa.int64()),
                         pa.array([shard] * n),
                         pa.array(range(n), pa.int32()),
                         pa.array(ends - begins, pa.int64()),
                         pa.array([[{"s": s, "e": e} for s, e in x[0]] for x in got], pa.list_(pa.struct([("s", pa.int32()), ("e", pa.int32())]))),
                         *(pa.array([sorted(x[k]) for x in got], pa.list_(pa.int64())) for k in (1, 2)),
                     ],
-                    names=["doc_id", "shard", "doc_no", "n_words", "runs", "items", "near_items"],
+                    names=["key", "shard", "doc_no", "n_words", "runs", "items", "near_items"],
                 )
         release()
 
-    return index.mapInArrow(find, FOUND)
+    return index.mapInArrow(find, FOUND.format(kind.simpleString()))
 
 
 def covered(runs: str = "runs"):
@@ -295,27 +307,14 @@ def covered(runs: str = "runs"):
     )["n"]
 
 
-def flag(benchmark: DataFrame, window: int = WINDOW):
-    """A column function text -> whether any benchmark window occurs in it, for filters on whole rows.
+def drop_contaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
+    """docs without the rows in whose text a benchmark window occurs; all columns stay.
 
-    Shards are built in memory batch by batch and searched by the same code; the benchmark goes out
-    in one broadcast per block.
+    Whether a row goes depends on its text only, so the index is keyed by a digest of it. The digests that the
+    search finds are stored and counted; up to KEYS_SENT of them are broadcast, more are joined by a shuffle.
     """
-    spark: SparkSession = benchmark.sparkSession
-    sent = [spark.sparkContext.broadcast(b) for b in blocks(benchmark, window)]
-
-    @F.arrow_udf("boolean")
-    def contaminated(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        for texts in batches:
-            out: list[bool] = []
-            binary = texts.cast(pa.binary())
-            for shard in _shards((k, binary[k].as_py()) for k in range(len(binary))):
-                closed = shard.close()
-                hit: set[int] = set()
-                for s in sent:
-                    hit.update(_hits(s.value, closed, 0))
-                out += [k in hit for k in range(len(shard.doc_ids))]
-            yield pa.array(out, pa.bool_())
-        release()
-
-    return contaminated
+    digest = F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256)
+    index = build_index(docs.select(digest.alias("digest"), "text"), "digest")
+    found = materialize(search(index, benchmark, window).filter(F.size("runs") > 0).select(F.col("key").alias("__digest")).distinct(), "leaks")
+    bounded = found.count() <= KEYS_SENT
+    return docs.join(F.broadcast(found) if bounded else found, digest == found["__digest"], "left_anti")

@@ -101,55 +101,56 @@ def op9_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Beside the columns of exact phrases: how many items the document comes near (exact ones among them), and their digest."""
     index = contamination.build_index(table(spark, sf_dir, "documents"))
-    found = contamination.search(index, table(spark, sf_dir, "benchmark"), slop=2)
-    names = F.array_sort(F.transform("items", lambda i: i.cast("string")))
+    found = contamination.search(index, table(spark, sf_dir, "benchmark"), slop=contamination.SLOP)
+    digest = lambda c: F.sha2(F.concat_ws(",", F.array_sort(F.transform(c, lambda i: i.cast("string")))).cast("binary"), 256)
     return found.select(
-        "doc_id",
+        F.col("key").alias("doc_id"),
         "n_words",
         contamination.covered().alias("n_hit"),
         F.size("items").cast("bigint").alias("n_items"),
-        F.sha2(F.concat_ws(",", names).cast("binary"), 256).alias("items_sha256"),
+        digest("items").alias("items_sha256"),
         (F.size("runs") > 0).alias("contaminated"),
-    )
-
-
-def op10_proximity(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Items near which a document comes, exact ones among them; the columns of op10_decontamination are those of its SQL twin."""
-    index = contamination.build_index(table(spark, sf_dir, "documents"))
-    found = contamination.search(index, table(spark, sf_dir, "benchmark"), slop=2)
-    return found.select(
-        "doc_id",
-        "n_words",
         F.size("near_items").cast("bigint").alias("n_near"),
-        F.size(F.array_except("near_items", "items")).cast("bigint").alias("n_near_only"),
-        "near_items",
+        digest("near_items").alias("near_sha256"),
     )
 
 
 SQL_WORDS = "regexp_extract_all(translate({0}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
 
 OP10_SQL = f"""
-WITH d AS (SELECT row_number() OVER () AS row_no, doc_id, {SQL_WORDS.format("coalesce(text, '')")} AS w FROM documents),
+WITH d AS MATERIALIZED (SELECT row_number() OVER () AS row_no, doc_id, {SQL_WORDS.format("coalesce(text, '')")} AS w FROM documents),
 b AS (SELECT DISTINCT item_id, {SQL_WORDS.format("coalesce(text, '')")} AS w FROM benchmark WHERE item_id IS NOT NULL),
 k AS (SELECT item_id, w, least(10, len(w)) AS n FROM b WHERE len(w) > 0),
-q AS (SELECT DISTINCT item_id, n, array_to_string(list_slice(w, i, i + n - 1), ' ') AS s
+q AS MATERIALIZED (SELECT DISTINCT item_id, n, array_to_string(list_slice(w, i, i + n - 1), ' ') AS s
       FROM (SELECT item_id, w, n, unnest(range(1, len(w) - n + 2)) AS i FROM k)),
 p AS (SELECT row_no, i, n, array_to_string(list_slice(w, i, i + n - 1), ' ') AS s
       FROM (SELECT row_no, w, n, unnest(range(1, len(w) - n + 2)) AS i FROM d, (SELECT DISTINCT n FROM k))),
-h AS (SELECT row_no, i, n, item_id FROM p JOIN q USING (n, s)),
+h AS MATERIALIZED (SELECT row_no, i, n, item_id FROM p JOIN q USING (n, s)),
 c AS (SELECT row_no, count(DISTINCT x) AS n_hit FROM (SELECT row_no, unnest(range(i, i + n)) AS x FROM h) GROUP BY row_no),
 m AS (SELECT row_no, count(*) AS n_items, string_agg(item_id::VARCHAR, ',' ORDER BY item_id::VARCHAR) AS items
-      FROM (SELECT DISTINCT row_no, item_id FROM h) GROUP BY row_no)
+      FROM (SELECT DISTINCT row_no, item_id FROM h) GROUP BY row_no),
+u AS MATERIALIZED (SELECT s, n, row_number() OVER () AS win FROM (SELECT DISTINCT s, n FROM q)),
+v AS MATERIALIZED (SELECT win, n, unnest(string_split(s, ' ')) AS word, unnest(range(n)) AS j FROM u),
+o AS MATERIALIZED (SELECT row_no, unnest(w) AS word, unnest(range(len(w))) AS x FROM d),
+f AS MATERIALIZED (SELECT word, count(*) AS often FROM o WHERE word IN (SELECT word FROM v) GROUP BY word),
+r AS MATERIALIZED (SELECT win, arg_min(word, (coalesce(often, 0), j)) AS word, arg_min(j, (coalesce(often, 0), j)) AS j FROM v LEFT JOIN f USING (word) GROUP BY win),
+a AS MATERIALIZED (SELECT DISTINCT win, row_no, x - j + moved AS p0 FROM r JOIN o USING (word), (SELECT unnest(range(-2, 3)) AS moved)),
+e AS MATERIALIZED (SELECT win, row_no, p0, j, n, word, p0 + j + slip AS x, slip FROM a JOIN v USING (win), (SELECT unnest(range(-2, 3)) AS slip)),
+g AS MATERIALIZED (SELECT DISTINCT win, row_no FROM (SELECT e.win, e.row_no, p0 FROM e JOIN o ON o.row_no = e.row_no AND o.x = e.x AND o.word = e.word
+      GROUP BY e.win, e.row_no, p0, n HAVING count(DISTINCT j) = n AND bool_or(slip = 0))),
+t AS (SELECT row_no, count(*) AS n_near, string_agg(item_id::VARCHAR, ',' ORDER BY item_id::VARCHAR) AS near
+      FROM (SELECT DISTINCT row_no, item_id FROM g JOIN u USING (win) JOIN q USING (s, n)) GROUP BY row_no)
 SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
-       sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
-FROM d LEFT JOIN c USING (row_no) LEFT JOIN m USING (row_no)
+       sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated, coalesce(n_near, 0)::BIGINT AS n_near, sha256(coalesce(near, '')) AS near_sha256
+FROM d LEFT JOIN c USING (row_no) LEFT JOIN m USING (row_no) LEFT JOIN t USING (row_no)
 """
 
 
 def queries() -> dict:
     named = (
-        op1_toxicity, op2_simhash, op3_pii, op4_bpe, op5_topk, op6_language, op7_secrets, op8_licenses, op9_extraction, op10_decontamination, op10_proximity,
+        op1_toxicity, op2_simhash, op3_pii, op4_bpe, op5_topk, op6_language, op7_secrets, op8_licenses, op9_extraction, op10_decontamination,
     )
     return {f.__name__: f for f in named} | {"pipeline": corpus_pipeline.run}
 

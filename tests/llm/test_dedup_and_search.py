@@ -1,5 +1,7 @@
+import hashlib
 import random
 import re
+import tracemalloc
 
 import numpy as np
 import pytest
@@ -146,28 +148,56 @@ ITEMS = [
 ]
 
 
-@pytest.mark.parametrize("block", [5, 400_000])
-def test_phrases_match_brute_force(spark, monkeypatch, block):
+@pytest.mark.parametrize(("block", "chunk"), [(5, 7), (400_000, 1_000_000)])
+def test_phrases_match_brute_force(spark, monkeypatch, block, chunk):
     monkeypatch.setattr(contamination, "BLOCK_WORDS", block)
+    monkeypatch.setattr(contamination, "CHUNK", chunk)
     bench = spark.createDataFrame([(i, t, "x") for i, t in ITEMS], "item_id bigint, text string, doc_id string")
     index = contamination.build_index(odd_docs(spark))
     got = contamination.search(index, bench).withColumn("n_hit", contamination.covered()).collect()
     want = sorted(str((i, *plain_hits(t, ITEMS, 10))) for i, t in ODD)
-    assert sorted(str((r.doc_id, r.n_words, r.n_hit, list(r["items"]))) for r in got) == want
+    assert sorted(str((r.key, r.n_words, r.n_hit, list(r["items"]))) for r in got) == want
 
 
-def test_flag_agrees_with_search(spark):
+@pytest.mark.parametrize("sent", [0, 500_000])
+def test_contaminated_rows_are_dropped(spark, monkeypatch, sent):
+    monkeypatch.setattr(contamination, "KEYS_SENT", sent)
     bench = spark.createDataFrame(ITEMS, "item_id bigint, text string")
-    docs = odd_docs(spark)
-    got = docs.select("doc_id", "text", contamination.flag(bench)("text").alias("c")).collect()
-    for r in got:
-        assert r.c == (plain_hits(r.text, ITEMS, 10)[1] > 0)
+    docs = odd_docs(spark).withColumn("digest", F.lit("x")).withColumn("key", F.lit(1))
+    got = contamination.drop_contaminated(docs, bench)
+    assert got.columns == docs.columns
+    assert sorted(str((r.doc_id, r.text)) for r in got.collect()) == sorted(str((i, t)) for i, t in ODD if not plain_hits(t, ITEMS, 10)[1])
+
+
+def test_near_matches_stay_with_their_document(spark):
+    docs = spark.createDataFrame([(0, "filler words in front"), (1, "x b c d e"), (2, ""), (3, "b c d e f")], "doc_id bigint, text string").coalesce(1)
+    bench = spark.createDataFrame([(9, "a b c d e")], "item_id bigint, text string")
+    got = {r.key: list(r.near_items) for r in contamination.search(contamination.build_index(docs), bench, slop=2).collect()}
+    assert got == {k: plain_near(t, [(9, "a b c d e")]) for k, t in ((0, "filler words in front"), (1, "x b c d e"), (2, ""), (3, "b c d e f"))}
+    moved = spark.createDataFrame([(0, "filler words"), (1, "b a c d e")], "doc_id bigint, text string").coalesce(1)
+    assert {r.key: list(r.near_items) for r in contamination.search(contamination.build_index(moved), bench, slop=2).collect()} == {0: [], 1: [9]}
+
+
+def test_frequent_words_take_bounded_memory(monkeypatch):
+    monkeypatch.setattr(contamination, "CHUNK", 50_000)
+    r = random.Random(1)
+    shard, block = contamination.Shard(), contamination.Block(10)
+    shard.add(1, " ".join(r.choices("ab", k=60_000)).encode())
+    block.add(1, r.choices([b"a", b"b"], k=1_000))
+    tracemalloc.start()
+    found = contamination._hits(block.close(), shard_of(shard), 0)
+    assert tracemalloc.get_traced_memory()[1] < 120_000_000 and found[0][1] == {1}
+    tracemalloc.stop()
+
+
+def shard_of(shard):
+    return shard.close()
 
 
 def test_proximity_finds_moved_words(spark):
     docs = spark.createDataFrame([(1, "alpha beta x gamma delta"), (2, "alpha beta q q q q gamma delta"), (3, "alpha beta gamma delta")], "doc_id bigint, text string")
     bench = spark.createDataFrame([(9, "alpha beta gamma delta")], "item_id bigint, text string")
-    got = {r.doc_id: (list(r["items"]), list(r.near_items)) for r in contamination.search(contamination.build_index(docs), bench, slop=2).collect()}
+    got = {r.key: (list(r["items"]), list(r.near_items)) for r in contamination.search(contamination.build_index(docs), bench, slop=2).collect()}
     assert got == {1: ([], [9]), 2: ([], []), 3: ([9], [9])}
 
 
@@ -193,11 +223,12 @@ def test_proximity_matches_brute_force_and_is_returned(spark, tmp_path):
     rows = [*ODD, *((200 + i, t) for i, t in enumerate(moved)), (290, "over jumps lazy the dog near river the bank today"), (291, "today"), (292, "three two"), (293, "x word x word word")]
     odd_docs(spark, rows).coalesce(1).write.parquet(f"{tmp_path}/documents.parquet")
     spark.createDataFrame(ITEMS, "item_id bigint, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
-    got = queries.queries()["op10_proximity"](spark, str(tmp_path)).collect()
-    assert sorted(str((r.doc_id, list(r.near_items))) for r in got) == sorted(str((i, plain_near(t, ITEMS))) for i, t in rows)
-    assert all(r.n_near == len(r.near_items) for r in got)
+    got = queries.queries()["op10_decontamination"](spark, str(tmp_path)).collect()
+    sha = lambda ids: hashlib.sha256(",".join(sorted(map(str, ids))).encode()).hexdigest()
+    want = [(i, len(plain_near(t, ITEMS)), sha(plain_near(t, ITEMS)), sha(plain_hits(t, ITEMS, 10)[2])) for i, t in rows]
+    assert sorted(str((r.doc_id, r.n_near, r.near_sha256, r.items_sha256)) for r in got) == sorted(map(str, want))
     told = {r.doc_id: r for r in got}
-    assert told[206].n_near_only == 1 and told[206].near_items == [1]
+    assert (told[206].n_near, told[206].n_items) == (1, 0)
 
 
 def test_top_k_with_ties_and_odd_vectors(spark, monkeypatch):
