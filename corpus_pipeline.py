@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from spanweave.llm import bpe, contamination, language, pii, simhash
-from spanweave.llm.common import crc_mod, shared_dir, table
+from spanweave.llm.common import crc_mod, discard, hold, shared_dir, table
 
 #: Least share of its main language that a document must have.
 LEAST_SHARE = 0.5
@@ -34,7 +34,7 @@ def keep_one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 def drop_benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold a window of a benchmark item go."""
-    return docs.filter(~contamination.flag(table(spark, sf_dir, "benchmark"))("text"))
+    return contamination.drop_contaminated(docs, table(spark, sf_dir, "benchmark"))
 
 
 def pseudonymise(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -62,12 +62,19 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over documents; what lies between is written to the shared folder."""
+    """All stages over documents; what lies between is written to the shared folder.
+
+    A stage's folder goes as soon as the next stage is written; the last one, which the result is read from, goes
+    when the process ends.
+    """
     docs = table(spark, sf_dir, "documents")
     top = f"{shared_dir(spark)}/pipeline-{uuid.uuid4().hex}"
     for k, (_, stage) in enumerate(STAGES):
         out = stage(spark, docs, sf_dir)
         if k < len(STAGES) - 1:
-            out.write.parquet(f"{top}/{k}")
-            docs = spark.read.parquet(f"{top}/{k}")
+            hold(spark, f"{top}-{k}")
+            out.write.parquet(f"{top}-{k}")
+            docs = spark.read.parquet(f"{top}-{k}")
+            if k:
+                discard(f"{top}-{k - 1}")
     return out
