@@ -95,6 +95,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def fresh(columns: list[str], name: str) -> str:
+    """The name, with as many underscores in front as make it clash with no column."""
+    name = f"__{name}"
+    while name.lower() in {c.lower() for c in columns}:
+        name = f"_{name}"
+    return name
+
+
 def crc_mod(doc_id: Column, n: int) -> Column:
     """crc32 of doc_id as text, modulo n; null ids count as the empty text."""
     return F.pmod(F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")), F.lit(n))

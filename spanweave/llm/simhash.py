@@ -5,8 +5,10 @@ distinct fingerprint therefore emits all its variants within r/2 flips, equal va
 colliding pairs are verified and deduplicated. The variants (2,081 for r = 4) are not shuffled one by
 one: they are dealt by their leading bits, so a fingerprint is sent once to each prefix that one of
 its variants has, and the variants of that prefix are made where they meet. Fingerprints that share a
-variant are linked as a star, never as all pairs; a bucket returns a spanning forest. Buckets that
-hold a dense group are worked off by further bits, in bounded memory.
+variant are linked as a star, never as all pairs; a bucket returns a spanning forest. The variants of
+every bucket are counted first: one that holds a dense group is split over as many tasks as it has
+times SPLIT variants, each of which makes and compares the variants of one hash class; the others are
+worked off by further bits, in bounded memory.
 
 Components are found by alternating large-star and small-star steps on the distinct links, each
 written to the shared folder.
@@ -29,12 +31,16 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from spanweave.llm.common import join_hot, materialize, release
+from spanweave.llm.common import discard, fresh, join_hot, materialize, release
 
 SHINGLE = 4
 RADIUS = 4
 #: Variants that are sorted at once.
 CHUNK = 3_000_000
+#: Variants of a bucket from which on it is split over tasks.
+SPLIT = 12_000_000
+#: Most rows of keys that are broadcast; more are joined by a shuffle.
+KEYS_SENT = 500_000
 
 
 def fingerprint(text: bytes | None, shingle: int = SHINGLE) -> int:
@@ -105,9 +111,7 @@ def _meet(low: np.ndarray, left: np.ndarray, bits: int, table: dict) -> Iterator
         m = table[bits, int(f)]
         made.append((low[mine, None] ^ m[None, :]).ravel())
         owner.append((mine, len(m)))
-    every = np.concatenate(made)
-    every.sort()
-    twice = np.unique(every[1:][every[1:] == every[:-1]])
+    twice = _repeated(np.concatenate(made))
     if not len(twice):
         return
     seen = np.zeros(1 << 20, bool)
@@ -119,12 +123,40 @@ def _meet(low: np.ndarray, left: np.ndarray, bits: int, table: dict) -> Iterator
         ok = twice[np.minimum(g, len(twice) - 1)] == values[k]
         group.append(g[ok])
         who.append(mine[k[ok] // n])
-    g, w = np.concatenate(group), np.concatenate(who)
-    first = np.full(len(twice), np.iinfo(np.int64).max)
-    np.minimum.at(first, g, w)
-    pairs = np.unique(w * np.int64(len(low)) + first[g])
-    a, b = pairs // len(low), pairs % len(low)
-    yield a[a != b], b[a != b]
+    yield _stars(np.concatenate(group), np.concatenate(who), len(twice), len(low))
+
+
+def _repeated(values: np.ndarray) -> np.ndarray:
+    """The distinct values that occur more than once."""
+    values.sort()
+    return np.unique(values[1:][values[1:] == values[:-1]])
+
+
+def _stars(group: np.ndarray, who: np.ndarray, groups: int, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Links of the members of each group to its first one; there are n owners."""
+    first = np.full(groups, np.iinfo(np.int64).max)
+    np.minimum.at(first, group, who)
+    pairs = np.unique(who * np.int64(n) + first[group])
+    a, b = pairs // n, pairs % n
+    return a[a != b], b[a != b]
+
+
+def _meet_class(low: np.ndarray, left: np.ndarray, bits: int, part: int, parts: int) -> tuple[np.ndarray, np.ndarray]:
+    """As _meet, for the variants of one of so many hash classes: mask by mask, so that only that class is held."""
+    values, owner = [], []
+    for m in _masks(bits, int(left.max(initial=0))):
+        mine = np.flatnonzero(left >= int(m).bit_count())
+        v = low[mine] ^ m
+        keep = ((v * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(33)) % np.uint64(parts) == part
+        values.append(v[keep])
+        owner.append(mine[keep].astype(np.int32))
+    every, who = np.concatenate(values), np.concatenate(owner)
+    twice = _repeated(every.copy())
+    if not len(twice):
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    g = np.minimum(np.searchsorted(twice, every), len(twice) - 1)
+    ok = twice[g] == every
+    return _stars(g[ok], who[ok].astype(np.int64), len(twice), len(low))
 
 
 def _forest(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -153,14 +185,27 @@ def links(nodes: DataFrame, n: int, radius: int = RADIUS) -> DataFrame:
         (F.shiftrightunsigned("fp", bits).bitwiseXOR(F.col("m"))).alias("bucket"), F.bit_count("m").cast("int").alias("spent"), "fp"
     )
 
+    made = F.get(F.array(*(F.lit(len(_masks(bits, half - k))) for k in range(half + 1))), F.col("spent"))
+    parts = F.ceil(F.col("variants") / SPLIT).cast("int").alias("parts")
+    dense = materialize(dealt.groupBy("bucket").agg(F.sum(made).alias("variants")).filter(F.col("variants") > SPLIT).select("bucket", parts), "dense")
+    n_dense = dense.count()
+    if n_dense:
+        dealt = dealt.join(F.broadcast(dense) if n_dense <= KEYS_SENT else dense, "bucket", "left")
+        parts = F.coalesce("parts", F.lit(1))
+    else:
+        parts = F.lit(1)
+    dealt = dealt.select("bucket", "spent", "fp", parts.alias("parts"), F.explode(F.sequence(F.lit(0), parts - 1)).alias("part"))
+
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         got = list(batches)
+        whole, part = got[0].column(3)[0].as_py(), got[0].column(4)[0].as_py()
         fp = np.concatenate([b.column(2).to_numpy() for b in got])
         spent = np.concatenate([b.column(1).to_numpy() for b in got]).astype(np.int64)
         order = np.argsort(fp)
         fp, spent = fp[order].view(np.uint64), spent[order]
+        low = fp & ((np.uint64(1) << np.uint64(bits)) - np.uint64(1))
         label = np.arange(len(fp))
-        for a, b in _meet(fp & ((np.uint64(1) << np.uint64(bits)) - np.uint64(1)), half - spent, bits, {}):
+        for a, b in [_meet_class(low, half - spent, bits, part, whole)] if whole > 1 else _meet(low, half - spent, bits, {}):
             near = np.bitwise_count(fp[a] ^ fp[b]) <= radius
             a, b = label[a[near]], label[b[near]]
             label = _forest(len(fp), np.concatenate([a, np.arange(len(fp))]), np.concatenate([b, label]))
@@ -168,21 +213,23 @@ def links(nodes: DataFrame, n: int, radius: int = RADIUS) -> DataFrame:
         yield pa.RecordBatch.from_arrays([pa.array(fp[mine].view(np.int64)), pa.array(fp[label[mine]].view(np.int64))], names=["u", "v"])
         release()
 
-    return dealt.groupBy("bucket").applyInArrow(meet, "u bigint, v bigint").distinct()
+    return dealt.groupBy("bucket", "part").applyInArrow(meet, "u bigint, v bigint").distinct()
 
 
 def _star(edges: DataFrame, large: bool) -> DataFrame:
     """One large-star (over all neighbours) or small-star (over smaller ones) step on (u, v), v < u."""
     if large:
         edges = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-    low = edges.groupBy("u").agg(F.min("v").alias("low"), F.count("*").alias("n"))
-    low = materialize(low, "low").select("u", F.least("u", "low").alias("m"), "n")
+    found = materialize(edges.groupBy("u").agg(F.min("v").alias("low"), F.count("*").alias("n")), "low")
+    low = found.select("u", F.least("u", "low").alias("m"), "n")
     told = join_hot(edges, low.select("u", "m"), "u", low.select("u", "n"))
     if large:
         out = told.filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
     else:
         out = told.select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(low.select("u", F.col("m").alias("v")))
-    return materialize(out.filter("u <> v").distinct(), "stars")
+    made = materialize(out.filter("u <> v").distinct(), "stars")
+    discard(found)
+    return made
 
 
 def roots(edges: DataFrame) -> DataFrame:
@@ -194,7 +241,10 @@ def roots(edges: DataFrame) -> DataFrame:
         if now == mark or not now[0]:
             return edges.select(F.col("u").alias("fp"), F.col("v").alias("root"))
         mark = now
-        edges = _star(_star(edges, large=True), large=False)
+        half = _star(edges, large=True)
+        whole = _star(half, large=False)
+        discard(edges, half)
+        edges = whole
 
 
 def components(fps: DataFrame, radius: int = RADIUS) -> tuple[DataFrame, DataFrame]:
@@ -206,7 +256,9 @@ def components(fps: DataFrame, radius: int = RADIUS) -> tuple[DataFrame, DataFra
     least = told.groupBy("root").agg(F.min("first_id").alias("component_id"), F.count("*").alias("n"))
     least = materialize(least, "least")
     placed = join_hot(told.select("fp", "root"), least.select("root", "component_id"), "root", least.select("root", "n"))
-    return nodes.select("fp", "n"), materialize(placed.select("fp", "root", "component_id"), "placed")
+    placed = materialize(placed.select("fp", "root", "component_id"), "placed")
+    discard(told, least)
+    return nodes.select("fp", "n"), placed
 
 
 def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS) -> DataFrame:
@@ -219,17 +271,22 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIU
 def keep_one(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS) -> DataFrame:
     """docs without all but the first document (smallest doc_id, nulls last) of each group.
 
-    Decisions are made on (doc_id, hash of the text); rows equal in both are the same document, of
-    which one row stays.
+    Decisions are made on two 64-bit hashes of (doc_id, text); rows equal in both are the same document, of
+    which one row stays. The hashes of what goes are stored and counted; up to KEYS_SENT of them are broadcast,
+    so that texts stay where they are, more are joined by a shuffle.
     """
     key = [F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.col("doc_id").isNull(), F.coalesce(F.col("text"), F.lit("")), F.col("text").isNull()]
-    marked = docs.withColumn("__key", F.xxhash64(*key))
-    fps = materialize(with_fingerprint(marked.select("doc_id", "__key", "text"), shingle).drop("text"), "fingerprints")
+    a, b = fresh(docs.columns, "a"), fresh(docs.columns, "b")
+    marked = docs.withColumn(a, F.xxhash64(*key)).withColumn(b, F.xxhash64(F.lit("second"), *key))
+    fps = materialize(with_fingerprint(marked.select("doc_id", F.col(a).alias("a"), F.col(b).alias("b"), "text"), shingle).drop("text"), "fingerprints")
     nodes, placed = components(fps, radius)
-    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "__key")).alias("first")
-    kept = join_hot(fps, placed.select("fp", "root"), "fp", nodes).groupBy("root").agg(first)
-    kept = materialize(kept.select("first.__key"), "kept")
-    out = marked.join(kept, "__key", "left_semi")
-    if fps.join(kept, "__key", "left_semi").count() > kept.count():
-        out = out.dropDuplicates(["__key"])
-    return out.drop("__key")
+    rows = materialize(join_hot(fps, placed.select("fp", "root"), "fp", nodes).select("doc_id", "a", "b", "root"), "grouped")
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "a", "b")).alias("first")
+    kept = materialize(rows.groupBy("root").agg(first, F.count("*").alias("n")).select("root", "n", F.col("first.a").alias("ka"), F.col("first.b").alias("kb")), "kept")
+    told = join_hot(rows, kept.drop("n"), "root", kept.select("root", "n"))
+    gone = materialize(told.filter("a <> ka OR b <> kb").select(F.col("a").alias(a), F.col("b").alias(b)).distinct(), "gone")
+    out = marked.join(F.broadcast(gone) if gone.count() <= KEYS_SENT else gone, [a, b], "left_anti")
+    if not fps.groupBy("a", "b").count().filter("count > 1").isEmpty():
+        out = out.dropDuplicates([a, b])
+    discard(fps, rows, kept)
+    return out.drop(a, b)

@@ -78,6 +78,31 @@ def test_dense_ball_is_worked_off_in_chunks(monkeypatch):
     assert label.tolist() == plain_components([int(x) for x in low])
 
 
+def dense_ball(n, seed=2):
+    """Prints around one centre that share their leading bits."""
+    r = random.Random(seed)
+    centre = r.getrandbits(64)
+    return sorted({centre ^ sum(1 << b for b in r.sample(range(34), r.randint(0, 5))) for _ in range(n)})
+
+
+def test_dense_buckets_are_split_over_tasks(spark, monkeypatch):
+    monkeypatch.setattr(simhash, "SPLIT", 20_000)
+    far = random.Random(9)
+    prints = dense_ball(300) + [far.getrandbits(64) for _ in range(40)]
+    nodes = spark.createDataFrame([(int(np.uint64(x).astype(np.int64)),) for x in prints], "fp bigint")
+    rows = simhash.links(nodes, len(prints)).collect()
+    label = {int(np.uint64(x).astype(np.int64)): i for i, x in enumerate(prints)}
+    got = simhash._forest(len(prints), np.array([label[r.u] for r in rows]), np.array([label[r.v] for r in rows]))
+    assert got.tolist() == plain_components(prints)
+
+
+def test_classes_together_find_every_link():
+    prints = np.array(dense_ball(400), np.uint64)
+    whole = simhash._forest(len(prints), *map(np.concatenate, zip(*simhash._meet(prints, np.full(len(prints), 2), 64, {}))))
+    parts = [simhash._meet_class(prints, np.full(len(prints), 2), 64, k, 7) for k in range(7)]
+    assert (simhash._forest(len(prints), *map(np.concatenate, zip(*parts))) == whole).all()
+
+
 def test_near_duplicates_of_odd_rows(spark):
     got = simhash.near_duplicates(odd_docs(spark)).collect()
     assert len(got) == len(ODD)
@@ -93,7 +118,9 @@ def test_near_duplicates_of_odd_rows(spark):
     assert sorted(str((r.doc_id, r.component_id)) for r in got) == want
 
 
-def test_keep_one_keeps_columns_and_first_rows(spark):
+@pytest.mark.parametrize("sent", [0, 500_000])
+def test_keep_one_keeps_columns_and_first_rows(spark, monkeypatch, sent):
+    monkeypatch.setattr(simhash, "KEYS_SENT", sent)
     docs = odd_docs(spark)
     kept = simhash.keep_one(docs)
     assert kept.columns == docs.columns
