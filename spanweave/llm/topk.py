@@ -1,18 +1,22 @@
 """Exact top-k inner products by the three-phase uniform threshold algorithm.
 
-A score is the sum of the partial scores of m lists, one for each stretch of dimensions.
-Phase 1: every partition of rows gathers, for each query and list, its k best partial scores with
-their totals; the k-th best total of a query is a safe cutoff t. Phase 2: t is broadcast with the
-block of queries; a row can only reach t if one of its partial scores reaches t/m, so the others are
-left out, and so are those whose known partial scores plus t/m for each unknown one stay below t.
-Phase 3: the remaining scores are resolved exactly in whole numbers, and each partition returns its
-best k of them. Queries are taken in blocks of bounded size; every block reads the rows twice and
-shuffles at most k entries for each partition and query.
+A score is the sum of the local scores of m lists, one for each stretch of dimensions.
+Phase 1 gathers local score lists: every partition of a share of the rows takes, for each query and
+list, its k best local scores, and only of these rows the totals; any rows will do, so the k-th best
+total of a query is a safe cutoff t. Phase 2: t is broadcast with the block of queries. A row can only
+reach t if one of its local scores reaches t/m, so entries below are not collected; rows come in the
+order of their norms, and a list is not looked into at all for the queries that the norms of a chunk
+keep below t/m. Rows whose collected local scores, with t/m for the ones left out, stay below t go as
+well. Phase 3: the totals of the remaining entries are resolved exactly in whole numbers, and each
+partition returns its best k. Queries are taken in blocks of bounded size; every block reads the rows
+once and a share of them before, and shuffles at most k entries for each partition and query.
 
 Defined cases: vectors that are null or hold null or non-finite components, and rows without id,
 take no part; shorter vectors count as padded with zeros; of several rows with a query's id the
 smallest vector is the query, and none of them is its candidate; other repeated rows are candidates
-of their own; extra columns are ignored; empty tables give empty results.
+of their own; extra columns are ignored; empty tables give empty results. Components so large that a
+sum could pass 2^53 are multiplied as unbounded whole numbers, outside of the lists; a score beyond 64
+bits is given, and ranked, as the nearest long.
 """
 
 from __future__ import annotations
@@ -29,6 +33,12 @@ from spanweave.llm.common import materialize, release
 QUERY_BLOCK = 4096
 LISTS = 2
 ROWS = 2048
+#: Entries that are resolved at once.
+PAIRS = 250_000
+#: One row in so many gives the cutoff.
+FIRST = 8
+#: Sums of whole numbers held as doubles are exact below this.
+EXACT = 2.0**53
 ENTRY = "query_id bigint, vec_id bigint, score bigint"
 
 
@@ -47,28 +57,30 @@ def _whole(vectors: pa.Array, dims: int) -> np.ndarray:
     return out
 
 
-def _product(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Exact inner products of whole numbers held as doubles: by BLAS where no sum can pass 2^53."""
-    if a.size and b.size and np.abs(a).max() * np.abs(b).max() * a.shape[1] >= 2**53:
-        return (a.astype(object) @ b.astype(object).T).astype(np.float64)
-    return a @ b.T
+def _resolve(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Row-wise exact inner products, of numbers whose sums stay below EXACT."""
+    return np.einsum("ij,ij->i", a, b).astype(np.int64)
 
 
-def _resolve(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Row-wise exact inner products in 64-bit whole numbers."""
-    return np.einsum("ij,ij->i", a.astype(np.int64), b.astype(np.int64))
+def _unbounded(row: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Exact inner products of one vector with many, saturated at 64 bits."""
+    own = [int(x) for x in row]
+    return np.array([min(max(sum(x * int(y) for x, y in zip(own, other, strict=True)), -(2**63)), 2**63 - 1) for other in b.tolist()], np.int64)
 
 
 def _chunks(batches: Iterator[pa.RecordBatch], dims: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Ids and whole vectors, the rows of a batch in falling order of their largest component."""
     for batch in batches:
-        for k in range(0, batch.num_rows, ROWS):
-            part = batch.slice(k, ROWS)
-            yield part.column(0).to_numpy(), _whole(part.column(1), dims)
+        ids, rows = batch.column(0).to_numpy(), _whole(batch.column(1), dims)
+        order = np.argsort(-np.abs(rows).max(1, initial=0.0), kind="stable")
+        for k in range(0, len(ids), ROWS):
+            part = order[k : k + ROWS]
+            yield ids[part], rows[part]
 
 
 def _best(q: np.ndarray, ids: np.ndarray, scores: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """The k best entries of each query; ties to the smaller id."""
-    order = np.lexsort((ids, -scores, q))
+    order = np.lexsort((ids, ~scores, q))  # ~x falls as x rises, for the least long too
     q, ids, scores = q[order], ids[order], scores[order]
     begins = np.flatnonzero(np.r_[True, q[1:] != q[:-1]]) if len(q) else np.zeros(0, np.int64)
     nth = np.arange(len(q)) - np.repeat(begins, np.diff(np.r_[begins, len(q)]))
@@ -85,29 +97,33 @@ def _block(vectors: DataFrame, query_ids: np.ndarray, queries: np.ndarray, k: in
     spark = vectors.sparkSession
     dims = queries.shape[1]
     cuts = [(a[0], a[-1] + 1) for a in np.array_split(np.arange(dims), min(lists, max(1, dims))) if len(a)] or [(0, 0)]
-    sent = spark.sparkContext.broadcast((query_ids, queries))
+    peaks = np.abs(queries).max(1, initial=0.0)
+    sent = spark.sparkContext.broadcast((query_ids, queries, peaks))
 
-    def partials(ids: np.ndarray, rows: np.ndarray, qid: np.ndarray, q: np.ndarray) -> list[np.ndarray]:
-        """Per list, rows x queries; a query's own rows get -inf."""
-        out = [_product(rows[:, a:b], q[:, a:b]) for a, b in cuts]
-        at = np.searchsorted(qid, ids)
-        own = np.flatnonzero(qid[np.minimum(at, len(qid) - 1)] == ids)
-        for p in out:
-            p[own, at[own]] = -np.inf
-        return out
+    def own_cells(ids: np.ndarray, qid: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Rows and columns where a row has the query's own id."""
+        at = np.minimum(np.searchsorted(qid, ids), len(qid) - 1)
+        own = np.flatnonzero(qid[at] == ids)
+        return own, at[own]
 
     def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        qid, q = sent.value
+        qid, q, peak = sent.value
         kept: list[tuple | None] = [None] * len(cuts)
         for ids, rows in _chunks(batches, dims):
-            made = partials(ids, rows, qid, q)
-            total = sum(made)
-            for b, p in enumerate(made):
+            with np.errstate(over="ignore"):
+                small = np.flatnonzero(np.abs(rows).max(1, initial=0.0) * peak.max(initial=0.0) * dims < EXACT)
+            ids, rows = ids[small], rows[small]
+            own = own_cells(ids, qid)
+            for b, (s, e) in enumerate(cuts):
+                local = rows[:, s:e] @ q[:, s:e].T
+                local[own] = -np.inf
                 n = min(k, len(ids))
-                top = np.argpartition(-p, n - 1, axis=0)[:n]
-                col = np.broadcast_to(np.arange(len(qid)), top.shape)
-                new = (p[top, col], ids[top], total[top, col])
-                old = kept[b]
+                if not n:
+                    continue
+                top = np.argpartition(-local, n - 1, axis=0)[:n]
+                best = np.take_along_axis(local, top, 0)
+                total = np.stack([np.where(np.isfinite(best[j]), np.einsum("ij,ij->i", rows[top[j]], q), -np.inf) for j in range(n)])
+                new, old = (best, ids[top], total), kept[b]
                 both = new if old is None else tuple(np.concatenate([x, y]) for x, y in zip(old, new, strict=True))
                 order = np.argsort(-both[0], axis=0, kind="stable")[:k]
                 kept[b] = tuple(np.take_along_axis(x, order, 0) for x in both)
@@ -120,29 +136,59 @@ def _block(vectors: DataFrame, query_ids: np.ndarray, queries: np.ndarray, k: in
             yield _entries(qid, *_best(*pairs, k))
         release()
 
-    seen = vectors.mapInArrow(gather, ENTRY)
+    some = vectors.filter(F.pmod(F.xxhash64("vec_id"), F.lit(FIRST)) == 0)
     by_score = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    kth = seen.withColumn("nth", F.row_number().over(by_score)).filter(F.col("nth") == k).select("query_id", "score")
+    kth = some.mapInArrow(gather, ENTRY).withColumn("nth", F.row_number().over(by_score)).filter(F.col("nth") == k).select("query_id", "score")
     cutoff = np.full(len(query_ids), -np.inf)
     for r in kth.collect():  # one row a query of this block at most
         cutoff[np.searchsorted(query_ids, r.query_id)] = r.score
     told = spark.sparkContext.broadcast(cutoff)
 
     def collect(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        (qid, q), t = sent.value, told.value
+        (qid, q, peak), t = sent.value, told.value
         safe = t / len(cuts)
+        lengths = [np.sqrt(np.einsum("ij,ij->i", q[:, s:e], q[:, s:e])) for s, e in cuts]
         kept = (np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64))
+
+        def keep(col: np.ndarray, ids: np.ndarray, score: np.ndarray) -> None:
+            nonlocal kept
+            kept = _best(*(np.concatenate([x, y]) for x, y in zip(kept, (col, ids, score), strict=True)), k)
+
         for ids, rows in _chunks(batches, dims):
-            made = partials(ids, rows, qid, q)
-            known = [p >= safe for p in made]
+            own = own_cells(ids, qid)
+            largest = np.abs(rows).max(1, initial=0.0)
+            with np.errstate(over="ignore"):
+                plain = largest[:, None] * peak[None, :] * dims < EXACT
+            if not plain.all():
+                for i in np.flatnonzero(~plain.all(1)):
+                    col = np.flatnonzero(~plain[i] & (qid != ids[i]))
+                    keep(col, np.full(len(col), ids[i]), _unbounded(rows[i], q[col]))
+            else:
+                plain = None
+            with np.errstate(over="ignore", invalid="ignore"):
+                made = []
+                for (s, e), length, least in zip(cuts, lengths, [safe] * len(cuts), strict=True):
+                    # no local score of this chunk can reach the cutoff where the norms do not; a little slack for rounding
+                    norm = np.sqrt(np.einsum("ij,ij->i", rows[:, s:e], rows[:, s:e])).max(initial=0.0)
+                    reach = np.flatnonzero(~(norm * length * (1 + 1e-9) < least))
+                    local = np.full((len(ids), len(qid)), -np.inf)
+                    if len(reach):
+                        local[:, reach] = rows[:, s:e] @ q[reach, s:e].T
+                    made.append(local)
+                known = [~(x < safe) for x in made]
             enough = np.logical_or.reduce(known)
-            row, col = np.nonzero(enough & np.isfinite(made[0]))
-            bound = sum(np.where(y[row, col], p[row, col], safe[col]) for p, y in zip(made, known, strict=True))
-            ok = (bound >= t[col]) | ~np.isfinite(t[col])
+            enough[own] = False
+            if plain is not None:
+                enough &= plain
+            row, col = np.nonzero(enough)
+            bound = sum(np.where(y[row, col], x[row, col], safe[col]) for x, y in zip(made, known, strict=True))
+            ok = ~(bound < t[col])
             row, col = row[ok], col[ok]
-            score = _resolve(rows[row], q[col])
-            ok = score >= t[col]
-            kept = _best(*(np.concatenate([x, y]) for x, y in zip(kept, (col[ok], ids[row[ok]], score[ok]), strict=True)), k)
+            for s in range(0, len(row), PAIRS):
+                r, c = row[s : s + PAIRS], col[s : s + PAIRS]
+                score = _resolve(rows[r], q[c])
+                ok = ~(score < t[c])
+                keep(c[ok], ids[r[ok]], score[ok])
         yield _entries(qid, *kept)
         release()
 

@@ -1,4 +1,5 @@
 import hashlib
+import math
 import random
 import re
 import tracemalloc
@@ -258,6 +259,18 @@ def test_proximity_matches_brute_force_and_is_returned(spark, tmp_path):
     assert (told[206].n_near, told[206].n_items) == (1, 0)
 
 
+def plain_top_k(rows, is_query, k=5):
+    sound = [(i, [math.floor(256 * x) for x in v]) for i, v in rows if i is not None and v and all(x is not None and math.isfinite(x) for x in v)]
+    queries = {}
+    for i, v in sorted((i, v) for i, v in sound if is_query(i)):
+        queries.setdefault(i, v)
+    want = []
+    for q, v in queries.items():
+        scored = sorted((-min(max(sum(a * b for a, b in zip(v, w)), -(2**63)), 2**63 - 1), i) for i, w in sound if i != q)[:k]
+        want += [(q, n + 1, i, -s) for n, (s, i) in enumerate(scored)]
+    return sorted(want)
+
+
 def test_top_k_with_ties_and_odd_vectors(spark, monkeypatch):
     monkeypatch.setattr(topk, "QUERY_BLOCK", 3)
     r = random.Random(5)
@@ -265,13 +278,37 @@ def test_top_k_with_ties_and_odd_vectors(spark, monkeypatch):
     rows += [(i, [0.5] * 6) for i in range(120, 180)]
     rows += [(200, None), (201, [None] * 6), (202, [float("nan")] * 6), (203, [float("inf")] * 6), (None, [1.0] * 6), (204, [1.0]), (10, [9.0] * 6), (300, [1e9] * 6)]
     df = spark.createDataFrame([(i, v, "x") for i, v in rows], "vec_id bigint, embedding array<double>, score string")
-    sound = [(i, [int(np.floor(256 * x)) for x in v]) for i, v in rows if i is not None and v and all(x is not None and np.isfinite(x) for x in v)]
-    queries = {}
-    for i, v in sorted((i, v) for i, v in sound if i % 20 == 0):
-        queries.setdefault(i, v)
-    want = []
-    for q, v in queries.items():
-        scored = sorted(((-sum(a * b for a, b in zip(v, w)), i) for i, w in sound if i != q))[:5]
-        want += [(q, k + 1, i, -s) for k, (s, i) in enumerate(scored)]
     got = topk.top_k(df, F.col("vec_id") % 20 == 0).collect()
-    assert sorted(map(tuple, got)) == sorted(want)
+    assert sorted(map(tuple, got)) == plain_top_k(rows, lambda i: i % 20 == 0)
+
+
+@pytest.mark.parametrize("lists", [1, 2, 5])
+def test_top_k_of_large_numbers_is_exact(spark, lists):
+    big = 2.0**45
+    rows = [(0, [big, 1.0, 0.0]), (1, [512.0, 1 / 256, 3.0]), (2, [512.0, 2 / 256, 3.0]), (3, [512.0, 0.0, 9.0]), (4, [-512.0, 5.0, 1.0]), (5, [1e300, 0.0, 0.0]), (6, [-1e300, 1.0, 0.0]), (10, [0.25, 0.5, 1.0]), (11, [2.0**40, 2.0**40, 1.0])]
+    rows += [(i, [i / 7, -i / 9, 2.0]) for i in range(12, 60)]
+    df = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>")
+    got = topk.top_k(df, F.col("vec_id") % 10 == 0, lists=lists).collect()
+    assert sorted(map(tuple, got)) == plain_top_k(rows, lambda i: i % 10 == 0)
+
+
+def test_top_k_resolves_few_entries(spark):
+    r = np.random.default_rng(3)
+    rows = [(i, v.tolist()) for i, v in enumerate(r.normal(size=(1500, 16)))]
+    df = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>").coalesce(2)
+    got = topk.top_k(df, F.col("vec_id") % 50 == 0).collect()
+    assert sorted(map(tuple, got)) == plain_top_k(rows, lambda i: i % 50 == 0)
+    assert pairs_resolved(rows, lambda i: i % 50 == 0) < 0.2 * 30 * 1500
+
+
+def pairs_resolved(rows, is_query, k=5, lists=2):
+    """How many totals the uniform threshold leaves to resolve, with the cutoff of a share of the rows."""
+    whole = np.floor(256 * np.array([v for _, v in rows]))
+    ids = np.array([i for i, _ in rows])
+    q = np.flatnonzero([is_query(i) for i in ids])
+    total = whole @ whole[q].T
+    total[q, np.arange(len(q))] = -np.inf
+    t = np.sort(total[::8], axis=0)[-k]
+    parts = np.array_split(np.arange(whole.shape[1]), lists)
+    known = [whole[:, p] @ whole[q][:, p].T >= t / lists for p in parts]
+    return int(np.logical_or.reduce(known).sum())
