@@ -3,10 +3,12 @@
 encode() splits texts into pre-tokens and lays them out in blocks of about a million. A block keeps
 its sequence of word numbers (positions implied, numbers by falling frequency, entropy-coded) and
 explodes its distinct words once each, packed by hash bucket: that is the map-side half of the
-distinct-word shuffle. A bucket encodes each distinct word once and sends the ids back to the blocks
-that asked; a block then reassembles its documents by position. No word, however frequent, has more
-than one entry per block, so none is hot. decode() joins ids with the token-byte table, whose size is
-that of the vocabulary, on the map side.
+distinct-word shuffle. The number of buckets follows from the size of the input; each bucket is one
+task, encodes each distinct word once and sends the ids back to the blocks that asked; a block then
+reassembles its documents by position. No word, however frequent, has more than one entry per block, so
+none is hot, and buckets are of one size. A bucket remembers up to MEMORY bytes of words and ids, then
+it begins anew: a word may be encoded again, with the same ids. decode() joins ids with the token-byte
+table, whose size is that of the vocabulary, on the map side.
 
 Defined cases: null text is empty and has no ids; a null or repeated doc_id stays a row of its own;
 extra columns are ignored; empty tables give empty results; decoding an id outside the table fails.
@@ -31,6 +33,10 @@ from pyspark.sql import functions as F
 from spanweave.llm.common import release
 
 BLOCK_WORDS = 1_000_000
+#: Bytes of input for each bucket of words, and the least and largest number of buckets.
+BUCKET_BYTES, LEAST_BUCKETS, MOST_BUCKETS = 8 << 20, 16, 1024
+#: Bytes of words and ids that a bucket remembers.
+MEMORY = 96 << 20
 PACK = "block string, bucket int, doc_ids array<bigint>, ends binary, seq binary, n_seq bigint, ranks binary, lens binary, payload binary"
 _NAMES = [c.split()[0] for c in PACK.split(", ")]
 _TYPES = [pa.string(), pa.int32(), pa.list_(pa.int64()), pa.binary(), pa.binary(), pa.int64(), pa.binary(), pa.binary(), pa.binary()]
@@ -97,6 +103,14 @@ def _gather(flat: np.ndarray, starts: np.ndarray, lens: np.ndarray) -> np.ndarra
     return flat[np.repeat(shift, lens) + np.arange(lens.sum())]
 
 
+def _buckets(docs: DataFrame) -> int:
+    """How many buckets the planner's size of the texts asks for; if it knows none, twice the shuffle partitions."""
+    size = int(str(docs.select("text")._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    if size >= 1 << 60:
+        return 2 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return min(MOST_BUCKETS, max(LEAST_BUCKETS, -(-size // BUCKET_BYTES)))
+
+
 def encode(docs: DataFrame, rank_file: str, pattern: str, buckets: int | None = None, decoded: bool = False) -> DataFrame:
     """(doc_id, n_tokens, ids) for every row of docs(doc_id, text); ids: little-endian unsigned 32 bits.
 
@@ -106,7 +120,7 @@ def encode(docs: DataFrame, rank_file: str, pattern: str, buckets: int | None =
     spark = docs.sparkSession
     with open(rank_file, "rb") as f:
         sent = spark.sparkContext.broadcast(f.read())
-    n_buckets = buckets or 2 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    n_buckets = buckets or _buckets(docs)
 
     def explode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
@@ -129,7 +143,7 @@ def encode(docs: DataFrame, rank_file: str, pattern: str, buckets: int | None =
             cuts = np.searchsorted(dealt[by], np.arange(n_buckets + 1)).tolist()
             block = f"{part}-{k}"
             ends = np.cumsum([len(x) for x in seqs]).astype(np.int64)
-            rows = [(block, -1 - zlib.crc32(block.encode()) % n_buckets, doc_ids, ends.tobytes(), _sequence(rank[seq], n_often), len(seq), None, n_often.to_bytes(8, "little"), None)]
+            rows = [(block, zlib.crc32(block.encode()) % n_buckets, doc_ids, ends.tobytes(), _sequence(rank[seq], n_often), len(seq), None, n_often.to_bytes(8, "little"), None)]
             for b in range(n_buckets):
                 mine = by[cuts[b] : cuts[b + 1]]
                 if len(mine):
@@ -156,11 +170,12 @@ def encode(docs: DataFrame, rank_file: str, pattern: str, buckets: int | None =
 
     def once(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coded: dict[bytes, bytes] = {}
+        room = 0
         one = _encoding(sent.value, pattern).encode_ordinary
         for batch in batches:
             rows = []
             for r in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                if r[1] < 0:
+                if r[8] is None:  # a block's own row passes
                     rows.append(r)
                     continue
                 found = []
@@ -168,7 +183,12 @@ def encode(docs: DataFrame, rank_file: str, pattern: str, buckets: int | None =
                 words = pa.decompress(r[8], decompressed_size=int(lens.sum()), codec="zstd", asbytes=True)
                 for w in _cut(words, lens):
                     if (ids := coded.get(w)) is None:
-                        ids = coded[w] = np.array(one(w.decode()), "<u4").tobytes()
+                        ids = np.array(one(w.decode()), "<u4").tobytes()
+                        room += len(w) + len(ids) + 150
+                        if room > MEMORY:
+                            coded.clear()
+                            room = 0
+                        coded[w] = ids
                     found.append(ids)
                 lens = np.fromiter(map(len, found), np.uint32, len(found)) // 4
                 flat = np.frombuffer(b"".join(found), "<u4")
@@ -179,10 +199,10 @@ def encode(docs: DataFrame, rank_file: str, pattern: str, buckets: int | None =
 
     def reassemble(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         got = [r for batch in batches for r in zip(*(c.to_pylist() for c in batch.columns), strict=True)]
-        head = next(r for r in got if r[1] < 0)
+        head = next(r for r in got if r[8] is None)
         packs = []
         for r in got:
-            if r[1] >= 0:
+            if r[8] is not None:
                 lens = _unplaned(r[7], r[5]).astype(np.int64)
                 packs.append((np.cumsum(_unplaned(r[6], r[5]), dtype=np.int64), lens, _unplaned(r[8], int(lens.sum()))))
         got.clear()
@@ -211,7 +231,7 @@ def encode(docs: DataFrame, rank_file: str, pattern: str, buckets: int | None =
         release()
 
     packs = docs.select(F.col("doc_id").cast("bigint"), "text").mapInArrow(explode, PACK)
-    coded = packs.groupBy("bucket").applyInArrow(once, PACK)
+    coded = packs.repartitionById(n_buckets, F.col("bucket")).mapInArrow(once, PACK)
     return coded.groupBy("block").applyInArrow(reassemble, "doc_id bigint, n_tokens bigint, ids binary" + ", decoded binary" * decoded)
 
 

@@ -28,6 +28,7 @@ def encoding():
 
 
 def test_bpe_equals_the_library(spark, encoding, monkeypatch):
+    monkeypatch.setattr(bpe, "LEAST_BUCKETS", 3)
     coded = bpe.decode(bpe.encode(odd_docs(spark), RANKS, tokenizers.PATTERN, decoded=True).withColumnRenamed("decoded", "within"), RANKS).collect()
     assert all(r.decoded == r.within for r in coded)
     want = sorted(str((i, encoding.encode_ordinary(t or ""), (t or "").encode())) for i, t in ODD)
@@ -40,8 +41,17 @@ def test_bpe_over_many_blocks(spark, encoding, monkeypatch):
     import spanweave.llm.bpe as module
 
     monkeypatch.setattr(module, "BLOCK_WORDS", 300)
-    got = {r.doc_id: np.frombuffer(bytes(r.ids), "<u4").tolist() for r in bpe.encode(odd_docs(spark, rows), RANKS, tokenizers.PATTERN).collect()}
-    assert got == {i: encoding.encode_ordinary(t) for i, t in rows}
+    for memory, buckets in ((96 << 20, None), (2_000, 5)):
+        monkeypatch.setattr(module, "MEMORY", memory)
+        got = {r.doc_id: np.frombuffer(bytes(r.ids), "<u4").tolist() for r in bpe.encode(odd_docs(spark, rows), RANKS, tokenizers.PATTERN, buckets).collect()}
+        assert got == {i: encoding.encode_ordinary(t) for i, t in rows}
+
+
+def test_bpe_buckets_follow_the_size(spark, monkeypatch):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    assert bpe._buckets(docs) == bpe.LEAST_BUCKETS
+    monkeypatch.setattr(bpe, "BUCKET_BYTES", 20_000)
+    assert bpe.LEAST_BUCKETS < bpe._buckets(docs) <= bpe.MOST_BUCKETS
 
 
 @given(st.lists(st.integers(0, 2000), max_size=400))
