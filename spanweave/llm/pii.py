@@ -113,14 +113,18 @@ def _iban(m: str, key: bytes) -> str | None:
     return re.sub(r"\S", lambda _: next(new), m)
 
 
+def _issued(digits: str) -> bool:
+    """Whether a card number begins as those of known issuers do."""
+    return digits[0] in "456" or digits[:2] in ("30", "34", "35", "36", "37", "38") or 2221 <= int(digits[:4]) <= 2720
+
+
 def _card(m: str, key: bytes) -> str | None:
     digits = re.sub("[^0-9]", "", m)
-    known = digits[0] in "456" or digits[:2] in ("34", "37") or 2221 <= int(digits[:4]) <= 2720 or digits[:2] in ("30", "36", "38", "35")
-    if not 13 <= len(digits) <= 19 or not known or not luhn(digits):
+    if not 13 <= len(digits) <= 19 or not _issued(digits) or not luhn(digits):
         return None
-    inner = digits[1:-1]
-    inner = f"{permute(int(inner), 10 ** len(inner), key, 'card' + digits[0]):0{len(inner)}d}"
-    return _digits(m, next(x for x in (f"{digits[0]}{inner}{c}" for c in "0123456789") if luhn(x)))
+    first, inner = digits[0], digits[1:-1]
+    made = permute_until(int(inner), 10 ** len(inner), key, "card" + first, lambda v: _issued(f"{first}{v:0{len(inner)}d}"))
+    return _digits(m, next(x for x in (f"{first}{made:0{len(inner)}d}{c}" for c in "0123456789") if luhn(x)))
 
 
 def _ssn(m: str, key: bytes) -> str | None:
@@ -161,7 +165,9 @@ def _date(m: str, key: bytes) -> str | None:
         except ValueError:
             continue
         if 0 <= day < _DAYS:
-            new = datetime.date.fromordinal(_FIRST_DAY + permute(day, _DAYS, key, "date"))
+            # what is read as month first only because it cannot be day first stays so
+            sound = (lambda v: datetime.date.fromordinal(_FIRST_DAY + v).day > 12) if order == "mdy" else (lambda v: True)
+            new = datetime.date.fromordinal(_FIRST_DAY + permute_until(day, _DAYS, key, "date", sound))
             said = {"y": f"{new.year:04d}", "m": f"{new.month:0{len(parts['m'])}d}", "d": f"{new.day:0{len(parts['d'])}d}"}
             return sep.join(said[k] for k in order)
     return None

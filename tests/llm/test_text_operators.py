@@ -1,5 +1,6 @@
 import base64
 import hashlib
+import random
 import re
 import time
 from collections import Counter
@@ -122,6 +123,87 @@ def test_values_with_neighbours(text, value, kind):
     assert kind == "phone" or (new[:at], new[at + len(value) :]) == (text[:at], text[at + len(value) :])
 
 
+def with_luhn(digits):
+    return next(digits + c for c in "0123456789" if sum(sum(divmod(int(d) * (1 + i % 2), 10)) for i, d in enumerate(reversed(digits + c))) % 10 == 0)
+
+
+def planted(r):
+    """(kind, a valid value) in one of its usual forms."""
+    kind = r.choice(("email", "iban", "card", "ssn", "ip", "date"))
+    n = lambda k: "".join(r.choices("0123456789", k=k))
+    if kind == "card":
+        digits = with_luhn(r.choice(("4", "51", "55", "2221", "2720", "2500", "34", "37", "36", "6011")) + n(11))
+        return kind, r.choice((digits, " ".join(digits[i : i + 4] for i in range(0, len(digits), 4))))
+    if kind == "iban":
+        country, size = r.choice((("DE", 18), ("NL", 14), ("FR", 23), ("ES", 20), ("GB", 18)))
+        body = n(size)
+        check = 98 - int("".join(str(int(c, 36)) for c in f"{body}{country}00")) % 97
+        flat = f"{country}{check:02d}{body}"
+        return kind, r.choice((flat, " ".join(flat[i : i + 4] for i in range(0, len(flat), 4))))
+    if kind == "email":
+        return kind, f"{''.join(r.choices('abcdefgh', k=5))}.{n(2)}@{''.join(r.choices('klmnop', k=6))}.example.org"
+    if kind == "ssn":
+        return kind, f"{r.randint(1, 665):03d}-{r.randint(1, 99):02d}-{r.randint(1, 9999):04d}"
+    if kind == "ip":
+        return kind, ".".join(str(r.randint(0, 255)) for _ in range(4))
+    return kind, r.choice(("{0:04d}-{1:02d}-{2:02d}", "{2:02d}.{1:02d}.{0:04d}", "{1:02d}/{2:02d}/{0:04d}")).format(r.randint(1900, 2099), r.randint(1, 12), r.randint(1, 28))
+
+
+def test_planted_values_are_found_and_stay_valid():
+    r = random.Random(5)
+    seen = {}
+    for _ in range(600):
+        kind, value = planted(r)
+        before, after = (" ".join(r.choice(("then", "paid", "Ltd", "on", "x", "12", "no", "7")) for _ in range(r.randint(0, 4))) for _ in range(2))
+        if kind in ("iban", "card"):  # numbers beside it can make a longer valid one, which is hidden whole
+            before, after = (re.sub("[0-9]+", "and", x) for x in (before, after))
+        text = f"{before} {value} {after}"
+        new, found = pii.pseudonymise(text, KEY)
+        at = text.index(value)
+        assert (kind, at, at + len(value)) in found, text
+        got = new[at : len(new) - len(after) - 1]
+        assert got != value or kind == "date"
+        assert [(f[0], f[1], f[2]) for f in pii.pseudonymise(got, KEY)[1]] == [(kind, 0, len(got))], (value, got)
+        assert re.sub(r"[0-9]", "0", got) == re.sub(r"[0-9]", "0", value) or kind in ("email", "iban", "ip")
+        assert seen.setdefault((kind, got), value) == value  # two values never share a pseudonym
+
+
+def plain_cards(text):
+    """Card numbers by trying every start from the left and every end from the right."""
+    out, at = [], 0
+    while at < len(text):
+        for end in range(len(text), at, -1):
+            part, digits = text[at:end], re.sub("[^0-9]", "", text[at:end])
+            shaped = part[0].isdigit() and part[-1].isdigit() and all(c.isdigit() or c in " -" and part[i - 1].isdigit() and part[i + 1].isdigit() for i, c in enumerate(part))
+            free = (at == 0 or not re.match(r"[\w.]", text[at - 1])) and (end == len(text) or not re.match(r"\w", text[end]))
+            head = digits[:4]
+            issuer = head[:1] in ("4", "5", "6") or head[:2] in ("30", "34", "35", "36", "37", "38") or head.isdigit() and len(head) == 4 and 2221 <= int(head) <= 2720
+            if shaped and free and 13 <= len(digits) <= 19 and issuer and with_luhn(digits[:-1]) == digits:
+                out.append(("card", at, end))
+                at = end - 1
+                break
+        at += 1
+    return out
+
+
+def test_cards_match_brute_force():
+    r = random.Random(8)
+    for _ in range(400):
+        groups = [r.choice((with_luhn(r.choice(("4", "37", "2300")) + "".join(r.choices("0123456789", k=12))), "".join(r.choices("0123456789", k=r.randint(1, 6))), "x")) for _ in range(r.randint(1, 5))]
+        groups = [r.choice((g, " ".join(g[i : i + 4] for i in range(0, len(g), 4)))) for g in groups]
+        text = r.choice((" ", " ", "-")).join(groups)
+        if not re.search(r"(?<![0-9])[0-9]{3}[ .-][0-9]{2,3}[ .-][0-9]{4}(?![0-9])", text):  # neither like a social security nor like a telephone number
+            assert [f for f in pii.pseudonymise(text, KEY)[1] if f[0] == "card"] == plain_cards(text), text
+
+
+def test_pseudonyms_of_a_whole_format_are_a_permutation():
+    days = [f"{d:02d}/{m:02d}/{y}" for y in (1950, 1951) for m in range(1, 13) for d in range(1, 29)]
+    months_first = [f"{m:02d}/{d:02d}/1950" for m in range(1, 13) for d in range(13, 29)]
+    made = [pii.pseudonymise(x, KEY)[0] for x in days + months_first]
+    assert len(set(made)) == len(made)
+    assert all(int(x[:2]) <= 12 < int(x[3:5]) for x in made[len(days) :])
+
+
 def test_two_cards_side_by_side():
     assert [f[0] for f in pii.pseudonymise("4111 1111 1111 1111 5500 0000 0000 0004", KEY)[1]] == ["card", "card"]
 
