@@ -2,9 +2,12 @@
 
 Training counts hashed byte trigrams by language on a sample of labelled documents, at most about
 SAMPLE documents a language, drawn by a hash of their ids. A word's likelihood in a language is the
-product over its trigrams; EM over the words gives a document's proportions, and of the nested sets
-of its most frequent languages the one with the least penalised likelihood (BIC) is its language set.
-The largest proportion is the prediction.
+product over its trigrams; EM over the words gives a document's proportions. EM goes on until no
+proportion moves by TOLERANCE or more (MOST_ROUNDS at most). The nested sets of the document's most
+frequent languages are each fitted again by EM, and the one with the best penalised likelihood is its
+language set: log-likelihood less half the logarithm of the number of words for each language beyond
+the first (BIC), less RELUCTANCE for each, the prior log-odds against a further language. The largest
+proportion is the prediction.
 
 Defined cases: null text and text without a letter are `und` with score 0; with no labelled row all
 texts are; a null lang teaches nothing; null and repeated doc_id stay rows of their own; extra columns
@@ -28,7 +31,10 @@ SAMPLE = 1500
 SLOTS = 1 << 16
 #: Bytes of text that are worked on at once.
 CHUNK = 2_000_000
-ROUNDS = 8
+#: EM ends when no proportion of a document moves by as much, or after so many rounds.
+TOLERANCE, MOST_ROUNDS = 1e-3, 200
+#: Log-odds against each language beyond the first, beside BIC.
+RELUCTANCE = 3.0
 LETTER = regex.compile(r"\p{L}")
 #: Letters and all bytes of 0x80 and above stay, the rest turns into spaces.
 LETTER_BYTES = bytes(c if 97 <= c <= 122 or c >= 128 else c + 32 if 65 <= c <= 90 else 32 for c in range(256))
@@ -73,6 +79,23 @@ def train(docs: DataFrame, learn: Column, sample: int = SAMPLE) -> dict:
     return {"langs": langs, "table": np.log(counts / counts.sum(0)).astype(np.float32)}
 
 
+def _proportions(like: np.ndarray, n: np.ndarray, share: np.ndarray) -> np.ndarray:
+    """Proportions of each text by EM from the given ones; a language at zero stays out. n: words of each text, in order in like."""
+    share = share.copy()
+    active = np.arange(len(n))
+    for _ in range(MOST_ROUNDS):
+        w = like * np.repeat(share[active], n[active], axis=0)
+        w /= np.maximum(w.sum(1, keepdims=True), 1e-300)
+        new = np.add.reduceat(w, np.cumsum(n[active]) - n[active], axis=0) / n[active, None]
+        moving = np.abs(new - share[active]).max(1) >= TOLERANCE
+        share[active] = new
+        if not moving.any():
+            break
+        like = like[np.repeat(moving, n[active])]
+        active = active[moving]
+    return share
+
+
 def _mixtures(texts: list[bytes], table: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Proportions, size of the language set and confidence of each text; texts have a word each."""
     langs = table.shape[1]
@@ -82,12 +105,7 @@ def _mixtures(texts: list[bytes], table: np.ndarray) -> tuple[np.ndarray, np.nda
     doc = np.cumsum(n) - n
     peak = ll.max(1)
     like = np.exp(ll - peak[:, None])
-    share = np.full((len(texts), langs), 1.0 / langs)
-    of = np.repeat(np.arange(len(texts)), n)
-    for _ in range(ROUNDS):
-        w = like * share[of]
-        w /= w.sum(1, keepdims=True)
-        share = np.add.reduceat(w, doc, axis=0) / n[:, None]
+    share = _proportions(like, n, np.full((len(texts), langs), 1.0 / langs))
     order = np.argsort(-share, axis=1, kind="stable")
     best = np.full(len(texts), -np.inf)
     chosen, sets = share, np.ones(len(texts), np.int64)
@@ -95,8 +113,10 @@ def _mixtures(texts: list[bytes], table: np.ndarray) -> tuple[np.ndarray, np.nda
         part = np.zeros_like(share)
         np.put_along_axis(part, order[:, :size], np.maximum(np.take_along_axis(share, order[:, :size], 1), 1e-9), 1)
         part /= part.sum(1, keepdims=True)
-        fit = np.add.reduceat(np.log(np.maximum((like * part[of]).sum(1), 1e-300)) + peak, doc)
-        value = fit - 0.5 * (size - 1) * np.log(n + 1) - (size - 1) * 3
+        if 1 < size < langs:
+            part = _proportions(like, n, part)
+        fit = np.add.reduceat(np.log(np.maximum((like * np.repeat(part, n, axis=0)).sum(1), 1e-300)) + peak, doc)
+        value = fit - (size - 1) * (0.5 * np.log(n + 1) + RELUCTANCE)
         better = value > best
         chosen = np.where(better[:, None], part, chosen)
         sets, best = np.where(better, size, sets), np.maximum(best, value)
