@@ -3,12 +3,16 @@
 Positives are texts confirmed as toxic, the rest of the training side is unlabelled. Two linear
 logistic classifiers in numpy, one over words and one over word beginnings, are trained with the
 class-prior-corrected risk  pi R_p(+) + max(0, R_u(-) - pi R_p(-)) : where the second part falls below
-zero the step is taken against it. A text holds a feature or not, however often, so that length alone
-does not raise its score. Training takes bounded samples in the order of a hash of the ids.
+zero the step is taken against it. The class prior pi is the share of toxic rows among the labels
+learned from, the one use of labels 0. Classifiers see the features that positives hold more often than
+unlabelled texts by LEAST_Z, LEAST_PRECISION and LEAST_SUPPORT, at most KEPT_FEATURES of each kind. A
+text holds a feature or not, however often, so that length alone does not raise its score. Training
+takes bounded samples in the order of a hash of the ids, one text an id.
 
 Defined cases: null and empty texts have no features and get the score of the bias; without a
-positive example all scores are the class prior; a null doc_id teaches nothing; null and repeated
-doc_id stay rows of their own; extra columns are ignored.
+positive example all scores are the class prior; a null doc_id teaches nothing; of rows with a
+repeated doc_id the smallest text teaches; all of them are scored as rows of their own; extra columns
+are ignored.
 """
 
 from __future__ import annotations
@@ -58,10 +62,11 @@ def _sampled(docs: DataFrame, labels: DataFrame, learn: Column) -> tuple[DataFra
     told = labels.select("doc_id", "toxic").filter(learn & F.col("doc_id").isNotNull() & F.col("toxic").isNotNull())
     prior = told.agg(F.avg((F.col("toxic") == 1).cast("double"))).first()[0] or 0.0
     order = [F.xxhash64("doc_id"), "doc_id"]
-    sure = told.filter("toxic = 1").select("doc_id").orderBy(*order).limit(POSITIVES).distinct()
-    rest = docs.select("doc_id").filter(learn & F.col("doc_id").isNotNull()).orderBy(*order).limit(UNLABELLED).distinct()
-    drawn = sure.withColumn("positive", F.lit(True)).unionByName(rest.withColumn("positive", F.lit(False)))
-    return docs.select("doc_id", "text").join(F.broadcast(drawn), "doc_id").select("text", "positive"), prior
+    sure = told.filter("toxic = 1").select("doc_id").distinct().orderBy(*order).limit(POSITIVES)
+    rest = docs.select("doc_id").filter(learn & F.col("doc_id").isNotNull()).distinct().orderBy(*order).limit(UNLABELLED)
+    drawn = sure.withColumn("positive", F.lit(True)).unionByName(rest.withColumn("positive", F.lit(False)))  # a bounded number of ids
+    held = docs.select("doc_id", "text").join(F.broadcast(drawn), "doc_id")
+    return held.groupBy("doc_id", "positive").agg(F.min("text").alias("text")).select("text", "positive"), prior
 
 
 def train(docs: DataFrame, labels: DataFrame, learn: Column) -> dict:
@@ -91,7 +96,13 @@ def train(docs: DataFrame, labels: DataFrame, learn: Column) -> dict:
     return model
 
 
-def fit(rows: list[np.ndarray], positive: np.ndarray, prior: float) -> tuple[dict[int, float], float]:
+def negative_risk(score: np.ndarray, positive: np.ndarray, prior: float) -> float:
+    """R_u(-) - pi R_p(-): the estimated risk of the negatives, which only an overfitted classifier brings below zero."""
+    loss = np.logaddexp(0, score)  # of a score taken as negative
+    return float(loss[~positive].mean() - prior * loss[positive].mean())
+
+
+def fit(rows: list[np.ndarray], positive: np.ndarray, prior: float, non_negative: bool = True) -> tuple[dict[int, float], float]:
     """Weights by feature and the bias of a logistic classifier with the non-negative PU risk."""
     n_p, n_u = int(positive.sum()), int((~positive).sum())
     lens = np.array([len(r) for r in rows])
@@ -113,9 +124,7 @@ def fit(rows: list[np.ndarray], positive: np.ndarray, prior: float) -> tuple[dic
     for step in range(1, STEPS + 1):
         score = np.bincount(row, weights=w[col], minlength=len(rows)) + b
         on = 1 / (1 + np.exp(-np.clip(score, -50, 50)))
-        # logistic loss: as positive -log(on), as negative -log(1 - on)
-        rest = np.where(positive, -1.0, 1.0) * share_of * -np.log(np.maximum(1 - on, 1e-12))
-        if rest.sum() >= 0:
+        if not non_negative or negative_risk(score, positive, prior) >= 0:
             slope = np.where(positive, share_of * (on - 1) - share_of * on, share_of * on)
         else:
             slope = -np.where(positive, -share_of * on, share_of * on)

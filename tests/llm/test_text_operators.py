@@ -1,5 +1,6 @@
 import base64
 import hashlib
+import math
 import random
 import re
 import time
@@ -465,6 +466,67 @@ def test_language_mixtures_and_odd_rows(spark):
     assert {r.r.lang_pred for r in asked.select(language.predict(none, spark)("text").alias("r")).collect()} == {"und"}
 
 
+def plain_mixture(words, table):
+    """Proportions and language set of one text, word by word; table: word to likelihoods."""
+    langs = len(next(iter(table.values())))
+
+    def em(share):
+        for _ in range(language.MOST_ROUNDS):
+            new = [0.0] * langs
+            for w in words:
+                parts = [p * s for p, s in zip(table[w], share)]
+                for k in range(langs):
+                    new[k] += parts[k] / sum(parts) / len(words)
+            done = max(abs(a - b) for a, b in zip(new, share)) < language.TOLERANCE
+            share = new
+            if done:
+                break
+        return share
+
+    whole = em([1 / langs] * langs)
+    order = sorted(range(langs), key=lambda k: -whole[k])
+    best = None
+    for size in range(1, langs + 1):
+        part = [max(whole[k], 1e-9) if k in order[:size] else 0.0 for k in range(langs)]
+        part = [x / sum(part) for x in part]
+        part = em(part) if 1 < size < langs else part
+        fit = sum(math.log(sum(p * s for p, s in zip(table[w], part))) for w in words) - (size - 1) * (0.5 * math.log(len(words) + 1) + language.RELUCTANCE)
+        if best is None or fit > best[0]:
+            best = (fit, part, size)
+    return best[1:]
+
+
+def test_mixtures_match_a_plain_loop():
+    r = np.random.default_rng(4)
+    table = r.normal(-6, 2, (language.SLOTS, 4)).astype(np.float32)
+    texts = [" ".join("".join(r.choice(list("abcde"), r.integers(1, 6))) for _ in range(r.integers(1, 40))).encode() for _ in range(40)]
+    shares, sets, _ = language._mixtures(texts, table)
+    for k, text in enumerate(texts):
+        told = {}
+        for w in set(text.split()):
+            ll = table[language._grams(b" " + w + b" ")[0]].sum(0, dtype=np.float64)
+            told[w] = np.exp(ll - ll.max()).tolist()
+        share, size = plain_mixture(text.split(), told)
+        assert sets[k] == size and shares[k] == pytest.approx(share, abs=2e-3)
+
+
+def test_language_of_held_out_documents(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    model = language.train(docs, F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 != 0)
+    rows = docs.filter(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0).select("lang", language.predict(model, spark)("text").alias("r")).collect()
+    known = [r for r in rows if r.lang is not None and r.r.lang_pred != "und"]
+    assert sum(r.lang == r.r.lang_pred for r in known) >= 0.97 * len(known) > 100
+
+
+def test_language_of_odd_training_rows(spark):
+    rows = [(1, LANGS["en"], "en")] * 50 + [(2, LANGS["de"], "de"), (None, LANGS["fr"], "fr"), (3, None, "fr"), (4, "x " * 200_000, None), (5, LANGS["en"] * 4_000, "en")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string")
+    model = language.train(docs, F.lit(True))
+    assert model["langs"] == ["de", "en"]
+    told = docs.select("doc_id", language.predict(model, spark)("text").alias("r")).collect()
+    assert len(told) == len(rows) and {r.r.lang_pred for r in told if r.doc_id in (1, 5)} == {"en"}
+
+
 def toxic_rows(n):
     out = []
     for k in range(n):
@@ -487,6 +549,45 @@ def test_toxicity_learns_from_positives_and_unlabelled(spark):
     assert got[4] == got[5] < 0.7
 
 
+def test_negative_risk_is_held_at_zero():
+    r = np.random.default_rng(2)
+    # each positive has a feature of its own kind that few unlabelled texts have, and the prior is set too high
+    positive = np.r_[np.ones(300, bool), np.zeros(900, bool)]
+    rows = [np.unique(np.r_[r.integers(0, 40, 3), 100 + r.integers(0, 5, 2)]) for _ in range(300)] + [np.unique(np.r_[r.integers(0, 40, 3), 100 + r.integers(0, 5, 1)][: 4 if k % 3 == 0 else 3]) for k in range(900)]
+    rows = [x.astype(np.int32) for x in rows]
+
+    def risk(non_negative):
+        w, b = toxicity.fit(rows, positive, 0.85, non_negative)
+        return toxicity.negative_risk(np.array([b + sum(w.get(int(x), 0.0) for x in row) for row in rows]), positive, 0.85)
+
+    free, held = risk(False), risk(True)
+    assert free < -0.05 and held > free / 2 and held > -0.05
+
+
+def test_toxicity_with_repeated_ids_and_long_texts(spark, monkeypatch):
+    monkeypatch.setattr(toxicity, "POSITIVES", 60)
+    rows = toxic_rows(600)
+    docs = odd_docs(spark, [(i, t) for i, t, _ in rows] + [(0, rows[0][1])] * 2_000 + [(0, None), (0, "")])
+    labels = spark.createDataFrame([(i, y) for i, _, y in rows if i % 2 == 0] + [(0, 1)] * 500, "doc_id bigint, toxic int")
+    sample, prior = toxicity._sampled(docs, labels, F.lit(True))
+    told = sample.groupBy("positive").count().collect()
+    assert {r.positive: r["count"] for r in told} == {True: 60, False: 600} and 0.5 < prior < 1
+    model = toxicity.train(docs, labels.distinct(), F.lit(True))
+    asked = odd_docs(spark, [(1, "grobian " * 100_000), (2, "w1 " * 100_000), (2, "w1 grobian"), (3, "g" * 1_000_000)])
+    got = [(r.doc_id, r.s >= 0.7) for r in asked.select("doc_id", toxicity.score(model, spark)("text").alias("s")).collect()]
+    assert sorted(got) == [(1, True), (2, False), (2, True), (3, False)]
+
+
+def test_toxicity_of_held_out_documents(spark):
+    docs, labels = (spark.read.parquet(f"/root/testdata/sf0.1/{t}.parquet") for t in ("documents", "labels"))
+    held = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 1
+    model = toxicity.train(docs, labels, ~held)
+    rows = docs.join(labels, "doc_id").filter(held).select("toxic", toxicity.score(model, spark)("text").alias("s")).collect()
+    found = [r.s >= 0.7 for r in rows if r.toxic == 1]
+    wrong = [r.s >= 0.7 for r in rows if r.toxic == 0]
+    assert sum(found) >= 0.85 * len(found) and sum(wrong) <= 0.02 * len(wrong)
+
+
 def test_toxicity_without_positives(spark):
     labels = spark.createDataFrame([], "doc_id bigint, toxic int")
     model = toxicity.train(odd_docs(spark), labels, F.lit(True))
