@@ -9,7 +9,9 @@ that is not random as a whole is searched for its random stretches: it has one f
 characters reach the threshold on to where the next LEAST_RUN no longer do. What the fixed kinds hold
 is cut out of the runs first.
 
-Offsets count code points: they add up from the lengths of the pieces between matches.
+Offsets count code points: they add up from the lengths of the pieces between matches. Sums along an
+array are made in two levels (blocks of BLOCK elements), so that a text with n matches costs n times the
+square root of n at worst, and pieces of text are cut by bytes, which needs no walk from its start.
 
 Defined cases: null text is empty; empty text has no spans; null and repeated doc_id stay rows of
 their own; extra columns are ignored; with no text to learn from, the ordinary model is uniform.
@@ -34,6 +36,9 @@ SAMPLE_DOCS, SAMPLE_RANDOM = 400, 400
 THRESHOLD = 0.6
 _SIDE = 96  # printable ASCII, by code point - 32
 _SPAN = "array<struct<s:bigint,k:int,e:bigint>>"
+_PLACED = "array<struct<s:bigint,k:int,e:bigint,b:bigint>>"
+#: Elements of an array that are folded one after another.
+BLOCK = 128
 
 
 def train(docs: DataFrame, sample_docs: int = SAMPLE_DOCS, sample_random: int = SAMPLE_RANDOM) -> list[float]:
@@ -45,7 +50,7 @@ def train(docs: DataFrame, sample_docs: int = SAMPLE_DOCS, sample_random: int =
     n = docs.count()
     few = docs.select("text").filter(F.pmod(F.xxhash64("doc_id", "text"), F.lit(1_000_003)) < min(1.0, sample_docs / max(n, 1)) * 1_000_003)
     words = F.filter(F.split(F.coalesce("text", F.lit("")), r"[^A-Za-z]+"), lambda w: F.length(w) >= 2)
-    words = few.select(F.slice(F.array_distinct(words), 1, 500).alias("w")).filter(F.size("w") > 0)
+    words = few.select(F.array_distinct(words).alias("w")).filter(F.size("w") > 0)
     pair = F.transform(F.sequence(F.lit(1), F.size("w") - 1), lambda i: F.slice("w", i, 2))
     joined = F.when(F.size("w") > 1, F.flatten(F.transform(pair, lambda p: F.array(F.array_join(p, "_"), F.array_join(F.transform(p, F.initcap), "")))))
     ordinary = words.select(F.explode(F.concat("w", F.coalesce(joined, F.array().cast("array<string>")))).alias("s"))
@@ -64,23 +69,65 @@ def train(docs: DataFrame, sample_docs: int = SAMPLE_DOCS, sample_random: int =
     return ratio
 
 
+def _scan(items: Column, zero: Column, step, emit) -> Column:
+    """emit(state before, x) for each x of an array, where step(state, x) makes the next state; states are small structs.
+
+    The states at the beginnings of blocks are found first, then each block is folded from its own.
+    """
+    def begin(a: Column, block: Column) -> Column:
+        return F.struct(F.aggregate(block, a["now"], step).alias("now"), F.concat(a["all"], F.array(a["now"])).alias("all"))
+
+    def within(block: Column, state: Column) -> Column:
+        none = F.transform(F.slice(block, F.lit(1), F.lit(0)), lambda x: emit(state, x))
+        both = lambda a, x: F.struct(step(a["now"], x).alias("now"), F.concat(a["out"], F.array(emit(a["now"], x))).alias("out"))
+        return F.aggregate(block, F.struct(state.alias("now"), none.alias("out")), both)["out"]
+
+    def over(blocks: Column) -> Column:
+        first = F.struct(zero.alias("now"), F.filter(F.array(zero), lambda x: F.lit(False)).alias("all"))
+        return F.flatten(F.zip_with(blocks, F.aggregate(blocks, first, begin)["all"], within))
+
+    def cut(every: Column) -> Column:
+        last = F.floor((F.size(every) - 1) / BLOCK).cast("int")
+        return F.when(F.size(every) > BLOCK, F.transform(F.sequence(F.lit(0), last), lambda i: F.slice(every, i * BLOCK + 1, F.lit(BLOCK)))).otherwise(F.array(every))
+
+    return _let(_let(items, cut), over)
+
+
+def _let(value: Column, body) -> Column:
+    """body(value) with the value made once; what a lambda names from outside is made again for every element."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def _spans(text: Column, pattern: str, kind: int, value: int, keep) -> Column:
-    """Spans of the pattern's matches, leftmost and non-overlapping, whose group `value` meets keep."""
+    """Spans of the pattern's matches, leftmost and non-overlapping, whose group `value` meets keep; b: the start in bytes.
+
+    Matches are ASCII, so they are as many bytes as characters.
+    """
     zipped = F.arrays_zip(
         F.split(text, pattern, -1).alias("between"),
         F.regexp_extract_all(text, F.lit(pattern), F.lit(0)).alias("match"),
         F.regexp_extract_all(text, F.lit(pattern), F.lit(value)).alias("value"),
     )
-    start = F.struct(F.lit(0).cast("bigint").alias("at"), F.array().cast(_SPAN).alias("spans"))
+    sizes = F.transform(
+        F.filter(zipped, lambda x: x["match"].isNotNull()),
+        lambda x: F.struct(F.length(x["between"]).alias("c"), F.octet_length(x["between"]).alias("b"), F.length(x["match"]).alias("m"), keep(x["value"]).alias("keep")),
+    )
+    state = lambda at, b: F.struct(at.cast("bigint").alias("at"), b.cast("bigint").alias("b"))
+    placed = _scan(
+        sizes,
+        state(F.lit(0), F.lit(0)),
+        lambda a, x: state(a["at"] + x["c"] + x["m"], a["b"] + x["b"] + x["m"]),
+        lambda a, x: F.struct(
+            (a["at"] + x["c"]).cast("bigint").alias("s"), F.lit(kind).alias("k"), (a["at"] + x["c"] + x["m"]).cast("bigint").alias("e"), (a["b"] + x["b"]).cast("bigint").alias("b"), x["keep"].alias("keep")
+        ),
+    )
+    kept = F.transform(F.filter(placed, lambda x: x["keep"]), lambda x: F.struct(x["s"].alias("s"), x["k"].alias("k"), x["e"].alias("e"), x["b"].alias("b")))
+    return F.when(text.rlike(pattern), kept).otherwise(F.array().cast(_PLACED))
 
-    def step(acc: Column, x: Column) -> Column:
-        s = acc["at"] + F.length(x["between"])
-        e = s + F.length(x["match"])
-        span = F.struct(s.cast("bigint").alias("s"), F.lit(kind).alias("k"), e.cast("bigint").alias("e"))
-        found = x["match"].isNotNull() & keep(x["value"])
-        return F.struct(F.coalesce(e, s).cast("bigint").alias("at"), F.when(found, F.concat(acc["spans"], F.array(span))).otherwise(acc["spans"]).alias("spans"))
 
-    return F.when(text.rlike(pattern), F.aggregate(zipped, start, step, lambda acc: acc["spans"])).otherwise(F.array().cast(_SPAN))
+def _cut(data: Column, begin: Column, size: Column) -> Column:
+    """So many bytes of a binary from a place on, as text."""
+    return F.substring(data, (begin + 1).cast("int"), size.cast("int")).cast("string")
 
 
 def _pairs(token: Column, ratio: list[float]) -> Column:
@@ -133,17 +180,19 @@ def random_parts(token: Column, ratio: list[float], threshold: float = THRESHOLD
     return F.flatten(F.transform(F.array(_pairs(token, ratio)), told))
 
 
-def _without(text: Column, spans: str) -> Column:
-    """The text with spaces in place of sorted spans, which may overlap."""
-    start = F.struct(F.lit(0).cast("bigint").alias("at"), F.array().cast("array<string>").alias("out"))
-
-    def step(acc: Column, x: Column) -> Column:
-        s, e = F.greatest(acc["at"], x["s"]), F.greatest(acc["at"], x["e"])
-        kept = F.substring(text, (acc["at"] + 1).cast("int"), (s - acc["at"]).cast("int"))
-        return F.struct(e.alias("at"), F.concat(acc["out"], F.array(kept, F.repeat(F.lit(" "), (e - s).cast("int")))).alias("out"))
-
-    rest = lambda acc: F.concat(F.array_join(acc["out"], ""), F.substring(text, (acc["at"] + 1).cast("int"), F.length(text)))
-    return F.when(F.size(spans) > 0, F.aggregate(spans, start, step, rest)).otherwise(text)
+def _without(text: Column, data: Column, spans: str) -> Column:
+    """The text (data: its bytes) with spaces in place of sorted spans, which may overlap."""
+    begin = lambda a, x: F.greatest(a["b"], x["b"])
+    end = lambda a, x: F.greatest(a["b"], x["b"] + x["e"] - x["s"])
+    state = lambda b: F.struct(b.cast("bigint").alias("b"))
+    pieces = _scan(
+        F.col(spans),
+        state(F.lit(0)),
+        lambda a, x: state(end(a, x)),
+        lambda a, x: F.concat(_cut(data, a["b"], begin(a, x) - a["b"]), F.repeat(F.lit(" "), (end(a, x) - begin(a, x)).cast("int"))),
+    )
+    last = F.aggregate(spans, F.lit(0).cast("bigint"), lambda a, x: F.greatest(a, x["b"] + x["e"] - x["s"]))
+    return F.when(F.size(spans) > 0, F.concat(F.array_join(pieces, ""), _cut(data, last, F.octet_length(text)))).otherwise(text)
 
 
 def find(docs: DataFrame, ratio: list[float], threshold: float = THRESHOLD) -> DataFrame:
@@ -157,12 +206,14 @@ def find(docs: DataFrame, ratio: list[float], threshold: float = THRESHOLD) -> D
             _spans(text, HEX, 2, 0, yes),
         )
     )
-    rows = docs.select("doc_id", text.alias("text"), base.alias("base"))
-    rows = rows.select("doc_id", "base", _spans(_without(F.col("text"), "base"), RUN, 3, 0, yes).alias("runs"), "text")
-    token = lambda r: F.substring(F.col("text"), (r["s"] + 1).cast("int"), (r["e"] - r["s"]).cast("int"))
+    rows = docs.select("doc_id", text.alias("text"), text.cast("binary").alias("data"), base.alias("base"))
+    rows = rows.select("doc_id", "base", _without(F.col("text"), F.col("data"), "base").alias("rest"), "data")
+    rows = rows.select("doc_id", "base", _spans(F.col("rest"), RUN, 3, 0, yes).alias("runs"), "data")
+    token = lambda r: _cut(F.col("data"), r["b"], r["e"] - r["s"])
     cut = lambda r, p: F.struct((r["s"] + p["s"]).alias("s"), F.lit(3).alias("k"), (r["s"] + p["e"]).alias("e"))
     parts = F.flatten(F.transform("runs", lambda r: F.transform(random_parts(token(r), ratio, threshold), lambda p: cut(r, p))))
-    return rows.select("doc_id", "base", F.array_sort(F.concat("base", parts)).alias("spans"))
+    plain = F.transform("base", lambda x: F.struct(x["s"].alias("s"), x["k"].alias("k"), x["e"].alias("e")))
+    return rows.select("doc_id", plain.alias("base"), F.array_sort(F.concat(plain, parts)).alias("spans"))
 
 
 def listed(spans: str) -> Column:
