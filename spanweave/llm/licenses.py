@@ -147,9 +147,10 @@ def scan(docs: DataFrame, templates: tuple[tuple[str, str], ...] = TEMPLATES, th
                 joined = b" " + b" ".join(words) + b" "
                 places, base = [], set()
                 for phrase, label in phrases:
-                    at = joined.find(phrase)
+                    at, word, seen = joined.find(phrase), 0, 0
                     while at >= 0:
-                        places.append(joined.count(b" ", 0, at))
+                        word, seen = word + joined.count(b" ", seen, at), at
+                        places.append(word)
                         base.add(label)
                         at = joined.find(phrase, at + 1)
                 labels, best = set(base), 1.0 if base else 0.0

@@ -3,6 +3,7 @@ import hashlib
 import math
 import random
 import re
+import textwrap
 import time
 from collections import Counter
 
@@ -16,7 +17,7 @@ from pyspark.sql import functions as F
 from tests.llm.docs import ODD, odd_docs
 from tests.llm.layouts import LAYOUTS
 
-from spanweave.llm import bpe, extraction, language, licenses, pii, secrets, toxicity
+from spanweave.llm import bpe, contamination, extraction, language, licenses, pii, secrets, simhash, toxicity
 from spanweave.llm.dom import WIDTH, parse
 
 RANKS = tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -389,6 +390,44 @@ def test_wrapped_templates_match_brute_force(spark):
     assert got[107].r.labels == "" and got[101].r.score == 1.0
 
 
+def test_recall_of_templates_in_usual_layouts(spark):
+    r = random.Random(7)
+    prose = "ordinary words about boats and harbours and the price of rope in spring".split()
+    rows, want = [], {}
+    for label, text in licenses.TEMPLATES:
+        for mark in ("", "# ", " * ", "// ", "rem "):
+            for width in (0, 40, 60, 76):
+                words = text.split()
+                if len(words) >= 10 and r.random() < 0.5:  # one word lost or changed
+                    words[r.randrange(len(words))] = r.choice(("", "xyz"))
+                lines = textwrap.wrap(" ".join(words), width) if width else [" ".join(words)]
+                around = [" ".join(r.choices(prose, k=12)) for _ in range(2)]
+                want[len(rows)] = label
+                rows.append((len(rows), "\n".join([around[0], *(mark + x for x in lines), around[1]])))
+    clean = {len(rows) + k: " ".join(r.choices([*prose, "license", "public", "software", "permission", "work", "under", "terms"], k=200)) for k in range(300)}
+    docs = odd_docs(spark, [*rows, *clean.items()])
+    got = {x.doc_id: x.r.labels.split(",") for x in docs.select("doc_id", licenses.scan(docs)("text").alias("r")).collect()}
+    assert sum(want[i] in got[i] for i in want) >= 0.95 * len(want)
+    assert sum(got[i] != [""] for i in clean) == 0
+
+
+def test_long_texts_take_linear_time(spark):
+    """A megabyte without a space, of one word, of one phrase, of two words: for each operator on texts."""
+    docs = odd_docs(spark, [(1, "x" * 1_000_000), (2, "word " * 200_000), (3, "cc by " * 170_000), (4, "ab ba " * 160_000), (5, "\u65e5" * 300_000), (6, "4" * 1_000_000), (7, "a." * 300_000)])
+    bench = spark.createDataFrame([(1, "ab ba ab ba ab ba ab ba ab ba"), (2, "word word word")], "item_id bigint, text string")
+    began = time.perf_counter()
+    told = {r.doc_id: r.r for r in docs.select("doc_id", licenses.scan(docs)("text").alias("r")).collect()}
+    assert told[3].n_base == 170_000 and told[3].last_word == 2 * 169_999
+    assert simhash.with_fingerprint(docs).select("doc_id", "fp").count() == 7
+    assert docs.select(language.predict(language.train(docs, F.lit(True)), spark)("text").alias("r")).filter("r.lang_pred = 'und'").count() == 1
+    assert docs.select(pii.pseudonyms(KEY)("text")["n_found"].alias("n")).filter("n > 0").count() == 0
+    found = {r.key: (r.n_hit, list(r["items"])) for r in contamination.search(contamination.build_index(docs), bench).withColumn("n_hit", contamination.covered()).collect()}
+    assert found[2] == (200_000, [2]) and found[4] == (320_000, [1]) and found[1] == (0, [])
+    coded = bpe.encode(docs.filter("doc_id IN (2, 3, 4)"), RANKS, tokenizers.PATTERN, decoded=True)
+    assert coded.join(docs.select("doc_id", "text"), "doc_id").filter(F.col("decoded").cast("string") == F.col("text")).count() == 3
+    assert time.perf_counter() - began < 240
+
+
 PAGE = """<!DOCTYPE html><html><head><title>t</title><script>var a="</p>";</script><style>p{}</style></head><body>
 <header><a href=/>Site name</a></header><nav><ul><li><a href=/a>one</a></li><li><a href=/b>two</a></li></ul></nav>
 <div class="cookie-notice">We use cookies, accept them now.</div>
