@@ -171,7 +171,7 @@ def encode(docs: DataFrame, rank_file: str, pattern: str, buckets: int | None =
     def once(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coded: dict[bytes, bytes] = {}
         room = 0
-        one = _encoding(sent.value, pattern).encode_ordinary
+        one = _encoding(sent.value, pattern)._encode_single_piece  # a whole match: not split again, which fails on very long ones
         for batch in batches:
             rows = []
             for r in zip(*(c.to_pylist() for c in batch.columns), strict=True):
@@ -183,7 +183,7 @@ def encode(docs: DataFrame, rank_file: str, pattern: str, buckets: int | None =
                 words = pa.decompress(r[8], decompressed_size=int(lens.sum()), codec="zstd", asbytes=True)
                 for w in _cut(words, lens):
                     if (ids := coded.get(w)) is None:
-                        ids = np.array(one(w.decode()), "<u4").tobytes()
+                        ids = np.array(one(w), "<u4").tobytes()
                         room += len(w) + len(ids) + 150
                         if room > MEMORY:
                             coded.clear()
