@@ -25,6 +25,26 @@ def deal(df: DataFrame, *keys: str) -> DataFrame:
     return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *keys)
 
 
+def join_hot(left: DataFrame, right: DataFrame, key: str, weights: DataFrame, share: int = 1000, how: str = "left") -> DataFrame:
+    """Join (left or inner) where one key may hold much of the left side; right has each key once.
+
+    weights(key, n) counts left rows by key. Keys with over 1/share of all rows are fewer than
+    share, so their right rows are broadcast with a proven bound; the rest are shuffled. Null keys
+    match nothing.
+    """
+    total = F.broadcast(weights.agg(F.sum("n").alias("total")))  # one row
+    over = weights.join(total, F.col("n") * share > F.col("total")).filter(F.col(key).isNotNull())
+    hot = [r[0] for r in over.select(key).collect()]  # fewer than share
+    if not hot:
+        return left.join(right, key, how)
+    is_hot = F.coalesce(F.col(key).isin(hot), F.lit(False))
+    return (
+        left.filter(is_hot)
+        .join(F.broadcast(right.filter(F.col(key).isin(hot))), key, how)
+        .unionByName(left.filter(~is_hot).join(right.filter(~F.col(key).isin(hot)), key, how))
+    )
+
+
 def barrier(df: DataFrame) -> DataFrame:
     """The same rows behind a generator of one row each.
 

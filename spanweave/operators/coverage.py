@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from spanweave.functions.hashing import hash32
+from spanweave.functions.plan import join_hot
 from spanweave.functions.text import clean, token_set
 from spanweave.operators.evaluate import bucket_of, ratio
 
@@ -220,6 +221,7 @@ def token_jaccard_pairs(left: DataFrame, right: DataFrame, least: float = 0.9) -
     Records enter by their token set (md5 of it), so copies are one; token_set_members says which records
     share a set. Prefix filter: tokens are ordered by rarity over both sides, and sets that reach the
     similarity share one of the first n - ceil(least * n) + 1; only those are joined, with a length filter.
+    Tokens of over a thousandth of all rows get their counts by broadcast (there are fewer than a thousand).
     """
 
     def sets(df: DataFrame, side: str) -> DataFrame:
@@ -228,7 +230,7 @@ def token_jaccard_pairs(left: DataFrame, right: DataFrame, least: float = 0.9) -
     every = sets(left, "l").unionByName(sets(right, "r"))
     rows = every.select("side", "set_id", F.size("tokens").alias("n"), F.explode("tokens").alias("token"))
     often = rows.groupBy("token").agg(F.count("*").alias("df"))
-    ordered = rows.join(often, "token").groupBy("side", "set_id", "n").agg(F.array_sort(F.collect_list(F.struct("df", "token"))).alias("t"))
+    ordered = join_hot(rows, often, "token", often.select("token", F.col("df").alias("n")), how="inner").groupBy("side", "set_id", "n").agg(F.array_sort(F.collect_list(F.struct("df", "token"))).alias("t"))
     cut = (F.col("n") - F.ceil(F.col("n") * least - 1e-9) + 1).cast("int")
     prefix = ordered.select("side", "set_id", "n", F.explode(F.slice("t", F.lit(1), cut)).alias("x")).select("side", "set_id", "n", F.col("x.token").alias("token"))
     a = prefix.filter("side = 'l'").select(F.col("set_id").alias("left_set"), F.col("n").alias("ln"), "token")

@@ -170,7 +170,7 @@ def validate_records(spark, d):
     )
     rows = g.groupBy("record_id").agg(F.collect_list(bad).alias("entities"))
     checked = records.validate(derive.records(spark, d).select("record_id", "text").join(rows, "record_id"))
-    return checked.select(F.explode("errors").alias("error")).filter("error <> 'overlap'").groupBy("error").agg(F.count("*").alias("n"))
+    return checked.select(F.explode("errors").alias("error")).groupBy("error").agg(F.count("*").alias("n"))
 
 
 @query
@@ -339,7 +339,7 @@ def cooccurrence(spark, d):
 
 @query
 def source_mix(spark, d):
-    return coverage.source_mix(table(spark, d, "documents"))
+    return coverage.source_mix(table(spark, d, "documents"), derive.SOURCE_TARGETS)
 
 
 @query
@@ -379,7 +379,8 @@ def stratified_split(spark, d):
 
 @query
 def temporal_split(spark, d):
-    return coverage.temporal_split(table(spark, d, "events").select("event_id", "ts")).groupBy("side").agg(F.count("*").alias("n"), F.min("event_id").alias("first_event"))
+    rows = table(spark, d, "orders").select("o_orderkey", F.col("o_orderdate").alias("ts"))
+    return coverage.temporal_split(rows).groupBy("side").agg(F.count("*").alias("n"), F.min("o_orderkey").alias("first_order"), F.max("ts").cast("date").alias("last"))
 
 
 @query
@@ -401,7 +402,7 @@ def near_dup_members(spark, d):
 
 @query
 def benchmark_leak(spark, d):
-    return coverage.token_jaccard_pairs(table(spark, d, "benchmark"), derive.records(spark, d))
+    return coverage.token_jaccard_pairs(table(spark, d, "benchmark"), derive.leaked(spark, d))
 
 
 @query

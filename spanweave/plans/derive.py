@@ -35,6 +35,8 @@ DECOYS = (
     ("contrast_cue", ", only", 1.0), ("contrast_cue", "; instead", 1.0),
 )
 SEED = 42
+# Wanted shares of some sources; the others have none.
+SOURCE_TARGETS = {"src0": 0.04, "src3": 0.06, "src5": 0.05}
 # Cleaning with one switch off, and with all off.
 SWITCHES = {
     "no_trim": CleanConfig(trim=False), "no_collapse": CleanConfig(collapse_whitespace=False), "no_control": CleanConfig(strip_control_chars=False),
@@ -47,17 +49,17 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def records(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(record_id, raw, text, source, lang, split): text is cleaned."""
+def records(spark: SparkSession, sf_dir: str, dealt: bool = True) -> DataFrame:
+    """(record_id, raw, text, source, lang, split): text is cleaned. dealt: over all cores, where files are few."""
     b = bucket(10, "split", F.col("doc_id"))
     raw = F.coalesce("text", F.lit(""))
     split = F.when(b < 5, "dev").when(b < 9, "test").otherwise("edge_case")
-    docs = spread(table(spark, sf_dir, "documents").select("doc_id", "text", "source", "lang"), "doc_id")
-    return docs.select(F.col("doc_id").alias("record_id"), raw.alias("raw"), clean(raw).alias("text"), "source", "lang", split.alias("split"))
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source", "lang")
+    return (spread(docs, "doc_id") if dealt else docs).select(F.col("doc_id").alias("record_id"), raw.alias("raw"), clean(raw).alias("text"), "source", "lang", split.alias("split"))
 
 
 def tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return whitespace_tokens(records(spark, sf_dir))
+    return whitespace_tokens(records(spark, sf_dir, dealt=False))  # they are dealt by record there
 
 
 def gold(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -72,6 +74,12 @@ def gold(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spans.select("record_id", "start", "end", F.get(kind, F.col("k").cast("int")).alias("type"), F.when(F.col("k") == 4, "NEG").otherwise("POS").alias("polarity"), "text")
 
 
+def leaked(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The records, and every third benchmark item without its last word."""
+    items = table(spark, sf_dir, "benchmark").filter("item_id % 3 = 0").select((-1 - F.col("item_id")).alias("record_id"), F.regexp_replace("text", r"\s+\S+\s*$", "").alias("text"))
+    return records(spark, sf_dir).select("record_id", "text").unionByName(items)
+
+
 def overlapping(spark: SparkSession, sf_dir: str) -> DataFrame:
     """gold and, for every fifth span, an ORG that begins one character later and reaches six further."""
     g = gold(spark, sf_dir).drop("text")

@@ -7,7 +7,7 @@ import re
 from spanweave.functions.text import PUNCTUATION, ZERO_WIDTH
 from spanweave.operators.coverage import CUES, LEAST_SUPPORT
 from spanweave.operators.templates import SLOT
-from spanweave.plans.derive import DECOYS, KINDS, SEED, SWITCHES, TEMPLATES
+from spanweave.plans.derive import DECOYS, KINDS, SEED, SOURCE_TARGETS, SWITCHES, TEMPLATES
 from spanweave.schema import BUCKETS, LABELS
 from spanweave.sources.records import EDGE_CASES
 
@@ -291,6 +291,9 @@ def _edge_cases() -> str:
     return f'SELECT * FROM (VALUES {", ".join(rows)}) t("case", "start", "end", type, polarity, text)'
 
 
+_CHOPPED = r"regexp_replace(text, '\s+\S+\s*$', '')"
+
+
 def _jaccard(left: str, right: str) -> str:
     return f"""
 ls AS (SELECT DISTINCT {_TOKEN_SET.format("text")} AS t FROM {left}), rs AS (SELECT DISTINCT {_TOKEN_SET.format("text")} AS t FROM {right}),
@@ -366,9 +369,11 @@ def texts() -> dict[str, str]:
         "trainer_metric": f"""WITH {PROBS.replace(" best,", " label_id,")}, {decoded("prob", "dec")}, {matches("dec")} SELECT {", ".join(f"round(max({c}) FILTER (WHERE bucket = 'micro'), 9) AS {c}" for c in ("f1", "precision", "recall"))},
   {", ".join(f"round(max(f1) FILTER (WHERE bucket = '{b}'), 9) AS " + chr(34) + f"f1_{b}" + chr(34) for b in BUCKETS)} FROM report""",
         "label_support": f"WITH {GOLD} SELECT label, count(g.s) AS support FROM (SELECT unnest({_LABELS}) AS label) LEFT JOIN gold g ON label = 'B-' || {_NAME} GROUP BY label",
-        "validate_records": f"""WITH {GOLD}, bad AS (SELECT record_id, CASE WHEN m = 0 THEN 'unknown_type' WHEN m = 1 THEN 'negative_start' WHEN m = 2 THEN 'empty_span' WHEN m = 3 THEN 'unknown_polarity'
-  WHEN m = 4 AND type <> 'COMMODITY' THEN 'not_negatable' WHEN m = 5 THEN 'out_of_text' WHEN m = 6 THEN 'other_text' END AS error FROM (SELECT *, {h("'bad'", "record_id", "s")} % 40 AS m FROM gold))
-  SELECT error, count(*) AS n FROM bad WHERE error IS NOT NULL GROUP BY error""",
+        "validate_records": f"""WITH {GOLD}, hurt AS (SELECT *, {h("'bad'", "record_id", "s")} % 40 AS m FROM gold), bad AS (SELECT record_id, CASE WHEN m = 0 THEN 'unknown_type' WHEN m = 1 THEN 'negative_start' WHEN m = 2 THEN 'empty_span'
+  WHEN m = 3 THEN 'unknown_polarity' WHEN m = 4 AND type <> 'COMMODITY' THEN 'not_negatable' WHEN m = 5 THEN 'out_of_text' WHEN m = 6 THEN 'other_text' END AS error FROM hurt),
+  placed AS (SELECT record_id, CASE WHEN m = 1 THEN -1 ELSE s END AS s, CASE WHEN m = 2 THEN s WHEN m = 5 THEN e + 10000000 ELSE e END AS e FROM hurt),
+  over AS (SELECT DISTINCT record_id, 'overlap' AS error FROM (SELECT record_id, s, lag(e) OVER (PARTITION BY record_id ORDER BY s, e) AS p FROM placed) WHERE s < p)
+  SELECT error, count(*) AS n FROM (SELECT * FROM bad UNION ALL SELECT * FROM over) WHERE error IS NOT NULL GROUP BY error""",
         "overlap_violations": f"WITH {OVER} SELECT DISTINCT record_id FROM (SELECT record_id, s, lag(e) OVER (PARTITION BY record_id ORDER BY s, e) AS p FROM spans) WHERE s < p",
         "constraint_violations": f"""WITH {RECORDS} SELECT 'duplicate_content_hash' AS rule, count(*) AS n FROM (SELECT 1 FROM records GROUP BY sha256(text) HAVING count(*) > 1)
   UNION ALL SELECT 'duplicate_turn', count(*) FROM (SELECT 1 FROM conversations GROUP BY conv_id, turn HAVING count(*) > 1)
@@ -398,7 +403,8 @@ def texts() -> dict[str, str]:
   count(*) AS records FROM per GROUP BY 1""",
         "cooccurrence": f"""WITH {GOLD}, t AS (SELECT record_id, type, count(*) AS n FROM gold GROUP BY ALL) SELECT a.type AS type_a, b.type AS type_b, count(*) AS records FROM t a JOIN t b
   ON a.record_id = b.record_id AND (a.type < b.type OR a.type = b.type AND a.n > 1) GROUP BY ALL""",
-        "source_mix": "SELECT source, count(*) AS records, round(count(*) / (SELECT count(*) FROM documents)::DOUBLE, 6) AS share FROM documents GROUP BY source",
+        "source_mix": f"""WITH m AS (SELECT source, count(*) AS records, round(count(*) / (SELECT count(*) FROM documents)::DOUBLE, 6) AS share FROM documents GROUP BY source),
+  t AS (SELECT * FROM (VALUES {", ".join(f"('{k}', {v}::DOUBLE)" for k, v in SOURCE_TARGETS.items())}) t(source, target)) SELECT source, records, share, target, round(share - target, 6) AS gap FROM m LEFT JOIN t USING (source)""",
         "bucket_support": f"""WITH {GOLD}, w AS (SELECT * FROM (VALUES {", ".join(f"('{b}', {n}::BIGINT)" for b, n in LEAST_SUPPORT.items())}) t(bucket, least)),
   c AS (SELECT {_BUCKET} AS bucket, count(DISTINCT record_id) AS records FROM gold GROUP BY 1) SELECT bucket, least, coalesce(records, 0) AS records, coalesce(records, 0) >= least AS passes FROM w LEFT JOIN c USING (bucket)""",
         "cue_counts": f"""WITH {TOKENS}, w AS (SELECT record_id, tok_idx, lower(regexp_replace(token, '[^A-Za-z]+$', '')) AS w FROM tok), n AS (SELECT {", ".join(f"count(*) FILTER (WHERE {test}) AS c{k}" for k, test in enumerate(_cue_tests(lagged=True)))}
@@ -419,12 +425,12 @@ def texts() -> dict[str, str]:
   m AS (SELECT record_id, arg_max(type, (n, type)) AS main, max(neg) AS neg FROM t GROUP BY record_id),
   s AS (SELECT record_id, concat_ws('|', source, coalesce(main, 'none'), coalesce(neg, 0)) AS stratum, {h("'side'", "record_id")} AS x FROM records LEFT JOIN m USING (record_id))
   SELECT record_id, stratum, CASE WHEN row_number() OVER (PARTITION BY stratum ORDER BY x, record_id) <= ceil(count(*) OVER (PARTITION BY stratum) * 0.5) THEN 'dev' ELSE 'test' END AS side FROM s""",
-        "temporal_split": """WITH l AS (SELECT max(ts) AS m FROM events) SELECT CASE WHEN ts > (m - INTERVAL 1 MONTH)::DATE THEN 'test' WHEN ts > (m - INTERVAL 7 MONTH)::DATE THEN 'dev' ELSE 'train' END AS side, count(*) AS n,
-  min(event_id) AS first_event FROM events, l GROUP BY 1""",
+        "temporal_split": """WITH l AS (SELECT max(o_orderdate) AS m FROM orders) SELECT CASE WHEN o_orderdate > (m - INTERVAL 1 MONTH)::DATE THEN 'test' WHEN o_orderdate > (m - INTERVAL 7 MONTH)::DATE THEN 'dev' ELSE 'train' END AS side, count(*) AS n,
+  min(o_orderkey) AS first_order, max(o_orderdate)::DATE AS last FROM orders, l GROUP BY 1""",
         "doc_group_split": f"SELECT doc_id AS record_id, CASE WHEN {h(chr(39) + 'group' + chr(39), 'source')} % 2 = 0 THEN 'dev' ELSE 'test' END AS side FROM documents",
         "near_dup_pairs": f"WITH {RECORDS}, a AS (SELECT text FROM records WHERE split = 'dev'), b AS (SELECT text FROM records WHERE split = 'test'), {_jaccard('a', 'b')}",
         "near_dup_members": f"WITH {RECORDS} SELECT record_id, md5(array_to_string({_TOKEN_SET.format('text')}, ' ')) AS set_id FROM records",
-        "benchmark_leak": f"WITH {RECORDS}, q AS (SELECT {clean('text')} AS text FROM benchmark), {_jaccard('q', 'records')}",
+        "benchmark_leak": f"WITH {RECORDS}, q AS (SELECT {clean('text')} AS text FROM benchmark), every AS (SELECT text FROM records UNION ALL SELECT {clean(_CHOPPED)} FROM benchmark WHERE item_id % 3 = 0), {_jaccard('q', 'every')}",
         "iaa_kappa": f"""WITH {LABELLED}, p AS (SELECT CASE WHEN {h("'A'", "record_id", "tok_idx")} % 30 = 0 THEN 0 ELSE label_id END AS a, CASE WHEN {h("'B'", "record_id", "tok_idx")} % 30 = 0 THEN 0 ELSE label_id END AS b FROM lab),
   o AS (SELECT count(*) AS n, count(*) FILTER (WHERE a = b) / count(*)::DOUBLE AS po FROM p), e AS (SELECT sum(x.n::DOUBLE * y.n) AS s FROM (SELECT a, count(*) AS n FROM p GROUP BY a) x JOIN (SELECT b, count(*) AS n FROM p GROUP BY b) y ON a = b)
   SELECT n AS tokens, round(po, 9) AS agreement, round((po - s / (n::DOUBLE * n)) / (1 - s / (n::DOUBLE * n)), 9) AS kappa FROM o, e""",
