@@ -11,6 +11,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from spanweave.functions.plan import join_hot as join_hot
+
 #: Lower-cases A-Z and turns every ASCII character that is not a letter or digit into a space,
 #: so that split() on the result gives the words [^\x00-\x2F\x3A-\x60\x7B-\x7F]+.
 WORD_BYTES = bytes(
@@ -106,23 +108,3 @@ def fresh(columns: list[str], name: str) -> str:
 def crc_mod(doc_id: Column, n: int) -> Column:
     """crc32 of doc_id as text, modulo n; null ids count as the empty text."""
     return F.pmod(F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")), F.lit(n))
-
-
-def join_hot(left: DataFrame, right: DataFrame, key: str, weights: DataFrame, share: int = 1000) -> DataFrame:
-    """Left join where one key may hold much of the left side; right has each key once.
-
-    weights(key, n) counts left rows by key. Keys with over 1/share of all rows are fewer than
-    share, so their right rows are broadcast with a proven bound; the rest are shuffled. Null keys
-    match nothing.
-    """
-    total = F.broadcast(weights.agg(F.sum("n").alias("total")))  # one row
-    over = weights.join(total, F.col("n") * share > F.col("total")).filter(F.col(key).isNotNull())
-    hot = [r[0] for r in over.select(key).collect()]  # fewer than share
-    if not hot:
-        return left.join(right, key, "left")
-    is_hot = F.coalesce(F.col(key).isin(hot), F.lit(False))
-    return (
-        left.filter(is_hot)
-        .join(F.broadcast(right.filter(F.col(key).isin(hot))), key, "left")
-        .unionByName(left.filter(~is_hot).join(right.filter(~F.col(key).isin(hot)), key, "left"))
-    )
