@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from spanweave.llm.common import materialize, release, words_of
+from spanweave.llm.common import discard, materialize, release, words_of
 
 WINDOW = 10
 SHARD_WORDS = 500_000
@@ -317,4 +317,5 @@ def drop_contaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDO
     index = build_index(docs.select(digest.alias("digest"), "text"), "digest")
     found = materialize(search(index, benchmark, window).filter(F.size("runs") > 0).select(F.col("key").alias("__digest")).distinct(), "leaks")
     bounded = found.count() <= KEYS_SENT
+    discard(index)
     return docs.join(F.broadcast(found) if bounded else found, digest == found["__digest"], "left_anti")
