@@ -133,6 +133,19 @@ def test_keep_one_keeps_columns_and_first_rows(spark, monkeypatch, sent):
     assert ids == sorted(first.values())
 
 
+def test_clashing_columns_survive(spark):
+    names = ("__a", "__b", "_a", "fp", "root", "first", "n", "bucket", "__digest", "key")
+    docs = odd_docs(spark).drop("fp")
+    for k in names:
+        docs = docs.withColumn(k, F.lit(k))
+    bench = spark.createDataFrame(ITEMS, "item_id bigint, text string").withColumn("doc_id", F.lit("x")).withColumn("key", F.lit(1))
+    for out in (simhash.keep_one(docs), contamination.drop_contaminated(docs, bench)):
+        assert out.columns == docs.columns
+        assert all(r[k] == k for r in out.collect() for k in names)
+    assert simhash.near_duplicates(docs).count() == len(ODD)
+    assert contamination.search(contamination.build_index(docs), bench, slop=2).count() == len(ODD)
+
+
 def test_empty_tables(spark):
     none = odd_docs(spark, [])
     assert simhash.near_duplicates(none).count() == 0
