@@ -2,7 +2,7 @@
 
 Tokens are rows (record_id, tok_idx, c0, c1); spans are rows (record_id, start, end, type, polarity).
 All rows of a record share a partition from the first shuffle on: texts are dealt by record before
-they are exploded, so the windows and joins below add no further exchange.
+they are exploded, so the windows and joins by record below add no further exchange.
 """
 
 from __future__ import annotations
@@ -13,18 +13,18 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from spanweave.functions.plan import deal
 from spanweave.schema import IGNORED, LABELS, MAX_TOKENS
 
 
-
 def _by_token():
     return Window.partitionBy("record_id").orderBy("tok_idx")
 
 
-def whitespace_tokens(records: DataFrame) -> DataFrame:
-    """Maximal runs without a space of records(record_id, text), where text is cleaned."""
-    dealt = records.select("record_id", "text").repartition("record_id")
-    pieces = dealt.select("record_id", F.posexplode(F.split("text", " ")).alias("tok_idx", "token"))
+def whitespace_tokens(records: DataFrame, dealt: bool = False) -> DataFrame:
+    """Maximal runs without a space of records(record_id, text), where text is cleaned; dealt: by record already."""
+    rows = records.select("record_id", "text")
+    pieces = (rows if dealt else deal(rows, "record_id")).select("record_id", F.posexplode(F.split("text", " ")).alias("tok_idx", "token"))
     before = F.sum(F.length("token") + 1).over(_by_token().rowsBetween(Window.unboundedPreceding, -1))
     start = F.coalesce(before, F.lit(0)).cast("int")
     return pieces.select("record_id", "tok_idx", start.alias("c0"), (start + F.length("token")).cast("int").alias("c1"), "token").filter("c1 > c0")

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from spanweave.functions.hashing import bucket, uniform
-from spanweave.functions.plan import spread
+from spanweave.functions.plan import deal, spread
 from spanweave.functions.text import CleanConfig, clean
 from spanweave.operators.templates import generate
 from spanweave.operators.tokens import bio_encode, whitespace_tokens
@@ -49,17 +49,17 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def records(spark: SparkSession, sf_dir: str, dealt: bool = True) -> DataFrame:
-    """(record_id, raw, text, source, lang, split): text is cleaned. dealt: over all cores, where files are few."""
+def records(spark: SparkSession, sf_dir: str, dealt: bool = False) -> DataFrame:
+    """(record_id, raw, text, source, lang, split): text is cleaned. dealt: by record; else only where files are few."""
     b = bucket(10, "split", F.col("doc_id"))
     raw = F.coalesce("text", F.lit(""))
     split = F.when(b < 5, "dev").when(b < 9, "test").otherwise("edge_case")
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source", "lang")
-    return (spread(docs, "doc_id") if dealt else docs).select(F.col("doc_id").alias("record_id"), raw.alias("raw"), clean(raw).alias("text"), "source", "lang", split.alias("split"))
+    return (deal(docs, "doc_id") if dealt else spread(docs, "doc_id")).select(F.col("doc_id").alias("record_id"), raw.alias("raw"), clean(raw).alias("text"), "source", "lang", split.alias("split"))
 
 
 def tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return whitespace_tokens(records(spark, sf_dir, dealt=False))  # they are dealt by record there
+    return whitespace_tokens(records(spark, sf_dir, dealt=True), dealt=True)
 
 
 def gold(spark: SparkSession, sf_dir: str) -> DataFrame:
