@@ -278,6 +278,25 @@ found AS MATERIALIZED (SELECT ends.record_id, type, min(i) FILTER (WHERE first)
 SELECT r.record_id, type, substr(raw, (s + 1)::INT, (e - s)::INT) AS text, s AS start, e AS "end", CASE WHEN s IS NOT NULL THEN 'POS' END AS polarity FROM records r LEFT JOIN found f ON f.record_id = r.record_id"""
 
 
+def _relocated() -> str:
+    """Each surface from the end of its type's last one: one fold over a record's list, then one over what it found."""
+    kinds = ("PERSON", "ORG", "ADDRESS", "COMMODITY")
+    now = "CASE x.type " + " ".join(f"WHEN '{k}' THEN a.c{i}" for i, k in enumerate(kinds)) + " END"
+    exact, low = f"instr(substr(text, {now} + 1), x.text)", f"instr(substr(low, {now} + 1), lower(x.text))"
+    at = f"CASE WHEN {exact} > 0 THEN {now} + {exact} - 1 WHEN {low} > 0 THEN {now} + {low} - 1 ELSE -1 END"
+    place = f"{{'at': {at}, 'type': x.type, 'n': length(x.text)}}"
+    moved = ", ".join(f"'c{i}': CASE WHEN y.at >= 0 AND y.type = '{k}' THEN y.at + y.n ELSE a.c{i} END" for i, k in enumerate(kinds))
+    step = f"list_transform([{place}], lambda y: {{{moved}, 'found': CASE WHEN y.at >= 0 THEN list_append(a.found, {{'s': y.at, 'e': y.at + y.n, 'i': len(a.found), 'type': y.type}}) ELSE a.found END}})[1]"
+    none = "[]::STRUCT(s BIGINT, e BIGINT, i BIGINT, type VARCHAR)[]"
+    keep = "CASE WHEN y.s >= a.top THEN {'top': y.e, 'kept': list_append(a.kept, y)} ELSE a END"
+    return f"""WITH {GOLD}, asked AS (SELECT record_id, list({{'type': type, 'text': CASE WHEN s % 3 = 0 AND NOT contains(text, chr(223)) THEN upper(text) ELSE text END}} ORDER BY s) AS ents FROM gold GROUP BY record_id),
+both_ AS MATERIALIZED (SELECT record_id, text, lower(text) AS low, ents FROM asked JOIN records USING (record_id)),
+first AS MATERIALIZED (SELECT record_id, text, len(ents) AS n, list_sort(list_reduce(ents, lambda a, x: {step}, {{'c0': 0::BIGINT, 'c1': 0::BIGINT, 'c2': 0::BIGINT, 'c3': 0::BIGINT, 'found': {none}}}).found) AS found FROM both_),
+second AS MATERIALIZED (SELECT record_id, text, n, list_reduce(found, lambda a, y: {keep}, {{'top': 0::BIGINT, 'kept': {none}}}).kept AS kept FROM first)
+SELECT record_id, n - len(kept) AS n_skipped, k.type, k.s AS start, k.e AS "end", substr(text, (k.s + 1)::INT, (k.e - k.s)::INT) AS text
+FROM (SELECT record_id, text, n, kept, unnest(CASE WHEN len(kept) > 0 THEN kept ELSE [NULL] END) AS k FROM second)"""
+
+
 def _edge_cases() -> str:
     """What is expected, except that a token lends its closing marks to its span: ends move to the end of the token."""
     rows = []
@@ -413,6 +432,7 @@ def texts() -> dict[str, str]:
         "manifest_drift": "SELECT * FROM (VALUES ('dev', FALSE), ('test', TRUE), ('edge_case', TRUE)) t(split, drifted)",
         "edge_cases": _edge_cases(),
         "score_batch": _served(),
+        "relocated": _relocated(),
         "zero_entity": f"""WITH {PRED}, z AS (SELECT record_id FROM records WHERE record_id NOT IN (SELECT record_id FROM gold)), c AS (SELECT count(*) AS zero_records, count(*) FILTER (WHERE record_id IN (SELECT record_id FROM pred)) AS f FROM z)
   SELECT zero_records, f AS false_positive_records, round(CASE WHEN zero_records > 0 THEN f / zero_records::DOUBLE ELSE 0 END, 6) AS false_positive_rate FROM c""",
         "neg_pos_ratio": f"""WITH {GOLD}, c AS (SELECT count(*) FILTER (WHERE polarity = 'NEG') AS neg, count(*) FILTER (WHERE polarity = 'POS') AS pos FROM gold WHERE type = 'COMMODITY'), r AS (SELECT *, CASE WHEN pos > 0 THEN neg / pos::DOUBLE ELSE 0 END AS x FROM c)
