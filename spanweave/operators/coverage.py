@@ -7,6 +7,7 @@ from __future__ import annotations
 
 from functools import reduce
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -229,7 +230,7 @@ def token_jaccard_pairs(left: DataFrame, right: DataFrame, least: float = 0.9) -
 
     every = sets(left, "l").unionByName(sets(right, "r"))
     rows = every.select("side", "set_id", F.size("tokens").alias("n"), F.explode("tokens").alias("token"))
-    often = rows.groupBy("token").agg(F.count("*").alias("df"))
+    often = rows.groupBy("token").agg(F.count("*").alias("df")).persist(StorageLevel.MEMORY_AND_DISK)  # read to find the hot ones, and in the join
     ordered = join_hot(rows, often, "token", often.select("token", F.col("df").alias("n")), how="inner").groupBy("side", "set_id", "n").agg(F.array_sort(F.collect_list(F.struct("df", "token"))).alias("t"))
     cut = (F.col("n") - F.ceil(F.col("n") * least - 1e-9) + 1).cast("int")
     prefix = ordered.select("side", "set_id", "n", F.explode(F.slice("t", F.lit(1), cut)).alias("x")).select("side", "set_id", "n", F.col("x.token").alias("token"))
