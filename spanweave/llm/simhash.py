@@ -192,9 +192,9 @@ def links(nodes: DataFrame, n: int, radius: int = RADIUS) -> DataFrame:
     if n_dense:
         dealt = dealt.join(F.broadcast(dense) if n_dense <= KEYS_SENT else dense, "bucket", "left")
         parts = F.coalesce("parts", F.lit(1))
+        dealt = dealt.select("bucket", "spent", "fp", parts.alias("parts"), F.explode(F.sequence(F.lit(0), parts - 1)).alias("part"))
     else:
-        parts = F.lit(1)
-    dealt = dealt.select("bucket", "spent", "fp", parts.alias("parts"), F.explode(F.sequence(F.lit(0), parts - 1)).alias("part"))
+        dealt = dealt.select("bucket", "spent", "fp", F.lit(1).alias("parts"), F.lit(0).alias("part"))
 
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         got = list(batches)
