@@ -17,6 +17,8 @@ from spanweave.operators.tokens import bio_decode, bio_encode, gated_label, whit
 from spanweave.plans import derive
 from spanweave.plans.derive import SEED, table
 from spanweave.schema import MAX_CHARS, label_dim
+from spanweave.sources.pools import in_memory
+from spanweave.sources.pools import seed_breaches as find_breaches
 from spanweave.sources.records import edge_cases as edge_records
 
 THRESHOLDS = [0.0, 0.6, 0.7, 0.8, 0.9, 0.55, 0.65, 0.75, 0.85, 0.95, 0.5]
@@ -209,6 +211,13 @@ def unresolved_slots(spark, d):
     return templates.unresolved_slots(derive.templates(spark, d), pools).select("template", "slot_idx", "pool")
 
 
+@query
+def seed_breaches(spark, d):
+    """What is wrong when templates are odd, a decoy pool is not declared, a declared one and an entity pool have no values."""
+    forms = derive.templates(spark, d).unionByName(in_memory(spark, "templates", list(derive.ODD_TEMPLATES)))
+    return find_breaches(derive.entity_pools(spark, d).filter("entity_type <> 'ADDRESS'"), derive.decoy_pools(spark, d), forms, derive.DECLARED)
+
+
 @query
 def ordered_dedup(spark, d):
     return records.keep_first(table(spark, d, "documents").select("source", "doc_id", "lang"), "source", "doc_id")

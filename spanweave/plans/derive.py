@@ -34,6 +34,9 @@ DECOYS = (
     ("neg_cue", "without", 1.0), ("neg_cue", "does not contain", 2.0), ("neg_cue", "no", 1.0),
     ("contrast_cue", ", only", 1.0), ("contrast_cue", "; instead", 1.0),
 )
+# Templates that break the contract with the pools, and the decoys that it declares.
+ODD_TEMPLATES = (("{decoy} of {ORG}", 1.0), ("{THING} and {neg_thing#2} for {PERSON}", 1.0), ("{decoy:gone} {decoy:number}", 1.0))
+DECLARED = ("number", "neg_cue", "title")
 SEED = 42
 # Wanted shares of some sources; the others have none.
 SOURCE_TARGETS = {"src0": 0.04, "src3": 0.06, "src5": 0.05}

@@ -7,8 +7,8 @@ import re
 from spanweave.functions.text import PUNCTUATION, ZERO_WIDTH
 from spanweave.operators.coverage import CUES, LEAST_SUPPORT
 from spanweave.operators.templates import SLOT
-from spanweave.plans.derive import DECOYS, KINDS, SEED, SOURCE_TARGETS, SWITCHES, TEMPLATES
-from spanweave.schema import BUCKETS, LABELS
+from spanweave.plans.derive import DECLARED, DECOYS, KINDS, ODD_TEMPLATES, SEED, SOURCE_TARGETS, SWITCHES, TEMPLATES
+from spanweave.schema import BUCKETS, ENTITY_TYPES, LABELS
 from spanweave.sources.records import EDGE_CASES
 
 _Z = r"[\x{200b}\x{200c}\x{200d}\x{2060}\x{feff}\x{ad}]"
@@ -297,6 +297,18 @@ SELECT record_id, n - len(kept) AS n_skipped, k.type, k.s AS start, k.e AS "end"
 FROM (SELECT record_id, text, n, kept, unnest(CASE WHEN len(kept) > 0 THEN kept ELSE [NULL] END) AS k FROM second)"""
 
 
+def _breaches() -> str:
+    known = "(SELECT DISTINCT slot_name FROM decoy_pools)"
+    odd = ", ".join(f"({_value(r[0])}, {_value(r[4])}, {_value(r[6])})" for r in _slots((*TEMPLATES, *ODD_TEMPLATES)) if r[3])
+    return f"""WITH {POOLS}, s AS (SELECT * FROM (VALUES {odd}) t(template, entity_type, sub)), held AS (SELECT DISTINCT entity_type FROM entity_pools WHERE entity_type <> 'ADDRESS')
+SELECT 'empty entity pool' AS breach, t AS subject FROM (SELECT unnest({_list(ENTITY_TYPES)}) AS t) WHERE t NOT IN (SELECT entity_type FROM held)
+UNION ALL SELECT 'missing decoy pool', t FROM (SELECT unnest({_list(DECLARED)}) AS t) WHERE t NOT IN {known}
+UNION ALL SELECT 'undeclared decoy pool', slot_name FROM {known} WHERE slot_name NOT IN {tuple(DECLARED)!r}
+UNION ALL SELECT DISTINCT 'decoy without a name', template FROM s WHERE entity_type IS NULL AND sub IS NULL
+UNION ALL SELECT DISTINCT 'unknown decoy', sub || ': ' || template FROM s WHERE sub IS NOT NULL AND sub NOT IN {known}
+UNION ALL SELECT DISTINCT 'unknown entity type', entity_type || ': ' || template FROM s WHERE entity_type NOT IN {ENTITY_TYPES!r}"""
+
+
 def _edge_cases() -> str:
     """What is expected, except that a token lends its closing marks to its span: ends move to the end of the token."""
     rows = []
@@ -432,6 +444,7 @@ def texts() -> dict[str, str]:
         "manifest_drift": "SELECT * FROM (VALUES ('dev', FALSE), ('test', TRUE), ('edge_case', TRUE)) t(split, drifted)",
         "edge_cases": _edge_cases(),
         "score_batch": _served(),
+        "seed_breaches": _breaches(),
         "relocated": _relocated(),
         "zero_entity": f"""WITH {PRED}, z AS (SELECT record_id FROM records WHERE record_id NOT IN (SELECT record_id FROM gold)), c AS (SELECT count(*) AS zero_records, count(*) FILTER (WHERE record_id IN (SELECT record_id FROM pred)) AS f FROM z)
   SELECT zero_records, f AS false_positive_records, round(CASE WHEN zero_records > 0 THEN f / zero_records::DOUBLE ELSE 0 END, 6) AS false_positive_rate FROM c""",

@@ -5,6 +5,7 @@ from __future__ import annotations
 import json
 import sqlite3
 from collections.abc import Iterator
+from functools import reduce
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
@@ -44,28 +45,39 @@ def check(entity_pools: DataFrame, templates: DataFrame) -> None:
         raise ValueError("no templates")
 
 
+def seed_breaches(entity_pools: DataFrame, decoy_pools: DataFrame, templates: DataFrame, decoy_slots: tuple[str, ...]) -> DataFrame:
+    """(breach, subject) of every breach of the contract between pools and templates.
+
+    decoy_slots are the declared ones: each needs values, and there are no others. Every slot of a template
+    must name an entity type or a decoy with values; a decoy without a name is a breach of its own.
+    """
+    spark = templates.sparkSession
+    named = lambda breach, df: df.select(F.lit(breach).alias("breach"), F.col(df.columns[0]).alias("subject")).distinct()
+    types, declared = spark.createDataFrame([(t,) for t in ENTITY_TYPES], "entity_type string"), spark.createDataFrame([(s,) for s in decoy_slots], "slot_name string")
+    slots = template_slots(templates.select("template").distinct())
+    unknown = slots.filter("sub <> ''").join(decoy_pools.select(F.col("slot_name").alias("sub")).distinct(), "sub", "left_anti")
+    parts = (
+        named("empty entity pool", types.join(entity_pools.select("entity_type"), "entity_type", "left_anti")),
+        named("missing decoy pool", declared.join(decoy_pools.select("slot_name"), "slot_name", "left_anti")),
+        named("undeclared decoy pool", decoy_pools.select("slot_name").join(F.broadcast(declared), "slot_name", "left_anti")),
+        named("no templates", templates.agg(F.count("*").alias("n")).filter("n = 0").select(F.lit("").alias("subject"))),
+        named("decoy without a name", slots.filter("sub = ''").select("template")),
+        named("unknown decoy", unknown.select(F.concat_ws(": ", "sub", "template").alias("subject"))),
+        named("unknown entity type", slots.filter(F.col("sub").isNull() & ~F.col("entity_type").isin(*ENTITY_TYPES)).select(F.concat_ws(": ", "entity_type", "template").alias("subject"))),
+    )
+    return reduce(DataFrame.unionByName, parts)
+
+
 def seed_contract(entity_pools: DataFrame, decoy_pools: DataFrame, templates: DataFrame, decoy_slots: tuple[str, ...]) -> dict[str, object]:
     """The counts of values by pool and of templates; ValueError that names every breach.
 
-    decoy_slots are the declared ones: each needs values, and there are no others. Every slot of a template
-    must name an entity type or a decoy with values; a decoy without a name is a breach of its own. What comes
-    back to the driver is one row a pool and the broken slots of the hand-kept templates.
+    What comes back to the driver is one row a pool and the breaches of hand-kept lists.
     """
-    entities = {r[0]: r[1] for r in entity_pools.groupBy("entity_type").agg(F.count_distinct("value")).collect()}
-    decoys = {r[0]: r[1] for r in decoy_pools.groupBy("slot_name").agg(F.count_distinct("value")).collect()}
-    forms = templates.select("template").distinct()
-    n = forms.count()
-    errors = [f"entity pool {t} is empty" for t in ENTITY_TYPES if not entities.get(t)]
-    errors += [f"decoy pool {s} is missing or empty" for s in decoy_slots if not decoys.get(s)]
-    errors += [f"decoy pool {s} is not declared" for s in sorted(decoys.keys() - set(decoy_slots))]
-    errors += [] if n else ["no templates"]
-    slots = template_slots(forms)
-    kind = F.when(F.col("sub") == "", "decoy without a name").when(F.col("sub").isNotNull() & ~F.col("sub").isin(*decoys), F.concat(F.lit("unknown decoy "), "sub"))
-    kind = kind.when(F.col("sub").isNull() & ~F.col("entity_type").isin(*ENTITY_TYPES), F.concat(F.lit("unknown entity type "), "entity_type"))
-    errors += sorted(f"{r.what}: {r.template}" for r in slots.select("template", kind.alias("what")).filter("what IS NOT NULL").distinct().collect())
+    errors = sorted(f"{r.breach}: {r.subject}" for r in seed_breaches(entity_pools, decoy_pools, templates, decoy_slots).collect())
     if errors:
         raise ValueError("the seed breaks its contract:\n" + "\n".join(errors))
-    return {"entity_pools": entities, "decoy_pools": decoys, "templates": n}
+    count = lambda df, key: {r[0]: r[1] for r in df.groupBy(key).agg(F.count_distinct("value")).collect()}
+    return {"entity_pools": count(entity_pools, "entity_type"), "decoy_pools": count(decoy_pools, "slot_name"), "templates": templates.select("template").distinct().count()}
 
 
 def build_sqlite(path: str, sql_files: list[str]) -> Path:

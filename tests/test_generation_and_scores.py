@@ -436,7 +436,7 @@ def test_seed_contract_and_sql_files(spark, tmp_path):
     odd = pool_source.in_memory(spark, "templates", [("{decoy} {decoy:gone} {THING} {NEG_THING}", 1.0)])
     with pytest.raises(ValueError) as e:
         pool_source.seed_contract(tables["entity_pools"].filter("entity_type <> 'ORG'"), tables["decoy_pools"], odd, ("number", "title"))
-    for what in ("entity pool ORG is empty", "decoy pool title is missing", "contrast_cue is not declared", "decoy without a name", "unknown decoy gone", "unknown entity type THING"):
+    for what in ("empty entity pool: ORG", "missing decoy pool: title", "undeclared decoy pool: contrast_cue", "decoy without a name", "unknown decoy: gone", "unknown entity type: THING"):
         assert what in str(e.value)
     with pytest.raises(ValueError, match="no templates"):
         pool_source.seed_contract(tables["entity_pools"], tables["decoy_pools"], tables["templates"].limit(0), slots)
