@@ -69,22 +69,24 @@ def train(docs: DataFrame, sample_docs: int = SAMPLE_DOCS, sample_random: int =
     return ratio
 
 
-def _scan(items: Column, zero: Column, step, emit) -> Column:
+def _scan(items: Column, zero: Column, step, emit, state: str, out: str) -> Column:
     """emit(state before, x) for each x of an array, where step(state, x) makes the next state; states are small structs.
 
+    state and out: the types of states and of what is emitted.
+
     The states at the beginnings of blocks are found first, then each block is folded from its own.
     """
     def begin(a: Column, block: Column) -> Column:
         return F.struct(F.aggregate(block, a["now"], step).alias("now"), F.concat(a["all"], F.array(a["now"])).alias("all"))
 
-    def within(block: Column, state: Column) -> Column:
-        none = F.transform(F.slice(block, F.lit(1), F.lit(0)), lambda x: emit(state, x))
+    def within(block: Column, first: Column) -> Column:
         both = lambda a, x: F.struct(step(a["now"], x).alias("now"), F.concat(a["out"], F.array(emit(a["now"], x))).alias("out"))
-        return F.aggregate(block, F.struct(state.alias("now"), none.alias("out")), both)["out"]
+        return F.aggregate(block, F.struct(first.alias("now"), F.array().cast(f"array<{out}>").alias("out")), both)["out"]
 
     def over(blocks: Column) -> Column:
-        first = F.struct(zero.alias("now"), F.filter(F.array(zero), lambda x: F.lit(False)).alias("all"))
-        return F.flatten(F.zip_with(blocks, F.aggregate(blocks, first, begin)["all"], within))
+        nothing = F.struct(zero.alias("now"), F.array().cast(f"array<{state}>").alias("all"))
+        begins = F.when(F.size(blocks) > 1, F.aggregate(blocks, nothing, begin)["all"]).otherwise(F.array(zero))
+        return F.flatten(F.zip_with(blocks, begins, within))
 
     def cut(every: Column) -> Column:
         last = F.floor((F.size(every) - 1) / BLOCK).cast("int")
@@ -120,6 +122,8 @@ def _spans(text: Column, pattern: str, kind: int, value: int, keep) -> Column:
         lambda a, x: F.struct(
             (a["at"] + x["c"]).cast("bigint").alias("s"), F.lit(kind).alias("k"), (a["at"] + x["c"] + x["m"]).cast("bigint").alias("e"), (a["b"] + x["b"]).cast("bigint").alias("b"), x["keep"].alias("keep")
         ),
+        "struct<at:bigint,b:bigint>",
+        "struct<s:bigint,k:int,e:bigint,b:bigint,keep:boolean>",
     )
     kept = F.transform(F.filter(placed, lambda x: x["keep"]), lambda x: F.struct(x["s"].alias("s"), x["k"].alias("k"), x["e"].alias("e"), x["b"].alias("b")))
     return F.when(text.rlike(pattern), kept).otherwise(F.array().cast(_PLACED))
@@ -190,6 +194,8 @@ def _without(text: Column, data: Column, spans: str) -> Column:
         state(F.lit(0)),
         lambda a, x: state(end(a, x)),
         lambda a, x: F.concat(_cut(data, a["b"], begin(a, x) - a["b"]), F.repeat(F.lit(" "), (end(a, x) - begin(a, x)).cast("int"))),
+        "struct<b:bigint>",
+        "string",
     )
     last = F.aggregate(spans, F.lit(0).cast("bigint"), lambda a, x: F.greatest(a, x["b"] + x["e"] - x["s"]))
     return F.when(F.size(spans) > 0, F.concat(F.array_join(pieces, ""), _cut(data, last, F.octet_length(text)))).otherwise(text)
