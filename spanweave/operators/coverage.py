@@ -12,7 +12,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from spanweave.functions.hashing import hash32
-from spanweave.functions.plan import join_hot
 from spanweave.functions.text import clean, token_set
 from spanweave.operators.evaluate import bucket_of, ratio
 
@@ -231,7 +230,13 @@ def token_jaccard_pairs(left: DataFrame, right: DataFrame, least: float = 0.9) -
     every = sets(left, "l").unionByName(sets(right, "r"))
     rows = every.select("side", "set_id", F.size("tokens").alias("n"), F.explode("tokens").alias("token"))
     often = rows.groupBy("token").agg(F.count("*").alias("df")).persist(StorageLevel.MEMORY_AND_DISK)  # read to find the hot ones, and in the join
-    ordered = join_hot(rows, often, "token", often.select("token", F.col("df").alias("n")), how="inner").groupBy("side", "set_id", "n").agg(F.array_sort(F.collect_list(F.struct("df", "token"))).alias("t"))
+    total = F.broadcast(often.agg(F.sum("df").alias("total")))  # one row
+    hot = often.join(total, F.col("df") * 1000 > F.col("total")).select("token", "df").collect()  # fewer than a thousand
+    known = F.broadcast(left.sparkSession.createDataFrame(hot, "token string, hot_df long"))
+    spread = F.concat(F.lit("\0"), F.pmod(F.xxhash64("set_id"), F.lit(1024)).cast("string"))  # meets no token, and is no hot key
+    placed = rows.join(known, "token", "left").withColumn("by", F.when(F.col("hot_df").isNull(), F.col("token")).otherwise(spread))
+    counted = placed.join(often.select(F.col("token").alias("by"), "df"), "by", "left").withColumn("df", F.coalesce("hot_df", "df"))
+    ordered = counted.groupBy("side", "set_id", "n").agg(F.array_sort(F.collect_list(F.struct("df", "token"))).alias("t"))
     cut = (F.col("n") - F.ceil(F.col("n") * least - 1e-9) + 1).cast("int")
     prefix = ordered.select("side", "set_id", "n", F.explode(F.slice("t", F.lit(1), cut)).alias("x")).select("side", "set_id", "n", F.col("x.token").alias("token"))
     a = prefix.filter("side = 'l'").select(F.col("set_id").alias("left_set"), F.col("n").alias("ln"), "token")
