@@ -1,4 +1,4 @@
-"""The queries op1 to op10 and their SQL twins."""
+"""The queries op1 to op13 and their SQL twins."""
 
 from __future__ import annotations
 
@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from spanweave.llm import bpe, contamination, extraction, language, licenses, pii, secrets, simhash, topk, toxicity
+from spanweave.llm import bpe, contamination, extraction, language, licenses, pii, repeats, secrets, simhash, topk, toxicity
 from spanweave.llm.common import crc_mod, table, words_of
 
 
@@ -148,12 +148,29 @@ FROM d LEFT JOIN c USING (row_no) LEFT JOIN m USING (row_no) LEFT JOIN t USING (
 """
 
 
+def op13_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = repeats.remove_repeats(table(spark, sf_dir, "documents"))
+    return kept.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
+
+
+OP13_SQL = f"""
+WITH d AS MATERIALIZED (SELECT row_number() OVER () AS row_no, doc_id, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
+p AS (SELECT row_no, i, array_to_string(list_slice(w, i, i + {repeats.WINDOW} - 1), ' ') AS s
+      FROM (SELECT row_no, w, unnest(range(1, len(w) - {repeats.WINDOW} + 2)) AS i FROM d WHERE len(w) >= {repeats.WINDOW})),
+r AS (SELECT row_no, i FROM (SELECT row_no, i, count(*) OVER (PARTITION BY s) AS n FROM p) WHERE n > 1),
+x AS MATERIALIZED (SELECT DISTINCT row_no, unnest(range(i, i + {repeats.WINDOW})) AS j FROM r),
+o AS MATERIALIZED (SELECT row_no, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS j FROM d),
+k AS (SELECT row_no, string_agg(word, ' ' ORDER BY j) AS kept, count(*) AS n_kept FROM o ANTI JOIN x USING (row_no, j) GROUP BY row_no)
+SELECT doc_id, len(w)::BIGINT AS n_words, (len(w) - coalesce(n_kept, 0))::BIGINT AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256 FROM d LEFT JOIN k USING (row_no)
+"""
+
+
 def queries() -> dict:
     named = (
-        op1_toxicity, op2_simhash, op3_pii, op4_bpe, op5_topk, op6_language, op7_secrets, op8_licenses, op9_extraction, op10_decontamination,
+        op1_toxicity, op2_simhash, op3_pii, op4_bpe, op5_topk, op6_language, op7_secrets, op8_licenses, op9_extraction, op10_decontamination, op13_repeats,
     )
     return {f.__name__: f for f in named} | {"pipeline": corpus_pipeline.run}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op5_topk": OP5_SQL, "op8_licenses": _op8_sql(), "op10_decontamination": OP10_SQL}
+    return {"op5_topk": OP5_SQL, "op8_licenses": _op8_sql(), "op10_decontamination": OP10_SQL, "op13_repeats": OP13_SQL}
