@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from spanweave.llm import bpe, contamination, extraction, language, licenses, pii, repeats, secrets, simhash, topk, toxicity
+from spanweave.llm import bpe, contamination, extraction, language, licenses, negatives, pii, repeats, secrets, simhash, topk, toxicity
 from spanweave.llm.common import crc_mod, table, words_of
 
 
@@ -148,6 +148,23 @@ FROM d LEFT JOIN c USING (row_no) LEFT JOIN m USING (row_no) LEFT JOIN t USING (
 """
 
 
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    label = F.when(F.col("vec_id") % 7 == 0, F.pmod(F.col("label") + 1, F.lit(10))).otherwise(F.col("label"))
+    return negatives.mine(vectors.withColumn("label", label), F.col("vec_id") % 100 == 0)
+
+
+OP12_SQL = """
+WITH v AS MATERIALIZED (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS e
+      FROM embeddings WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS MATERIALIZED (SELECT a.vec_id AS anchor_id, c.vec_id, a.label = c.label AS same, list_inner_product(a.e, c.e)::BIGINT AS score FROM v a JOIN v c ON a.vec_id % 100 = 0 AND c.vec_id <> a.vec_id),
+p AS (SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM s WHERE same QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5)
+SELECT anchor_id, positive_id, row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id)::INT AS rank, vec_id AS negative_id, positive_score, score AS negative_score
+FROM p JOIN s USING (anchor_id) WHERE NOT same AND 80 * positive_score <= 100 * score AND 100 * score <= 100 * positive_score
+QUALIFY rank <= 5
+"""
+
+
 def op13_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept = repeats.remove_repeats(table(spark, sf_dir, "documents"))
     return kept.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
@@ -167,10 +184,10 @@ SELECT doc_id, len(w)::BIGINT AS n_words, (len(w) - coalesce(n_kept, 0))::BIGINT
 
 def queries() -> dict:
     named = (
-        op1_toxicity, op2_simhash, op3_pii, op4_bpe, op5_topk, op6_language, op7_secrets, op8_licenses, op9_extraction, op10_decontamination, op13_repeats,
+        op1_toxicity, op2_simhash, op3_pii, op4_bpe, op5_topk, op6_language, op7_secrets, op8_licenses, op9_extraction, op10_decontamination, op12_hard_negatives, op13_repeats,
     )
     return {f.__name__: f for f in named} | {"pipeline": corpus_pipeline.run}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op5_topk": OP5_SQL, "op8_licenses": _op8_sql(), "op10_decontamination": OP10_SQL, "op13_repeats": OP13_SQL}
+    return {"op5_topk": OP5_SQL, "op8_licenses": _op8_sql(), "op10_decontamination": OP10_SQL, "op12_hard_negatives": OP12_SQL, "op13_repeats": OP13_SQL}
