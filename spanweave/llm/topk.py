@@ -14,8 +14,8 @@ once and a share of them before, and shuffles at most k entries for each partiti
 Defined cases: vectors that are null or hold null or non-finite components, and rows without id,
 take no part; shorter vectors count as padded with zeros; of several rows with a query's id the
 smallest vector is the query, and none of them is its candidate; other repeated rows are candidates
-of their own; extra columns are ignored; empty tables give empty results. Components so large that a
-sum could pass 2^53 are multiplied as unbounded whole numbers, outside of the lists; a score beyond 64
+of their own; extra columns are ignored; empty tables give empty results. Finite components of any size
+take part; where a sum could pass 2^53 they are multiplied as unbounded whole numbers, outside of the lists; a score beyond 64
 bits is given, and ranked, as the nearest long.
 """
 
@@ -29,6 +29,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from spanweave.llm.common import materialize, release
+from spanweave.llm.vectors import best, padded, small, sound, unbounded, whole
 
 QUERY_BLOCK = 4096
 LISTS = 2
@@ -37,54 +38,22 @@ ROWS = 2048
 PAIRS = 250_000
 #: One row in so many gives the cutoff.
 FIRST = 8
-#: Sums of whole numbers held as doubles are exact below this.
-EXACT = 2.0**53
 ENTRY = "query_id bigint, vec_id bigint, score bigint"
 
 
-def _whole(vectors: pa.Array, dims: int) -> np.ndarray:
-    """floor(256 x) of list vectors, cut or padded with zeros to dims."""
-    vectors = vectors.cast(pa.list_(pa.float64()))
-    lens = vectors.value_lengths().to_numpy(zero_copy_only=False)
-    flat = vectors.flatten().to_numpy(zero_copy_only=False)
-    if len(lens) and (lens == dims).all():
-        return np.floor(256 * flat.reshape(len(lens), dims))
-    out = np.zeros((len(lens), dims))
-    ends = np.cumsum(lens)
-    for i, (e, n) in enumerate(zip(ends.tolist(), lens.tolist(), strict=True)):
-        n_used = min(n, dims)
-        out[i, :n_used] = np.floor(256 * flat[e - n : e - n + n_used])
-    return out
-
-
 def _resolve(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """Row-wise exact inner products, of numbers whose sums stay below EXACT."""
     return np.einsum("ij,ij->i", a, b).astype(np.int64)
 
 
-def _unbounded(row: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Exact inner products of one vector with many, saturated at 64 bits."""
-    own = [int(x) for x in row]
-    return np.array([min(max(sum(x * int(y) for x, y in zip(own, other, strict=True)), -(2**63)), 2**63 - 1) for other in b.tolist()], np.int64)
-
-
-def _chunks(batches: Iterator[pa.RecordBatch], dims: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Ids and whole vectors, the rows of a batch in falling order of their largest component."""
+def _chunks(batches: Iterator[pa.RecordBatch], dims: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Ids, whole vectors and vectors as they were, the rows of a batch in falling order of their largest component."""
     for batch in batches:
-        ids, rows = batch.column(0).to_numpy(), _whole(batch.column(1), dims)
-        order = np.argsort(-np.abs(rows).max(1, initial=0.0), kind="stable")
+        ids, raw = batch.column(0).to_numpy(), padded(batch.column(1), dims)
+        order = np.argsort(-np.abs(raw).max(1, initial=0.0), kind="stable")
         for k in range(0, len(ids), ROWS):
             part = order[k : k + ROWS]
-            yield ids[part], rows[part]
-
-
-def _best(q: np.ndarray, ids: np.ndarray, scores: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """The k best entries of each query; ties to the smaller id."""
-    order = np.lexsort((ids, ~scores, q))  # ~x falls as x rises, for the least long too
-    q, ids, scores = q[order], ids[order], scores[order]
-    begins = np.flatnonzero(np.r_[True, q[1:] != q[:-1]]) if len(q) else np.zeros(0, np.int64)
-    nth = np.arange(len(q)) - np.repeat(begins, np.diff(np.r_[begins, len(q)]))
-    return q[nth < k], ids[nth < k], scores[nth < k]
+            yield ids[part], whole(raw[part]), raw[part]
 
 
 def _entries(query_ids: np.ndarray, q: np.ndarray, ids: np.ndarray, scores: np.ndarray) -> pa.RecordBatch:
@@ -93,12 +62,12 @@ def _entries(query_ids: np.ndarray, q: np.ndarray, ids: np.ndarray, scores: np.n
     )
 
 
-def _block(vectors: DataFrame, query_ids: np.ndarray, queries: np.ndarray, k: int, lists: int) -> DataFrame:
+def _block(vectors: DataFrame, query_ids: np.ndarray, given: np.ndarray, k: int, lists: int) -> DataFrame:
     spark = vectors.sparkSession
-    dims = queries.shape[1]
+    queries, dims = whole(given), given.shape[1]
     cuts = [(a[0], a[-1] + 1) for a in np.array_split(np.arange(dims), min(lists, max(1, dims))) if len(a)] or [(0, 0)]
     peaks = np.abs(queries).max(1, initial=0.0)
-    sent = spark.sparkContext.broadcast((query_ids, queries, peaks))
+    sent = spark.sparkContext.broadcast((query_ids, queries, peaks, given))
 
     def own_cells(ids: np.ndarray, qid: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Rows and columns where a row has the query's own id."""
@@ -107,12 +76,11 @@ def _block(vectors: DataFrame, query_ids: np.ndarray, queries: np.ndarray, k: in
         return own, at[own]
 
     def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        qid, q, peak = sent.value
+        qid, q, peak, _ = sent.value
         kept: list[tuple | None] = [None] * len(cuts)
-        for ids, rows in _chunks(batches, dims):
-            with np.errstate(over="ignore"):
-                small = np.flatnonzero(np.abs(rows).max(1, initial=0.0) * peak.max(initial=0.0) * dims < EXACT)
-            ids, rows = ids[small], rows[small]
+        for ids, rows, _ in _chunks(batches, dims):
+            plain = np.flatnonzero(small(rows, peak).all(1))
+            ids, rows = ids[plain], rows[plain]
             own = own_cells(ids, qid)
             for b, (s, e) in enumerate(cuts):
                 local = rows[:, s:e] @ q[:, s:e].T
@@ -121,9 +89,9 @@ def _block(vectors: DataFrame, query_ids: np.ndarray, queries: np.ndarray, k: in
                 if not n:
                     continue
                 top = np.argpartition(-local, n - 1, axis=0)[:n]
-                best = np.take_along_axis(local, top, 0)
-                total = np.stack([np.where(np.isfinite(best[j]), np.einsum("ij,ij->i", rows[top[j]], q), -np.inf) for j in range(n)])
-                new, old = (best, ids[top], total), kept[b]
+                scores = np.take_along_axis(local, top, 0)
+                total = np.stack([np.where(np.isfinite(scores[j]), np.einsum("ij,ij->i", rows[top[j]], q), -np.inf) for j in range(n)])
+                new, old = (scores, ids[top], total), kept[b]
                 both = new if old is None else tuple(np.concatenate([x, y]) for x, y in zip(old, new, strict=True))
                 order = np.argsort(-both[0], axis=0, kind="stable")[:k]
                 kept[b] = tuple(np.take_along_axis(x, order, 0) for x in both)
@@ -133,7 +101,7 @@ def _block(vectors: DataFrame, query_ids: np.ndarray, queries: np.ndarray, k: in
             row, col = np.nonzero(np.isfinite(total))
             ids = np.concatenate([x[1] for x in found])[row, col]
             pairs = np.unique(np.stack([col, ids, total[row, col].astype(np.int64)]), axis=1)
-            yield _entries(qid, *_best(*pairs, k))
+            yield _entries(qid, *best(*pairs, k))
         release()
 
     some = vectors.filter(F.pmod(F.xxhash64("vec_id"), F.lit(FIRST)) == 0)
@@ -145,24 +113,22 @@ def _block(vectors: DataFrame, query_ids: np.ndarray, queries: np.ndarray, k: in
     told = spark.sparkContext.broadcast(cutoff)
 
     def collect(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        (qid, q, peak), t = sent.value, told.value
+        (qid, q, peak, raw_q), t = sent.value, told.value
         safe = t / len(cuts)
         lengths = [np.sqrt(np.einsum("ij,ij->i", q[:, s:e], q[:, s:e])) for s, e in cuts]
         kept = (np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64))
 
         def keep(col: np.ndarray, ids: np.ndarray, score: np.ndarray) -> None:
             nonlocal kept
-            kept = _best(*(np.concatenate([x, y]) for x, y in zip(kept, (col, ids, score), strict=True)), k)
+            kept = best(*(np.concatenate([x, y]) for x, y in zip(kept, (col, ids, score), strict=True)), k)
 
-        for ids, rows in _chunks(batches, dims):
+        for ids, rows, raw in _chunks(batches, dims):
             own = own_cells(ids, qid)
-            largest = np.abs(rows).max(1, initial=0.0)
-            with np.errstate(over="ignore"):
-                plain = largest[:, None] * peak[None, :] * dims < EXACT
+            plain = small(rows, peak)
             if not plain.all():
                 for i in np.flatnonzero(~plain.all(1)):
                     col = np.flatnonzero(~plain[i] & (qid != ids[i]))
-                    keep(col, np.full(len(col), ids[i]), _unbounded(rows[i], q[col]))
+                    keep(col, np.full(len(col), ids[i]), np.array(unbounded(raw[i], raw_q[col]), np.int64))
             else:
                 plain = None
             with np.errstate(over="ignore", invalid="ignore"):
@@ -198,8 +164,7 @@ def _block(vectors: DataFrame, query_ids: np.ndarray, queries: np.ndarray, k: in
 
 def top_k(vectors: DataFrame, is_query, k: int = 5, lists: int = LISTS) -> DataFrame:
     """(query_id, rank, vec_id, score) for rows of vectors(vec_id, embedding); is_query: condition on vec_id."""
-    sound = F.forall("embedding", lambda x: x.isNotNull() & (F.abs(x) < float("inf")) & ~F.isnan(x))
-    rows = vectors.select(F.col("vec_id").cast("bigint"), "embedding").filter(F.col("vec_id").isNotNull() & F.col("embedding").isNotNull() & sound)
+    rows = vectors.select(F.col("vec_id").cast("bigint"), "embedding").filter(F.col("vec_id").isNotNull() & sound())
     chosen = rows.filter(is_query).groupBy("vec_id").agg(F.min("embedding").alias("embedding")).orderBy("vec_id")
     parts: list[DataFrame] = []
     block: list = []
@@ -207,7 +172,7 @@ def top_k(vectors: DataFrame, is_query, k: int = 5, lists: int = LISTS) -> DataF
     def close() -> None:
         dims = max(len(r.embedding) for r in block)
         ids = np.array([r.vec_id for r in block], np.int64)
-        parts.append(_block(rows, ids, _whole(pa.array([r.embedding for r in block], pa.list_(pa.float64())), dims), k, lists))
+        parts.append(_block(rows, ids, padded(pa.array([r.embedding for r in block], pa.list_(pa.float64())), dims), k, lists))
         block.clear()
 
     for r in chosen.toLocalIterator():

@@ -272,8 +272,13 @@ def test_proximity_matches_brute_force_and_is_returned(spark, tmp_path):
     assert (told[206].n_near, told[206].n_items) == (1, 0)
 
 
+def units(x):
+    """floor(256 x), for doubles of any size."""
+    return 256 * int(x) if abs(x) > 2**60 else math.floor(256 * x)
+
+
 def plain_top_k(rows, is_query, k=5):
-    sound = [(i, [math.floor(256 * x) for x in v]) for i, v in rows if i is not None and v and all(x is not None and math.isfinite(x) for x in v)]
+    sound = [(i, [units(x) for x in v]) for i, v in rows if i is not None and v and all(x is not None and math.isfinite(x) for x in v)]
     queries = {}
     for i, v in sorted((i, v) for i, v in sound if is_query(i)):
         queries.setdefault(i, v)
@@ -305,6 +310,13 @@ def test_top_k_of_large_numbers_is_exact(spark, lists):
     assert sorted(map(tuple, got)) == plain_top_k(rows, lambda i: i % 10 == 0)
 
 
+def test_top_k_of_the_largest_doubles(spark):
+    rows = [(0, [1e308, 1.0]), (1, [-1.7e308, 2.0]), (2, [5e-324, -5e-324]), (3, [0.0, 0.0]), (10, [1.0, 0.5]), (11, [1.7e308, 1.7e308]), (12, [1e-300, 1e306])]
+    df = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>")
+    got = topk.top_k(df, F.col("vec_id") % 5 == 0).collect()
+    assert sorted(map(tuple, got)) == plain_top_k(rows, lambda i: i % 5 == 0)
+
+
 def test_top_k_resolves_few_entries(spark):
     r = np.random.default_rng(3)
     rows = [(i, v.tolist()) for i, v in enumerate(r.normal(size=(1500, 16)))]
