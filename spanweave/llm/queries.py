@@ -7,10 +7,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from spanweave.llm import bpe, contamination, extraction, language, licenses, negatives, pii, repeats, secrets, simhash, topk, toxicity
+from spanweave.llm import bpe, contamination, extraction, language, licenses, negatives, pii, repeats, resampling, secrets, simhash, topk, toxicity
 from spanweave.llm.common import crc_mod, table, words_of
 
 
+SQL_WORDS = "regexp_extract_all(translate({0}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
+
+
 def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     held_out = crc_mod(F.col("doc_id"), 3) == 1
@@ -117,8 +120,6 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-SQL_WORDS = "regexp_extract_all(translate({0}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
-
 OP10_SQL = f"""
 WITH d AS MATERIALIZED (SELECT row_number() OVER () AS row_no, doc_id, {SQL_WORDS.format("coalesce(text, '')")} AS w FROM documents),
 b AS (SELECT DISTINCT item_id, {SQL_WORDS.format("coalesce(text, '')")} AS w FROM benchmark WHERE item_id IS NOT NULL),
@@ -148,6 +149,29 @@ FROM d LEFT JOIN c USING (row_no) LEFT JOIN m USING (row_no) LEFT JOIN t USING (
 """
 
 
+def op11_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resampling.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+OP11_SQL = f"""
+WITH crc AS MATERIALIZED (SELECT list(v ORDER BY i) AS t FROM (SELECT i, list_reduce(list_prepend(i::BIGINT, range(8)), lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) AS v FROM range(256) r(i))),
+d AS MATERIALIZED (SELECT row_number() OVER () AS row_no, doc_id, {SQL_WORDS.format("coalesce(text, '')")} AS w FROM documents),
+u AS (SELECT row_no, unnest(w) AS word FROM d),
+v AS (SELECT unnest({SQL_WORDS.format("coalesce(text, '')")}) AS word FROM benchmark),
+k AS MATERIALIZED (SELECT word, xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(range(octet_length(encode(word))), lambda j: ('0x' || substr(hex(encode(word)), 2 * j + 1, 2))::BIGINT)),
+      lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1])), 4294967295) % {resampling.BUCKETS} AS bucket FROM (SELECT word FROM u UNION SELECT word FROM v), crc),
+s AS (SELECT bucket, count(*) AS n FROM u JOIN k USING (word) GROUP BY bucket),
+t AS (SELECT bucket, count(*) AS n FROM v JOIN k USING (word) GROUP BY bucket),
+g AS MATERIALIZED (SELECT bucket, floor(1000 * ln((coalesce(t.n, 0) + 1)::DOUBLE * (coalesce((SELECT sum(n) FROM s), 0) + {resampling.BUCKETS})::DOUBLE
+      / ((s.n + 1)::DOUBLE * (coalesce((SELECT sum(n) FROM t), 0) + {resampling.BUCKETS})::DOUBLE)))::BIGINT AS gain FROM s LEFT JOIN t USING (bucket)),
+m AS (SELECT row_no, floor(sum(gain) / count(*))::BIGINT AS weight FROM u JOIN k USING (word) JOIN g USING (bucket) GROUP BY row_no),
+h AS (SELECT row_no, floor(-1000 * ln(-ln((('0x' || substr(sha256('{resampling.SEED}:' || coalesce(doc_id::VARCHAR, '')), 1, 8))::BIGINT + 0.5)::DOUBLE / 4294967296)))::BIGINT AS drawn FROM d),
+f AS (SELECT row_no, doc_id, len(w)::BIGINT AS n_features, coalesce(weight, 0) AS weight, coalesce(weight, 0) + drawn AS score FROM d LEFT JOIN m USING (row_no) JOIN h USING (row_no)),
+r AS (SELECT *, row_number() OVER (PARTITION BY n_features >= {resampling.LEAST_WORDS} ORDER BY score DESC, doc_id) AS nth, count(*) FILTER (n_features >= {resampling.LEAST_WORDS}) OVER () AS n FROM f)
+SELECT doc_id, n_features, weight, score, CASE WHEN n_features >= {resampling.LEAST_WORDS} AND nth <= 10 * n // 100 THEN nth END AS rank FROM r
+"""
+
+
 def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = table(spark, sf_dir, "embeddings")
     label = F.when(F.col("vec_id") % 7 == 0, F.pmod(F.col("label") + 1, F.lit(10))).otherwise(F.col("label"))
@@ -184,10 +208,10 @@ SELECT doc_id, len(w)::BIGINT AS n_words, (len(w) - coalesce(n_kept, 0))::BIGINT
 
 def queries() -> dict:
     named = (
-        op1_toxicity, op2_simhash, op3_pii, op4_bpe, op5_topk, op6_language, op7_secrets, op8_licenses, op9_extraction, op10_decontamination, op12_hard_negatives, op13_repeats,
+        op1_toxicity, op2_simhash, op3_pii, op4_bpe, op5_topk, op6_language, op7_secrets, op8_licenses, op9_extraction, op10_decontamination, op11_resampling, op12_hard_negatives, op13_repeats,
     )
     return {f.__name__: f for f in named} | {"pipeline": corpus_pipeline.run}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op5_topk": OP5_SQL, "op8_licenses": _op8_sql(), "op10_decontamination": OP10_SQL, "op12_hard_negatives": OP12_SQL, "op13_repeats": OP13_SQL}
+    return {"op5_topk": OP5_SQL, "op8_licenses": _op8_sql(), "op10_decontamination": OP10_SQL, "op11_resampling": OP11_SQL, "op12_hard_negatives": OP12_SQL, "op13_repeats": OP13_SQL}
