@@ -2,7 +2,7 @@
 
 Validated values are permuted within their own format, so the result is valid again, equal values get
 equal pseudonyms in all documents, and nothing but the key is needed: e-mail addresses (letters stay
-letters, digits digits, the last label stays), IBANs (mod 97; country and length stay), card numbers
+letters of their script, digits digits, the last label stays), IBANs (mod 97; country and length stay), card numbers
 (Luhn and issuer digit), US social security numbers, telephone numbers (country code stays), IPv4
 addresses and calendar dates (a day from 1900 to 2099 becomes another). Separators stay as they are.
 A candidate that does not validate is tried with shorter ends (an IBAN first with the length of its
@@ -21,7 +21,9 @@ from __future__ import annotations
 import bisect
 import datetime
 import re
+import unicodedata
 from collections.abc import Callable, Iterator
+from functools import cache, lru_cache
 from hashlib import blake2b
 
 import pyarrow as pa
@@ -35,6 +37,7 @@ _FIRST_DAY = datetime.date(1900, 1, 1).toordinal()
 _DAYS = datetime.date(2100, 1, 1).toordinal() - _FIRST_DAY
 
 
+@lru_cache(10_000)
 def permute(value: int, n: int, key: bytes, tweak: str) -> int:
     """The place of value in a keyed permutation of range(n)."""
     half = max(1, (max(n - 1, 1).bit_length() + 1) // 2)
@@ -64,34 +67,62 @@ def _digits(text: str, new: str) -> str:
 
 _CLASSES = ("0123456789", "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ")
 _CLASS_OF = {c: k for k in _CLASSES for c in k}
+#: Characters that are permuted as one number; longer texts are permuted in such blocks, chained.
+BLOCK = 64
+
+
+@cache
+def _class_of(c: str) -> str:
+    """The characters that may stand for c: ASCII digits and letters, else letters of its kind in its part of Unicode, else itself."""
+    if c in _CLASS_OF:
+        return _CLASS_OF[c]
+    kind = unicodedata.category(c)
+    if c.isascii() or kind[0] not in "LN":
+        return c
+    first = ord(c) // 128 * 128
+    return "".join(x for x in map(chr, range(first, first + 128)) if unicodedata.category(x) == kind)
 
 
 def permute_text(text: str, key: bytes, tweak: str) -> str:
-    """Characters permuted together within their classes; others stay."""
-    value, n, shape = 0, 1, []
-    for c in text:
-        k = _CLASS_OF.get(c)
-        shape.append(k or c)
-        if k:
-            value, n = value * len(k) + k.index(c), n * len(k)
-    if n == 1:
+    """Characters permuted together within their classes; others stay.
+
+    Up to BLOCK characters are one number. Longer texts are permuted block by block, each under a digest of the new
+    block before it, and then once more from the end, so that every character depends on all others.
+    """
+    classes = [_class_of(c) for c in text]
+    at = [i for i, k in enumerate(classes) if len(k) > 1]
+    if not at:
         return text
-    value, out = permute(value, n, key, tweak + re.sub("[0-9]", "0", re.sub("[a-z]", "a", re.sub("[A-Z]", "A", text)))), []
-    for k in reversed(shape):
-        if len(k) == 1:
-            out.append(k)
-        else:
-            value, at = divmod(value, len(k))
-            out.append(k[at])
-    return "".join(reversed(out))
+    shape = tweak + "".join(k[0] for k in classes)
+    parts, out = [at[i : i + BLOCK] for i in range(0, len(at), BLOCK)], list(text)
+    if len(parts) == 1:
+        _permute_block(out, classes, at, key, shape)
+        return "".join(out)
+    told = blake2b(shape.encode(), key=key, digest_size=16).hexdigest()
+    for turn, order in enumerate((parts, parts[::-1])):
+        before = ""
+        for part in order:
+            _permute_block(out, classes, part, key, f"{told}{turn}{before}")
+            before = blake2b("".join(out[i] for i in part).encode(), key=key, digest_size=16).hexdigest()
+    return "".join(out)
+
+
+def _permute_block(out: list[str], classes: list[str], at: list[int], key: bytes, tweak: str) -> None:
+    """Permutes the characters of out at these places as one number."""
+    value, n = 0, 1
+    for i in at:
+        value, n = value * len(classes[i]) + classes[i].index(out[i]), n * len(classes[i])
+    value = permute(value, n, key, tweak)
+    for i in reversed(at):
+        value, k = divmod(value, len(classes[i]))
+        out[i] = classes[i][k]
+
+
+_DOUBLED = {str(d): 2 * d - 9 * (d > 4) for d in range(10)}
 
 
 def luhn(digits: str) -> bool:
-    total = 0
-    for i, c in enumerate(reversed(digits)):
-        d = int(c) << (i & 1)
-        total += d - 9 if d > 9 else d
-    return total % 10 == 0
+    return (sum(map(int, digits[::-2])) + sum(map(_DOUBLED.__getitem__, digits[-2::-2]))) % 10 == 0
 
 
 def _email(m: str, key: bytes) -> str:
@@ -100,26 +131,34 @@ def _email(m: str, key: bytes) -> str:
     return f"{permute_text(local, key, 'email')}@{permute_text(host, key, 'host')}.{last}"
 
 
+_VALUES = str.maketrans({c: str(int(c, 36)) for k in _CLASSES for c in k})
+
+
 def _iban_number(text: str) -> int:
-    return int("".join(str(int(c, 36)) for c in text))
+    return int(text.translate(_VALUES))
 
 
 def _iban(m: str, key: bytes) -> str | None:
-    flat = re.sub(r"\s", "", m)
+    flat = m.replace(" ", "")
     if not 15 <= len(flat) <= 34 or _iban_number(flat[4:] + flat[:4]) % 97 != 1:
         return None
+    if flat[0].islower() and len(flat) != IBAN_LENGTHS.get(flat[:2].upper()):
+        return None
     inner = permute_text(flat[4:], key, "iban" + flat[:2])
     new = iter(flat[:2] + f"{98 - _iban_number(inner + flat[:2] + '00') % 97:02d}" + inner)
     return re.sub(r"\S", lambda _: next(new), m)
 
 
+_SEPARATORS = str.maketrans("", "", " .-")
+
+
 def _issued(digits: str) -> bool:
     """Whether a card number begins as those of known issuers do."""
     return digits[0] in "456" or digits[:2] in ("30", "34", "35", "36", "37", "38") or 2221 <= int(digits[:4]) <= 2720
 
 
 def _card(m: str, key: bytes) -> str | None:
-    digits = re.sub("[^0-9]", "", m)
+    digits = m.translate(_SEPARATORS)
     if not 13 <= len(digits) <= 19 or not _issued(digits) or not luhn(digits):
         return None
     first, inner = digits[0], digits[1:-1]
@@ -137,7 +176,7 @@ def _ssn(m: str, key: bytes) -> str | None:
 
 
 def _phone(m: str, key: bytes) -> str | None:
-    code = re.match(r"\+\d{1,3}(?=[ .(-])", m)
+    code = re.match(r"(?:\+|00)\d{1,3}(?=[ .(-])", m)
     rest = m[code.end() :] if code else m
     digits = re.sub("[^0-9]", "", rest)
     if not 7 <= len(digits) <= 14:
@@ -185,17 +224,19 @@ IBAN_LENGTHS = {
 }
 
 
-#: Fixed formats, in the order of KINDS.
+#: Fixed formats, in the order of KINDS behind e-mail.
 FORMATS = (
-    (re.compile(r"(?<![\w.+-])[A-Za-z0-9][A-Za-z0-9._%+-]*@(?:[A-Za-z0-9-]+\.)+[A-Za-z]{2,}"), _email),
-    (re.compile(r"(?<!\w)[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,4})?(?!\w)", re.A), _iban),
-    (re.compile(r"(?<![\w.])[0-9](?:[ -]?[0-9]){12,18}(?!\w)"), _card),
+    (re.compile(r"(?<!\w)(?:[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,4})?|[a-z]{2}[0-9]{2}[a-z0-9]{11,30})(?!\w)", re.A), _iban),
+    (re.compile(r"(?<![\w.])[2-6](?:[ .-]?[0-9]){12,18}(?!\w)"), _card),
     (re.compile(r"(?<![\w-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![\w-])"), _ssn),
-    (re.compile(r"(?<![\w+])(?:\+[0-9]{1,3}[ .-]?)?(?:\([0-9]{2,4}\)[ .-]?|[0-9]{3}[ .-])[0-9]{3}[ .-][0-9]{4}(?!\w)|(?<![\w+])\+[0-9]{1,3}(?:[ .-]?[0-9]{2,4}){2,5}(?!\w)"), _phone),
+    (re.compile(r"(?<![\w+])(?:\+[0-9]{1,3}[ .-]?)?(?:\([0-9]{2,4}\)[ .-]?|[0-9]{3}[ .-])[0-9]{3}[ .-][0-9]{4}(?!\w)|(?<![\w+])(?:\+[0-9]{1,3}|00[1-9][0-9]{0,2}[ .-])(?:[ .-]?[0-9]{2,4}){2,5}(?!\w)"), _phone),
     (re.compile(r"(?<![\w.])[0-9]{1,3}(?:\.[0-9]{1,3}){3}(?![\w]|\.[0-9])"), _ip),
     (re.compile(r"(?<![\w/.-])(?:[0-9]{4}-[0-9]{1,2}-[0-9]{1,2}|[0-9]{4}/[0-9]{1,2}/[0-9]{1,2}|[0-9]{1,2}([/.-])[0-9]{1,2}\1[0-9]{4})(?!(?![Tt][0-9])[\w/-]|\.[0-9])"), _date),
 )
 _ANY = re.compile("[0-9@]")
+#: What an address may hold before its @, and the host behind it.
+_NOT_LOCAL = re.compile(r"[^\w.%+'-]")
+_HOST = re.compile(r"(?:[\w-]++\.)+[^\W\d_]{2,}")
 #: Kinds with ends to choose from, and the least length of a value.
 _LEAST = {"iban": 15, "card": 13, "phone": 8}
 _WORD = re.compile(r"\w")
@@ -214,12 +255,34 @@ def _ends(kind: str, m: re.Match) -> Iterator[int]:
     yield from ends
 
 
+def _addresses(text: str) -> Iterator[tuple[int, int]]:
+    """E-mail addresses, looked for from each @ outward: no character is looked at twice."""
+    end, at = 0, text.find("@")
+    while at >= 0:
+        s = at
+        while s > end:
+            begin = max(end, s - BLOCK)
+            last = None
+            for last in _NOT_LOCAL.finditer(text, begin, s):
+                pass
+            s = last.end() if last else begin
+            if last:
+                break
+        s += len(text[s:at]) - len(text[s:at].lstrip("._%+'-"))
+        if s < at and (host := _HOST.match(text, at + 1)):
+            yield s, host.end()
+            end = host.end()
+        else:
+            end = at + 1
+        at = text.find("@", end)
+
+
 def pseudonymise(text: str, key: bytes) -> tuple[str, list[tuple[str, int, int]]]:
     """The text with pseudonyms, and the finds (kind, start, end) in it as it was."""
     if not _ANY.search(text):
         return text, []
-    taken: list[tuple[int, int, str, str]] = []
-    for kind, (find, new) in zip(KINDS, FORMATS, strict=True):
+    taken = [(s, e, _email(text[s:e], key), "email") for s, e in _addresses(text)]
+    for kind, (find, new) in zip(KINDS[1:], FORMATS, strict=True):
         at = 0
         while m := find.search(text, at):
             s, at = m.start(), m.start() + 1
