@@ -5,13 +5,14 @@ records: (record_id, text, source, split, ...); spans: (record_id, start, end, t
 
 from __future__ import annotations
 
+import math
 from functools import reduce
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from spanweave.functions.hashing import hash32
+from spanweave.functions.plan import barrier
 from spanweave.functions.text import clean, token_set
 from spanweave.operators.evaluate import bucket_of, ratio
 
@@ -25,6 +26,10 @@ CUES = (
     "excludes", "excluding", "free of", "absent of", "missing", "omitted", "unauthorized", "forbidden", "prohibited",
 )
 
+#: Hash buckets of token_order, and rows of a token from which on a similarity join deals them over a grid.
+ORDER_BUCKETS = 1 << 16
+CELL_ROWS = 20_000
+
 
 def length_class(n: Column) -> Column:
     out = F.when(n <= LENGTHS[0][1], LENGTHS[0][0])
@@ -215,38 +220,63 @@ def group_split(records: DataFrame, group: str, seed: str) -> DataFrame:
     return records.select("record_id", F.when(hash32(seed, F.col(group)) % 2 == 0, "dev").otherwise("test").alias("side"))
 
 
+def token_order(texts: DataFrame) -> bytes:
+    """How frequent tokens are: for each of ORDER_BUCKETS hash buckets a byte that grows with its words in texts(text).
+
+    Prefix filters hold for any order that all sets share; this one puts rare tokens first. The table has a fixed
+    size whatever the vocabulary, so it travels with the plan and no token is joined with its count.
+    """
+    words = texts.select(F.explode(F.split(F.lower("text"), r"\s+")).alias("w"))
+    told = words.groupBy(F.pmod(F.xxhash64("w"), F.lit(ORDER_BUCKETS)).alias("b")).agg(F.count("*").alias("n")).collect()  # ORDER_BUCKETS rows at most
+    table = bytearray(ORDER_BUCKETS)
+    for r in told:
+        table[r.b] = min(255, int(8 * math.log2(r.n + 1)))
+    return bytes(table)
+
+
+def _token_sets(df: DataFrame) -> DataFrame:
+    """(set_id, tokens) of the distinct token sets, in partitions of set_id."""
+    made = barrier(df.select(token_set(F.col("text")).alias("tokens"))).filter(F.size("tokens") > 0)
+    return made.select(F.md5(F.array_join("tokens", " ")).alias("set_id"), "tokens").repartition("set_id").dropDuplicates(["set_id"])
+
+
+def _prefixes(sets: DataFrame, order: bytes, least: float, side: str) -> DataFrame:
+    """(set_id, n, h, place, cells): the hashes of the rarest tokens, of which similar sets share one, and the grid of each."""
+    at = lambda t: F.pmod(F.xxhash64(t), F.lit(ORDER_BUCKETS)).cast("int") + 1
+    ranked = F.array_sort(F.transform("tokens", lambda t: F.struct(F.substring(F.lit(order), at(t), F.lit(1)).alias("f"), F.xxhash64(t).alias("h"))))
+    n = F.size("tokens")
+    cut = (n - F.ceil(n * least - 1e-9) + 1).cast("int")
+    rows = sets.select("set_id", n.alias("n"), F.posexplode(F.slice(ranked, F.lit(1), cut)).alias("place", "x"))
+    often = F.pow(F.lit(2.0), F.conv(F.hex("x.f"), 16, 10).cast("int") / 8)
+    cells = F.greatest(F.lit(1), F.ceil(often / CELL_ROWS)).cast("int")
+    rows = rows.select("set_id", "n", "place", F.col("x.h").alias("h"), cells.alias("cells"), F.xxhash64("set_id", F.lit("cell")).alias("own"))
+    own, other = ("i", "j") if side == "l" else ("j", "i")
+    every = F.explode(F.sequence(F.lit(0), F.col("cells") - 1)).alias(other)
+    return rows.select("h", F.pmod("own", "cells").cast("int").alias(own), every, *(F.col(c).alias(f"{side}_{c}") for c in ("set_id", "n", "place")))
+
+
 def token_jaccard_pairs(left: DataFrame, right: DataFrame, least: float = 0.9) -> DataFrame:
     """(left_set, right_set, jaccard) of the distinct token sets of two corpora (record_id, text) at or over a similarity.
 
     Records enter by their token set (md5 of it), so copies are one; token_set_members says which records
-    share a set. Prefix filter: tokens are ordered by rarity over both sides, and sets that reach the
-    similarity share one of the first n - ceil(least * n) + 1; only those are joined, with a length filter.
-    Tokens of over a thousandth of all rows get their counts by broadcast (there are fewer than a thousand).
+    share a set. Prefix filter: within a row, tokens are put in token_order's order, and sets that reach the
+    similarity share one of the first n - ceil(least * n) + 1; only those are joined, by the token's hash, with filters
+    of length and place, and then compared token by token. The rows of a frequent token are dealt over a grid of
+    cells: a left row goes to the cells of its row, a right one to those of its column, so that each pair meets once
+    and no task takes the token alone.
     """
-
-    def sets(df: DataFrame, side: str) -> DataFrame:
-        return df.select(token_set(F.col("text")).alias("tokens")).filter(F.size("tokens") > 0).distinct().select(F.md5(F.array_join("tokens", " ")).alias("set_id"), "tokens", F.lit(side).alias("side"))
-
-    every = sets(left, "l").unionByName(sets(right, "r"))
-    rows = every.select("side", "set_id", F.size("tokens").alias("n"), F.explode("tokens").alias("token"))
-    often = rows.groupBy("token").agg(F.count("*").alias("df")).persist(StorageLevel.MEMORY_AND_DISK)  # read to find the hot ones, and in the join
-    total = F.broadcast(often.agg(F.sum("df").alias("total")))  # one row
-    hot = often.join(total, F.col("df") * 1000 > F.col("total")).select("token", "df").collect()  # fewer than a thousand
-    known = F.broadcast(left.sparkSession.createDataFrame(hot, "token string, hot_df long"))
-    spread = F.concat(F.lit("\0"), F.pmod(F.xxhash64("set_id"), F.lit(1024)).cast("string"))  # meets no token, and is no hot key
-    placed = rows.join(known, "token", "left").withColumn("by", F.when(F.col("hot_df").isNull(), F.col("token")).otherwise(spread))
-    counted = placed.join(often.select(F.col("token").alias("by"), "df"), "by", "left").withColumn("df", F.coalesce("hot_df", "df"))
-    ordered = counted.groupBy("side", "set_id", "n").agg(F.array_sort(F.collect_list(F.struct("df", "token"))).alias("t"))
-    cut = (F.col("n") - F.ceil(F.col("n") * least - 1e-9) + 1).cast("int")
-    prefix = ordered.select("side", "set_id", "n", F.explode(F.slice("t", F.lit(1), cut)).alias("x")).select("side", "set_id", "n", F.col("x.token").alias("token"))
-    a = prefix.filter("side = 'l'").select(F.col("set_id").alias("left_set"), F.col("n").alias("ln"), "token")
-    b = prefix.filter("side = 'r'").select(F.col("set_id").alias("right_set"), F.col("n").alias("rn"), "token")
-    near = a.join(b, "token").filter((F.col("ln") >= F.col("rn") * least - 1e-9) & (F.col("rn") >= F.col("ln") * least - 1e-9)).select("left_set", "right_set").distinct()
-    tl = every.filter("side = 'l'").select(F.col("set_id").alias("left_set"), F.col("tokens").alias("lt"))
-    tr = every.filter("side = 'r'").select(F.col("set_id").alias("right_set"), F.col("tokens").alias("rt"))
-    common = F.size(F.array_intersect("lt", "rt"))
-    j = common / (F.size("lt") + F.size("rt") - common)
-    return near.join(tl, "left_set").join(tr, "right_set").withColumn("jaccard", j).filter(F.col("jaccard") >= least - 1e-12).select("left_set", "right_set", F.round("jaccard", 6).alias("jaccard"))
+    order = token_order(left.select("text").unionByName(right.select("text")))
+    tl, tr = _token_sets(left), _token_sets(right)
+    ln, rn, lp, rp = (F.col(c) for c in ("l_n", "r_n", "l_place", "r_place"))
+    # common tokens: at most those before either place, this one, and those behind both
+    most = F.least(lp, rp) + 1 + F.least(ln - lp - 1, rn - rp - 1)
+    fits = (ln >= rn * least - 1e-9) & (rn >= ln * least - 1e-9) & (most >= least * (ln + rn - most) - 1e-9)
+    met = _prefixes(tl, order, least, "l").join(_prefixes(tr, order, least, "r"), ["h", "i", "j"]).filter(fits)
+    near = met.select(F.col("l_set_id").alias("left_set"), F.col("r_set_id").alias("right_set")).repartition("left_set").dropDuplicates()
+    whole = near.join(tl.select(F.col("set_id").alias("left_set"), F.col("tokens").alias("lt")), "left_set").join(tr.select(F.col("set_id").alias("right_set"), F.col("tokens").alias("rt")), "right_set")
+    compared = whole.select("left_set", "right_set", F.size(F.array_intersect("lt", "rt")).alias("common"), (F.size("lt") + F.size("rt")).alias("both"))
+    j = F.col("common") / (F.col("both") - F.col("common"))
+    return compared.filter(j >= least - 1e-12).select("left_set", "right_set", F.round(j, 6).alias("jaccard"))
 
 
 def token_set_members(records: DataFrame) -> DataFrame:

@@ -307,6 +307,31 @@ def test_near_duplicates_match_all_pairs(spark):
     assert got == want
 
 
+def test_jaccard_join_of_hot_tokens_alone(spark, monkeypatch):
+    """Twelve tokens in all, each in half of the sets: every prefix is of tokens that are dealt over a grid."""
+    monkeypatch.setattr(coverage, "CELL_ROWS", 20)
+    rng = random.Random(3)
+    words = [f"w{k}" for k in range(12)]
+    sets = [frozenset(rng.sample(words, rng.randint(5, 12))) for _ in range(300)]
+    df = spark.createDataFrame([(k, " ".join(rng.sample(sorted(s), len(s)))) for k, s in enumerate(sets)], "record_id long, text string")
+    order = coverage.token_order(df)
+    assert max(2 ** (b / 8) for b in order) / 20 > 4 and len(order) == coverage.ORDER_BUCKETS
+    named = {r.set_id: sets[r.record_id] for r in coverage.token_set_members(df).collect()}
+    for least in (0.5, 0.8):
+        got = coverage.token_jaccard_pairs(df.filter("record_id < 200"), df.filter("record_id >= 100"), least).collect()
+        pairs = {(named[r.left_set], named[r.right_set]) for r in got}
+        assert len(pairs) == len(got)
+        assert pairs == {(a, b) for a in sets[:200] for b in sets[100:] if len(a & b) / len(a | b) >= least}
+        assert all(r.jaccard == round(len(named[r.left_set] & named[r.right_set]) / len(named[r.left_set] | named[r.right_set]), 6) for r in got)
+
+
+def test_jaccard_join_deals_its_rows_once(spark):
+    df = spark.createDataFrame([(1, "a b c"), (2, "a b d"), (3, None), (4, "")], "record_id long, text string")
+    plan = coverage.token_jaccard_pairs(df, df)._jdf.queryExecution()
+    assert plan.executedPlan().toString().count("Exchange hashpartitioning(set_id") <= 4  # of two sides, each read again
+    assert "Window" not in plan.toString() and "collect_list" not in plan.toString()
+
+
 def test_kappa_of_known_matrix(spark):
     a = spark.createDataFrame([(1, i, int(i < 25)) for i in range(50)], "record_id int, tok_idx int, label_id int")
     b = spark.createDataFrame([(1, i, int(i < 20 or i >= 40)) for i in range(50)], "record_id int, tok_idx int, label_id int")
