@@ -2,16 +2,17 @@
 
 from __future__ import annotations
 
-import atexit
 import ctypes
-import tempfile
-import uuid
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from spanweave.functions.plan import join_hot as join_hot
+from spanweave.functions.stored import discard as discard
+from spanweave.functions.stored import hold as hold
+from spanweave.functions.stored import materialize as materialize
+from spanweave.functions.stored import shared_dir as shared_dir
 
 #: Lower-cases A-Z and turns every ASCII character that is not a letter or digit into a space,
 #: so that split() on the result gives the words [^\x00-\x2F\x3A-\x60\x7B-\x7F]+.
@@ -24,8 +25,6 @@ try:
 except OSError:  # not glibc
     _libc = None
 
-_written: dict[str, SparkSession] = {}
-
 
 def words_of(text: bytes) -> list[bytes]:
     """Lower-cased ASCII-folded words of UTF-8 bytes; bytes of 0x80 and above are word characters."""
@@ -39,60 +38,6 @@ def release() -> None:
         _libc.malloc_trim(0)
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share, from spark.checkpoint.dir.
-
-    Where it is unset (tests on one machine) a temporary folder is made and set; on anything but a
-    local master that would lose data, so it is an error there.
-    """
-    found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if not found:
-        if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
-            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        found = "file://" + tempfile.mkdtemp(prefix="spanweave-")
-        spark.sparkContext.setCheckpointDir(found)
-    return found.rstrip("/")
-
-
-def materialize(df: DataFrame, label: str) -> DataFrame:
-    """Write df to the shared folder and read it back: cuts lineage and survives lost executors.
-
-    The files live until discard() or the end of the Python process.
-    """
-    spark = df.sparkSession
-    path = f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
-    hold(spark, path)
-    df.write.option("compression", "zstd").parquet(path)
-    back = spark.read.schema(df.schema).parquet(path)
-    back.stored_at = path
-    return back
-
-
-def hold(spark: SparkSession, path: str) -> None:
-    """Delete a folder when the Python process ends, if discard() has not done so before."""
-    if not _written:
-        atexit.register(_clean)
-    _written[path] = spark
-
-
-def discard(*what: DataFrame | str) -> None:
-    """Delete folders, or the files of materialized frames, that nothing will read again."""
-    for x in what:
-        path = x if isinstance(x, str) else x.stored_at
-        spark = _written.pop(path, None)
-        if spark:
-            folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-            folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
-
-
-def _clean() -> None:
-    for path in list(_written):
-        try:
-            discard(path)
-        except Exception:  # the session has ended; its owner clears the checkpoint folder
-            return
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

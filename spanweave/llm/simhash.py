@@ -32,6 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from spanweave.llm.common import discard, fresh, join_hot, materialize, release
+from spanweave.operators.components import roots
 
 SHINGLE = 4
 RADIUS = 4
@@ -216,41 +217,10 @@ def links(nodes: DataFrame, n: int, radius: int = RADIUS) -> DataFrame:
     return dealt.groupBy("bucket", "part").applyInArrow(meet, "u bigint, v bigint").distinct()
 
 
-def _star(edges: DataFrame, large: bool) -> DataFrame:
-    """One large-star (over all neighbours) or small-star (over smaller ones) step on (u, v), v < u."""
-    if large:
-        edges = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-    found = materialize(edges.groupBy("u").agg(F.min("v").alias("low"), F.count("*").alias("n")), "low")
-    low = found.select("u", F.least("u", "low").alias("m"), "n")
-    told = join_hot(edges, low.select("u", "m"), "u", low.select("u", "n"))
-    if large:
-        out = told.filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-    else:
-        out = told.select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(low.select("u", F.col("m").alias("v")))
-    made = materialize(out.filter("u <> v").distinct(), "stars")
-    discard(found)
-    return made
-
-
-def roots(edges: DataFrame) -> DataFrame:
-    """(fp, root) for every linked fingerprint that is not itself the root of its component."""
-    edges = materialize(edges, "links")
-    mark = None
-    while True:
-        now = edges.agg(F.count("*"), F.coalesce(F.bit_xor(F.xxhash64("u", "v")), F.lit(0))).first()
-        if now == mark or not now[0]:
-            return edges.select(F.col("u").alias("fp"), F.col("v").alias("root"))
-        mark = now
-        half = _star(edges, large=True)
-        whole = _star(half, large=False)
-        discard(edges, half)
-        edges = whole
-
-
 def components(fps: DataFrame, radius: int = RADIUS) -> tuple[DataFrame, DataFrame]:
     """From rows (doc_id, fp): nodes(fp, n) and the map (fp, root, component_id) of linked or single fingerprints."""
     nodes = materialize(fps.groupBy("fp").agg(F.min("doc_id").alias("first_id"), F.count("*").alias("n")), "nodes")
-    tree = roots(links(nodes.select("fp"), nodes.count(), radius))
+    tree = roots(links(nodes.select("fp"), nodes.count(), radius)).withColumnRenamed("u", "fp")
     told = nodes.join(tree, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
     told = materialize(told, "rooted")
     least = told.groupBy("root").agg(F.min("first_id").alias("component_id"), F.count("*").alias("n"))
