@@ -305,6 +305,56 @@ def kappa_of_pairs(pairs: DataFrame) -> DataFrame:
     return sums.select(F.col("n").alias("tokens"), F.round(po, 9).alias("agreement"), F.round(F.when(pe < 1, (po - pe) / (1 - pe)).otherwise(1.0), 9).alias("kappa"))
 
 
+def agreement_panel(votes: DataFrame, units: tuple[str, ...] = ("record_id", "tok_idx")) -> DataFrame:
+    """Agreement of any number of annotators of votes(units, annotator, label_id), some of which may be missing.
+
+    (annotator_a, annotator_b, units, agreement, coefficient): for each pair that shares units the plain agreement and
+    Cohen's kappa, and in the row ('all', 'all') the units of two votes or more, the observed agreement and
+    Krippendorff's alpha for nominal labels. All of them come from one table of coincidences: how often a pair of
+    annotators gave a pair of labels in units of so many votes, which has as many rows as there are such cells.
+    A null label is a missing vote; of an annotator's several votes on a unit the smallest label counts. With one label in
+    all there is nothing to tell chance from, and the coefficient is 1.
+    """
+    given = votes.filter(F.col("label_id").isNotNull()).groupBy(*units, "annotator").agg(F.min("label_id").alias("label"))
+    unit = given.groupBy(*units).agg(F.array_sort(F.collect_list(F.struct("annotator", "label"))).alias("v"))  # as many as there are annotators
+    return _panel(unit.select("v"))
+
+
+def panel_of_arrays(units: DataFrame) -> DataFrame:
+    """agreement_panel of rows v: array<struct<annotator, label>>, one row a unit, without missing votes."""
+    return _panel(units.select(F.array_sort("v").alias("v")))
+
+
+def _panel(units: DataFrame) -> DataFrame:
+    later = lambda x, k: F.transform(F.slice("v", k + 2, F.size("v")), lambda y: F.struct(x["annotator"].alias("a"), y["annotator"].alias("b"), x["label"].alias("la"), y["label"].alias("lb")))
+    pairs = units.filter(F.size("v") > 1).select(F.size("v").alias("m"), F.explode(F.flatten(F.transform("v", later))).alias("p"))
+    cells = pairs.groupBy("p.a", "p.b", "p.la", "p.lb", "m").agg(F.count("*").alias("n"))
+    # the coincidences are read by every pair and by alpha: a row for each pair, its two labels, and both orders
+    sides = F.explode(F.array(F.struct(F.lit(0).alias("side"), F.col("la").alias("label"), F.col("lb").alias("other")), F.struct(F.lit(1).alias("side"), F.col("lb").alias("label"), F.col("la").alias("other"))))
+    scope = F.explode(F.array(F.struct("a", "b"), F.struct(F.lit("all").alias("a"), F.lit("all").alias("b"))))
+    # alpha weighs a unit of m votes by 1 / (m - 1); whole numbers are added up for each m, so sums do not depend on their order
+    rows = cells.withColumn("s", scope).select("s.a", "s.b", "m", "n", "la", "lb").withColumn("x", sides)
+    rows = rows.withColumn("w", F.when(F.col("a") == "all", F.col("n") / (F.col("m") - 1)).otherwise(F.col("n").cast("double")))
+    whole = F.when(F.col("a") == "all", F.col("n") / (F.col("m") * (F.col("m") - 1)) * 2).otherwise(F.col("n").cast("double"))  # units, over their pairs
+    by_label = rows.groupBy("a", "b", "x.label").agg(
+        F.sum(F.when(F.col("x.side") == 0, F.col("w")).otherwise(0.0)).alias("ra"),
+        F.sum(F.when(F.col("x.side") == 1, F.col("w")).otherwise(0.0)).alias("rb"),
+        F.sum(F.when((F.col("x.side") == 0) & (F.col("x.label") == F.col("x.other")), F.col("w")).otherwise(0.0)).alias("same"),
+        F.sum(F.when(F.col("x.side") == 0, whole).otherwise(0.0)).alias("units"),
+    )
+    n, both = F.col("n"), F.col("ra") + F.col("rb")
+    sums = by_label.groupBy("a", "b").agg(
+        F.sum("units").alias("units"), F.sum("ra").alias("n"), F.sum("same").alias("same"), F.sum(F.col("ra") * F.col("rb")).alias("kappa_chance"), F.sum(both * both).alias("squares")
+    )
+    agreed = F.col("same") / n
+    kappa_chance = F.col("kappa_chance") / (n * n)
+    # values that can be paired: 2 n; chance agreement without putting a value back
+    alpha_chance = (F.col("squares") - 2 * n) / (2 * n * (2 * n - 1))
+    chance = F.when(F.col("a") == "all", alpha_chance).otherwise(kappa_chance)
+    coefficient = F.when(chance < 1 - 1e-15, (agreed - chance) / (1 - chance)).otherwise(1.0)
+    return sums.select(F.col("a").alias("annotator_a"), F.col("b").alias("annotator_b"), F.round("units").cast("bigint").alias("units"), F.round(agreed, 9).alias("agreement"), F.round(coefficient, 9).alias("coefficient"))
+
+
 def kl_drift(dated: DataFrame, base: DataFrame, alarm: float = 0.05) -> DataFrame:
     """(month, kl, alarm): KL divergence of each month's tokens (month, token) from base tokens (token), add-one smoothed.
 

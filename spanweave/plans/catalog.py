@@ -9,8 +9,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from spanweave.functions.hashing import bucket
+from spanweave.functions.stored import new_path
 from spanweave.functions.text import char_map, clean, has_text
-from spanweave.operators import coverage, evaluate, infer, noise, records, relocate, templates
+from spanweave.operators import coverage, evaluate, infer, manifest, noise, records, relocate, templates
 from spanweave.operators.assemble import assemble as build
 from spanweave.operators.clean import clean_records, project_to_clean, project_to_original, with_char_map
 from spanweave.operators.tokens import bio_decode, bio_encode, gated_label, whitespace_tokens
@@ -421,6 +422,12 @@ def iaa_kappa(spark, d):
     return coverage.kappa_of_pairs(both)
 
 
+@query
+def iaa_panel(spark, d):
+    """Four annotators with missing votes: kappa of every pair, and alpha."""
+    return coverage.panel_of_arrays(derive.panel(spark, d))
+
+
 @query
 def iaa_span_f1(spark, d):
     labels = derive.labels(spark, d)
@@ -448,6 +455,20 @@ def manifest_drift(spark, d):
     return coverage.manifest_drift(r, old).select("split", "drifted")
 
 
+@query
+def manifest_changes(spark, d):
+    """What has changed since an earlier state of the records, by two stored trees."""
+    now, before = derive.records(spark, d).select("record_id", "split", "text"), derive.earlier(spark, d)
+    trees = [manifest.write(r, new_path(spark, "manifest")) for r in (before, now)]
+    return manifest.changes(*trees)
+
+
+@query
+def manifest_tree(spark, d):
+    r = derive.records(spark, d)
+    return manifest.nodes_of(manifest.leaves_of(r)).select("split", "level", "node", "sha", "leaves")
+
+
 @query
 def edge_cases(spark, d):
     """The edge-case suite through cleaning, encoding, decoding and back to the places of the given text."""

@@ -83,6 +83,13 @@ def leaked(spark: SparkSession, sf_dir: str) -> DataFrame:
     return records(spark, sf_dir).select("record_id", "text").unionByName(items)
 
 
+def earlier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The records as they were: some not there yet, some with another text, some that are gone now."""
+    r = records(spark, sf_dir).select("record_id", "split", "text", bucket(10, "state", F.col("record_id")).alias("b"))
+    old = r.filter("b <> 0").withColumn("text", F.when(F.col("b") == 1, F.concat("text", F.lit(" then"))).otherwise(F.col("text")))
+    return old.unionByName(r.filter("b = 2").withColumn("record_id", F.col("record_id") + 1_000_000_000)).drop("b")
+
+
 def overlapping(spark: SparkSession, sf_dir: str) -> DataFrame:
     """gold and, for every fifth span, an ORG that begins one character later and reaches six further."""
     g = gold(spark, sf_dir).drop("text")
@@ -107,6 +114,16 @@ def annotator(label_id: Column, who: str) -> Column:
     return F.when(bucket(30, who, F.col("record_id"), F.col("tok_idx")) == 0, 0).otherwise(label_id)
 
 
+#: Annotators of a panel, each of whom leaves every seventh token out.
+PANEL = ("A", "B", "C", "D")
+
+
+def panel(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(v): the votes of PANEL on each token, missing ones left out."""
+    vote = lambda who: F.when(bucket(7, F.lit("miss"), F.lit(who), F.col("record_id"), F.col("tok_idx")) != 0, F.struct(F.lit(who).alias("annotator"), annotator(F.col("label_id"), who).alias("label")))
+    return labels(spark, sf_dir).select(F.filter(F.array(*map(vote, PANEL)), lambda x: x.isNotNull()).alias("v"))
+
+
 def broken_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Labels where some B became I, some tokens are ignored, and some ids are unknown."""
     b = bucket(12, "break", F.col("record_id"), F.col("tok_idx"))

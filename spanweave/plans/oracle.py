@@ -7,7 +7,7 @@ import re
 from spanweave.functions.text import PUNCTUATION, ZERO_WIDTH
 from spanweave.operators.coverage import CUES, LEAST_SUPPORT
 from spanweave.operators.templates import SLOT
-from spanweave.plans.derive import DECLARED, DECOYS, KINDS, ODD_TEMPLATES, SEED, SOURCE_TARGETS, SWITCHES, TEMPLATES
+from spanweave.plans.derive import DECLARED, DECOYS, KINDS, ODD_TEMPLATES, PANEL, SEED, SOURCE_TARGETS, SWITCHES, TEMPLATES
 from spanweave.schema import BUCKETS, ENTITY_TYPES, LABELS
 from spanweave.sources.records import EDGE_CASES
 
@@ -370,6 +370,29 @@ told AS ({told})
 SELECT name, arg_max(cand, (objective, -cand)) AS cand, max(objective) AS objective FROM told GROUP BY name"""
 
 
+def _tree() -> str:
+    """Cells digest the sums of their leaves' digests, the nodes above the nodes below them."""
+    lanes = " || ' ' || ".join(f"sum(('0x' || substr(own, {15 * k + 1}, 15))::BIGINT)::VARCHAR" for k in range(4))
+    up = lambda name, below, k: f"""{name} AS (SELECT split, {k} AS level, node[1:{k}] AS node, sha256(string_agg(node || ' ' || sha, chr(10) ORDER BY node)) AS sha, sum(leaves)::BIGINT AS leaves FROM {below} GROUP BY split, node[1:{k}])"""
+    return f"""WITH {RECORDS}, l AS (SELECT split, md5(record_id::VARCHAR)[1:2] AS node, sha256(record_id::VARCHAR || ' ' || sha256(text)) AS own FROM records),
+  n2 AS (SELECT split, 2 AS level, node, sha256({lanes}) AS sha, count(*) AS leaves FROM l GROUP BY split, node), {up("n1", "n2", 1)},
+  n0 AS (SELECT split, 0 AS level, '' AS node, sha256(string_agg(node || ' ' || sha, chr(10) ORDER BY node)) AS sha, sum(leaves)::BIGINT AS leaves FROM n1 GROUP BY split)
+  SELECT * FROM n2 UNION ALL SELECT * FROM n1 UNION ALL SELECT * FROM n0"""
+
+
+def _panel() -> str:
+    """Kappa from each pair's tokens, alpha by its textbook form: 1 - (n - 1) disagreeing coincidences / disagreeing pairs by chance."""
+    votes = " UNION ALL ".join(f"SELECT record_id, tok_idx, '{w}' AS who, CASE WHEN {h(f"'{w}'", 'record_id', 'tok_idx')} % 30 = 0 THEN 0 ELSE label_id END AS label FROM lab WHERE {h("'miss'", f"'{w}'", 'record_id', 'tok_idx')} % 7 <> 0" for w in PANEL)
+    return f"""WITH {LABELLED}, v AS MATERIALIZED ({votes}), p AS MATERIALIZED (SELECT a.who AS a, b.who AS b, a.label AS la, b.label AS lb, count(*) AS n FROM v a JOIN v b ON a.record_id = b.record_id AND a.tok_idx = b.tok_idx AND a.who < b.who GROUP BY ALL),
+  po AS (SELECT a, b, sum(n) AS n, sum(n) FILTER (WHERE la = lb) / sum(n)::DOUBLE AS po FROM p GROUP BY a, b),
+  pe AS (SELECT a, b, sum(x.n::DOUBLE * y.n) AS s FROM (SELECT a, b, la AS label, sum(n) AS n FROM p GROUP BY ALL) x JOIN (SELECT a, b, lb AS label, sum(n) AS n FROM p GROUP BY ALL) y USING (a, b, label) GROUP BY a, b),
+  c AS MATERIALIZED (SELECT record_id, tok_idx, label, count(*) AS k FROM v GROUP BY ALL), u AS MATERIALIZED (SELECT record_id, tok_idx, sum(k) AS m, sum(k * k) AS same FROM c GROUP BY ALL HAVING sum(k) > 1),
+  t AS (SELECT label, sum(k) AS n FROM c JOIN u USING (record_id, tok_idx) GROUP BY label), w AS (SELECT sum(n)::DOUBLE AS n, sum(n::DOUBLE * n) AS squares FROM t),
+  s AS (SELECT count(*) AS units, sum((m * m - same)::DOUBLE / (m - 1)) AS apart FROM u)
+  SELECT a AS annotator_a, b AS annotator_b, n::BIGINT AS units, round(po, 9) AS agreement, round((po - s / (n::DOUBLE * n)) / (1 - s / (n::DOUBLE * n)), 9) AS coefficient FROM po JOIN pe USING (a, b)
+  UNION ALL SELECT 'all', 'all', units, round(1 - apart / n, 9), round(1 - (n - 1) * apart / (n * n - squares), 9) FROM s, w"""
+
+
 def texts() -> dict[str, str]:
     drop = f"NOT (c IN {tuple(PUNCTUATION)!r} AND NOT held AND {u(SEED, 'record_id', chr(39) + 'punct' + chr(39), 'i')} < 0.5)"
     typo = f"CASE WHEN regexp_matches(c, '\\p{{L}}') AND NOT held AND {u(SEED, 'record_id', chr(39) + 'typo' + chr(39), 'i')} < 0.02 THEN substr('abcdefghijklmnopqrstuvwxyz', ({h(SEED, 'record_id', chr(39) + 'letter' + chr(39), 'i')} % 26 + 1)::INT, 1) ELSE c END"
@@ -441,7 +464,13 @@ def texts() -> dict[str, str]:
         "cue_counts": f"""WITH {TOKENS}, w AS (SELECT record_id, tok_idx, lower(regexp_replace(token, '[^A-Za-z]+$', '')) AS w FROM tok), n AS (SELECT {", ".join(f"count(*) FILTER (WHERE {test}) AS c{k}" for k, test in enumerate(_cue_tests(lagged=True)))}
   FROM (SELECT w, lag(w, 1) OVER o AS w1, lag(w, 2) OVER o AS w2 FROM w WINDOW o AS (PARTITION BY record_id ORDER BY tok_idx)))
   {" UNION ALL ".join(f"SELECT {sql(c)} AS cue, c{k} AS n FROM n" for k, c in enumerate(CUES))}""",
-        "manifest_drift": "SELECT * FROM (VALUES ('dev', FALSE), ('test', TRUE), ('edge_case', TRUE)) t(split, drifted)",
+        "manifest_drift": f"""WITH {RECORDS}, n AS (SELECT split, text FROM records), o AS (SELECT split, text FROM records WHERE split <> 'edge_case' AND NOT (split = 'test' AND record_id % 100 = 1)),
+  x AS (SELECT split FROM (SELECT * FROM n EXCEPT ALL SELECT * FROM o) UNION SELECT split FROM (SELECT * FROM o EXCEPT ALL SELECT * FROM n)) SELECT split, split IN (SELECT split FROM x) AS drifted FROM (SELECT split FROM n UNION SELECT split FROM o)""",
+        "manifest_changes": f"""WITH {RECORDS}, rb AS (SELECT record_id, split, text, {h("'state'", "record_id")} % 10 AS b FROM records),
+  o AS (SELECT record_id, split, CASE WHEN b = 1 THEN text || ' then' ELSE text END AS text FROM rb WHERE b <> 0 UNION ALL SELECT record_id + 1000000000, split, text FROM rb WHERE b = 2)
+  SELECT split, record_id::VARCHAR AS record_id, CASE WHEN o.text IS NULL THEN 'added' WHEN r.text IS NULL THEN 'lost' ELSE 'changed' END AS change FROM o FULL JOIN records r USING (split, record_id) WHERE o.text IS DISTINCT FROM r.text""",
+        "manifest_tree": _tree(),
+        "iaa_panel": _panel(),
         "edge_cases": _edge_cases(),
         "score_batch": _served(),
         "seed_breaches": _breaches(),
