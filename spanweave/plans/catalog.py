@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from spanweave.functions.hashing import bucket
 from spanweave.functions.stored import new_path
 from spanweave.functions.text import char_map, clean, has_text
-from spanweave.operators import coverage, evaluate, infer, manifest, noise, records, relocate, templates
+from spanweave.operators import coverage, evaluate, infer, manifest, noise, records, relocate, splits, templates
 from spanweave.operators.assemble import assemble as build
 from spanweave.operators.clean import clean_records, project_to_clean, project_to_original, with_char_map
 from spanweave.operators.tokens import bio_decode, bio_encode, gated_label, whitespace_tokens
@@ -400,6 +400,22 @@ def doc_group_split(spark, d):
     return coverage.group_split(rows, "source", "group")
 
 
+@query
+def leak_proof_split(spark, d):
+    """What a split by components holds, and what is wrong with it: leaks, and strata whose share is off."""
+    r = derive.records(spark, d).select("record_id", F.floor(F.col("record_id") / 2).alias("grp"), F.coalesce("lang", F.lit("none")).alias("stratum"), "text")
+    similar = splits.similar_sets(r)
+    split = splits.leak_proof_split(r, similar)
+    main = split.groupBy("component", "stratum", "side").agg(F.count("*").alias("n")).groupBy("component", "side").agg(F.max(F.struct("n", "stratum"))["stratum"].alias("stratum"), F.sum("n").alias("n"))
+    share = main.groupBy("stratum").agg(F.sum("n").alias("n"), F.sum(F.when(F.col("side") == "dev", F.col("n")).otherwise(0)).alias("dev"))
+    off = F.abs(F.col("dev") - F.col("n") / 2) > F.greatest(F.col("n") / splits.LARGE, F.lit(1.0))
+    counts = {
+        "records": split, "groups": split.select("grp").distinct(), "similar_pairs": similar, "components": split.select("component").distinct(),
+        "leaks": splits.across(split, similar), "strata_off": share.filter(off),
+    }
+    return _union([df.agg(F.lit(k).alias("item"), F.count("*").alias("n")) for k, df in counts.items()])
+
+
 @query
 def near_dup_pairs(spark, d):
     r = derive.records(spark, d)

