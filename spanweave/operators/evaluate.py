@@ -15,7 +15,6 @@ from dataclasses import dataclass, field
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -205,6 +204,92 @@ def curve(inputs: DataFrame, values: list[float], name: str, base: list[float] |
     return _scores(rows).withColumn("objective", objective(name, **floors)).select("cand", "f1", "precision", "recall", "objective")
 
 
+def gate_table(inputs: DataFrame, values: list[float]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(tp, pred, support, supported) of every pair of thresholds of a kind, from one pass over gate_inputs().
+
+    A run holds labels of one kind, a B- label at its head at most and I- labels behind it, so what is found of a kind
+    depends on the thresholds of these two labels alone: tp and pred are [kind, B- value, I- value]. A span exists for
+    a rectangle of the two, and adds one at its corners. What comes to the driver is one row for each kind and pair of
+    values at most. support counts gold spans by bucket, supported those that a label of the kind can give.
+    """
+    n, n_kinds = len(values), len(BUCKETS)
+    limits = np.array(values, np.float32)
+    assert (np.diff(limits) > 0).all() or n == 1, "values must rise"
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums = np.zeros((2, n_kinds, n + 1, n + 1), np.int64)  # tp, pred
+        gold_sums = np.zeros((2, n_kinds), np.int64)
+        for batch in batches:
+            tokens, spans = batch.column(0), batch.column(1)
+            flat, told = tokens.flatten(), spans.flatten()
+            field = lambda x, f: x.field(f).to_numpy(zero_copy_only=False)
+            sizes, counts = (pc.fill_null(x.value_lengths(), 0).to_numpy(zero_copy_only=False) for x in (tokens, spans))
+            record, owner = np.repeat(np.arange(len(sizes)), sizes), np.repeat(np.arange(len(counts)), counts)
+            gold_kind = field(told, "kind")
+            gold_sums += [np.bincount(field(told, "bucket"), minlength=n_kinds), np.bincount(gold_kind[gold_kind >= 0], minlength=n_kinds)]
+            gold = set(zip(owner.tolist(), *(field(told, c).tolist() for c in ("start", "end", "kind")), strict=True))
+            labels, breaks = field(flat, "label_id"), field(flat, "breaks").astype(bool)
+            if not len(labels):
+                continue
+            c0, c1 = field(flat, "c0").tolist(), field(flat, "c1").tolist()
+            alive = np.searchsorted(limits, field(flat, "prob").astype(np.float32), "right")  # for values before this place
+            kind = (labels - 1) // 2
+            fresh = (labels % 2 == 1) | breaks | np.r_[True, (kind[1:] != kind[:-1]) | (record[1:] != record[:-1])]
+            head = fresh & (labels % 2 == 1)
+            found: dict[tuple, list[tuple[int, int, int, int]]] = {}
+
+            def held(first: int, last: int, b: tuple[int, int], i: tuple[int, int]) -> None:
+                if b[0] < b[1] and i[0] < i[1]:
+                    found.setdefault((int(record[first]), c0[first], c1[last], int(kind[first])), []).append((*b, *i))
+
+            tail = np.flatnonzero(~head)
+            starts = fresh[tail] | np.r_[True, head[tail[1:] - 1]] if len(tail) else np.zeros(0, bool)
+            for x, y, lo, hi in _segments(alive[tail].astype(float), np.flatnonzero(starts)) if len(tail) else ():
+                first, last = int(tail[x]), int(tail[y])
+                span = (0 if lo == -math.inf else int(lo), int(hi))
+                if starts[x] and not fresh[first]:  # behind a head: alone where the head is gone, else together
+                    k = int(alive[first - 1])
+                    held(first, last, (k, n), span)
+                    held(first - 1, last, (0, k), span)
+                else:
+                    held(first, last, (0, n), span)
+            for first in np.flatnonzero(head).tolist():
+                behind = int(alive[first + 1]) if first + 1 < len(fresh) and not fresh[first + 1] else 0
+                held(first, first, (0, int(alive[first])), (behind, n))
+            for key, areas in found.items():
+                for sides in sums if key in gold else sums[1:]:
+                    _add(sides[key[3]], areas)
+        at = np.nonzero(sums.any(0))
+        rows = [np.concatenate([x, y]) for x, y in zip((*at, sums[0][at], sums[1][at]), (np.arange(n_kinds), np.full(n_kinds, -1), np.full(n_kinds, -1), *gold_sums), strict=True)]
+        yield pa.RecordBatch.from_arrays([pa.array(r.astype(np.int64)) for r in rows], names=["kind", "b", "i", "x", "y"])
+
+    told = inputs.select("tokens", "gold").mapInArrow(count, "kind bigint, b bigint, i bigint, x bigint, y bigint")
+    rows = told.groupBy("kind", "b", "i").agg(F.sum("x").alias("x"), F.sum("y").alias("y")).toArrow()
+    kind, b, i, x, y = (rows[c].to_numpy() for c in ("kind", "b", "i", "x", "y"))
+    sums, by_kind = np.zeros((2, n_kinds, n + 1, n + 1), np.int64), np.zeros((2, n_kinds), np.int64)
+    cell = b >= 0
+    sums[0][kind[cell], b[cell], i[cell]], sums[1][kind[cell], b[cell], i[cell]] = x[cell], y[cell]
+    by_kind[0][kind[~cell]], by_kind[1][kind[~cell]] = x[~cell], y[~cell]
+    tp, pred = sums.cumsum(2).cumsum(3)[:, :, :n, :n]
+    return tp, pred, by_kind[0], by_kind[1]
+
+
+def _add(sums: np.ndarray, areas: list[tuple[int, int, int, int]]) -> None:
+    """Adds one, as differences along both axes, where any of the rectangles is; several overlap only where tokens share their place."""
+    if len(areas) > 1:
+        n = len(sums) - 1
+        held = np.zeros((n + 2, n + 2), np.int64)
+        for b0, b1, i0, i1 in areas:
+            held[b0 + 1 : b1 + 1, i0 + 1 : i1 + 1] = 1
+        sums += np.diff(np.diff(held, axis=0), axis=1)
+        return
+    b0, b1, i0, i1 = areas[0]
+    sums[b0, i0] += 1
+    sums[b0, i1] -= 1
+    sums[b1, i0] -= 1
+    sums[b1, i1] += 1
+
+
 @dataclass
 class Sweep:
     """What the threshold search found."""
@@ -216,33 +301,79 @@ class Sweep:
     notes: list[str] = field(default_factory=list)
 
 
+def _measured(tp: np.ndarray, pred: np.ndarray, support: np.ndarray, name: str, precision_floor: float = 0.0, recall_floor: float = 0.0) -> np.ndarray:
+    """(f1, precision, recall, objective) of candidates in columns; tp and pred are [kind, candidate]."""
+
+    def scores(tp: np.ndarray, pred: np.ndarray, support: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        share = lambda a, b: np.divide(a, b, out=np.zeros(np.broadcast(a, b).shape), where=b > 0)
+        p, r = share(tp.astype(float), pred.astype(float)), share(tp.astype(float), np.broadcast_to(support, tp.shape).astype(float))
+        return share(2 * p * r, p + r), p, r
+
+    f1, p, r = scores(tp.sum(0), pred.sum(0), support.sum())
+    each = scores(tp, pred, support[:, None])[0]
+    if name == "f1_micro":
+        goal = f1
+    elif name == "f1_macro":
+        goal = each[support > 0].mean(0) if (support > 0).any() else np.zeros(len(f1))
+    elif name.startswith("f1_per_type:"):
+        of = name.partition(":")[2]
+        goal = each[BUCKETS.index(of)] if of in BUCKETS else np.zeros(len(f1))
+    elif name == "max_f1_at_precision_floor":
+        goal = np.where(p >= precision_floor, f1, -1.0)
+    elif name == "max_f1_at_recall_floor":
+        goal = np.where(r >= recall_floor, f1, -1.0)
+    else:
+        raise ValueError(f"unknown objective {name!r}")
+    return np.stack([f1, p, r, goal])
+
+
+def best_global(inputs: DataFrame, names: tuple[str, ...], step: float = 0.01, **floors: float) -> DataFrame:
+    """(name, cand, objective): the first best single threshold for each objective, over gate_inputs()."""
+    values = grid(step)
+    tp, pred, support, _ = gate_table(inputs, values)
+    same = np.arange(len(values))
+    rows = []
+    for name in names:
+        goal = np.round(_measured(tp[:, same, same], pred[:, same, same], support, name, **floors)[3], 9)
+        rows.append((name, int(goal.argmax()), float(goal.max())))
+    return inputs.sparkSession.createDataFrame(rows, "name string, cand int, objective double")
+
+
 def sweep(probs: DataFrame, gold: DataFrame, name: str = "f1_micro", step: float = 0.01, **floors: float) -> Sweep:
     """One threshold for all labels, then label by label; the first best grid value wins, an incumbent stays on ties.
 
-    probs: tokens (record_id, tok_idx, c0, c1, probs). The first stage is one pass over the records, each label
-    is one more, over the same persisted rows. What comes back to the driver is one row a grid value.
+    probs: tokens (record_id, tok_idx, c0, c1, probs). One job in all: gate_table() holds the counts of every pair of
+    thresholds that a kind can have, and both stages look theirs up in it.
     """
-    spark = probs.sparkSession
-    inputs = gate_inputs(probs, gold).persist(StorageLevel.MEMORY_AND_DISK)
     values = grid(step)
-
-    def run(limits: list[float], label: int | None) -> list:
-        return curve(inputs, values, name, limits, label, **floors).orderBy("cand").collect()
-
-    told, lines = run([0.0] * len(LABELS), None), []
-    lines += [("global", None, values[r.cand], r.f1, r.precision, r.recall, r.objective) for r in told]
-    top = max(told, key=lambda r: (r.objective, -r.cand))
-    score, limits, notes = top.objective, [0.0, *[values[top.cand]] * (len(LABELS) - 1)], []
+    tp, pred, support, supported = gate_table(gate_inputs(probs, gold), values)
+    kinds = np.arange(len(BUCKETS))
+    n, n_kinds, lines, notes = len(values), len(BUCKETS), [], []
+    notes += [f"{LABELS[2 * k + 1]} has no gold spans; its threshold is not informed" for k in kinds if not supported[k]]
+
+    def run(b: np.ndarray, i: np.ndarray) -> np.ndarray:
+        """Scores of candidates in columns; b and i are [kind, candidate] places of values."""
+        at = (kinds[:, None], b, i)
+        return _measured(tp[at], pred[at], support, name, **floors)
+
+    every = np.tile(np.arange(n), (n_kinds, 1))
+    told = run(every, every)
+    lines += [("global", None, values[c], *map(float, told[:, c])) for c in range(n)]
+    best = int(told[3].argmax())
+    score, chosen = float(told[3, best]), np.full((n_kinds, 2), best)  # places of the B- and the I- value
     if score <= -1.0:
         notes.append("no global threshold meets the objective")
     for k in range(1, len(LABELS)):
-        told = run(limits, k)
-        lines += [("per_label", LABELS[k], values[r.cand], r.f1, r.precision, r.recall, r.objective) for r in told]
-        top = max(told, key=lambda r: (r.objective, -r.cand))
-        if top.objective > score:
-            score, limits = top.objective, [*limits[:k], values[top.cand], *limits[k + 1 :]]
-    inputs.unpersist()
-    if not any(limits):
+        kind, part = divmod(k - 1, 2)
+        tried = np.repeat(chosen[:, :, None], n, axis=2)
+        tried[kind, part] = np.arange(n)
+        told = run(tried[:, 0], tried[:, 1])
+        lines += [("per_label", LABELS[k], values[c], *map(float, told[:, c])) for c in range(n)]
+        top = int(told[3].argmax())
+        if told[3, top] > score:
+            score, chosen[kind, part] = float(told[3, top]), top
+    limits = {LABELS[k]: values[chosen[divmod(k - 1, 2)]] for k in range(1, len(LABELS))}
+    if not any(limits.values()):
         notes.append("no threshold improves the objective")
     schema = "stage string, label string, threshold double, f1 double, precision double, recall double, objective double"
-    return Sweep(dict(zip(LABELS[1:], limits[1:], strict=True)), score, score > -1.0, spark.createDataFrame(lines, schema), notes)
+    return Sweep(limits, score, score > -1.0, probs.sparkSession.createDataFrame(lines, schema), notes)

@@ -288,7 +288,7 @@ def _gate_inputs(spark, d):
 
 
 def _curve(spark, d):
-    return evaluate.curve(_gate_inputs(spark, d), evaluate.grid(0.05), "f1_micro")
+    return evaluate.curve(_gate_inputs(spark, d), evaluate.grid(), "f1_micro")
 
 
 @query
@@ -303,19 +303,16 @@ def best_threshold(spark, d):
 
 @query
 def sweep_objectives(spark, d):
-    """The first best global threshold for each kind of objective."""
-    floors = {"precision_floor": 0.9, "recall_floor": 0.5}
-    inputs = _gate_inputs(spark, d)
-    best = lambda name: evaluate.curve(inputs, evaluate.grid(0.05), name, **(floors if "floor" in name else {})).agg(
-        F.lit(name).alias("name"), F.max_by("cand", F.struct(F.round("objective", 9), -F.col("cand"))).alias("cand"), F.round(F.max("objective"), 9).alias("objective")
-    )
-    return _union([best(name) for name in ("f1_micro", "f1_macro", "f1_per_type:ORG", "f1_per_type:COMMODITY(NEG)", "max_f1_at_precision_floor", "max_f1_at_recall_floor")])
+    """The first best global threshold for each kind of objective, from one pass."""
+    names = ("f1_micro", "f1_macro", "f1_per_type:ORG", "f1_per_type:COMMODITY(NEG)", "max_f1_at_precision_floor", "max_f1_at_recall_floor")
+    return evaluate.best_global(_gate_inputs(spark, d), names, precision_floor=0.9, recall_floor=0.5)
 
 
 @query
 def sweep_per_label(spark, d):
     """The whole two-stage search with its own step of 0.01; its curve of 100 + 10 x 100 rows."""
-    return evaluate.sweep(derive.probs(spark, d), derive.gold(spark, d)).curve
+    lines = evaluate.sweep(derive.probs(spark, d), derive.gold(spark, d)).curve
+    return lines.select("stage", "label", *(F.round(c, 9).alias(c) for c in ("threshold", "f1", "precision", "recall", "objective")))
 
 
 @query

@@ -339,35 +339,67 @@ told AS (SELECT record_id, string_agg({char}, '' ORDER BY i) FILTER (WHERE {keep
 SELECT record_id, CASE WHEN {gate} THEN coalesce(t, '') ELSE text END AS text FROM made LEFT JOIN told USING (record_id)"""
 
 
-def _curve(steps: int) -> str:
-    grid = f"(SELECT g::INT AS cand, (g * (1 - 1.0 / {steps}) / {steps - 1})::FLOAT AS limit_ FROM range({steps}) r(g))"
-    counts = """(SELECT cand, count(*) FILTER (WHERE ok) AS tp, count(*) FILTER (WHERE NOT ok) AS fp, (SELECT count(*) FROM (SELECT DISTINCT record_id, s, e, type, polarity FROM gold)) - count(*) FILTER (WHERE ok) AS fn
-  FROM (SELECT cand, gg.s IS NOT NULL AND d.s IS NOT NULL AS ok, d.s FROM cands LEFT JOIN (SELECT DISTINCT * FROM dec) d USING (cand) LEFT JOIN (SELECT DISTINCT record_id, s, e, type, polarity FROM gold) gg
-    ON gg.record_id = d.record_id AND gg.s = d.s AND gg.e = d.e AND gg.type = d.type AND gg.polarity = d.polarity WHERE d.s IS NOT NULL) GROUP BY cand)"""
-    return f"""WITH {PROBS}, cands AS {grid},
-gated AS (SELECT cand, record_id, tok_idx, c0, c1, CASE WHEN best > 0 AND top::FLOAT < limit_ THEN 0 ELSE best END AS label_id FROM prob, cands),
-{decoded("gated", "dec", key="cand, record_id").lstrip()},
-line AS (SELECT cand, f1, precision, recall, f1 AS objective FROM ({scored(counts)}))"""
+def _gates(n: int = 100) -> str:
+    """CTEs of the counts for every pair of thresholds of a kind: cell(kind, b, i, tp, pred), and sup(kind, support).
+
+    A span of a run exists for an interval of the thresholds of its I- label, between its own least probability and those
+    beside it, and for an interval of that of the B- label at the run's head; it is counted by adding one at its corners.
+    """
+    corners = ("x0, y0, 1", "x0, y1, -1", "x1, y0, -1", "x1, y1, 1")
+    return f"""WITH {PROBS}, cands AS MATERIALIZED (SELECT g::INT AS cand, (g * (1 - 1.0 / {n}) / {n - 1})::FLOAT AS limit_ FROM range({n}) r(g)),
+gate_t AS (SELECT *, top::FLOAT AS p, lag(best) OVER (PARTITION BY record_id ORDER BY tok_idx) AS before FROM prob),
+gate_k AS (SELECT *, (best - 1) // 2 AS kind FROM gate_t WHERE best > 0),
+gate_c AS (SELECT k.*, coalesce(c.cand + 1, 0) AS alive FROM gate_k k ASOF LEFT JOIN cands c ON k.p >= c.limit_),
+gate_r AS (SELECT *, sum(CASE WHEN best % 2 = 1 OR before IS NULL OR before = 0 OR (before - 1) // 2 <> kind THEN 1 ELSE 0 END) OVER (PARTITION BY record_id ORDER BY tok_idx) AS run FROM gate_c),
+run_ AS MATERIALIZED (SELECT record_id, min(kind) AS kind, arg_min(best, tok_idx) % 2 = 1 AS head, list(c0 ORDER BY tok_idx) AS a, list(c1 ORDER BY tok_idx) AS z, list(alive ORDER BY tok_idx) AS q FROM gate_r GROUP BY record_id, run),
+ends_ AS (SELECT *, unnest(range(x, len(a) + 1)) AS y FROM (SELECT *, unnest(range(1, len(a) + 1)) AS x FROM run_)),
+area AS (SELECT record_id, kind, a[x] AS s, z[y] AS e, CASE WHEN head AND x = 2 THEN q[1] ELSE 0 END AS x0, CASE WHEN head AND x = 1 THEN q[1] ELSE {n} END AS x1,
+  greatest(CASE WHEN y < len(a) THEN q[y + 1] ELSE 0 END, CASE WHEN x > 1 AND NOT (head AND x = 2) THEN q[x - 1] ELSE 0 END) AS y0,
+  CASE WHEN head AND x = 1 AND y = 1 THEN {n} WHEN head AND x = 1 THEN list_min(q[2:y]) ELSE list_min(q[x:y]) END AS y1 FROM ends_),
+dg AS MATERIALIZED (SELECT DISTINCT record_id, s, e, type, polarity FROM gold), kinds AS (SELECT unnest({_list(BUCKETS)}) AS bucket, unnest(range({len(BUCKETS)})) AS kind),
+dk AS MATERIALIZED (SELECT record_id, s, e, kind FROM dg JOIN kinds ON bucket = {_BUCKET}),
+sup AS MATERIALIZED (SELECT k.kind, bucket, count(d.kind) AS support FROM kinds k LEFT JOIN dk d ON d.kind = k.kind GROUP BY k.kind, bucket),
+found AS MATERIALIZED (SELECT a.kind, x0, x1, y0, y1, count(*) AS n, count(d.kind) AS ok FROM area a LEFT JOIN dk d ON d.record_id = a.record_id AND d.s = a.s AND d.e = a.e AND d.kind = a.kind WHERE x0 < x1 AND y0 < y1 GROUP BY ALL),
+step_ AS MATERIALIZED (SELECT kind, b, i, sum(d * n) AS pred, sum(d * ok) AS tp FROM ({" UNION ALL ".join(f"SELECT kind, {c.split(', ')[0]} AS b, {c.split(', ')[1]} AS i, {c.split(', ')[2]} AS d, n, ok FROM found" for c in corners)}) GROUP BY kind, b, i),
+wide AS (SELECT k.kind, x.cand AS b, y.cand AS i, coalesce(pred, 0) AS pred, coalesce(tp, 0) AS tp FROM kinds k CROSS JOIN cands x CROSS JOIN cands y LEFT JOIN step_ s ON s.kind = k.kind AND s.b = x.cand AND s.i = y.cand),
+once AS (SELECT kind, b, i, sum(pred) OVER (PARTITION BY kind, b ORDER BY i) AS pred, sum(tp) OVER (PARTITION BY kind, b ORDER BY i) AS tp FROM wide),
+cell AS MATERIALIZED (SELECT kind, b, i, (sum(pred) OVER (PARTITION BY kind, i ORDER BY b))::BIGINT AS pred, (sum(tp) OVER (PARTITION BY kind, i ORDER BY b))::BIGINT AS tp FROM once)"""
+
+
+def _global(n: int = 100) -> str:
+    """line(cand, f1, precision, recall, objective): one threshold for all labels."""
+    return f"""{_gates(n)},
+line AS MATERIALIZED (SELECT cand, f1, precision, recall, f1 AS objective FROM ({scored("(SELECT b AS cand, sum(tp) AS tp, sum(pred - tp) AS fp, (SELECT sum(support) FROM sup) - sum(tp) AS fn FROM cell WHERE b = i GROUP BY b)")}))"""
 
 
 def _objectives() -> str:
-    """The best of 20 thresholds for each objective, from counts by threshold and bucket."""
-    head = _curve(20)
-    head = head[: head.index("line AS")].rstrip().rstrip(",")
+    """The best of 100 thresholds for each objective, from counts by threshold and bucket."""
     kinds = {"f1_micro": "f1", "f1_macro": "macro", "f1_per_type:ORG": "org", "f1_per_type:COMMODITY(NEG)": "neg", "max_f1_at_precision_floor": "CASE WHEN precision >= 0.9 THEN f1 ELSE -1 END", "max_f1_at_recall_floor": "CASE WHEN recall >= 0.5 THEN f1 ELSE -1 END"}
     told = " UNION ALL ".join(f"SELECT '{k}' AS name, cand, round({v}, 9) AS objective FROM scores" for k, v in kinds.items())
-    return f"""{head},
-dg AS (SELECT DISTINCT record_id, s, e, type, polarity FROM gold), sup AS (SELECT {_BUCKET} AS bucket, count(*) AS support FROM dg GROUP BY 1),
-dp AS (SELECT DISTINCT cand, record_id, s, e, type, polarity FROM dec),
-hits AS (SELECT cand, d.type, d.polarity, count(*) AS n, count(g.s) AS ok FROM dp d LEFT JOIN dg g ON g.record_id = d.record_id AND g.s = d.s AND g.e = d.e AND g.type = d.type AND g.polarity = d.polarity GROUP BY ALL),
-cells AS (SELECT c.cand, b.bucket, coalesce(ok, 0) AS tp, coalesce(n - ok, 0) AS fp, coalesce(support, 0) - coalesce(ok, 0) AS fn FROM cands c CROSS JOIN {_DIM} b
-  LEFT JOIN (SELECT cand, {_BUCKET} AS bucket, n, ok FROM hits) h ON h.cand = c.cand AND h.bucket = b.bucket LEFT JOIN sup ON sup.bucket = b.bucket),
-each AS (SELECT cand, bucket, f1, support FROM ({scored("cells")})),
-sums AS (SELECT cand, sum(tp) AS tp, sum(fp) AS fp, sum(fn) AS fn FROM cells GROUP BY cand),
-scores AS (SELECT * FROM (SELECT cand, f1, precision, recall FROM ({scored("sums")})) JOIN (SELECT cand, coalesce(avg(f1) FILTER (WHERE support > 0), 0) AS macro,
+    return f"""{_global()},
+each AS (SELECT cand, bucket, f1, support FROM ({scored("(SELECT b AS cand, bucket, tp, pred - tp AS fp, sup.support - tp AS fn FROM cell JOIN sup USING (kind) WHERE b = i)")})),
+scores AS MATERIALIZED (SELECT * FROM line JOIN (SELECT cand, coalesce(avg(f1) FILTER (WHERE support > 0), 0) AS macro,
   max(f1) FILTER (WHERE bucket = 'ORG') AS org, max(f1) FILTER (WHERE bucket = 'COMMODITY(NEG)') AS neg FROM each GROUP BY cand) USING (cand)),
 told AS ({told})
-SELECT name, arg_max(cand, (objective, -cand)) AS cand, max(objective) AS objective FROM told GROUP BY name"""
+SELECT name, arg_max(cand, (objective, -cand))::INT AS cand, max(objective) AS objective FROM told GROUP BY name"""
+
+
+def _two_stages(n: int = 100) -> str:
+    """The search label by label: state k holds the place of every kind's two thresholds and the best score so far."""
+    out = [f"{_global(n)},\nstate0 AS MATERIALIZED (SELECT arg_max(cand, (objective, -cand)) AS g, max(objective) AS best FROM line),\nat0 AS MATERIALIZED (SELECT kind, g AS b, g AS i, best FROM kinds, state0)"]
+    rows = [f"SELECT 'global' AS stage, NULL AS label, cand * (1 - 1.0 / {n}) / {n - 1} AS threshold, f1, precision, recall, objective FROM line"]
+    for k in range(1, len(LABELS)):
+        kind, part = divmod(k - 1, 2)
+        own = ("c.b = r.cand AND c.i = a.i", "c.b = a.b AND c.i = r.cand")[part]
+        counts = f"(SELECT r.cand, sum(tp) AS tp, sum(pred - tp) AS fp, (SELECT sum(support) FROM sup) - sum(tp) AS fn FROM cands r JOIN at{k - 1} a ON TRUE JOIN cell c ON c.kind = a.kind AND (CASE WHEN a.kind = {kind} THEN {own} ELSE c.b = a.b AND c.i = a.i END) GROUP BY r.cand)"
+        out.append(f"line{k} AS MATERIALIZED ({scored(counts)})")
+        out.append(f"state{k} AS MATERIALIZED (SELECT arg_max(cand, (f1, -cand)) AS g, max(f1) AS f1 FROM line{k})")
+        new = "b" if part == 0 else "i"
+        kept = f"CASE WHEN kind = {kind} AND f1 > best THEN g ELSE {new} END AS {new}"
+        out.append(f"at{k} AS MATERIALIZED (SELECT kind, {kept if part == 0 else 'b'}, {kept if part else 'i'}, greatest(best, f1) AS best FROM at{k - 1}, state{k})")
+        rows.append(f"SELECT 'per_label', '{LABELS[k]}', cand * (1 - 1.0 / {n}) / {n - 1}, f1, precision, recall, f1 FROM line{k}")
+    every = " UNION ALL ".join(rows)
+    return ",\n".join(out) + f"\nSELECT stage, label, round(threshold, 9) AS threshold, round(f1, 9) AS f1, round(precision, 9) AS precision, round(recall, 9) AS recall, round(objective, 9) AS objective FROM ({every})"
 
 
 def _tree() -> str:
@@ -448,9 +480,10 @@ def texts() -> dict[str, str]:
   THEN substr(text, 1, {cut}) ELSE text END AS text FROM made m""",
         "argmax_decode": f'WITH {PROBS.replace(" best,", " label_id,")}, {decoded("prob", "dec")} SELECT record_id, s AS start, e AS "end", type, polarity FROM dec',
         "threshold_gate": f"""WITH {PROBS} SELECT record_id, tok_idx, CASE WHEN best > 0 AND top::FLOAT < [0.0, 0.6, 0.7, 0.8, 0.9, 0.55, 0.65, 0.75, 0.85, 0.95, 0.5][best + 1]::FLOAT THEN 0 ELSE best END AS label_id FROM prob""",
-        "sweep_global": f"{_curve(20)} SELECT cand, round(f1, 9) AS f1, round(precision, 9) AS precision, round(recall, 9) AS recall, round(objective, 9) AS objective FROM line",
-        "best_threshold": f"{_curve(20)} SELECT arg_max(cand, (objective, -cand)) AS cand, round(max(objective), 9) AS objective FROM line",
+        "sweep_global": f"{_global()} SELECT cand, round(f1, 9) AS f1, round(precision, 9) AS precision, round(recall, 9) AS recall, round(objective, 9) AS objective FROM line",
+        "best_threshold": f"{_global()} SELECT arg_max(cand, (objective, -cand))::INT AS cand, round(max(objective), 9) AS objective FROM line",
         "sweep_objectives": _objectives(),
+        "sweep_per_label": _two_stages(),
         "length_buckets": f"WITH {GOLD} SELECT type, {_LEN} AS bucket, count(*) AS n FROM (SELECT type, e - s AS n FROM gold) GROUP BY ALL",
         "entities_per_record": f"WITH {GOLD}, {_PER} SELECT CASE WHEN n >= 5 THEN '5+' ELSE n::VARCHAR END AS entities, count(*) AS records, round(count(*) / (SELECT count(*) FROM per)::DOUBLE, 6) AS share FROM per GROUP BY 1",
         "polarity_buckets": f"""WITH {GOLD}, {_PER} SELECT CASE WHEN neg > 0 AND pos > 0 THEN 'mixed' WHEN neg > 1 THEN 'multi_target_neg' WHEN neg = 1 THEN 'neg_only' WHEN pos > 0 THEN 'pos_only' ELSE 'no_commodity' END AS bucket,

@@ -254,6 +254,37 @@ def test_curve_equals_single_evaluations(spark):
             assert (got[k].f1, got[k].precision, got[k].recall, got[k].objective) == pytest.approx(plain_scores(spark, probs, gold, limits)), (label, t)
 
 
+def test_gate_table_holds_every_pair_of_thresholds(spark):
+    """Against the counts for one label's values, at random thresholds of the others."""
+    probs, gold = random_probs(spark)
+    inputs, values = evaluate.gate_inputs(probs, gold), evaluate.grid(0.1)
+    tp, pred, support, supported = evaluate.gate_table(inputs, values)
+    rng = random.Random(1)
+    for label in (1, 2, 7, 10):
+        places = [rng.randrange(len(values)) for _ in LABELS]
+        base = [0.0, *(values[x] for x in places[1:])]
+        got = {(r.bucket, r.cand): (r.tp, r.pred, r.support) for r in evaluate.count_alive(inputs, values, base, label).collect()}
+        for kind in range(len(BUCKETS)):
+            for cand in range(len(values)):
+                at = places[:label] + [cand] + places[label + 1 :]
+                b, i = at[2 * kind + 1], at[2 * kind + 2]
+                assert got[kind, cand] == (tp[kind, b, i], pred[kind, b, i], support[kind])
+    assert supported.sum() == gold.distinct().filter("type = 'COMMODITY' OR polarity = 'POS' AND type <> 'THING'").count()
+
+
+def test_sweep_is_one_job_and_notes_labels_without_support(spark):
+    tokens, gold = probs_case()
+    probs = spark.createDataFrame(tokens, "record_id bigint, tok_idx int, c0 int, c1 int, probs array<double>")
+    spark.sparkContext.setJobGroup("sweep", "sweep")
+    found = evaluate.sweep(probs, spans(spark, gold), step=0.1)
+    scans = [j for j in spark.sparkContext.statusTracker().getJobIdsForGroup("sweep")]
+    spark.sparkContext.setJobGroup("rest", "rest")
+    assert len(scans) < 11  # adaptive execution runs every stage as a job of its own; there is one action
+    held = {("B-" + ("NEG_" if p == "NEG" else "") + t) for _, _, _, t, p in gold}
+    missing = [x for x in LABELS if x.startswith("B-") and x not in held]
+    assert missing and [n.split()[0] for n in found.notes if "no gold spans" in n] == missing
+
+
 def test_sweep_is_the_search_one_by_one(spark):
     probs, gold = random_probs(spark, 6)
     found = evaluate.sweep(probs, gold, step=0.5)
