@@ -13,13 +13,8 @@ from pyspark.sql import functions as F
 
 from spanweave.operators.templates import template_slots
 from spanweave.schema import ENTITY_TYPES
+from spanweave.sources.store import TABLES, columns, create, register
 
-#: The three tables and their columns.
-TABLES = {
-    "entity_pools": "entity_type string, value string, weight double",
-    "decoy_pools": "slot_name string, value string, weight double",
-    "templates": "template string, weight double",
-}
 ROWS_PER_INSERT = 200
 
 
@@ -85,12 +80,8 @@ def build_sqlite(path: str, sql_files: list[str]) -> Path:
     target = Path(path)
     target.parent.mkdir(parents=True, exist_ok=True)
     target.unlink(missing_ok=True)
-    kinds = {"string": "TEXT", "double": "REAL"}
     with sqlite3.connect(target) as db:
-        for name, ddl in TABLES.items():
-            columns = [c.split() for c in ddl.split(", ")]
-            made = ", ".join(f"{c} {kinds[t]} NOT NULL" + (" DEFAULT 1" if c == "weight" else "") for c, t in columns)
-            db.execute(f"CREATE TABLE {name} ({made}, UNIQUE ({', '.join(c for c, _ in columns[:-1])}))")
+        create(db)
         for file in sql_files:
             db.executescript(Path(file).read_text())
     return target
@@ -105,18 +96,36 @@ def from_sql_files(spark: SparkSession, path: str, sql_files: list[str], folder:
     return from_parquet(spark, folder)
 
 
-def from_jdbc(spark: SparkSession, url: str, **options: str) -> dict[str, DataFrame]:
-    """The tables of a database, by JDBC; needed columns only, filters are pushed down."""
-    columns = {k: [c.split()[0] for c in v.split(", ")] for k, v in TABLES.items()}
-    return {k: spark.read.format("jdbc").options(url=url, dbtable=k, **options).load().select(*c) for k, c in columns.items()}
+def from_jdbc(spark: SparkSession, url: str, partitions: int = 1, **options: str) -> dict[str, DataFrame]:
+    """The tables of a database, by JDBC; needed columns only, filters are pushed down.
+
+    partitions: tasks that read a table, each the rows whose first text column has a length of one remainder. The
+    expression is of the SQL standard, so that every database takes it.
+    """
+
+    def tables() -> Iterator[tuple[str, DataFrame]]:
+        for name in TABLES:
+            text = columns(name)[-2]
+            parts = [f'MOD(LENGTH("{text}"), {partitions}) = {k}' for k in range(partitions)]
+            yield name, spark.read.jdbc(url, name, predicates=parts, properties=options).toDF(*columns(name))
+
+    return dict(tables())
 
 
-def from_sqlite(spark: SparkSession, path: str) -> dict[str, DataFrame]:
-    """The tables of an SQLite file, which is read on the driver: pools are hand-kept lists."""
+def from_sqlite(spark: SparkSession, path: str, partitions: int | None = None) -> dict[str, DataFrame]:
+    """The tables of an SQLite file in a shared folder, read in tasks with pushed filters."""
     if not Path(path).exists():
         raise FileNotFoundError(path)
-    with sqlite3.connect(f"file:{path}?mode=ro", uri=True) as db:
-        return {k: in_memory(spark, k, db.execute(f"SELECT {', '.join(c.split()[0] for c in v.split(', '))} FROM {k}").fetchall()) for k, v in TABLES.items()}
+    register(spark)
+    reader = spark.read.format("pool_store").option("path", path)
+    return {k: (reader.option("partitions", partitions) if partitions else reader).option("table", k).load() for k in TABLES}
+
+
+def to_sqlite(tables: dict[str, DataFrame], path: str, overwrite: bool = False) -> None:
+    """Add the rows that an SQLite file in a shared folder does not have yet, or replace its tables."""
+    for k, df in tables.items():
+        register(df.sparkSession)
+        df.select(*columns(k)).write.format("pool_store").option("path", path).option("table", k).mode("overwrite" if overwrite else "append").save()
 
 
 def from_parquet(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
@@ -126,29 +135,35 @@ def from_parquet(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
 def to_parquet(tables: dict[str, DataFrame], folder: str) -> dict[str, int]:
     """Replace the stored tables; the row counts."""
     for k, df in tables.items():
-        df.select(*[c.split()[0] for c in TABLES[k].split(", ")]).write.mode("overwrite").parquet(f"{folder}/{k}")
+        df.select(*columns(k)).write.mode("overwrite").parquet(f"{folder}/{k}")
     return {k: df.count() for k, df in tables.items()}
 
 
 def dump(entity_pools: DataFrame, decoy_pools: DataFrame, path: str) -> None:
-    """{pool: {key: [[value, weight]]}} as one JSON file, streamed row by row."""
-    out: dict[str, dict[str, list]] = {"entity_pools": {}, "decoy_pools": {}}
-    for name, df, key in (("entity_pools", entity_pools, "entity_type"), ("decoy_pools", decoy_pools, "slot_name")):
-        for r in df.select(key, "value", "weight").toLocalIterator():
-            out[name].setdefault(r[0], []).append([r[1], r[2]])
-    Path(path).write_text(json.dumps(out, ensure_ascii=False))
+    """{table: {pool: [[value, weight]]}} as one JSON file, written row by row in the order of pools and values."""
+    text = lambda x: json.dumps(x, ensure_ascii=False)
+    with Path(path).open("w") as out:
+        for t, (name, df, key) in enumerate((("entity_pools", entity_pools, "entity_type"), ("decoy_pools", decoy_pools, "slot_name"))):
+            out.write(("{" if t == 0 else ", ") + f"{text(name)}: {{")
+            before = None
+            for pool, value, weight in df.select(key, "value", "weight").orderBy(key, "value").toLocalIterator():
+                out.write(", " if pool == before else f"{'' if before is None else '], '}{text(pool)}: [")
+                out.write(text([value, weight]))
+                before = pool
+            out.write("}" if before is None else "]}")
+        out.write("}")
 
 
 def insert_statements(name: str, df: DataFrame, dialect: str = "sqlite") -> Iterator[str]:
     """Multi-row INSERTs that skip rows already there, for SQLite or Postgres."""
-    columns = [c.split()[0] for c in TABLES[name].split(", ")]
+    names = columns(name)
     head, tail = ("INSERT OR IGNORE INTO", ";") if dialect == "sqlite" else ("INSERT INTO", " ON CONFLICT DO NOTHING;")
     quoted = lambda v: str(v) if isinstance(v, float) else "'" + v.replace("'", "''") + "'"
     wait: list[str] = []
-    for r in df.select(*columns).toLocalIterator():
+    for r in df.select(*names).toLocalIterator():
         wait.append("(" + ", ".join(map(quoted, r)) + ")")
         if len(wait) == ROWS_PER_INSERT:
-            yield f"{head} {name} ({', '.join(columns)}) VALUES\n" + ",\n".join(wait) + tail
+            yield f"{head} {name} ({', '.join(names)}) VALUES\n" + ",\n".join(wait) + tail
             wait = []
     if wait:
-        yield f"{head} {name} ({', '.join(columns)}) VALUES\n" + ",\n".join(wait) + tail
+        yield f"{head} {name} ({', '.join(names)}) VALUES\n" + ",\n".join(wait) + tail
