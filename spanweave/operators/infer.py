@@ -13,7 +13,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from spanweave.functions.text import DEFAULT, CleanConfig
@@ -23,6 +23,8 @@ from spanweave.schema import LABELS, MAX_CHARS, MAX_TOKENS
 from spanweave.sources.records import SIDECAR, THRESHOLDS, load_config, load_thresholds
 
 Scorer = Callable[[list[list[str]]], list[np.ndarray]]
+#: Records that are scored together where their time is taken.
+TIMED = 8
 
 
 @dataclass(frozen=True)
@@ -53,16 +55,20 @@ def predict_with(records: DataFrame, artifact: Artifact, make_scorer: Callable[[
     return predict(records, lambda: make_scorer(artifact), artifact.thresholds, artifact.config)
 
 
-def predict_lines(lines: DataFrame, make_scorer: Callable[[], Scorer], report_latency: bool = False, **options) -> DataFrame:
-    """lines(text) as JSON objects of text and entities; with report_latency, also the mean milliseconds a line took.
+def predict_lines(lines: DataFrame, make_scorer: Callable[[], Scorer], report_latency: bool = False, observed: Observation | None = None, **options) -> DataFrame:
+    """lines(text) as JSON objects of text and entities; with report_latency, also the milliseconds that scoring the line took.
 
-    Lines are scored in batches over the cluster, so a line has no time of its own.
+    Lines are scored in groups of TIMED, so a line's time is that of its group by its size. observed gets, once the result
+    has been computed, lines, p50_ms, p99_ms and max_ms of all of them.
     """
-    numbered = lines.select(F.monotonically_increasing_id().alias("record_id"), "text").persist()
-    n, began = numbered.count(), time.perf_counter()
-    found = numbered.join(predict(numbered, make_scorer, **options), "record_id").persist()
-    took = (found.count() and time.perf_counter() - began) * 1000 / max(n, 1)
-    extra = [F.round(F.lit(took), 2).alias("latency_ms")] if report_latency else []
+    numbered = lines.select(F.monotonically_increasing_id().alias("record_id"), "text")
+    found = predict(numbered, make_scorer, timed=report_latency or observed is not None, kept=True, **options)
+    if observed is not None:
+        ms = F.col("latency_ms")
+        found = found.observe(
+            observed, F.count("*").alias("lines"), F.percentile_approx(ms, 0.5, 10_000).alias("p50_ms"), F.percentile_approx(ms, 0.99, 10_000).alias("p99_ms"), F.max(ms).alias("max_ms")
+        )
+    extra = [F.round("latency_ms", 2).alias("latency_ms")] if report_latency else []
     return found.select(F.to_json(F.struct("text", "entities", *extra)).alias("value"))
 
 
@@ -81,34 +87,49 @@ def toy_scorer() -> Scorer:
     return score
 
 
-def score_tokens(tokens: DataFrame, make_scorer: Callable[[], Scorer], max_tokens: int = MAX_TOKENS) -> DataFrame:
-    """tokens (record_id, tok_idx, c0, c1, token) with probs, of the first max_tokens of each record."""
+def score_tokens(tokens: DataFrame, make_scorer: Callable[[], Scorer], max_tokens: int = MAX_TOKENS, timed: bool = False) -> DataFrame:
+    """tokens (record_id, tok_idx, c0, c1, token) with probs, of the first max_tokens of each record.
+
+    timed: also ms, the time that the scorer took for the record's group of TIMED records, by their number.
+    """
     rows = tokens.filter(F.col("tok_idx") < max_tokens).groupBy("record_id").agg(F.array_sort(F.collect_list(F.struct("tok_idx", "c0", "c1", "token"))).alias("t"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = make_scorer()
         for b in batches:
-            ids, rows = b.column(0).to_pylist(), b.column(1).to_pylist()
-            scores = scorer([[x["token"] for x in r] for r in rows])
-            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), b.column(1), pa.array([s.astype(np.float64).tolist() for s in scores], pa.list_(pa.list_(pa.float64())))], names=["record_id", "t", "s"])
-
-    scored = rows.mapInArrow(run, "record_id bigint, t array<struct<tok_idx:int,c0:int,c1:int,token:string>>, s array<array<double>>")
-    flat = scored.select("record_id", F.explode(F.arrays_zip("t", "s")).alias("x"))
-    return flat.select("record_id", "x.t.tok_idx", "x.t.c0", "x.t.c1", softmax(F.col("x.s")).alias("probs"))
-
-
-def predict(records: DataFrame, make_scorer: Callable[[], Scorer], thresholds: list[float] | None = None, config: CleanConfig = DEFAULT) -> DataFrame:
+            ids, rows = b.column(0).to_pylist(), [[x["token"] for x in r] for r in b.column(1).to_pylist()]
+            scores: list[np.ndarray] = []
+            ms: list[float] = []
+            size = TIMED if timed else max(1, len(rows))
+            for k in range(0, len(rows), size):
+                began = time.perf_counter()
+                scores += scorer(rows[k : k + size])
+                ms += [(time.perf_counter() - began) * 1000 / len(rows[k : k + size])] * len(rows[k : k + size])
+            columns = [pa.array(ids, pa.int64()), b.column(1), pa.array([s.astype(np.float64).tolist() for s in scores], pa.list_(pa.list_(pa.float64()))), pa.array(ms, pa.float64())]
+            yield pa.RecordBatch.from_arrays(columns, names=["record_id", "t", "s", "ms"])
+
+    scored = rows.mapInArrow(run, "record_id bigint, t array<struct<tok_idx:int,c0:int,c1:int,token:string>>, s array<array<double>>, ms double")
+    flat = scored.select("record_id", F.explode(F.arrays_zip("t", "s")).alias("x"), "ms")
+    return flat.select("record_id", "x.t.tok_idx", "x.t.c0", "x.t.c1", softmax(F.col("x.s")).alias("probs"), *(["ms"] if timed else []))
+
+
+def predict(records: DataFrame, make_scorer: Callable[[], Scorer], thresholds: list[float] | None = None, config: CleanConfig = DEFAULT, timed: bool = False, kept: bool = False) -> DataFrame:
     """records(record_id, text) with entities of the raw text; records without any, and empty ones, keep an empty array.
 
-    Serving takes the first MAX_CHARS characters of a text, cleans them, and scores what is not empty.
+    Serving takes the first MAX_CHARS characters of a text, cleans them, and scores what is not empty. timed: also
+    latency_ms, 0 for what is not scored; kept: also the text as it was given.
     """
-    cut = records.select("record_id", F.substring(F.coalesce("text", F.lit("")), 1, MAX_CHARS).alias("text"))
+    cut = records.select("record_id", F.substring(F.coalesce("text", F.lit("")), 1, MAX_CHARS).alias("text"), F.col("text").alias("given"))
     mapped = with_char_map(cut, config).withColumnRenamed("text", "raw")
     ready = mapped.select("record_id", F.col("clean_text").alias("text")).filter(F.length("text") > 0)
-    probs = score_tokens(whitespace_tokens(ready), make_scorer)
+    probs = score_tokens(whitespace_tokens(ready), make_scorer, timed=timed)
     labels = probs.withColumn("label_id", gated_label(F.col("probs"), thresholds or [0.0] * len(LABELS)))
+    if timed:
+        labels = labels.select("record_id", "tok_idx", "c0", "c1", "label_id", "ms").repartition("record_id")  # spans and times read it
     found = bio_decode(labels.select("record_id", "tok_idx", "c0", "c1", "label_id")).groupBy("record_id").agg(F.array_sort(F.collect_list(F.struct("start", "end", "type", "polarity"))).alias("spans"))
-    placed = mapped.select("record_id", "raw", "char_map").join(found, "record_id", "left")
+    placed = mapped.select("record_id", "raw", "char_map", "given").join(found, "record_id", "left")
+    if timed:
+        placed = placed.join(labels.groupBy("record_id").agg(F.max("ms").alias("ms")), "record_id", "left")
     moved = placed.withColumn("moved", project_to_original("char_map", F.length("raw"), F.transform("spans", lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end")))))
     entity = lambda x: F.struct(
         x["spans"]["type"].alias("type"),
@@ -116,4 +137,5 @@ def predict(records: DataFrame, make_scorer: Callable[[], Scorer], thresholds: l
         x["moved"]["start"].alias("start"), x["moved"]["end"].alias("end"), x["spans"]["polarity"].alias("polarity"),
     )
     none = F.array().cast("array<struct<type:string,text:string,start:int,end:int,polarity:string>>")
-    return moved.select("record_id", F.coalesce(F.transform(F.arrays_zip("spans", "moved"), entity), none).alias("entities"))
+    more = [F.col("given").alias("text")] * kept + [F.coalesce("ms", F.lit(0.0)).alias("latency_ms")] * timed
+    return moved.select("record_id", F.coalesce(F.transform(F.arrays_zip("spans", "moved"), entity), none).alias("entities"), *more)

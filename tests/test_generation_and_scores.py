@@ -5,10 +5,12 @@ import json
 import random
 import re
 import sqlite3
+import time
 from collections import Counter
 
 import numpy as np
 import pytest
+from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
 from spanweave.functions.text import PUNCTUATION, CleanConfig
@@ -520,6 +522,32 @@ def test_artifact_folder_and_lines(spark, tmp_path, monkeypatch):
     assert [e["text"] for e in lines[0]["entities"]] == ["Ada", "9t"] and lines[0]["latency_ms"] >= 0
 
 
+def test_latency_of_every_line(spark):
+    """The scorer waits a millisecond a token: long lines take longer, and the quantiles say so."""
+
+    def slow():
+        inner = infer.toy_scorer()
+
+        def score(batch):
+            time.sleep(sum(map(len, batch)) / 1000)
+            return inner(batch)
+
+        return score
+
+    texts = ["Ada", "", " ", None] + ["Ada ships 9t"] * 40 + ["Ada " * 60] * 4
+    lines = spark.createDataFrame([(t,) for t in texts], "text string").coalesce(1)
+    seen = Observation("latency")
+    got = [json.loads(r.value) for r in infer.predict_lines(lines, slow, report_latency=True, observed=seen).collect()]
+    plain = [json.loads(r.value) for r in infer.predict_lines(lines, infer.toy_scorer).collect()]
+    strip = lambda rows: sorted(json.dumps({k: v for k, v in r.items() if k != "latency_ms"}, sort_keys=True) for r in rows)
+    assert strip(got) == strip(plain) and all("latency_ms" not in r for r in plain)
+    times = [r["latency_ms"] for r in got]
+    assert seen.get["lines"] == len(texts) and 0 < seen.get["p50_ms"] <= seen.get["p99_ms"] <= seen.get["max_ms"]
+    assert seen.get["max_ms"] == pytest.approx(max(times), abs=0.01) and sorted(times)[len(times) // 2 - 1] <= seen.get["p50_ms"] + 0.01
+    assert [r["latency_ms"] for r in got if not (r.get("text") or "").strip()] == [0.0] * 3
+    assert max(times) > 3 * sorted(times)[len(times) // 2]
+
+
 def plain_locate(text, wanted):
     """Surfaces in order, each from the end of its type's last one, by regular expressions."""
     after, found, reasons = {}, [], []
