@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import time
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -32,3 +34,19 @@ def monthly_counts(days: DataFrame, key: str) -> DataFrame:
 def run_available(stream: DataFrame, out: str, checkpoint: str, mode: str = "append") -> None:
     """Work off what is there, with exactly-once files, and stop."""
     stream.writeStream.format("parquet").outputMode(mode).option("path", out).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
+
+
+def run_until_idle(stream: DataFrame, out: str, checkpoint: str, seconds: float = 600.0) -> None:
+    """Work off what is there and stop at the first batch without rows; for state that expires with the clock, whose queries do not end by themselves."""
+    query = stream.writeStream.format("parquet").option("path", out).option("checkpointLocation", checkpoint).trigger(processingTime="100 milliseconds").start()
+    until = time.monotonic() + seconds
+    try:
+        while query.isActive and time.monotonic() < until:
+            if any(p["numInputRows"] == 0 for p in query.recentProgress):
+                return
+            time.sleep(0.1)
+        if error := query.exception():
+            raise error
+        raise TimeoutError(f"the stream was not idle after {seconds} s")
+    finally:
+        query.stop()
