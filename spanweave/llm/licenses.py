@@ -1,12 +1,12 @@
 """License scans: fixed phrases and an exact containment join of text blocks with templates.
 
-A block is a line of a text, or, as templates are often wrapped, as many consecutive words of the
-whole text as the template has. A template is in a block if at least THRESHOLD of its distinct words
-are. Template words are ordered by how many documents hold them, counted over the whole corpus: of a
-template that needs a of its n words, one of the n - a + 1 rarest must be in the block (prefix
-filter), the block must have a known words (length filter), and the words from the first common one
-onward must suffice (positional filter). What passes is counted exactly. Windows of words slide only
-over texts that hold one of a template's rarest words and enough of its words in all. The templates are a short
+A block is as many consecutive words of a text as the template has (all of them, if it has fewer), wherever lines
+end, so that wrapped templates are found and words that stand far apart are not. A template is in a block if at
+least THRESHOLD of its distinct words are, and all of them if it has fewer than SHORT: four of five words of a short
+one are ordinary prose. Template words are ordered by how many documents hold them, counted over the whole corpus:
+of a template that needs a of its n words, one of the n - a + 1 rarest must be in the block (prefix filter), the text
+must hold a of its words (length filter), and the words from the first common one onward must suffice (positional
+filter). Only over texts that pass do blocks slide, and what is in them is counted exactly. The templates are a short
 fixed list, so they are broadcast; documents are never shuffled.
 
 Defined cases: null text is empty and has no words; null and repeated doc_id stay rows of their own;
@@ -26,6 +26,8 @@ from pyspark.sql import functions as F
 from spanweave.llm.common import release, words_of
 
 THRESHOLD = 0.8
+#: Templates of fewer distinct words must be there as a whole.
+SHORT = 8
 #: Phrases of the base scan and their labels.
 PHRASES = {"cc by": "cc-by", "general public license": "gpl", "all rights reserved": "reserved"}
 #: Wording of public licences.
@@ -68,6 +70,11 @@ def frequencies(docs: DataFrame, words: set[bytes]) -> dict[bytes, int]:
     return {**dict.fromkeys(words, 0), **{bytes(r.word): r.n for r in counted.collect()}}  # one row a template word
 
 
+def needed(n: int, threshold: float = THRESHOLD) -> int:
+    """How many of a template's n distinct words a block must hold."""
+    return n if n < SHORT else math.ceil(threshold * n - 1e-9)
+
+
 class Templates:
     """Templates as word sets in the global order, with an index over their prefixes."""
 
@@ -79,33 +86,22 @@ class Templates:
         for label, text in templates:
             self.lengths.append(len(words_of(text.encode())))
             words = sorted(set(words_of(text.encode())), key=self.rank.__getitem__)
-            need = max(1, math.ceil(threshold * len(words) - 1e-9))
+            need = needed(len(words), threshold)
             for i, w in enumerate(words[: len(words) - need + 1]):
                 self.prefix.setdefault(w, []).append((len(self.sets), i))
             self.sets.append((label, words, need))
 
-    def match(self, block: list[bytes]) -> Iterator[tuple[str, float]]:
-        """(label, containment) of every template that the block holds."""
-        known = sorted(self.rank.keys() & set(block), key=self.rank.__getitem__)
-        tried: set[int] = set()
-        for j, w in enumerate(known):
-            for t, i in self.prefix.get(w, ()):
-                label, words, need = self.sets[t]
-                if t in tried or len(known) < need:
-                    continue
-                tried.add(t)
-                if 1 + min(len(words) - i - 1, len(known) - j - 1) >= need:
-                    common = len(self.rank.keys() & set(words) & set(known))
-                    if common >= need:
-                        yield label, common / len(words)
-
-    def match_windows(self, text: list[bytes]) -> Iterator[tuple[str, float]]:
-        """(label, largest containment) of every template that a window of its length over the words of a text holds."""
+    def match(self, text: list[bytes]) -> Iterator[tuple[str, float]]:
+        """(label, largest containment) of every template that a block of a text holds."""
         held = set(text)
-        for t in sorted({t for w in self.prefix.keys() & held for t, _ in self.prefix[w]}):
+        first: dict[int, int] = {}  # the place in each template of its rarest word here
+        for w in self.prefix.keys() & held:
+            for t, i in self.prefix[w]:
+                first[t] = min(i, first.get(t, i))
+        for t, i in sorted(first.items()):
             label, words, need = self.sets[t]
             own = held.intersection(words)
-            if len(own) < need:
+            if len(own) < need or len(words) - i < need:
                 continue
             inside: dict[bytes, int] = {}
             places: deque[tuple[int, bytes]] = deque()
@@ -142,8 +138,7 @@ def scan(docs: DataFrame, templates: tuple[tuple[str, str], ...] = TEMPLATES, th
             texts = batch.cast(pa.binary())
             out = []
             for k in range(len(texts)):
-                text = texts[k].as_py() or b""
-                words = words_of(text)
+                words = words_of(texts[k].as_py() or b"")
                 joined = b" " + b" ".join(words) + b" "
                 places, base = [], set()
                 for phrase, label in phrases:
@@ -155,13 +150,7 @@ def scan(docs: DataFrame, templates: tuple[tuple[str, str], ...] = TEMPLATES, th
                         at = joined.find(phrase, at + 1)
                 labels, best = set(base), 1.0 if base else 0.0
                 if not rare.isdisjoint(words):
-                    for line in text.split(b"\n"):
-                        block = words_of(line)
-                        if not rare.isdisjoint(block):
-                            for label, share in index.match(block):
-                                labels.add(label)
-                                best = max(best, share)
-                    for label, share in index.match_windows(words):
+                    for label, share in index.match(words):
                         labels.add(label)
                         best = max(best, share)
                 out.append((len(words), len(places), min(places, default=None), max(places, default=None), ",".join(sorted(base)), ",".join(sorted(labels)), best))

@@ -80,15 +80,23 @@ def op8_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _op8_sql() -> str:
-    words = lambda t: "[" + ", ".join(f"'{w.decode()}'" for w in dict.fromkeys(words_of(t.encode()))) + "]"
-    phrases = ", ".join(f"({words(p)}, '{label}')" for p, label in licenses.PHRASES.items())
-    templates = ", ".join(f"({words(t)}, '{label}')" for label, t in licenses.TEMPLATES)
+    """Blocks begin before, and hold, one of a template's rarest words, by how many documents hold them."""
+    quoted = lambda ws: "[" + ", ".join(f"'{w.decode()}'" for w in ws) + "]"
+    words = lambda t: words_of(t.encode())
+    phrases = ", ".join(f"({quoted(words(p))}, '{label}')" for p, label in licenses.PHRASES.items())
+    rows = [(k, list(dict.fromkeys(words(t))), label, len(words(t))) for k, (label, t) in enumerate(licenses.TEMPLATES)]
+    templates = ", ".join(f"({k}, {quoted(v)}, '{label}', {n}, {licenses.needed(len(v))})" for k, v, label, n in rows)
     return f"""
-WITH d AS (SELECT row_number() OVER () AS row_no, doc_id, coalesce(text, '') AS text, {SQL_WORDS.format("coalesce(text, '')")} AS w FROM documents),
+WITH d AS MATERIALIZED (SELECT row_number() OVER () AS row_no, doc_id, {SQL_WORDS.format("coalesce(text, '')")} AS w FROM documents),
+o AS MATERIALIZED (SELECT row_no, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS i FROM d),
 p AS (SELECT row_no, i - 1 AS pos, label FROM (SELECT row_no, w, unnest(range(1, len(w) + 1)) AS i FROM d), (VALUES {phrases}) t(v, label) WHERE list_slice(w, i, i + len(v) - 1) = v),
 b AS (SELECT row_no, count(*) AS n_base, min(pos) AS first_word, max(pos) AS last_word, string_agg(DISTINCT label, ',' ORDER BY label) AS base_labels FROM p GROUP BY row_no),
-l AS (SELECT row_no, list_distinct({SQL_WORDS.format("line")}) AS w FROM (SELECT row_no, unnest(string_split(text, chr(10))) AS line FROM d)),
-m AS (SELECT row_no, label, len(list_intersect(w, v)) / len(v)::DOUBLE AS share FROM l, (VALUES {templates}) t(v, label) WHERE len(list_intersect(w, v)) >= {licenses.THRESHOLD} * len(v) - 1e-9),
+t AS MATERIALIZED (SELECT * FROM (VALUES {templates}) t(k, v, label, n, need)),
+f AS (SELECT word, count(DISTINCT row_no) AS often FROM o WHERE word IN (SELECT unnest(v) FROM t) GROUP BY word),
+r AS MATERIALIZED (SELECT k, word FROM (SELECT k, word, size, need, row_number() OVER (PARTITION BY k ORDER BY coalesce(often, 0), word) AS nth
+      FROM (SELECT k, unnest(v) AS word, len(v) AS size, need FROM t) LEFT JOIN f USING (word)) WHERE nth <= size - need + 1),
+c AS (SELECT DISTINCT row_no, k, unnest(range(greatest(1, i - n + 1), i + 1)) AS s FROM o JOIN r USING (word) JOIN t USING (k)),
+m AS (SELECT row_no, label, max(held / size::DOUBLE) AS share FROM (SELECT row_no, label, need, len(v) AS size, len(list_intersect(list_slice(w, s, s + n - 1), v)) AS held FROM c JOIN d USING (row_no) JOIN t USING (k)) WHERE held >= need GROUP BY row_no, label),
 a AS (SELECT row_no, string_agg(DISTINCT label, ',' ORDER BY label) AS labels FROM (SELECT row_no, label FROM p UNION ALL SELECT row_no, label FROM m) GROUP BY row_no),
 s AS (SELECT row_no, max(share) AS share FROM m GROUP BY row_no)
 SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_base, 0)::BIGINT AS n_base, first_word, last_word, coalesce(base_labels, '') AS base_labels, coalesce(labels, '') AS labels,

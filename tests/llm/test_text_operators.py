@@ -349,13 +349,12 @@ def test_licenses_match_brute_force(spark):
         places = [(i, label) for p, label in licenses.PHRASES.items() for i in range(len(w)) if w[i : i + len(p.split())] == p.split()]
         base = {label for _, label in places}
         labels, best = set(base), 1.0 if base else 0.0
-        for line in (r.text or "").split("\n"):
-            for label, t in licenses.TEMPLATES:
-                need = set(words(t))
-                share = len(need & set(words(line))) / len(need)
-                if share >= licenses.THRESHOLD - 1e-9:
-                    labels.add(label)
-                    best = max(best, share)
+        for label, t in licenses.TEMPLATES:
+            need, n = set(words(t)), len(words(t))
+            share = max((len(need & set(w[k : k + n])) / len(need) for k in range(max(1, len(w) - n + 1))), default=0)
+            if share >= (1 if len(need) < 8 else 0.8) - 1e-9:
+                labels.add(label)
+                best = max(best, share)
         starts = [i for i, _ in places]
         assert (r.r.n_words, r.r.n_base, r.r.first_word, r.r.last_word) == (len(w), len(places), min(starts, default=None), max(starts, default=None))
         assert (r.r.base_labels, r.r.labels, r.r.score) == (",".join(sorted(base)), ",".join(sorted(labels)), pytest.approx(best))
@@ -382,14 +381,33 @@ def test_wrapped_templates_match_brute_force(spark):
         labels, w = set(got[i].r.base_labels.split(",")) - {""}, words(text)
         for label, t in licenses.TEMPLATES:
             need, n = set(words(t)), len(words(t))
-            blocks = [words(line) for line in text.split("\n")] + [w[k : k + n] for k in range(len(w))]
-            if any(len(need & set(b)) / len(need) >= licenses.THRESHOLD - 1e-9 for b in blocks):
+            if any(len(need & set(w[k : k + n])) / len(need) >= (1 if len(need) < 8 else 0.8) - 1e-9 for k in range(len(w))):
                 labels.add(label)
         assert got[i].r.labels == ",".join(sorted(labels))
     assert all(label in got[100 + i].r.labels.split(",") for i, label, _ in WRAPPED)
     assert got[107].r.labels == "" and got[101].r.score == 1.0
 
 
+NO_LICENCE = [
+    "The album was released under the license of Sony in May.",
+    " ".join(x + " filler" * 100 for x in "Released under the MIT License".split()),
+    "Domain experts said version 1 0 was dedicated to public use, 0 universal, under the council",
+    "He was licensed under the version of the rules that held in 2004",
+    "Permission to use the hall is hereby granted to any person with a ticket, with or without fee",
+    "The program was made available under the terms of the general agreement",
+    "Creative work is licensed by the state under an international treaty, 4 0 being the vote",
+    "Copyright law: all authors have rights, some reserved",
+]
+
+
+def test_ordinary_prose_has_no_licence(spark):
+    rows = list(enumerate(NO_LICENCE))
+    docs = odd_docs(spark, [*rows, *((100 + k, t) for k, (_, t) in enumerate(licenses.TEMPLATES))])
+    got = {r.doc_id: r.r.labels for r in docs.select("doc_id", licenses.scan(docs)("text").alias("r")).collect()}
+    assert [got[k] for k, _ in rows] == [""] * len(rows)
+    assert all(label in got[100 + k].split(",") for k, (label, _) in enumerate(licenses.TEMPLATES))
+
+
 def test_recall_of_templates_in_usual_layouts(spark):
     r = random.Random(7)
     prose = "ordinary words about boats and harbours and the price of rope in spring".split()
