@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from spanweave.functions.hashing import hash32
 from spanweave.functions.plan import barrier
+from spanweave.functions.stored import materialize
 from spanweave.functions.text import clean, token_set
 from spanweave.operators.evaluate import bucket_of, ratio
 
@@ -29,6 +30,8 @@ CUES = (
 #: Hash buckets of token_order, and rows of a token from which on a similarity join deals them over a grid.
 ORDER_BUCKETS = 1 << 16
 CELL_ROWS = 20_000
+#: Most candidate pairs whose sets' ids are broadcast; more are joined by a shuffle.
+KEYS_SENT = 500_000
 
 
 def length_class(n: Column) -> Column:
@@ -235,9 +238,9 @@ def token_order(texts: DataFrame) -> bytes:
 
 
 def _token_sets(df: DataFrame) -> DataFrame:
-    """(set_id, tokens) of the distinct token sets, in partitions of set_id."""
+    """(set_id, tokens) of the distinct token sets, stored: prefixes and the comparison read them."""
     made = barrier(df.select(token_set(F.col("text")).alias("tokens"))).filter(F.size("tokens") > 0)
-    return made.select(F.md5(F.array_join("tokens", " ")).alias("set_id"), "tokens").repartition("set_id").dropDuplicates(["set_id"])
+    return materialize(made.select(F.unhex(F.md5(F.array_join("tokens", " "))).alias("set_id"), "tokens").repartition("set_id").dropDuplicates(["set_id"]), "sets")
 
 
 def _prefixes(sets: DataFrame, order: bytes, least: float, side: str) -> DataFrame:
@@ -266,17 +269,28 @@ def token_jaccard_pairs(left: DataFrame, right: DataFrame, least: float = 0.9) -
     and no task takes the token alone.
     """
     order = token_order(left.select("text").unionByName(right.select("text")))
-    tl, tr = _token_sets(left), _token_sets(right)
+    tl = _token_sets(left)
+    tr = tl if left is right else _token_sets(right)
     ln, rn, lp, rp = (F.col(c) for c in ("l_n", "r_n", "l_place", "r_place"))
     # common tokens: at most those before either place, this one, and those behind both
     most = F.least(lp, rp) + 1 + F.least(ln - lp - 1, rn - rp - 1)
     fits = (ln >= rn * least - 1e-9) & (rn >= ln * least - 1e-9) & (most >= least * (ln + rn - most) - 1e-9)
     met = _prefixes(tl, order, least, "l").join(_prefixes(tr, order, least, "r"), ["h", "i", "j"]).filter(fits)
-    near = met.select(F.col("l_set_id").alias("left_set"), F.col("r_set_id").alias("right_set")).repartition("left_set").dropDuplicates()
-    whole = near.join(tl.select(F.col("set_id").alias("left_set"), F.col("tokens").alias("lt")), "left_set").join(tr.select(F.col("set_id").alias("right_set"), F.col("tokens").alias("rt")), "right_set")
-    compared = whole.select("left_set", "right_set", F.size(F.array_intersect("lt", "rt")).alias("common"), (F.size("lt") + F.size("rt")).alias("both"))
+    near = materialize(met.select("l_set_id", "r_set_id").distinct(), "near")
+    bounded = near.count() <= KEYS_SENT
+
+    def held(sets: DataFrame, side: str) -> DataFrame:
+        """The sets that are compared at all; ids are broadcast where they are few, else joined by a shuffle."""
+        ids = near.select(F.col(f"{side}_set_id").alias("set_id")).distinct()
+        kept = sets.join(F.broadcast(ids) if bounded else ids, "set_id", "left_semi")
+        return kept.select(F.col("set_id").alias(f"{side}_set_id"), F.col("tokens").alias(f"{side}_tokens"))
+
+    whole = near.join(held(tl, "l"), "l_set_id").join(held(tr, "r"), "r_set_id")
+    common = F.size(F.array_intersect("l_tokens", "r_tokens"))
+    compared = whole.select("l_set_id", "r_set_id", common.alias("common"), (F.size("l_tokens") + F.size("r_tokens")).alias("both"))
     j = F.col("common") / (F.col("both") - F.col("common"))
-    return compared.filter(j >= least - 1e-12).select("left_set", "right_set", F.round(j, 6).alias("jaccard"))
+    named = lambda side: F.lower(F.hex(f"{side}_set_id"))
+    return compared.filter(j >= least - 1e-12).select(named("l").alias("left_set"), named("r").alias("right_set"), F.round(j, 6).alias("jaccard"))
 
 
 def token_set_members(records: DataFrame) -> DataFrame:
