@@ -4,7 +4,7 @@ The three fixed kinds are found by pattern. The method adds the kind markov: run
 LEAST_RUN token characters whose characters follow each other rather as in random strings than as in
 ordinary identifiers. Two first-order Markov models are trained from labelled samples (random: digests
 in base64, hex and upper-case base32-like forms; ordinary: words of sampled documents, alone and
-joined in snake and camel case) and compared by the log-likelihood ratio per character pair. A run
+as they are joined in names, constants, paths, links and dated files, and rules of one sign) and compared by the log-likelihood ratio per character pair. A run
 that is not random as a whole is searched for its random stretches: it has one from where LEAST_RUN
 characters reach the threshold on to where the next LEAST_RUN no longer do. What the fixed kinds hold
 is cut out of the runs first.
@@ -33,7 +33,9 @@ LEAST_VALUE, LEAST_RUN = 12, 20
 #: Documents whose words teach the ordinary model (expected number), and random strings of each form.
 SAMPLE_DOCS, SAMPLE_RANDOM = 400, 400
 #: Least mean log-likelihood ratio per pair of characters.
-THRESHOLD = 0.6
+THRESHOLD = 1.1
+#: Share of a model's counts that goes to characters of the same kind: words of other languages have other pairs.
+SHARED = {"random": 0.0, "ordinary": 0.5}
 _SIDE = 96  # printable ASCII, by code point - 32
 _SPAN = "array<struct<s:bigint,k:int,e:bigint>>"
 _PLACED = "array<struct<s:bigint,k:int,e:bigint,b:bigint>>"
@@ -52,8 +54,9 @@ def train(docs: DataFrame, sample_docs: int = SAMPLE_DOCS, sample_random: int =
     words = F.filter(F.split(F.coalesce("text", F.lit("")), r"[^A-Za-z]+"), lambda w: F.length(w) >= 2)
     words = few.select(F.array_distinct(words).alias("w")).filter(F.size("w") > 0)
     pair = F.transform(F.sequence(F.lit(1), F.size("w") - 1), lambda i: F.slice("w", i, 2))
-    joined = F.when(F.size("w") > 1, F.flatten(F.transform(pair, lambda p: F.array(F.array_join(p, "_"), F.array_join(F.transform(p, F.initcap), "")))))
-    ordinary = words.select(F.explode(F.concat("w", F.coalesce(joined, F.array().cast("array<string>")))).alias("s"))
+    joined = F.when(F.size("w") > 1, F.flatten(F.transform(pair, _written)))
+    rules = F.array(*(F.lit(x * 40) for x in ("_", "-", "=", "/", "0123456789", "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ")))
+    ordinary = words.select(F.explode(F.concat("w", F.coalesce(joined, F.array().cast("array<string>")), rules)).alias("s"))
     told = random.withColumn("label", F.lit("random")).unionByName(ordinary.withColumn("label", F.lit("ordinary")))
     pairs = told.filter(F.length("s") > 1).select("label", F.explode(F.transform(F.sequence(F.lit(1), F.length("s") - 1), lambda i: F.substring(F.col("s"), i, F.lit(2)))).alias("pair"))
     counts: dict[str, dict[int, int]] = {"random": {}, "ordinary": {}}
@@ -63,12 +66,34 @@ def train(docs: DataFrame, sample_docs: int = SAMPLE_DOCS, sample_random: int =
             counts[r.label][a * _SIDE + b] = r["count"]
     ratio: list[float] = []
     for a in range(_SIDE):
-        rows = {k: [v.get(a * _SIDE + b, 0) + 0.2 for b in range(_SIDE)] for k, v in counts.items()}
+        rows = {k: _smoothed([v.get(a * _SIDE + b, 0) for b in range(_SIDE)], SHARED[k]) for k, v in counts.items()}
         sums = {k: sum(v) for k, v in rows.items()}
         ratio += [math.log(x / sums["random"]) - math.log(y / sums["ordinary"]) for x, y in zip(rows["random"], rows["ordinary"], strict=True)]
     return ratio
 
 
+def _smoothed(row: list[int], shared: float) -> list[float]:
+    """Counts of what follows a character, of which a share is dealt evenly over letters of a case, and over digits."""
+    out = [(1 - shared) * x + 0.2 for x in row]
+    for low, high in ("az", "AZ", "09"):
+        kind = range(ord(low) - 32, ord(high) - 31)
+        even = shared * sum(row[b] for b in kind) / len(kind)
+        for b in kind:
+            out[b] += even
+    return out
+
+
+def _written(pair: Column) -> Column:
+    """The ways in which two words stand in names, paths, links, constants and dated files."""
+    n = F.pmod(F.xxhash64(pair), F.lit(18_000)).cast("int")
+    day = F.date_add(F.lit("1985-01-01").cast("date"), n)
+    upper, camel = F.transform(pair, F.upper), F.array_join(F.transform(pair, F.initcap), "")
+    first = F.get(pair, F.lit(0))
+    numbers = [F.date_format(day, "yyyy-MM-dd"), F.date_format(day, "yyyy/MM/dd"), F.concat(first, F.lit("-"), n.cast("string"), F.lit("-"), F.pmod(n, F.lit(97)).cast("string"))]
+    dated = [F.concat(F.initcap(first), F.lit("_"), F.date_format(day, "yyyyMMdd")), F.concat(first, F.pmod(n, F.lit(12)).cast("string"), F.lit("/"))]
+    return F.array(*(F.array_join(pair, x) for x in ("_", "-", "/", "")), camel, *(F.array_join(upper, x) for x in ("_", "", "-")), *numbers, *dated)
+
+
 def _scan(items: Column, zero: Column, step, emit, state: str, out: str) -> Column:
     """emit(state before, x) for each x of an array, where step(state, x) makes the next state; states are small structs.
 
