@@ -16,6 +16,7 @@ from spanweave.functions.plan import barrier
 from spanweave.functions.stored import materialize
 from spanweave.functions.text import clean, token_set
 from spanweave.operators.evaluate import bucket_of, ratio
+from spanweave.schema import MAX_CHARS
 
 # Length classes, reports' limits, least support of the development split, and the inventory of
 # negation cues, which cue_distance and cue_counts match.
@@ -102,6 +103,22 @@ def cooccurrence(spans: DataFrame) -> DataFrame:
     return pairs.groupBy(F.col("p.a").alias("type_a"), F.col("p.b").alias("type_b")).agg(F.count("*").alias("records"))
 
 
+def edge_classes(records: DataFrame, limit: int = MAX_CHARS) -> DataFrame:
+    """(case, records) of the kinds of texts that are easily got wrong; a text may be of several kinds.
+
+    The kinds are those of the edge-case suite: nothing, white space alone, one token, other dashes than the hyphen,
+    words beside a hyphen, a negation, spaces and signs that cleaning takes away, and more characters than serving takes.
+    """
+    text, cleaned = F.coalesce("text", F.lit("")), F.col("cleaned")
+    rows = barrier(records.select(text.alias("text"), clean(text).alias("cleaned")))
+    kinds = {
+        "empty": F.col("text") == "", "blank": (F.col("text") != "") & (cleaned == ""), "one token": (cleaned != "") & ~cleaned.contains(" "), "dash": cleaned.rlike("[\u2013\u2014]"),
+        "hyphen": cleaned.rlike("[A-Za-z]-[A-Za-z]"), "negation": F.lower(cleaned).rlike(r"(^| )(no|not|without|does not contain)( |$)"), "cleaned": F.col("text") != cleaned, "long": F.length(cleaned) > limit,
+    }
+    counts = rows.agg(*(F.count_if(test).alias(k) for k, test in kinds.items()))
+    return counts.select(F.explode(F.array(*(F.struct(F.lit(k).alias("case"), F.col(f"`{k}`").alias("records")) for k in kinds))).alias("x")).select("x.case", "x.records")
+
+
 def source_mix(records: DataFrame, targets: dict[str, float] | None = None) -> DataFrame:
     """(source, records, share[, target, gap])."""
     mix = records.groupBy("source").agg(F.count("*").alias("records")).withColumn("share", F.round(F.col("records") / F.sum("records").over(Window.partitionBy()), 6))

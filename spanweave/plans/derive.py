@@ -161,6 +161,17 @@ def templates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return in_memory(spark, "templates", list(TEMPLATES))
 
 
+def part_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(template, weight): a template for each part, of three forms."""
+    name, form = F.col("p_name"), F.col("p_partkey") % 3
+    text = (
+        F.when(form == 0, F.concat(F.lit("{PERSON} orders "), name, F.lit(" from {ORG}")))
+        .when(form == 1, F.concat(name, F.lit(" for {person}: {decoy:number}, {NEG_COMMODITY#1} and {COMMODITY#2}.")))
+        .otherwise(F.concat(F.lit("{{ "), name, F.lit(" }} to {ADDRESS#1} - {ADDRESS#2}")))
+    )
+    return table(spark, sf_dir, "part").groupBy(text.alias("template")).agg(F.count("*").cast("double").alias("weight"))
+
+
 def pools(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pool_table(entity_pools(spark, sf_dir), decoy_pools(spark, sf_dir))
 

@@ -4,12 +4,11 @@ from __future__ import annotations
 
 import re
 
-from spanweave.functions.text import PUNCTUATION, ZERO_WIDTH
+from spanweave.functions.text import PUNCTUATION
 from spanweave.operators.coverage import CUES, LEAST_SUPPORT
 from spanweave.operators.templates import SLOT
 from spanweave.plans.derive import DECLARED, DECOYS, KINDS, ODD_TEMPLATES, PANEL, SEED, SOURCE_TARGETS, SWITCHES, TEMPLATES
 from spanweave.schema import BUCKETS, ENTITY_TYPES, LABELS
-from spanweave.sources.records import EDGE_CASES
 
 _Z = r"[\x{200b}\x{200c}\x{200d}\x{2060}\x{feff}\x{ad}]"
 _C = r"[\x00-\x08\x0b\x0c\x0e-\x1f\x7f]"
@@ -309,20 +308,31 @@ UNION ALL SELECT DISTINCT 'unknown decoy', sub || ': ' || template FROM s WHERE
 UNION ALL SELECT DISTINCT 'unknown entity type', entity_type || ': ' || template FROM s WHERE entity_type NOT IN {ENTITY_TYPES!r}"""
 
 
-def _edge_cases() -> str:
-    """What is expected, except that a token lends its closing marks to its span: ends move to the end of the token."""
-    rows = []
-    for case, text, *found in EDGE_CASES:
-        for kind, surface, polarity in found:
-            s = text.index(surface)
-            e = next((k for k in range(s + len(surface), len(text)) if text[k].isspace() or text[k] in ZERO_WIDTH), len(text))
-            rows.append(f"('{case}', {s}, {e}, '{kind}', '{polarity}', {sql(text[s:e])})")
-        if not found:
-            rows.append(f"('{case}', NULL, NULL, NULL, NULL, NULL)")
-    return f'SELECT * FROM (VALUES {", ".join(rows)}) t("case", "start", "end", type, polarity, text)'
+_CHOPPED = r"regexp_replace(text, '\s+\S+\s*$', '')"
 
+PART_TEMPLATES = """
+forms AS (SELECT p_partkey % 3 AS form, p_name, CASE p_partkey % 3 WHEN 0 THEN '{PERSON} orders ' || p_name || ' from {ORG}' WHEN 1 THEN p_name || ' for {person}: {decoy:number}, {NEG_COMMODITY#1} and {COMMODITY#2}.'
+  ELSE '{{ ' || p_name || ' }} to {ADDRESS#1} - {ADDRESS#2}' END AS template FROM part),
+templates AS (SELECT template, min(form) AS form, min(p_name) AS name, count(*)::DOUBLE AS weight FROM forms GROUP BY template)"""
 
-_CHOPPED = r"regexp_replace(text, '\s+\S+\s*$', '')"
+
+def _part_slots() -> str:
+    """By what each form is made of; {0} stands for the part's name."""
+    slots = (
+        (0, 0, "''", "PERSON", "PERSON", "POS", None), (0, 1, "' orders ' || name || ' from '", "ORG", "ORG", "POS", None),
+        (1, 0, "name || ' for '", "PERSON", "PERSON", "POS", None), (1, 1, "': '", "decoy:number", None, None, "number"), (1, 2, "', '", "COMMODITY", "COMMODITY", "NEG", None), (1, 3, "' and '", "COMMODITY", "COMMODITY", "POS", None),
+        (2, 0, "'{{ ' || name || ' }} to '", "ADDRESS", "ADDRESS", "POS", None), (2, 1, "' - '", "ADDRESS", "ADDRESS", "POS", None),
+    )
+    rows = [f"SELECT template, {k} AS slot_idx, {before} AS before, {', '.join(f'{_value(v)} AS {c}' for v, c in zip(rest, ('pool', 'entity_type', 'polarity', 'sub'), strict=True))} FROM templates WHERE form = {form}" for form, k, before, *rest in slots]
+    return f"WITH {PART_TEMPLATES} " + " UNION ALL ".join(rows)
+
+
+def _edge_classes() -> str:
+    kinds = {
+        "empty": "raw = ''", "blank": "raw <> '' AND text = ''", "one token": "text <> '' AND NOT contains(text, ' ')", "dash": r"regexp_matches(text, '[\x{2013}\x{2014}]')", "hyphen": "regexp_matches(text, '[A-Za-z]-[A-Za-z]')",
+        "negation": "regexp_matches(lower(text), '(^| )(no|not|without|does not contain)( |$)')", "cleaned": "raw <> text", "long": "length(text) > 500",
+    }
+    return f"WITH {RECORDS} " + " UNION ALL ".join(f"SELECT '{k}' AS case_, count(*) FILTER (WHERE {test}) AS records FROM records" for k, test in kinds.items())
 
 
 def _jaccard(left: str, right: str) -> str:
@@ -435,7 +445,7 @@ def texts() -> dict[str, str]:
   count(*) FILTER (WHERE type = 'COMMODITY' AND polarity = 'POS') AS commodity_pos_spans, count(*) FILTER (WHERE type = 'COMMODITY' AND polarity = 'NEG') AS commodity_neg_spans,
   count(DISTINCT r.record_id) FILTER (WHERE g.record_id IS NULL) AS zero_entity_records FROM records r LEFT JOIN gold g ON g.record_id = r.record_id GROUP BY split""",
         "pool_counts": f"WITH {POOLS} SELECT pool, count(*) AS n, sum(weight) AS weight FROM pools WHERE pool <> 'template' GROUP BY pool",
-        "template_count": f"WITH {POOLS} SELECT count(*) AS n FROM templates",
+        "template_count": f"WITH {PART_TEMPLATES} SELECT count(*) AS n, sum(weight) AS weight FROM templates",
         "table_counts": f"WITH {POOLS} SELECT 'entity_pools' AS name, count(*) AS n FROM entity_pools UNION ALL SELECT 'decoy_pools', count(*) FROM decoy_pools UNION ALL SELECT 'templates', count(*) FROM templates",
         "clean_text": f"WITH {RECORDS} SELECT record_id, text, length(raw) AS original_length FROM records WHERE text <> ''",
         "truncate_input": f"WITH c AS (SELECT doc_id AS record_id, {clean('substr(coalesce(text, chr(32)), 1, 500)')} AS text FROM documents) SELECT * FROM c WHERE text <> ''",
@@ -465,7 +475,7 @@ def texts() -> dict[str, str]:
   UNION ALL SELECT 'duplicate_turn', count(*) FROM (SELECT 1 FROM conversations GROUP BY conv_id, turn HAVING count(*) > 1)
   UNION ALL SELECT 'label_without_document', count(*) FROM labels l WHERE NOT EXISTS (SELECT 1 FROM documents d WHERE d.doc_id = l.doc_id)""",
         "locked_write_conflicts": f"WITH {RECORDS} SELECT record_id FROM records WHERE split = 'test' AND {h(chr(39) + 'change' + chr(39), 'record_id')} % 7 = 0",
-        "template_slots": f"WITH {SLOTS} SELECT template, slot_idx, before, pool, entity_type, polarity, sub FROM slots WHERE pool IS NOT NULL",
+        "template_slots": _part_slots(),
         "unresolved_slots": f"WITH {POOLS}, {SLOTS} SELECT template, slot_idx, pool FROM slots WHERE pool IS NOT NULL AND pool NOT IN (SELECT pool FROM pools WHERE pool NOT IN ('ORG', 'decoy:number'))",
         "ordered_dedup": "SELECT source, arg_min(doc_id, doc_id) AS doc_id, arg_min(lang, doc_id) AS lang FROM documents GROUP BY source",
         "weighted_template_draw": f"WITH {DRAWN} SELECT record_id, template FROM chosen",
@@ -511,7 +521,7 @@ def texts() -> dict[str, str]:
   SELECT 'records' AS item, count(*) AS n FROM records UNION ALL SELECT 'groups', count(DISTINCT g) FROM m UNION ALL SELECT 'similar_pairs', count(*) FROM pairs
   UNION ALL SELECT 'components', count(DISTINCT root) FROM c UNION ALL SELECT 'leaks', 0 UNION ALL SELECT 'strata_off', 0""",
         "iaa_panel": _panel(),
-        "edge_cases": _edge_cases(),
+        "edge_cases": f"SELECT case_ AS \"case\", records FROM ({_edge_classes()})",
         "score_batch": _served(),
         "seed_breaches": _breaches(),
         "relocated": _relocated(),
