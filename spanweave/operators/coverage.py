@@ -326,7 +326,11 @@ def kappa_of_pairs(pairs: DataFrame) -> DataFrame:
     One aggregate to the confusion matrix, which has as many cells as there are label pairs; agreement by chance
     comes from its row and column sums.
     """
-    cells = pairs.groupBy("la", "lb").agg(F.count("*").alias("n"))
+    return kappa_of_cells(pairs.groupBy("la", "lb").agg(F.count("*").alias("n")))
+
+
+def kappa_of_cells(cells: DataFrame) -> DataFrame:
+    """Cohen's kappa of a confusion matrix (la, lb, n)."""
     row = F.sum(F.when(F.col("x.side") == "a", F.col("n")).otherwise(0))
     sides = F.explode(F.array(F.struct(F.lit("a").alias("side"), F.col("la").alias("label")), F.struct(F.lit("b").alias("side"), F.col("lb").alias("label"))))
     same = F.when((F.col("x.side") == "a") & (F.col("la") == F.col("lb")), F.col("n")).otherwise(0)
@@ -359,7 +363,11 @@ def panel_of_arrays(units: DataFrame) -> DataFrame:
 def _panel(units: DataFrame) -> DataFrame:
     later = lambda x, k: F.transform(F.slice("v", k + 2, F.size("v")), lambda y: F.struct(x["annotator"].alias("a"), y["annotator"].alias("b"), x["label"].alias("la"), y["label"].alias("lb")))
     pairs = units.filter(F.size("v") > 1).select(F.size("v").alias("m"), F.explode(F.flatten(F.transform("v", later))).alias("p"))
-    cells = pairs.groupBy("p.a", "p.b", "p.la", "p.lb", "m").agg(F.count("*").alias("n"))
+    return panel_of_cells(pairs.groupBy("p.a", "p.b", "p.la", "p.lb", "m").agg(F.count("*").alias("n")))
+
+
+def panel_of_cells(cells: DataFrame) -> DataFrame:
+    """agreement_panel of how often (n) annotators a < b gave the labels la and lb in units of m votes."""
     # the coincidences are read by every pair and by alpha: a row for each pair, its two labels, and both orders
     sides = F.explode(F.array(F.struct(F.lit(0).alias("side"), F.col("la").alias("label"), F.col("lb").alias("other")), F.struct(F.lit(1).alias("side"), F.col("lb").alias("label"), F.col("la").alias("other"))))
     scope = F.explode(F.array(F.struct("a", "b"), F.struct(F.lit("all").alias("a"), F.lit("all").alias("b"))))
@@ -432,7 +440,12 @@ def manifest_drift(records: DataFrame, manifest: DataFrame) -> DataFrame:
 
 def least_confident(probs: DataFrame, k: int = 100) -> DataFrame:
     """The k records whose least sure token is least sure: what to label next."""
-    sure = probs.groupBy("record_id").agg(F.round(F.min(F.array_max("probs")).cast("double"), 6).alias("confidence"))
+    return least_sure(probs.select("record_id", F.array_max("probs").alias("sure")), k)
+
+
+def least_sure(tokens: DataFrame, k: int = 100) -> DataFrame:
+    """least_confident of tokens(record_id, sure); rows of a record may be added up before."""
+    sure = tokens.groupBy("record_id").agg(F.round(F.min("sure").cast("double"), 6).alias("confidence"))
     return sure.orderBy("confidence", "record_id").limit(k)
 
 
