@@ -17,8 +17,8 @@ from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from spanweave.functions.text import DEFAULT, CleanConfig
+from spanweave.operators import whole
 from spanweave.operators.clean import project_to_original, with_char_map
-from spanweave.operators.tokens import bio_decode, gated_label, softmax, whitespace_tokens
 from spanweave.schema import LABELS, MAX_CHARS, MAX_TOKENS
 from spanweave.sources.records import SIDECAR, THRESHOLDS, load_config, load_thresholds
 
@@ -87,30 +87,38 @@ def toy_scorer() -> Scorer:
     return score
 
 
-def score_tokens(tokens: DataFrame, make_scorer: Callable[[], Scorer], max_tokens: int = MAX_TOKENS, timed: bool = False) -> DataFrame:
-    """tokens (record_id, tok_idx, c0, c1, token) with probs, of the first max_tokens of each record.
+def scored_spans(make_scorer: Callable[[], Scorer], thresholds: list[float], max_tokens: int = MAX_TOKENS, timed: bool = False):
+    """A function of cleaned texts to (spans, ms): what the labels of each text's first max_tokens tokens decode to.
 
-    timed: also ms, the time that the scorer took for the record's group of TIMED records, by their number.
+    A text is tokenised, scored and decoded where it stands. timed: ms is the time that the scorer took for the record's
+    group of TIMED records, by their number; null for a text without tokens, which is not scored.
     """
-    rows = tokens.filter(F.col("tok_idx") < max_tokens).groupBy("record_id").agg(F.array_sort(F.collect_list(F.struct("tok_idx", "c0", "c1", "token"))).alias("t"))
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    @F.arrow_udf("struct<spans:array<struct<start:int,end:int,type:string,polarity:string>>,ms:double>")
+    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         scorer = make_scorer()
-        for b in batches:
-            ids, rows = b.column(0).to_pylist(), [[x["token"] for x in r] for r in b.column(1).to_pylist()]
-            scores: list[np.ndarray] = []
-            ms: list[float] = []
+        for texts in batches:
+            n = len(texts)
+            piece = whole.Piece(pa.RecordBatch.from_arrays([pa.array(np.arange(n)), texts], names=["record_id", "text"]))
+            t = piece.tokens()
+            t = whole.take(t, np.flatnonzero(t["tok_idx"] < max_tokens))
+            words, ends = piece.texts(t["from"], t["to"]).to_pylist(), np.searchsorted(t["owner"], np.arange(n + 1))
+            own = np.flatnonzero(np.diff(ends))
+            rows = [words[ends[k] : ends[k + 1]] for k in own.tolist()]
+            scores, ms = [np.zeros((0, len(LABELS)))], np.full(n, np.nan)
             size = TIMED if timed else max(1, len(rows))
             for k in range(0, len(rows), size):
                 began = time.perf_counter()
                 scores += scorer(rows[k : k + size])
-                ms += [(time.perf_counter() - began) * 1000 / len(rows[k : k + size])] * len(rows[k : k + size])
-            columns = [pa.array(ids, pa.int64()), b.column(1), pa.array([s.astype(np.float64).tolist() for s in scores], pa.list_(pa.list_(pa.float64()))), pa.array(ms, pa.float64())]
-            yield pa.RecordBatch.from_arrays(columns, names=["record_id", "t", "s", "ms"])
+                ms[own[k : k + size]] = (time.perf_counter() - began) * 1000 / len(rows[k : k + size])
+            flat = np.concatenate(scores).astype(np.float64)
+            powers = np.exp(flat - flat.max(1, keepdims=True)) if len(flat) else flat
+            spans = whole.decode(t, whole.gate(powers / powers.sum(1, keepdims=True), thresholds))
+            kind, place = pa.array(spans["kind"]), lambda c: pa.array(spans[c].astype(np.int32))  # noqa: B023, E731
+            made = whole.lists(spans["owner"], n, start=place("start"), end=place("end"), type=whole.TYPES.take(kind), polarity=whole.POLARITY.take(kind))
+            yield pa.StructArray.from_arrays([made, pa.array(ms, from_pandas=True)], names=["spans", "ms"])
 
-    scored = rows.mapInArrow(run, "record_id bigint, t array<struct<tok_idx:int,c0:int,c1:int,token:string>>, s array<array<double>>, ms double")
-    flat = scored.select("record_id", F.explode(F.arrays_zip("t", "s")).alias("x"), "ms")
-    return flat.select("record_id", "x.t.tok_idx", "x.t.c0", "x.t.c1", softmax(F.col("x.s")).alias("probs"), *(["ms"] if timed else []))
+    return run
 
 
 def predict(records: DataFrame, make_scorer: Callable[[], Scorer], thresholds: list[float] | None = None, config: CleanConfig = DEFAULT, timed: bool = False, kept: bool = False) -> DataFrame:
@@ -121,15 +129,8 @@ def predict(records: DataFrame, make_scorer: Callable[[], Scorer], thresholds: l
     """
     cut = records.select("record_id", F.substring(F.coalesce("text", F.lit("")), 1, MAX_CHARS).alias("text"), F.col("text").alias("given"))
     mapped = with_char_map(cut, config).withColumnRenamed("text", "raw")
-    ready = mapped.select("record_id", F.col("clean_text").alias("text")).filter(F.length("text") > 0)
-    probs = score_tokens(whitespace_tokens(ready), make_scorer, timed=timed)
-    labels = probs.withColumn("label_id", gated_label(F.col("probs"), thresholds or [0.0] * len(LABELS)))
-    if timed:
-        labels = labels.select("record_id", "tok_idx", "c0", "c1", "label_id", "ms").repartition("record_id")  # spans and times read it
-    found = bio_decode(labels.select("record_id", "tok_idx", "c0", "c1", "label_id")).groupBy("record_id").agg(F.array_sort(F.collect_list(F.struct("start", "end", "type", "polarity"))).alias("spans"))
-    placed = mapped.select("record_id", "raw", "char_map", "given").join(found, "record_id", "left")
-    if timed:
-        placed = placed.join(labels.groupBy("record_id").agg(F.max("ms").alias("ms")), "record_id", "left")
+    scored = mapped.withColumn("scored", scored_spans(make_scorer, thresholds or [0.0] * len(LABELS), timed=timed)("clean_text"))
+    placed = scored.select("record_id", "raw", "char_map", "given", "scored.spans", "scored.ms")
     moved = placed.withColumn("moved", project_to_original("char_map", F.length("raw"), F.transform("spans", lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end")))))
     entity = lambda x: F.struct(
         x["spans"]["type"].alias("type"),

@@ -17,7 +17,7 @@ from spanweave.plans import catalog
 from spanweave.schema import BUCKETS
 
 SF = "/root/testdata/sf0.001"
-IN_PLACE = "argmax_decode iaa_panel trainer_metric validate_records".split()
+IN_PLACE = "argmax_decode iaa_panel trainer_metric validate_records score_batch".split()
 
 
 @pytest.mark.parametrize("name", IN_PLACE)
