@@ -57,6 +57,8 @@ def drop_overlaps(spans: list[dict]) -> tuple[list[dict], list[dict]]:
     return kept, lost
 
 
+#: Records whose entities are Python objects at the same time.
+AT_ONCE = 64
 _RESULT = T.StructType([T.StructField("entities", T.ArrayType(ENTITY)), T.StructField("skipped", T.ArrayType(SKIPPED))])
 _ENTITY = pa.struct([("type", pa.string()), ("text", pa.string()), ("start", pa.int32()), ("end", pa.int32()), ("polarity", pa.string())])
 _SKIPPED = pa.struct([("type", pa.string()), ("text", pa.string()), ("reason", pa.string())])
@@ -72,9 +74,13 @@ def relocate(rows: DataFrame, ignore_case: bool = True, must_find: bool = False)
     @F.arrow_udf(_RESULT)
     def run(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
         for texts, wanted in batches:
-            made = [locate(t or "", w or [], ignore_case) for t, w in zip(texts.to_pylist(), wanted.to_pylist(), strict=True)]
-            if must_find and (lost := [k for k, m in enumerate(made) if not m[0]]):
-                raise ValueError(f"nothing could be located in: {(texts[lost[0]].as_py() or '')[:80]!r}")
-            yield pa.StructArray.from_arrays([pa.array([m[0] for m in made], pa.list_(_ENTITY)), pa.array([m[1] for m in made], pa.list_(_SKIPPED))], names=["entities", "skipped"])
+            parts = []
+            for k in range(0, len(texts), AT_ONCE):
+                given = texts.slice(k, AT_ONCE)
+                made = [locate(t or "", w or [], ignore_case) for t, w in zip(given.to_pylist(), wanted.slice(k, AT_ONCE).to_pylist(), strict=True)]
+                if must_find and (lost := [k for k, m in enumerate(made) if not m[0]]):
+                    raise ValueError(f"nothing could be located in: {(given[lost[0]].as_py() or '')[:80]!r}")
+                parts.append(pa.StructArray.from_arrays([pa.array([m[0] for m in made], pa.list_(_ENTITY)), pa.array([m[1] for m in made], pa.list_(_SKIPPED))], names=["entities", "skipped"]))
+            yield pa.concat_arrays(parts) if parts else pa.array([], pa.struct([("entities", pa.list_(_ENTITY)), ("skipped", pa.list_(_SKIPPED))]))
 
     return rows.withColumn("r", run("text", "ents")).select("record_id", "text", "r.entities", "r.skipped")
