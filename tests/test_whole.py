@@ -17,7 +17,7 @@ from spanweave.plans import catalog
 from spanweave.schema import BUCKETS
 
 SF = "/root/testdata/sf0.001"
-IN_PLACE = "argmax_decode iaa_panel trainer_metric validate_records score_batch bio_decode_lenient bio_decode_strict relocated iaa_span_f1 acceptance_gates active_learning_topk bio_encode threshold_gate".split()
+IN_PLACE = "argmax_decode iaa_panel trainer_metric validate_records score_batch bio_decode_lenient bio_decode_strict relocated iaa_span_f1 acceptance_gates active_learning_topk bio_encode threshold_gate iaa_kappa".split()
 
 
 @pytest.mark.parametrize("name", IN_PLACE)
