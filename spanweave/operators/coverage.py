@@ -8,8 +8,11 @@ from __future__ import annotations
 import math
 from functools import reduce
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from spanweave.functions.hashing import hash32
 from spanweave.functions.plan import barrier
@@ -31,6 +34,9 @@ CUES = (
 #: Hash buckets of token_order, and rows of a token from which on a similarity join deals them over a grid.
 ORDER_BUCKETS = 1 << 16
 CELL_ROWS = 20_000
+#: 64-bit words of parity bits, to begin with and of the sets that are left: they tell sets of up to some 450, and 9,000,
+#: tokens apart.
+PARITY_WORDS, FINE_WORDS = 2, 32
 #: Most candidate pairs whose sets' ids are broadcast; more are joined by a shuffle.
 KEYS_SENT = 500_000
 
@@ -255,33 +261,66 @@ def token_order(texts: DataFrame) -> bytes:
 
 
 def _token_sets(df: DataFrame) -> DataFrame:
-    """(set_id, tokens) of the distinct token sets, stored: prefixes and the comparison read them."""
-    made = barrier(df.select(token_set(F.col("text")).alias("tokens"))).filter(F.size("tokens") > 0)
-    return materialize(made.select(F.unhex(F.md5(F.array_join("tokens", " "))).alias("set_id"), "tokens").repartition("set_id").dropDuplicates(["set_id"]), "sets")
+    """(set_id, words, parity) of the distinct token sets, stored: prefixes and the comparison read them.
+
+    A set travels as one string, words, which takes a fourth of what an array does. parity: see _parities.
+    """
+    made = barrier(df.select(F.array_join(token_set(F.col("text")), " ").alias("words"))).filter("words <> ''")
+    sets = made.select(F.unhex(F.md5("words")).alias("set_id"), "words").repartition("set_id").dropDuplicates(["set_id"])
+    return materialize(sets.withColumn("parity", _parities(PARITY_WORDS)), "sets")
+
+
+def _parities(size: int) -> Column:
+    """Whether the tokens of a set (words) in each of size * 64 hash buckets are odd in number, as bits.
+
+    A token that only one of two sets has changes one bit, so sets differ in as many tokens as their bits do, or more.
+    """
+
+    @F.arrow_udf(T.ArrayType(T.LongType()))
+    def run(hashes: pa.Array) -> pa.Array:
+        bits, parts = size * 64, []
+        for k in range(0, len(hashes), 1000):
+            some = hashes.slice(k, 1000)
+            row = np.repeat(np.arange(len(some)), some.value_lengths().to_numpy(zero_copy_only=False))
+            odd = np.bincount(row * bits + (some.flatten().to_numpy() & (bits - 1)), minlength=len(some) * bits) & 1
+            parts.append(np.packbits(odd.astype(np.uint8)).view(np.int64))
+        ends = pa.array(np.arange(len(hashes) + 1, dtype=np.int32) * size)
+        return pa.ListArray.from_arrays(ends, pa.array(np.concatenate(parts) if parts else np.zeros(0, np.int64)))
+
+    return run(F.transform(F.split("words", " "), lambda t: F.xxhash64(t)))
+
+
+def _apart(left: list[Column], right: list[Column]) -> Column:
+    """In how many bits two sets differ."""
+    return reduce(lambda a, b: a + b, (F.bit_count(x.bitwiseXOR(y)) for x, y in zip(left, right, strict=True)))
 
 
 def _prefixes(sets: DataFrame, order: bytes, least: float, side: str) -> DataFrame:
-    """(set_id, n, h, place, cells): the hashes of the rarest tokens, of which similar sets share one, and the grid of each."""
+    """(set_id, n, h, place, cells, parity): the hashes of the rarest tokens, of which similar sets share one, and the grid of each."""
     at = lambda t: F.pmod(F.xxhash64(t), F.lit(ORDER_BUCKETS)).cast("int") + 1
+    sets = barrier(sets.select("set_id", "parity", F.split("words", " ").alias("tokens")))
     ranked = F.array_sort(F.transform("tokens", lambda t: F.struct(F.substring(F.lit(order), at(t), F.lit(1)).alias("f"), F.xxhash64(t).alias("h"))))
     n = F.size("tokens")
     cut = (n - F.ceil(n * least - 1e-9) + 1).cast("int")
-    rows = sets.select("set_id", n.alias("n"), F.posexplode(F.slice(ranked, F.lit(1), cut)).alias("place", "x"))
+    words = [F.get("parity", k).alias(f"p{k}") for k in range(PARITY_WORDS)]
+    rows = sets.select("set_id", n.alias("n"), *words, F.posexplode(F.slice(ranked, F.lit(1), cut)).alias("place", "x"))
     often = F.pow(F.lit(2.0), F.conv(F.hex("x.f"), 16, 10).cast("int") / 8)
     cells = F.greatest(F.lit(1), F.ceil(often / CELL_ROWS)).cast("int")
-    rows = rows.select("set_id", "n", "place", F.col("x.h").alias("h"), cells.alias("cells"), F.xxhash64("set_id", F.lit("cell")).alias("own"))
+    held = [f"p{k}" for k in range(PARITY_WORDS)]
+    rows = rows.select("set_id", "n", "place", *held, F.col("x.h").alias("h"), cells.alias("cells"), F.xxhash64("set_id", F.lit("cell")).alias("own"))
     own, other = ("i", "j") if side == "l" else ("j", "i")
     every = F.explode(F.sequence(F.lit(0), F.col("cells") - 1)).alias(other)
-    return rows.select("h", F.pmod("own", "cells").cast("int").alias(own), every, *(F.col(c).alias(f"{side}_{c}") for c in ("set_id", "n", "place")))
+    return rows.select("h", F.pmod("own", "cells").cast("int").alias(own), every, *(F.col(c).alias(f"{side}_{c}") for c in ("set_id", "n", "place", *held)))
 
 
-def token_jaccard_pairs(left: DataFrame, right: DataFrame, least: float = 0.9) -> DataFrame:
+def token_jaccard_pairs(left: DataFrame, right: DataFrame, least: float = 0.9, falling: bool = False) -> DataFrame:
     """(left_set, right_set, jaccard) of the distinct token sets of two corpora (record_id, text) at or over a similarity.
 
     Records enter by their token set (md5 of it), so copies are one; token_set_members says which records
     share a set. Prefix filter: within a row, tokens are put in token_order's order, and sets that reach the
     similarity share one of the first n - ceil(least * n) + 1; only those are joined, by the token's hash, with filters
-    of length and place, and then compared token by token. The rows of a frequent token are dealt over a grid of
+    of length, place and parity bits (which leave out no similar pair), and what is left is compared token by token.
+    falling: only pairs with left_set > right_set, for a corpus against itself. The rows of a frequent token are dealt over a grid of
     cells: a left row goes to the cells of its row, a right one to those of its column, so that each pair meets once
     and no task takes the token alone.
     """
@@ -292,19 +331,31 @@ def token_jaccard_pairs(left: DataFrame, right: DataFrame, least: float = 0.9) -
     # common tokens: at most those before either place, this one, and those behind both
     most = F.least(lp, rp) + 1 + F.least(ln - lp - 1, rn - rp - 1)
     fits = (ln >= rn * least - 1e-9) & (rn >= ln * least - 1e-9) & (most >= least * (ln + rn - most) - 1e-9)
+    # tokens that one side alone has: at least as many as there are differing bits, of similar sets at most this share
+    most_apart = (ln + rn) * ((1 - least) / (1 + least)) + 1e-6
+    fits = fits & (_apart(*([F.col(f"{side}_p{k}") for k in range(PARITY_WORDS)] for side in "lr")) <= most_apart)
+    if falling:
+        fits = fits & (F.col("l_set_id") > F.col("r_set_id"))
     met = _prefixes(tl, order, least, "l").join(_prefixes(tr, order, least, "r"), ["h", "i", "j"]).filter(fits)
     near = materialize(met.select("l_set_id", "r_set_id").distinct(), "near")
-    bounded = near.count() <= KEYS_SENT
-
-    def held(sets: DataFrame, side: str) -> DataFrame:
-        """The sets that are compared at all; ids are broadcast where they are few, else joined by a shuffle."""
-        ids = near.select(F.col(f"{side}_set_id").alias("set_id")).distinct()
-        kept = sets.join(F.broadcast(ids) if bounded else ids, "set_id", "left_semi")
-        return kept.select(F.col("set_id").alias(f"{side}_set_id"), F.col("tokens").alias(f"{side}_tokens"))
 
-    whole = near.join(held(tl, "l"), "l_set_id").join(held(tr, "r"), "r_set_id")
+    def both(near: DataFrame, *told: Column) -> DataFrame:
+        """near with what is told of either set; ids are broadcast where they are few, else joined by a shuffle."""
+        bounded = near.count() <= KEYS_SENT
+        for sets, side in ((tl, "l"), (tr, "r")):
+            ids = near.select(F.col(f"{side}_set_id").alias("set_id")).distinct()
+            kept = sets.join(F.broadcast(ids) if bounded else ids, "set_id", "left_semi")
+            near = near.join(kept.select(F.col("set_id").alias(f"{side}_set_id"), *(c.alias(f"{side}_{k}") for k, c in enumerate(told))), f"{side}_set_id")
+        return near
+
+    # longer sets need more bits; only what they leave is sent token by token
+    finer = both(near, F.size(F.split("words", " ")), _parities(FINE_WORDS))
+    bits = ([F.get(f"{side}_1", k) for k in range(FINE_WORDS)] for side in "lr")
+    near = materialize(finer.filter(_apart(*bits) <= (F.col("l_0") + F.col("r_0")) * ((1 - least) / (1 + least)) + 1e-6).select("l_set_id", "r_set_id"), "nearer")
+    whole = both(near, F.col("words"))
+    whole = barrier(whole.select("l_set_id", "r_set_id", F.split("l_0", " ").alias("l_tokens"), F.split("r_0", " ").alias("r_tokens")))
     common = F.size(F.array_intersect("l_tokens", "r_tokens"))
-    compared = whole.select("l_set_id", "r_set_id", common.alias("common"), (F.size("l_tokens") + F.size("r_tokens")).alias("both"))
+    compared = barrier(whole.select("l_set_id", "r_set_id", common.alias("common"), (F.size("l_tokens") + F.size("r_tokens")).alias("both")))
     j = F.col("common") / (F.col("both") - F.col("common"))
     named = lambda side: F.lower(F.hex(f"{side}_set_id"))
     return compared.filter(j >= least - 1e-12).select(named("l").alias("left_set"), named("r").alias("right_set"), F.round(j, 6).alias("jaccard"))
