@@ -72,7 +72,7 @@ def pack(members: DataFrame, share: float, seed: str) -> DataFrame:
 def similar_sets(records: DataFrame, least: float = 0.9) -> DataFrame:
     """(left_set, right_set, jaccard) of records(text), left_set > right_set; stored, since split and check both read it."""
     texts = records.select("text")
-    return materialize(token_jaccard_pairs(texts, texts, least).filter("left_set > right_set"), "similar")
+    return materialize(token_jaccard_pairs(texts, texts, least, falling=True), "similar")
 
 
 def leak_proof_split(records: DataFrame, similar: DataFrame, share: float = 0.5, seed: str = "split") -> DataFrame:
