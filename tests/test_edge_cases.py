@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from spanweave.functions.text import ZERO_WIDTH
 from spanweave.operators.clean import project_to_clean, project_to_original, with_char_map
 from spanweave.operators.tokens import bio_decode, bio_encode, whitespace_tokens
+from spanweave.plans import catalog
 from spanweave.sources import records as record_source
 
 
@@ -39,3 +40,9 @@ def expected():
 def test_edge_case_suite(spark):
     got = [tuple(r) for r in through_all(spark).collect()]
     assert sorted(map(repr, got)) == sorted(map(repr, expected()))
+
+
+def test_the_query_takes_the_suite_through_all_and_counts_the_records(spark):
+    got = catalog.queries()["edge_cases"](spark, "/root/testdata/sf0.001").select("case", "start", "end", "type", "polarity", "text", "records").collect()
+    assert sorted(repr(tuple(r)[:6]) for r in got if r.records is None) == sorted(map(repr, expected()))
+    assert len([r for r in got if r.records is not None]) == 8
