@@ -10,6 +10,7 @@ import pyarrow as pa
 import pytest
 
 from spanweave.operators import evaluate
+from spanweave.plans import catalog
 from spanweave.schema import BUCKETS
 
 TOKENS = pa.list_(pa.struct([("c0", pa.int32()), ("c1", pa.int32()), ("label_id", pa.int32()), ("prob", pa.float32()), ("breaks", pa.bool_())]))
@@ -132,6 +133,19 @@ def test_no_step_is_taken_for_each_token(count):
     assert calls(2000) < calls(200) * 2
 
 
+@pytest.mark.parametrize("name", ["sweep_global", "best_threshold"])
+def test_inputs_are_made_and_counted_by_one_worker(spark, name):
+    plan = catalog.queries()[name](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("MapInArrow") == 1
+
+
+def test_few_tokens_are_counted_at_a_time(monkeypatch):
+    tokens, gold = records(random.Random(9), 50)
+    want = table(Task(tokens, gold).run(evaluate.gate_table, VALUES))
+    monkeypatch.setattr(evaluate, "AT_ONCE", 5)
+    assert (table(Task(tokens, gold).run(evaluate.gate_table, VALUES)) == want).all()
+
+
 def test_long_runs_are_taken_at_once():
     n = 200_000
     for alive in (np.arange(n) // 2000, np.full(n, 5), np.r_[np.full(n - 1, 5), 1], 99 - np.arange(n) // 2000):
