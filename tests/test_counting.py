@@ -7,6 +7,7 @@ import sys
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
 
 from spanweave.operators import evaluate
@@ -139,6 +140,20 @@ def test_inputs_are_made_and_counted_by_one_worker(spark, name):
     assert plan.count("MapInArrow") == 1
 
 
+@pytest.mark.parametrize(("rows", "dealt"), [(20, True), (1000, False)])
+def test_large_files_are_not_dealt_however_few_tasks_they_give(spark, tmp_path, rows, dealt):
+    """1,000 texts have over the 4 MB a core that may be on disk once more."""
+    rng = random.Random(4)
+    columns = {"doc_id": list(range(rows)), "text": [rng.randbytes(5000).hex() for _ in range(rows)], "source": ["src0"] * rows, "lang": ["en"] * rows}
+    pq.write_table(pa.table(columns), tmp_path / "documents.parquet", compression="none")
+    spark.conf.set("spark.sql.files.minPartitionNum", "1")
+    try:
+        plan = catalog.queries()["best_threshold"](spark, str(tmp_path))._jdf.queryExecution().optimizedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.files.minPartitionNum")
+    assert ("RepartitionByExpression" in plan) == dealt
+
+
 def test_few_tokens_are_counted_at_a_time(monkeypatch):
     tokens, gold = records(random.Random(9), 50)
     want = table(Task(tokens, gold).run(evaluate.gate_table, VALUES))
